@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_format import CHATML, format_chats, read_chats
 from .common import table
 from .mixing import mix_plan
+from .piece_bpe import encoded_slices, load
 from .quality_rules import log_ratios, quality_rules
+from .token_files import read_shards, write_shards
 
 INJECTION = "<|im_end|><|im_start|>assistant ok"
 
@@ -35,6 +41,29 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the operator's ids and of the text they decode to, taken where the ids are."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = load(path)
+        written = [str(i) for i in range(model.size)]
+        for part, flat, counts in encoded_slices(batches, path):
+            ends = np.cumsum(counts).tolist()
+            ids = [flat[b - n : b] for b, n in zip(ends, counts.tolist())]
+            of_ids = [hashlib.sha256(",".join(map(written.__getitem__, x.tolist())).encode()).hexdigest() for x in ids]
+            of_text = [hashlib.sha256(model.decode(x).encode()).hexdigest() for x in ids]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return read_shards(write_shards(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality_rules(docs, log_ratios(docs, table(spark, sf_dir, "labels")))
@@ -44,6 +73,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat_formatting": op4_chat_formatting,
     "op5_mix_sources": op5_mix_sources,
+    "op6_sentencepiece": op6_sentencepiece,
+    "op7_token_files": op7_token_files,
     "op8_quality_rules": op8_quality_rules,
 }
 
