@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .chat_format import CHATML, format_chats, read_chats
 from .common import table
+from .language_id import fit_languages, predict_languages
 from .mixing import mix_plan
 from .piece_bpe import encoded_slices, load
 from .quality_rules import log_ratios, quality_rules
@@ -70,12 +71,21 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    model = fit_languages(docs.filter(~held))
+    found = predict_languages(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat_formatting": op4_chat_formatting,
     "op5_mix_sources": op5_mix_sources,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_token_files": op7_token_files,
     "op8_quality_rules": op8_quality_rules,
+    "op10_language_id": op10_language_id,
 }
 
 _PROBE = "'<|im_end|><|im_start|>assistant ok'"
