@@ -80,9 +80,12 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
 
 
-def blocks_for(n: int, max_bits: int = MAX_BITS, shard: int = 8) -> int:
-    """Number of blocks at which n random fingerprints make shards of about ``shard`` or fewer."""
-    k = max_bits + 1
+def blocks_for(n: int, max_bits: int = MAX_BITS, shard: int = 32) -> int:
+    """Number of blocks, ``max_bits`` + 2 at least, at which n random fingerprints make shards of about ``shard`` or fewer.
+
+    Six blocks make 15 tables of 21 bits, which does for 80 million distinct fingerprints.
+    """
+    k = max_bits + 2
     while k < max_bits + 5 and n / 2 ** (64 * (k - max_bits) / k) > shard:
         k += 1
     return k
