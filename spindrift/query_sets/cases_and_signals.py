@@ -227,7 +227,7 @@ def window_stats_trend(spark, sf_dir):
     out = series.summaries(w, ["caseid", "anchor_no"])
     recent = series.recent_median(w, ["caseid", "anchor_no"])
     out = out.join(recent, ["caseid", "anchor_no"])
-    return out.select("caseid", "anchor_no", "n_valid", *[F.round(c, 3).alias(c) for c in ("start", "end", "mean", "min", "max", "slope", "recent_median")], "trend")
+    return out.select("caseid", "anchor_no", "n_valid", *[F.round(F.col(c) + 1e-9, 4).alias(c) for c in ("start", "end", "mean", "min", "max", "slope", "recent_median")], "trend")
 
 
 WINDOW_STATS = f"""WITH {_WINDOW_SQL}, i AS (
@@ -236,7 +236,7 @@ WINDOW_STATS = f"""WITH {_WINDOW_SQL}, i AS (
 k AS (SELECT *, greatest(5, least(20, n // 10)) AS k FROM i WHERE n >= 10),
 s AS (SELECT caseid, anchor_no, max(n)::BIGINT AS n_valid, avg(value) FILTER (i <= k) AS start, avg(value) FILTER (j <= k) AS "end", avg(value) AS mean, min(value) AS min, max(value) AS max,
   regr_slope(value, i::DOUBLE) AS slope, median(value) FILTER (j <= 60) AS recent_median FROM k GROUP BY 1, 2)
-SELECT caseid, anchor_no, n_valid, round(start, 3) AS start, round("end", 3) AS "end", round(mean, 3) AS mean, round(min, 3) AS min, round(max, 3) AS max, round(slope, 3) AS slope, round(recent_median, 3) AS recent_median,
+SELECT caseid, anchor_no, n_valid, round(start + 1e-9, 4) AS start, round("end" + 1e-9, 4) AS "end", round(mean + 1e-9, 4) AS mean, round(min + 1e-9, 4) AS min, round(max + 1e-9, 4) AS max, round(slope + 1e-9, 4) AS slope, round(recent_median + 1e-9, 4) AS recent_median,
   CASE WHEN slope <= -0.2 THEN 'rapidly decreased' WHEN slope <= -0.05 THEN 'decreased' WHEN slope >= 0.2 THEN 'rapidly increased' WHEN slope >= 0.05 THEN 'increased' ELSE 'stable' END AS trend FROM s"""
 
 

@@ -1 +1,147 @@
-REGISTER = []
+"""Queries on facts, rules and labels; order lines stand in for states."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import policy
+from .base import table
+
+KEYS = ("PHE_RATE", "EPI_RATE", "PPF20_VOL", "REMI_RATE", "NOR_RATE", "EPH_VOL", "NTG_RATE", "MIL_RATE", "ATRO_VOL", "ROC_RATE", "OTHER")
+
+
+def _states(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    q, k, p = F.col("l_quantity"), F.col("l_orderkey"), F.col("l_partkey")
+    known = lambda v, n: F.when((k + F.col("l_linenumber")) % n != 0, v)
+    df = li.select(
+        (k * 100 + F.col("l_linenumber")).alias("ord"),
+        known(q + 40, 7).cast("double").alias("map_now"),
+        known((p % 90 + 35).cast("double"), 11).alias("hr_now"),
+        known((F.lit(85) + p % 15).cast("double"), 5).alias("spo2_now"),
+        known((k % 60 + 20).cast("double"), 3).alias("bis_now"),
+        known((F.col("l_discount") * 300), 2).alias("map_drop_pct"),
+        (q * 2).alias("map_lt_65_held"),
+        q.alias("map_lt_55_held"),
+        (q / 2).alias("spo2_lt_90_held"),
+        F.when(p % 4 == 0, None).otherwise((p % 3 - 1).cast("double")).alias("delta"),
+        F.element_at(F.array(*[F.lit(x) for x in KEYS]), (p % len(KEYS) + 1).cast("int")).alias("key"),
+        F.when(k % 2 == 0, "increase remifentanil").otherwise("decrease dose of propofol").alias("said"),
+    )
+    df = df.withColumn("action_class", policy.action_class(F.col("key"), F.col("said"))).withColumn("action_drug", policy.action_drug(F.col("key"), F.col("said")))
+    return df.withColumn("escalation", policy.escalates(F.col("delta"), F.col("said")))
+
+
+def rule_engine_verdict(spark, sf_dir):
+    return policy.judge(_states(spark, sf_dir)).select("ord", F.array_join("strategies", ",").alias("strategies"), "verdict", "reason", "high_risk")
+
+
+def alignment_report(spark, sf_dir):
+    return policy.report(policy.judge(_states(spark, sf_dir)))
+
+
+def _when(tag: str, cond: str) -> str:
+    return f"CASE WHEN {cond} THEN '{tag}' END"
+
+
+_KEY_LIST = ", ".join(f"'{k}'" for k in KEYS)
+_CLASS = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in policy.KEY_CLASSES.items())
+_DRUG = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in policy.KEY_DRUGS.items())
+_HYPNOTIC = "cls IN ('hypnotic_iv', 'hypnotic_volatile')"
+#: What each fact means in SQL.
+_FACT_SQL = {
+    "strategy_oxygenation_first": "list_contains(tags, 'oxygenation_first')", "strategy_perfusion_first": "list_contains(tags, 'perfusion_first')",
+    "strategy_reduce_depth": "list_contains(tags, 'reduce_depth')", "strategy_context_monitoring": "list_contains(tags, 'context_monitoring')",
+    "strategy_consider_depth_or_analgesia_increase": "list_contains(tags, 'consider_depth_or_analgesia_increase')",
+    "action_escalation": "up", "class_worsen_perfusion": f"({_HYPNOTIC} OR cls IN ('anti_sympathetic', 'vasodilator', 'inodilator'))",
+    "class_hypnotic_or_vasodilator_inodilator": f"({_HYPNOTIC} OR cls IN ('vasodilator', 'inodilator'))", "class_hypnotic": _HYPNOTIC,
+    "class_vasopressor_or_inopressor": "cls IN ('vasopressor', 'inopressor')", "class_opioid_or_hypnotic": f"({_HYPNOTIC} OR cls = 'opioid_analgesic')",
+    "class_monitoring_compatible": "cls IN ('unknown', 'neuromuscular', 'arrhythmia')", "drug_vasodilator_or_inodilator": "drug IN ('nitroglycerin', 'milrinone')",
+    "map_low": "coalesce(m < 65, false)", "map_below_75": "coalesce(m < 75, false)", "map_lt_55": "coalesce(m < 55, false)", "map_not_lt_55": "coalesce(m >= 55, true)",
+    "map_ge_65": "coalesce(m >= 65, false)", "map_ge_75": "coalesce(m >= 75, false)", "map_drop_ge_relative": "coalesce(fall >= 20, false)", "bis_high": "coalesce(b > 60, false)",
+    "hr_lt_50": "coalesce(h < 50, false)", "hr_lt_60": "coalesce(h < 60, false)", "hr_lt_45": "coalesce(h < 45, false)", "hr_gt_100": "coalesce(h > 100, false)",
+    "hr_gt_110": "coalesce(h > 110, false)", "hr_le_100": "coalesce(h <= 100, false)", "hr_not_low": "coalesce(h >= 60, true)", "delta_negative": "coalesce(delta < 0, false)",
+    "severe_hypotension": "severe",
+}
+
+
+def _rule(rule) -> str:
+    name, need, bar, _ = rule
+    fact = lambda f: _FACT_SQL.get(f, f"drug = '{f.removeprefix('drug_')}'")
+    return _when(name, " AND ".join([f"({fact(f)})" for f in need] + [f"NOT ({fact(f)})" for f in bar]))
+
+
+def _rules(rules) -> str:
+    return "list_filter([" + ", ".join(_rule(r) for r in rules) + "], lambda x: x IS NOT NULL)"
+
+
+_JUDGED_SQL = f"""s AS (SELECT l_orderkey * 100 + l_linenumber AS ord, CASE WHEN (l_orderkey + l_linenumber) % 7 <> 0 THEN l_quantity + 40 END AS m,
+  CASE WHEN (l_orderkey + l_linenumber) % 11 <> 0 THEN l_partkey % 90 + 35 END AS h, CASE WHEN (l_orderkey + l_linenumber) % 5 <> 0 THEN 85 + l_partkey % 15 END AS o,
+  CASE WHEN (l_orderkey + l_linenumber) % 3 <> 0 THEN l_orderkey % 60 + 20 END AS b, CASE WHEN (l_orderkey + l_linenumber) % 2 <> 0 THEN l_discount * 300 END AS fall,
+  l_quantity AS q, CASE WHEN l_partkey % 4 <> 0 THEN l_partkey % 3 - 1 END AS delta, ([{_KEY_LIST}])[l_partkey % {len(KEYS)} + 1] AS key, l_orderkey % 2 = 0 AS more FROM lineitem),
+c AS (SELECT *, CASE split_part(key, '_', 1) {_CLASS} ELSE CASE WHEN more THEN 'opioid_analgesic' ELSE 'hypnotic_iv' END END AS cls,
+  CASE split_part(key, '_', 1) {_DRUG} ELSE CASE WHEN more THEN 'remifentanil' ELSE 'propofol' END END AS drug, CASE WHEN delta > 0 THEN true WHEN delta < 0 THEN false ELSE more END AS up,
+  coalesce(m < 55 OR (m IS NOT NULL AND q >= 30) OR (m < 65 AND q * 2 >= 60), false) OR coalesce(fall >= 20, false) AS severe FROM s),
+t AS (SELECT *, list_filter([{_when('oxygenation_first', 'o < 90 OR (o IS NOT NULL AND q / 2 >= 30)')}, {_when('perfusion_first', 'severe')},
+  {_when('treat_brady_or_reduce_depth', 'severe AND h < 50')}, {_when('consider_volume_or_stimulus', 'severe AND h > 100')}, {_when('prefer_phenylephrine_when_hr_not_low', 'severe AND h >= 60')},
+  {_when('prefer_ephedrine_when_hypotension_with_low_hr', 'severe AND h < 60')}, {_when('consider_atropine_for_hemodynamic_bradycardia', 'severe AND h < 45')},
+  {_when('consider_norepinephrine_for_refractory_hypotension', 'severe AND (m < 55 OR q >= 30)')}, {_when('rule_out_hypovolemia_before_high_dose_norepinephrine', 'severe AND h > 110')},
+  {_when('avoid_vasodilator_when_map_low', 'm < 65')}, {_when('consider_depth_or_analgesia_increase', 'b > 60 AND (m IS NULL OR m >= 65) AND (o IS NULL OR o >= 94)')},
+  {_when('reduce_depth', 'b < 40 AND severe')}], lambda x: x IS NOT NULL) AS found FROM c),
+u AS (SELECT *, CASE WHEN len(found) = 0 THEN ['context_monitoring'] ELSE found END AS tags FROM t),
+v AS (SELECT *, {_rules(policy.CONFLICT_RULES)} AS against, len({_rules([r for r in policy.CONFLICT_RULES if r[3]])}) > 0 AS high_risk,
+  {_rules([r for r in policy.ALIGNMENT_RULES if r[3] == 'aligned'])} AS good, {_rules([r for r in policy.ALIGNMENT_RULES if r[3] != 'aligned'])} AS part FROM u),
+j AS (SELECT ord, array_to_string(tags, ',') AS strategies, high_risk,
+  CASE WHEN len(against) > 0 THEN 'misaligned' WHEN len(part) > 0 THEN 'partially_aligned' WHEN len(good) > 0 THEN 'aligned' ELSE 'uncertain' END AS verdict,
+  CASE WHEN len(against) > 0 THEN against[1] WHEN len(part) > 0 THEN part[1] WHEN len(good) > 0 THEN good[-1] ELSE 'insufficient_discriminative_signal' END AS reason FROM v)"""
+VERDICT = f"WITH {_JUDGED_SQL} SELECT ord, strategies, verdict, reason, high_risk FROM j"
+REPORT = f"""WITH {_JUDGED_SQL}, g AS (SELECT verdict, reason, count(*)::BIGINT AS n, count(*) FILTER (high_risk)::BIGINT AS n_high_risk, min(ord) AS f FROM j GROUP BY 1, 2)
+SELECT verdict, reason, n, n_high_risk, row_number() OVER (PARTITION BY verdict ORDER BY n DESC, f)::INTEGER AS rank FROM g QUALIFY rank <= 10"""
+
+
+def label_validation(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    text = F.when(F.col("l_linenumber") == 1, F.lit(" ")).when(F.col("l_linenumber") == 2, F.lit("Propofol up")).otherwise(F.lit("phenylephrine RATE up"))
+    verdict = policy.check_label(text, F.array(F.lit("phenylephrine")), F.col("l_quantity"), F.col("l_quantity") + F.col("l_discount"), F.when(F.col("l_linenumber") % 2 == 0, F.col("l_tax")).otherwise(F.col("l_discount")))
+    return li.select("l_orderkey", "l_linenumber", verdict.alias("v")).select("l_orderkey", "l_linenumber", "v.verdict", "v.confidence", "v.reason")
+
+
+LABELS = """WITH c AS (SELECT *, abs((l_quantity + l_discount) - l_quantity - CASE WHEN l_linenumber % 2 = 0 THEN l_tax ELSE l_discount END)
+    > greatest(0.05, 0.02 * greatest(abs(CASE WHEN l_linenumber % 2 = 0 THEN l_tax ELSE l_discount END), 1.0)) AS off FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <= 2 OR off THEN 'invalid' ELSE 'valid' END AS verdict,
+  CASE WHEN l_linenumber = 1 THEN 0.95 WHEN l_linenumber = 2 THEN 0.9 WHEN off THEN 0.88 ELSE 0.8 END::DOUBLE AS confidence,
+  CASE WHEN l_linenumber = 1 THEN 'empty_actual_intervention' WHEN l_linenumber = 2 THEN 'keyword_mismatch_with_medication_key' WHEN off THEN 'numeric_delta_inconsistent_with_anchor' ELSE 'rule_consistent_with_anchor' END AS reason FROM c"""
+
+
+def risk_flags_level(spark, sf_dir):
+    s = _states(spark, sf_dir).select("ord", "map_now", "hr_now", "spo2_now", "bis_now", "map_drop_pct", "map_lt_65_held", "map_lt_55_held", "spo2_lt_90_held")
+    s = s.withColumn("hr_gt_100_held", F.col("map_lt_55_held") * 2).withColumn("hr_lt_50_held", F.col("map_lt_65_held") / 3).withColumn("spo2_lt_94_held", F.col("map_lt_65_held"))
+    s = s.withColumn("bis_gt_60_held", F.col("map_lt_65_held") + 30).withColumn("bis_lt_40_held", F.lit(None).cast("double"))
+    flags = s.withColumn("flags", policy.risk_flags())
+    return flags.select("ord", F.array_join("flags", ",").alias("flags"), policy.risk_level(F.col("flags")).alias("level"))
+
+
+FLAGS = f"""WITH {_JUDGED_SQL}, f AS (SELECT ord, list_filter([
+  CASE WHEN q >= 30 THEN 'map_severe_hypotension' WHEN q * 2 >= 60 THEN 'map_hypotension' WHEN m < 65 THEN 'map_early_warning' END,
+  CASE WHEN q * 2 >= 60 THEN 'tachycardia' WHEN q * 2 / 3 >= 60 THEN 'bradycardia' END, CASE WHEN q / 2 >= 30 THEN 'spo2_severe_low' WHEN q * 2 >= 60 THEN 'spo2_low' END,
+  CASE WHEN q * 2 + 30 >= 120 THEN 'bis_light' WHEN b > 60 OR b < 40 THEN 'bis_brief_deviation' WHEN b IS NULL THEN 'bis_missing' END,
+  CASE WHEN fall >= 20 THEN 'map_relative_drop' END], lambda x: x IS NOT NULL) AS flags FROM s)
+SELECT ord, array_to_string(flags, ',') AS flags, CASE WHEN len(list_filter(flags, lambda x: contains(x, 'severe'))) > 0 THEN 'high' WHEN len(flags) > 0 THEN 'moderate' ELSE 'low' END AS level FROM f"""
+
+
+def intervention_types(spark, sf_dir):
+    s = _states(spark, sf_dir)
+    source = F.when(F.col("ord") % 13 == 0, "arrdb").when(F.col("ord") % 17 == 0, "periodic")
+    return s.select("ord", policy.intervention_type(F.col("key"), source, F.col("map_lt_65_held"), F.col("delta")).alias("kind"))
+
+
+TYPES = f"""WITH {_JUDGED_SQL} SELECT ord, CASE WHEN ord % 13 = 0 THEN 'arrhythmia_event' WHEN ord % 17 = 0 THEN 'unlabeled_context_snapshot' WHEN key NOT LIKE '%\\_VOL' ESCAPE '\\' THEN 'rate_adjustment'
+  WHEN key = 'PPF20_VOL' AND q * 2 >= 50 AND delta >= 1 THEN 'bolus_like_event' ELSE 'continuous_infusion' END AS kind FROM s"""
+
+REGISTER = [
+    ("rule_engine_verdict", rule_engine_verdict, VERDICT),
+    ("alignment_report", alignment_report, REPORT),
+    ("label_validation", label_validation, LABELS),
+    ("risk_flags_level", risk_flags_level, FLAGS),
+    ("intervention_types", intervention_types, TYPES),
+]
