@@ -44,10 +44,14 @@ MANIFEST = "shard int, path string, first_id long, last_id long, n_docs long, n_
 class WordEncoder:
     """Ids of texts by a tokenizers file whose pre-tokenizer never reaches over ASCII white space.
 
-    Each distinct word goes through the library once. New words go there together, between special tokens whose id
-    shows where one word's ids end.
+    Each distinct word goes through the library once, in lower case and without the marks at its end, which are looked
+    up on their own: the library lowers all letters, and a letter or digit before a mark always ends a token. New words
+    go there together, between special tokens whose id shows where one word's ids end.
     """
 
+    #: Marks that may be cut off behind a letter or digit.
+    _MARKS = ".,!?;:"
+
     def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -70,7 +74,8 @@ class WordEncoder:
         words: list[bytes] = []
         counts = np.zeros(len(texts), dtype=np.int64)
         for k, text in enumerate(texts):
-            cut = text.encode().split()
+            raw = text.encode()
+            cut = (raw if b"<|" in raw else raw.lower()).split()  # special tokens are told by case
             counts[k] = len(cut)
             words += cut
         at = np.fromiter(map(self.known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
@@ -79,10 +84,7 @@ class WordEncoder:
             if len(self.known) > self.remembered:
                 self._forget()
                 missing = np.arange(len(words))
-            new = list(dict.fromkeys([words[k] for k in missing]))
-            first = len(self.known)
-            self.known.update(zip(new, range(first, first + len(new))))
-            self._learn(new, first)
+            self._learn(list(dict.fromkeys([words[k] for k in missing])))
             known = self.known
             at[missing] = np.fromiter((known[words[k]] for k in missing), dtype=np.int64, count=len(missing))
         length = self.length[at]
@@ -90,37 +92,64 @@ class WordEncoder:
         total = np.concatenate([[0], np.cumsum(length)])
         return flat, np.diff(total[np.concatenate([[0], np.cumsum(counts)])])
 
-    def _learn(self, new: list[bytes], first: int) -> None:
-        ids, length = [], np.zeros(len(new), dtype=np.int64)
-        text = [w.decode() for w in new]
-        own = [k for k, w in enumerate(text) if self.mark is None or self.mark in w or len(w) > 1000]
-        apart = set(own)
-        rest = [k for k in range(len(text)) if k not in apart]
-        got: dict[int, np.ndarray] = {}
-        for k in own:
-            got[k] = np.array(self.library.encode(text[k], add_special_tokens=False).ids, dtype=np.uint32)
-        for b in range(0, len(rest), 2000):
-            some = rest[b : b + 2000]
-            flat = np.array(self.library.encode(f" {self.mark} ".join([text[k] for k in some]), add_special_tokens=False).ids, dtype=np.uint32)
-            parts = np.split(flat, np.flatnonzero(flat == self.mark_id))
-            if len(parts) != len(some):
-                parts = [np.array(e.ids, dtype=np.uint32) for e in self.library.encode_batch([text[k] for k in some], add_special_tokens=False)]
-            else:
-                parts = parts[:1] + [p[1:] for p in parts[1:]]
-            got.update(zip(some, parts))
-        ids = [got[k] for k in range(len(new))]
-        length[:] = [len(x) for x in ids]
-        flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.uint32)
-        while first + len(new) > len(self.start):
+    def _library(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of words from the library one after the other, and the number of ids of each word."""
+        length = np.zeros(len(words), dtype=np.int64)
+        parts: list[np.ndarray] = []
+        ids_of = lambda encoded: [np.array(e.ids, dtype=np.uint32) for e in encoded]
+        runs = [words[b : b + 2000] for b in range(0, len(words), 2000)]
+        joined = ids_of(self.library.encode_batch_fast([f" {self.mark} ".join(r) for r in runs], add_special_tokens=False)) if self.mark is not None else [None] * len(runs)
+        for k, (run, flat) in enumerate(zip(runs, joined)):
+            ends = np.flatnonzero(flat == self.mark_id) if flat is not None else ()
+            if len(ends) == len(run) - 1 and flat is not None:
+                length[2000 * k : 2000 * k + len(run)] = np.diff(np.concatenate([[-1], ends, [len(flat)]])) - 1
+                parts.append(np.delete(flat, ends))
+            else:  # a word holds the special token itself
+                each = ids_of(self.library.encode_batch_fast(run, add_special_tokens=False))
+                length[2000 * k : 2000 * k + len(run)] = [len(x) for x in each]
+                parts += each
+        return (np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint32)), length
+
+    def _append(self, words: list[bytes], flat: np.ndarray, length: np.ndarray) -> None:
+        first = len(self.known)
+        self.known.update(zip(words, range(first, first + len(words))))
+        while first + len(words) > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.length = np.concatenate([self.length, np.zeros_like(self.length)])
         while self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.start[first : first + len(new)] = self.used + np.cumsum(length) - length
-        self.length[first : first + len(new)] = length
+        self.start[first : first + len(words)] = self.used + np.cumsum(length) - length
+        self.length[first : first + len(words)] = length
         self.flat[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
 
+    def _cut(self, word: str) -> int:
+        """Length of a word without the marks at its end, its full length if they must stay."""
+        stem = word.rstrip(self._MARKS)
+        return len(stem) if stem and (stem[-1] < "\x80" and stem[-1].isalnum() or stem.lower()[-1:].isalpha()) else len(word)
+
+    def _learn(self, new: list[bytes]) -> None:
+        known = self.known
+        plain, stems, tails, cut_words = [], [], [], []
+        for word in new:
+            if word[-1] not in b".,!?;:":
+                plain.append(word)
+                continue
+            text = word.decode()
+            n = self._cut(text)
+            if n == len(text):
+                plain.append(word)
+            else:
+                cut_words.append(word)
+                stems.append(text[:n].encode())
+                tails.append(text[n:].encode())
+        ask = [w for w in dict.fromkeys([*plain, *stems, *tails]) if w not in known]
+        self._append(ask, *self._library([w.decode() for w in ask]))
+        if cut_words:
+            both = np.array([(known[s], known[t]) for s, t in zip(stems, tails)], dtype=np.int64).ravel()
+            length = self.length[both]
+            self._append(cut_words, self.flat[spread(self.start[both], length)], length.reshape(-1, 2).sum(axis=1))
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
