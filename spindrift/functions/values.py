@@ -92,3 +92,8 @@ def one_line(text: Column, most: int) -> Column:
 def closed(condition: Column) -> Column:
     """Unknown counts as false."""
     return F.coalesce(condition, F.lit(False))
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -1 +1,139 @@
-REGISTER = []
+"""Queries on buckets, mixes, samples and comparisons."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import curate, evaluate
+from .base import SIGNALS_SQL, signals, table
+
+
+def _bucketed(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    n, p = F.col("l_linenumber"), F.col("l_partkey")
+    kind = F.when(n % 3 == 0, "bolus_like_event").when(n % 3 == 1, "rate_adjustment").otherwise("continuous_infusion")
+    key = F.when(p % 2 == 0, "PHE_RATE").otherwise("PPF20_VOL")
+    before = F.when(p % 10 == 0, 0.0).otherwise(F.col("l_discount"))
+    verdict = F.when(p % 17 == 0, "Invalid").otherwise("valid")
+    b = curate.bucket(kind, key, before, F.col("l_extendedprice") / 100, F.col("l_quantity") * 5, F.when(p % 5 != 0, F.col("l_tax") * 20), verdict, has_flags=F.col("l_returnflag") != "N", cfg=curate.BucketConfig(need_flags=True))
+    return li.select((F.col("l_orderkey") * 100 + n).alias("id"), b.alias("b")).select("id", "b.bucket", "b.reason")
+
+
+def bucket_abc(spark, sf_dir):
+    return _bucketed(spark, sf_dir)
+
+
+_BUCKET_SQL = """x AS (SELECT l_orderkey * 100 + l_linenumber AS id, l_linenumber % 3 AS kind, l_partkey % 2 = 0 AS rate, CASE WHEN l_partkey % 10 = 0 THEN 0.0 ELSE l_discount END AS before,
+  l_extendedprice / 100 AS after, l_quantity * 5 AS delta, CASE WHEN l_partkey % 5 <> 0 THEN l_tax * 20 END AS sm, l_partkey % 17 = 0 AS bad, l_returnflag <> 'N' AS flags FROM lineitem),
+a AS (SELECT *, CASE WHEN kind = 1 AND NOT rate AND sm >= 1 THEN 'large_volume_adjustment' WHEN kind = 1 AND rate AND abs(delta) >= 1 THEN 'large_rate_adjustment' WHEN kind = 0 THEN 'bolus_like_event' END AS act FROM x),
+r AS (SELECT id, CASE WHEN kind = 1 AND rate AND abs(before) <= 1e-6 THEN 'C:zero_start_rate_adjustment' WHEN rate AND abs(before) <= 1 AND abs(delta) >= 100 AND after >= 300 THEN 'C:setup_like_rate_jump'
+  WHEN NOT rate AND sm < 0.5 THEN 'C:tiny_vol_background_drift' WHEN bad THEN 'C:actual_validation_invalid' WHEN act IS NOT NULL AND NOT flags THEN 'B:downgraded_from_' || act || '_missing_risk_flags'
+  WHEN act IS NOT NULL THEN 'A:' || act ELSE 'B:maintenance_or_context' END AS v FROM a),
+bk AS (SELECT id, split_part(v, ':', 1) AS bucket, split_part(v, ':', 2) AS reason FROM r)"""
+BUCKETS = f"WITH {_BUCKET_SQL} SELECT id, bucket, reason FROM bk"
+
+
+def ab_mix(spark, sf_dir):
+    return curate.ab_mix(_bucketed(spark, sf_dir), ["id"], 0.8, most=2000).select("id", "bucket")
+
+
+MIX = f"""WITH {_BUCKET_SQL}, n AS (SELECT count(*) FILTER (bucket = 'A') AS na, count(*) FILTER (bucket = 'B') AS nb FROM bk),
+t AS (SELECT least(1600, na) + least(2000 - least(1600, na) - least(400, nb), na - least(1600, na)) AS ta, nb, na FROM n),
+k AS (SELECT id, bucket, row_number() OVER (PARTITION BY bucket ORDER BY md5('42:' || id)) AS o FROM bk)
+SELECT id, bucket FROM k, t WHERE (bucket = 'A' AND o <= ta) OR (bucket = 'B' AND o <= least(nb, 2000 - ta))"""
+
+
+def sample_review(spark, sf_dir):
+    return curate.review_sample(_bucketed(spark, sf_dir), ["id"], 0.05)
+
+
+SAMPLE = f"WITH {_BUCKET_SQL} SELECT id, bucket, reason FROM bk QUALIFY row_number() OVER (ORDER BY md5('42:' || id)) <= (SELECT floor(count(*) * 0.05) FROM bk)"
+
+
+def _records(spark, sf_dir):
+    return signals(spark, sf_dir).filter("value >= 60").select("caseid", F.col("track").alias("key"), "ord")
+
+
+def diverse_select(spark, sf_dir):
+    return curate.diverse(_records(spark, sf_dir), 400, "caseid", "key", "ord").select("caseid", "key", "ord", "place")
+
+
+_DIVERSE_SQL = f"""{SIGNALS_SQL}, rec AS (SELECT caseid, track AS key, ord FROM signals WHERE value >= 60),
+f AS (SELECT *, row_number() OVER (PARTITION BY caseid ORDER BY ord) AS c FROM rec),
+u AS (SELECT caseid, key, ord, 0 AS turn, '' AS k FROM f WHERE c = 1 UNION ALL
+  SELECT caseid, key, ord, row_number() OVER (PARTITION BY key ORDER BY caseid, ord), key FROM f WHERE c > 1),
+dv AS (SELECT caseid, key, ord, row_number() OVER (ORDER BY turn, k, caseid, ord)::INTEGER AS place FROM u QUALIFY place <= 400)"""
+DIVERSE = f"WITH {_DIVERSE_SQL} SELECT caseid, key, ord, place FROM dv"
+
+
+def quota_enforce(spark, sf_dir):
+    chosen = diverse_select(spark, sf_dir).select("caseid", "key", "ord")
+    return curate.with_quota(chosen, _records(spark, sf_dir), F.col("key") == "error", 150, "ord")
+
+
+QUOTA = f"""WITH {_DIVERSE_SQL}, m AS (SELECT greatest(0, 150 - count(*) FILTER (key = 'error')) AS missing FROM dv),
+nw AS (SELECT r.* FROM rec r, m WHERE key = 'error' AND ord NOT IN (SELECT ord FROM dv) QUALIFY row_number() OVER (ORDER BY ord) <= (SELECT missing FROM m)),
+gone AS (SELECT ord FROM dv WHERE key <> 'error' QUALIFY row_number() OVER (ORDER BY ord DESC) <= (SELECT count(*) FROM nw))
+SELECT caseid, key, ord FROM dv WHERE ord NOT IN (SELECT ord FROM gone) UNION ALL SELECT caseid, key, ord FROM nw"""
+
+
+def _arms(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    words = F.element_at(F.array(*[F.lit(w) for w in ("perfusion first, MAP < 65", "opioid and BIS", "avoid deepening", "phenylephrine", "nothing")]), (F.col("conv_id") % 5 + 1).cast("int"))
+    facts = F.element_at(F.array(*[F.lit(w) for w in ("hypotension and map", "remifentanil", "", "eeg and stimulation, bis", "perfusion")]), ((F.col("conv_id") + F.col("turn")) % 5 + 1).cast("int"))
+    return c.select("conv_id", "turn", "role", "text", F.concat_ws(" ", F.left("text", F.lit(20)), words).alias("said"), facts.alias("evidence"))
+
+
+def concept_support(spark, sf_dir):
+    out = evaluate.support(_arms(spark, sf_dir), "said", "evidence")
+    return out.select("conv_id", "turn", F.size("claimed").alias("n_claimed"), F.size("supported").alias("n_supported"), F.size("missing").alias("n_missing"), "hits", "verdict", F.round("ratio", 6).alias("ratio"), "score")
+
+
+def _any(column: str, words) -> str:
+    return "(" + " OR ".join(f"contains({column}, '{w}')" for w in words) + ")"
+
+
+_SUPPORT_SQL = f"""c AS (SELECT conv_id, turn, role, text, lower(left(text, 20) || ' ' || (['perfusion first, MAP < 65', 'opioid and BIS', 'avoid deepening', 'phenylephrine', 'nothing'])[conv_id % 5 + 1]) AS s,
+  (['hypotension and map', 'remifentanil', '', 'eeg and stimulation, bis', 'perfusion'])[(conv_id + turn) % 5 + 1] AS e FROM conversations),
+g AS (SELECT *, {' + '.join(f'{_any("s", a)}::INT' for a, _ in evaluate.CONCEPTS.values())} AS n_claimed, {' + '.join(f'({_any("s", a)} AND {_any("e", b)})::INT' for a, b in evaluate.CONCEPTS.values())} AS n_supported,
+  {' + '.join(f'({_any("s", w)} AND {_any("e", w)})::INT' for w in evaluate.ANCHORS.values())} AS hits FROM c),
+su AS (SELECT *, CASE WHEN e = '' THEN 'no_evidence' WHEN n_claimed = 0 THEN 'no_explicit_claim' WHEN n_supported = n_claimed AND hits >= 1 THEN 'supported_strict'
+  WHEN n_supported >= 0.5 * n_claimed THEN 'partially_supported' WHEN n_supported > 0 THEN 'weakly_supported' ELSE 'unsupported' END AS verdict,
+  CASE WHEN e <> '' AND n_claimed > 0 THEN n_supported / n_claimed ELSE 0.0 END AS ratio FROM g),
+sv AS (SELECT *, CASE verdict WHEN 'supported_strict' THEN 3 WHEN 'partially_supported' THEN 2 WHEN 'weakly_supported' THEN 1 WHEN 'unsupported' THEN 0 ELSE -1 END AS score FROM su)"""
+SUPPORT = f"WITH {_SUPPORT_SQL} SELECT conv_id, turn, n_claimed, n_supported, n_claimed - n_supported AS n_missing, hits, verdict, round(ratio, 6) AS ratio, score FROM sv"
+
+
+def _pairs(spark, sf_dir):
+    rows = evaluate.support(_arms(spark, sf_dir), "said", "evidence")
+    first = lambda role: rows.filter(F.col("role") == role).groupBy("conv_id").agg(F.min_by(F.struct("text", "score"), "turn").alias("r")).select("conv_id", "r.text", "r.score")
+    return evaluate.pairs(first("user"), first("assistant"), "conv_id", "text", "score")
+
+
+def pair_compare(spark, sf_dir):
+    return _pairs(spark, sf_dir).select("conv_id", "winner", "equal", F.length("text_a").alias("len_a"), F.length("text_b").alias("len_b"))
+
+
+PAIRS = f"""WITH {_SUPPORT_SQL}, f AS (SELECT conv_id, role, text, score FROM sv QUALIFY row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) = 1)
+SELECT a.conv_id, CASE WHEN a.score > b.score THEN 'a' WHEN b.score > a.score THEN 'b' ELSE 'tie' END AS winner, trim(a.text) = trim(b.text) AS equal, length(a.text)::INTEGER AS len_a, length(b.text)::INTEGER AS len_b
+FROM f a JOIN f b ON a.conv_id = b.conv_id AND a.role = 'user' AND b.role = 'assistant'"""
+
+
+def arm_summary(spark, sf_dir):
+    s = evaluate.summary(evaluate.support(_arms(spark, sf_dir), "said", "evidence"), "verdict", "score", "ratio")
+    return s.withColumn("mean_score", F.round("mean_score", 6)).withColumn("mean_ratio", F.round("mean_ratio", 6))
+
+
+SUMMARY = f"""WITH {_SUPPORT_SQL} SELECT count(*)::BIGINT AS n, {', '.join(f"count(*) FILTER (verdict = '{v}')::BIGINT AS n_{v}" for v in evaluate.SCORES)},
+  round(avg(score), 6) AS mean_score, round(avg(ratio) FILTER (ratio > 0), 6) AS mean_ratio FROM sv"""
+
+REGISTER = [
+    ("bucket_abc", bucket_abc, BUCKETS),
+    ("ab_mix", ab_mix, MIX),
+    ("sample_review", sample_review, SAMPLE),
+    ("diverse_select", diverse_select, DIVERSE),
+    ("quota_enforce", quota_enforce, QUOTA),
+    ("concept_support", concept_support, SUPPORT),
+    ("pair_compare", pair_compare, PAIRS),
+    ("arm_summary", arm_summary, SUMMARY),
+]

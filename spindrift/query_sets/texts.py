@@ -1 +1,103 @@
-REGISTER = []
+"""Queries on question-answer texts, JSON lines and control characters."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.values import one_line, printable, safe_number
+from ..operators import qa
+from .base import table
+
+
+def json_lines_parse(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    line = F.when(F.col("event_id") % 5 == 0, F.substring("props", 1, 4)).when(F.col("event_id") % 5 == 1, F.concat(F.lit("here: "), F.col("props"), F.lit(" ."))).otherwise(F.col("props"))
+    k = F.try_variant_get(qa.json_object(line), "$.k", "int")
+    return e.select("event_id", k.alias("k")).filter(F.col("k").isNotNull())
+
+
+JSON_LINES = "SELECT event_id, json_extract(props, '$.k')::INTEGER AS k FROM events WHERE event_id % 5 <> 0"
+
+
+def control_char_sanitize(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    dirty = F.concat(F.lit("\x01a\tb\x0b"), F.col("text"), F.lit("\x1f\n"))
+    return d.select("doc_id", F.md5(printable(dirty)).alias("md5"), F.length(printable(dirty)).alias("n"))
+
+
+CONTROL = "SELECT doc_id, md5('a' || chr(9) || 'b' || text || chr(10)) AS md5, (length(text) + 4)::INTEGER AS n FROM documents"
+
+
+def one_line_preview(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", one_line(F.col("text"), 60).alias("line"))
+
+
+ONE_LINE = r"""WITH s AS (SELECT doc_id, trim(regexp_replace(text, '[\s\x00]+', ' ', 'g')) AS t FROM documents)
+SELECT doc_id, CASE WHEN length(t) > 60 THEN left(t, 57) || '...' ELSE t END AS line FROM s"""
+
+
+def _qa_rows(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").filter("turn <= 2")
+    k = F.col("conv_id") % 4
+    dose = (F.col("conv_id") % 50 + 1).cast("string")
+    head = F.when(k == 0, F.lit("<think>draft\nQ: draft</think>\n")).when(k == 1, F.lit("```text\n")).otherwise(F.lit(""))
+    first = F.concat(F.lit("Q: What should be done now?\nA: 【临床推理】"), F.translate(F.left("text", F.lit(40)), "\n*-", "   "))
+    third = F.concat(F.lit("\n【决策干预（Miller）】诊断依据：MAP 60；具体干预：给予 propofol "), dose, F.lit(" mL/h，5 min 复评；原文摘录：\"keep MAP\" [M10 #1, Chapter 3, p. 12]"))
+    fourth = F.concat(F.lit("\n【决策干预（VitalDB）】：propofol "), (F.col("conv_id") % 30 + 1).cast("string"), F.lit(" mL/h（与记录一致）。"))
+    tail = F.when(k == 1, F.lit("\n```")).when(k == 2, F.lit("\n\nnotes")).otherwise(F.lit(""))
+    return c.select("conv_id", "turn", F.concat(head, first, third, F.when(F.col("turn") < 2, fourth).otherwise(F.lit("")), tail).alias("said"))
+
+
+def qa_extract(spark, sf_dir):
+    rows = _qa_rows(spark, sf_dir)
+    block = qa.final_qa(F.col("said"))
+    return rows.select("conv_id", "turn", F.size(F.split(block, "\n")).alias("n_lines"), F.md5(block).alias("md5"), qa.strict_v1(block).alias("strict_v1"), qa.strict_v2(F.col("said")).alias("strict_v2"))
+
+
+def section_extract(spark, sf_dir):
+    rows = _qa_rows(spark, sf_dir)
+    guide = qa.guideline_section(F.col("said"))
+    return rows.select("conv_id", "turn", qa.evidence(guide)["evidence_quote"].alias("quote"), qa.evidence(guide)["chapter_paragraph"].alias("place"), qa.action_clause(guide).alias("action"), qa.concrete(guide, "mL/h").alias("concrete"))
+
+
+SECTIONS = """SELECT conv_id, turn, 'keep MAP' AS quote, '[M10 #1, Chapter 3, p. 12]' AS place, '给予 propofol ' || (conv_id % 50 + 1) || ' mL/h，5 min 复评' AS action, true AS concrete FROM conversations WHERE turn <= 2"""
+
+
+def unit_values(spark, sf_dir):
+    rows = _qa_rows(spark, sf_dir).filter("turn < 2")
+    guide, logged = qa.action_clause(qa.guideline_section(F.col("said"))), qa.logged_section(F.col("said"))
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.element_at(qa.values_with_unit(guide, "mL/h"), 1).alias("guided"),
+        F.element_at(qa.values_with_unit(logged, "mL/h"), 1).alias("logged"),
+        qa.consistent(guide, logged, "mL/h").alias("consistent"),
+        qa.close_to(qa.values_with_unit(logged, "mL/h"), safe_number((F.col("conv_id") % 20 + 1).cast("string")), "mL/h").alias("close"),
+    )
+
+
+UNITS = """WITH r AS (SELECT conv_id, turn, (conv_id % 50 + 1)::DOUBLE AS guided, (conv_id % 30 + 1)::DOUBLE AS logged, (conv_id % 20 + 1)::DOUBLE AS target FROM conversations WHERE turn < 2)
+SELECT conv_id, turn, guided, logged, greatest(guided, logged) / least(guided, logged) <= 3.0 AS consistent,
+  greatest(logged, target) / least(logged, target) <= 1.35 OR abs(logged - target) <= greatest(3.0, target * 0.2) AS close FROM r"""
+
+
+def numeric_closeness(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    text = F.concat(F.lit("set to "), F.col("l_quantity").cast("int"), F.lit(" mL/h, then "), F.col("l_linenumber"), F.lit(" ml / h and "), F.col("l_linenumber"), F.lit(" mL"))
+    values = qa.values_with_unit(text, "mL/h")
+    return li.select("l_orderkey", "l_linenumber", F.size(values).alias("n"), qa.close_to(values, F.lit(20.0), "mL/h").alias("close"))
+
+
+CLOSENESS = """WITH v AS (SELECT l_orderkey, l_linenumber, [floor(l_quantity)::INT::DOUBLE, l_linenumber::DOUBLE] AS v FROM lineitem)
+SELECT l_orderkey, l_linenumber, 2 AS n, list_min([greatest(x, 20) / greatest(least(x, 20), 1e-9) for x in v]) <= 1.35 OR list_min([abs(x - 20) for x in v]) <= 4.0 AS close FROM v"""
+
+REGISTER = [
+    ("json_lines_parse", json_lines_parse, JSON_LINES),
+    ("control_char_sanitize", control_char_sanitize, CONTROL),
+    ("one_line_preview", one_line_preview, ONE_LINE),
+    ("qa_extract", qa_extract, None),
+    ("section_extract", section_extract, SECTIONS),
+    ("unit_values", unit_values, UNITS),
+    ("numeric_closeness", numeric_closeness, CLOSENESS),
+]
