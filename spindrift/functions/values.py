@@ -95,5 +95,8 @@ def closed(condition: Column) -> Column:
 
 
 def let(value: Column, body) -> Column:
-    """``body(value)`` with the value worked out once, however often the body uses it."""
+    """``body(value)`` with the value worked out once, however often the body uses it.
+
+    For two values bind a struct: Catalyst takes equal expressions over the variables of nested lambdas for the same.
+    """
     return F.get(F.transform(F.array(value), body), F.lit(0))

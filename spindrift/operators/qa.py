@@ -214,7 +214,7 @@ def _close(values: Column, target: Column, unit: str) -> Column:
 
 def consistent(a: Column, b: Column, unit: str) -> Column:
     """Whether two texts give values with the unit of which some pair is within three times, or say why not."""
-    return let(a, lambda x: let(b, lambda y: _consistent(x, y, unit)))
+    return let(F.struct(a.alias("a"), b.alias("b")), lambda s: _consistent(s["a"], s["b"], unit))
 
 
 def _consistent(a: Column, b: Column, unit: str) -> Column:
@@ -226,7 +226,8 @@ def _consistent(a: Column, b: Column, unit: str) -> Column:
 
 def concrete(section: Column, unit: str | None) -> Column:
     """Whether a guideline section says what to give, how much, and when to look again."""
-    return let(section, lambda s: let(action_clause(s), lambda clause: _concrete(s, clause, unit)))
+    both = let(section, lambda s: F.struct(s.alias("section"), _action(s).alias("clause")))
+    return let(both, lambda s: _concrete(s["section"], s["clause"], unit))
 
 
 def _concrete(section: Column, clause: Column, unit: str | None) -> Column:
