@@ -259,3 +259,64 @@ def check_label(text: Column, keywords: Column, before: Column, after: Column, d
         .when(closed(off), out("invalid", 0.88, "numeric_delta_inconsistent_with_anchor"))
         .otherwise(out("valid", 0.8, "rule_consistent_with_anchor"))
     )
+
+
+# Keys of inhaled agents, whose unit is vol%.
+INHALED = ("SEVO_ET_RATE", "SEVO_FI_RATE", "DES_ET_RATE", "DES_FI_RATE", "ISO_ET_RATE", "ISO_FI_RATE")
+VERDICT_SCORES = {"aligned": 3, "partially_aligned": 2, "uncertain": 1, "misaligned": 0, "potentially_inaccurate": 0, "unavailable": -1}
+
+
+def expected_unit(key: Column, source: Column, kind: Column, rate: Column) -> Column:
+    """The unit that a text on the action should use; NULL for events that are no medication."""
+    no_drug = closed(key.isin("ARR_EVENT", "UNLABELED_EVENT")) | closed(F.lower(F.trim(source)).isin("arrdb", "periodic"))
+    steady = closed(rate >= 0) & closed(kind.isin("continuous_infusion", "rate_adjustment"))
+    volume = closed(key.endswith("_VOL"))
+    return (
+        F.when(no_drug, F.lit(None).cast("string"))
+        .when(closed(key.isin(*INHALED)), "vol%")
+        .when(closed(key == "MAC_RATE"), "MAC")
+        .when(closed(kind == "bolus_like_event"), "mL")
+        .when(volume & steady, "mL/h")
+        .when(volume, "mL")
+        .when(closed(key.endswith("_RATE")), "mL/h")
+    )
+
+
+def expected_value(unit: Column, smoothed_rate: Column, rate: Column, smoothed_delta: Column, delta: Column, after: Column) -> Column:
+    """The number that goes with the unit, from the event's own figures."""
+    positive = lambda v: F.when(v > 0, v)
+    return F.when(unit == "mL/h", F.coalesce(positive(smoothed_rate), positive(rate))).when(unit == "mL", F.abs(F.coalesce(smoothed_delta, delta))).when(unit.isin("vol%", "MAC"), after)
+
+
+def describe(kind: Column, name: Column, key: Column, label: Column, before: Column, after: Column, delta: Column, smoothed_rate: Column, smoothed_delta: Column, bolus_rate: float = 50.0) -> Column:
+    """A sentence on what was done. Numbers are rounded half up."""
+    number = lambda v, d: F.format_string(f"%.{d}f", v)
+    signed = lambda v: F.format_string("%+.3f", v)
+    unit = F.when(key.endswith("_VOL"), " mL").when(key.isin(*INHALED), " vol%").otherwise("")
+    change = F.concat(F.lit("变化 "), signed(delta), unit)
+    what = F.when(key.endswith("_VOL"), "累计量").when(key.isin(*INHALED), "浓度").when(key == "MAC_RATE", "").otherwise("速率")
+    both = F.concat(name, F.lit("："), F.when(key.endswith("_VOL"), "累计量 ").otherwise(""), number(before, 3), F.lit(" -> "), number(after, 3), unit, F.lit("（"), change, F.lit("）"))
+    short = F.concat(name, F.lit("："), what, change)
+    propofol = F.when(smoothed_rate > bolus_rate, F.concat(F.lit("单次追加推注丙泊酚约 "), number(smoothed_delta, 1), F.lit(" mL"))).otherwise(F.concat(F.lit("丙泊酚静脉维持泵注平滑速率约 "), number(smoothed_rate, 2), F.lit(" mL/h")))
+    return (
+        F.when(kind == "arrhythmia_event", F.concat(F.lit("心律事件标注："), F.coalesce(label, F.lit("arrhythmia_event"))))
+        .when(kind == "unlabeled_context_snapshot", "无标记时间采样锚点（用于上下文推理训练）")
+        .when(closed(key == "PPF20_VOL") & smoothed_rate.isNotNull() & smoothed_delta.isNotNull(), propofol)
+        .when(before.isNull() | after.isNull(), short)
+        .otherwise(both)
+    )
+
+
+def judge_text(states: DataFrame, text: str) -> DataFrame:
+    """``judge`` on what a generated text says: class, drug and direction come from its words alone."""
+    none = F.lit(None).cast("string")
+    said = F.coalesce(F.col(text), F.lit(""))
+    df = states.withColumn("delta", F.lit(None).cast("double")).withColumn("action_class", action_class(none, said)).withColumn("action_drug", action_drug(none, said)).withColumn("escalation", escalates(F.col("delta"), said))
+    out, empty = judge(df), F.trim(said) == ""
+    out = out.withColumn("verdict", F.when(empty, "unavailable").otherwise(F.col("verdict"))).withColumn("reason", F.when(empty, "empty_final_output").otherwise(F.col("reason")))
+    return out.withColumn("high_risk", F.col("high_risk") & ~empty)
+
+
+def verdict_score(verdict: Column) -> Column:
+    table = F.create_map(*[F.lit(x) for pair in VERDICT_SCORES.items() for x in pair])
+    return F.coalesce(F.try_element_at(table, F.lower(F.trim(verdict))), F.lit(0))

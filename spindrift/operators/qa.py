@@ -266,3 +266,56 @@ def failure(api_error: Column, has_text: Column, has_labels: Column, is_strict:
 def inject_locator(line: Column, locator: Column, present: str = r"(?i)\[[^\]]*(?:p\.|para|chapter)[^\]]*\]") -> Column:
     """A locator at the end of a line that has none."""
     return F.when(closed(line.rlike(present)) | locator.isNull(), line).otherwise(F.concat(F.regexp_replace(line, r"\s+$", ""), F.lit(" "), locator))
+
+
+# Words of a text that talks about its instructions, and what stands in for missing sections.
+CONFLICT_WORDS = ("return strict json only", "do not output any text outside", "output exactly one qa pair", "this means i need to", "let me check instructions", "指令冲突", "让我仔细检查指令", "这意味着我需要")
+DEFAULT_QUESTION, DEFAULT_REASON = "Q: 请基于术中快照给出最合理的麻醉干预？", "请结合血流动力学与麻醉深度综合判断。"
+DEFAULT_GUIDELINE, DEFAULT_LOGGED = "证据定位不足，建议基于Miller相关章节保守处理。", "建议与记录动作同类药物小步调整并复评。"
+
+
+def without_index(text: Column) -> Column:
+    """Book locators without the number of the hit."""
+    out = F.regexp_replace(text, r"(?i)\[\s*M10#\d+\s*\]", "[M10]")
+    return F.regexp_replace(out, r"(?i)(\[\s*)?\bM10#\d+\s*\|\s*", "$1M10 | ")
+
+
+def _or(value: Column, default: str) -> Column:
+    return let(F.trim(F.coalesce(value, F.lit(""))), lambda v: F.when(v != "", v).otherwise(default))
+
+
+def rendered(question_: Column, reason: Column, guideline: Column, logged: Column, labels: Labels = LABELS) -> Column:
+    """The four lines of an answer; missing parts get a default."""
+    q = let(F.trim(F.coalesce(question_, F.lit(""))), lambda v: F.when(v == "", DEFAULT_QUESTION).otherwise(F.concat(F.lit("Q: "), F.regexp_replace(v, r"(?i)^Q\s*[:：]\s*", ""))))
+    return F.concat(q, F.lit(f"\nA: {labels.reason[0]}："), _or(reason, DEFAULT_REASON), F.lit(f"\n{labels.guideline}："), _or(guideline, DEFAULT_GUIDELINE), F.lit(f"\n{labels.logged}："), _or(logged, DEFAULT_LOGGED))
+
+
+def four_lines(text: Column, labels: Labels = LABELS) -> Column:
+    """An answer with its four labels split into exactly four lines; one that lacks a label stays as it is."""
+    parts = rf"(?s)Q\s*[:：]\s*(.*?)\s*A\s*[:：]\s*\Q{labels.reason[0]}\E\s*[:：]\s*(.*?)\s*\Q{labels.guideline}\E\s*[:：]\s*(.*?)\s*\Q{labels.logged}\E\s*[:：]\s*(.*)$"
+
+    def split(out: Column) -> Column:
+        p = [strip(F.regexp_extract(out, parts, k)) for k in (1, 2, 3, 4)]
+        lines = F.concat(F.lit("Q: "), p[0], F.lit(f"\nA: {labels.reason[0]}："), p[1], F.lit(f"\n{labels.guideline}："), p[2], F.lit(f"\n{labels.logged}："), p[3])
+        return F.when(out.rlike(parts), lines).otherwise(out)
+
+    return F.when(strip(F.coalesce(text, F.lit(""))) != "", without_meta(let(final_qa(text, labels), split)))
+
+
+def with_locator(text: Column, locator: Column, labels: Labels = LABELS) -> Column:
+    """A locator at the end of the guideline line of an answer that has none."""
+    def add(lines: Column) -> Column:
+        third = F.coalesce(F.try_element_at(lines, F.lit(3)), F.lit(""))
+        return F.array_join(F.concat(F.slice(lines, 1, 2), F.array(inject_locator(third, locator)), F.slice(lines, 4, 1_000_000)), "\n")
+
+    lines = F.split(final_qa(text, labels), "\n")
+    return let(lines, lambda x: F.when(F.size(x) < 4, F.array_join(x, "\n")).otherwise(add(x)))
+
+
+def poor_payload(payload: Column) -> Column:
+    """Whether a JSON answer (variant) lacks the expected keys, talks about its instructions or says next to nothing."""
+    keys = ("question", "reasoning", "miller_decision", "vitaldb_decision", "final_output")
+    values = [F.try_variant_get(payload, f"$.{k}", "string") for k in keys]
+    said = F.lower(F.concat_ws(" ", *values))
+    thin = F.length(F.trim(F.coalesce(values[2], F.lit("")))) < 2
+    return F.coalesce(payload.isNull() | (F.size(F.array_compact(F.array(*values))) == 0) | contains_any(said, list(CONFLICT_WORDS)) | thin, F.lit(True))

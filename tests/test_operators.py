@@ -339,3 +339,42 @@ def test_stream_changes(spark, tmp_path):
     q.stop()
     got = spark.sql("select caseid, time_sec, delta from changed").collect()
     assert sorted(map(tuple, got)) == [(1, 1.0, 4.0), (1, 2.0, 4.0), (2, 3.0, -89.0)]
+
+
+def test_expected_units_and_descriptions(spark):
+    s = lambda v: F.lit(v).cast("string")
+    n = lambda v: F.lit(v).cast("double")
+    unit = lambda key, kind=None, rate=None, source=None: one(spark, policy.expected_unit(s(key), s(source), s(kind), n(rate)))
+    assert [unit("ARR_EVENT"), unit("PHE_RATE", source="periodic"), unit("SEVO_ET_RATE"), unit("MAC_RATE"), unit("PPF20_VOL", "bolus_like_event", 9), unit("EPH_VOL", "continuous_infusion", 0), unit("EPH_VOL", "continuous_infusion"), unit("NOR_RATE"), unit("X")] == [None, None, "vol%", "MAC", "mL", "mL/h", "mL", "mL/h", None]
+    value = lambda u, *v: one(spark, policy.expected_value(s(u), *map(n, v)))
+    assert [value("mL/h", 0, 7, 1, 1, 1), value("mL", 1, 1, None, -2, 1), value("MAC", 1, 1, 1, 1, 0.8), value(None, 1, 1, 1, 1, 1)] == [7.0, 2.0, 0.8, None]
+    say = lambda kind, key, *v: one(spark, policy.describe(s(kind), s("药"), s(key), s("AF"), *map(n, v)))
+    assert say("rate_adjustment", "NOR_RATE", 1, 2.5, 1.5, None, None) == "药：1.000 -> 2.500（变化 +1.500）"
+    assert say("rate_adjustment", "SEVO_ET_RATE", None, 2, 1, None, None) == "药：浓度变化 +1.000 vol%"
+    assert say("bolus_like_event", "PPF20_VOL", 1, 2, 1, 60, 2) == "单次追加推注丙泊酚约 2.0 mL" and say("arrhythmia_event", "ARR_EVENT", 1, 2, 1, None, None) == "心律事件标注：AF"
+    assert [one(spark, policy.verdict_score(s(v))) for v in (" Aligned", "unavailable", "x")] == [3, -1, 0]
+
+
+def test_answers_are_normalised(spark):
+    t = lambda c: one(spark, c)
+    flat = "Q: a A: 【临床推理】：b 【决策干预（Miller）】：c 【决策干预（VitalDB）】：d"
+    four = "Q: a\nA: 【临床推理】：b\n【决策干预（Miller）】：c\n【决策干预（VitalDB）】：d"
+    assert t(qa.four_lines(F.lit(flat))) == four and t(qa.four_lines(F.lit(" "))) is None
+    assert t(qa.with_locator(F.lit(four), F.lit("[M10 | p.4]"))).split("\n")[2] == "【决策干预（Miller）】：c [M10 | p.4]"
+    assert t(qa.without_index(F.lit("[M10#3 | x] [ M10#4 ]"))) == "[M10 | x] [M10]"
+    assert t(qa.rendered(F.lit("q：x"), F.lit(None).cast("string"), F.lit("m"), F.lit(" "))).startswith("Q: x\nA: 【临床推理】：请结合")
+    poor = lambda s: t(qa.poor_payload(F.try_parse_json(F.lit(s))))
+    assert [poor('{"miller_decision": "give"}'), poor('{"miller_decision": "g"}'), poor('{"x": 1}'), poor("{"), poor('{"miller_decision": "指令冲突!"}')] == [False, True, True, True, True]
+
+
+def test_outlines_and_prefixes(spark):
+    df = spark.createDataFrame([("b", "1 Heart", 1, 9), ("b", "Chapter 1: Heart", 0, 12), ("b", "notes", 0, 1), ("b", "2 Lung", 0, 30)], "source string, title string, depth int, page long")
+    assert sorted((r.page, r.chapter) for r in retrieval.outline_starts(df).collect()) == [(12, "1 Heart"), (30, "2 Lung")]
+    prefix = one(spark, retrieval.structure_prefix(F.lit("B"), F.lit("1 Heart"), F.lit(" ")))
+    assert prefix == "[书籍: B, 章节: 1 Heart]" and one(spark, retrieval.chapter_of_prefix(F.lit(prefix + " text"))) == "1 Heart"
+
+
+def test_judging_generated_text(spark):
+    df = spark.createDataFrame([(1, 60.0, 80.0, 98.0, 50.0, None, 0.0, 0.0, 0.0, 5.0, "x", "y", True, "increase propofol"), (2, 60.0, 80.0, 98.0, 50.0, None, 0.0, 0.0, 0.0, 5.0, "x", "y", True, " ")], STATE + ", said string")
+    got = {r.ord: (r.verdict, r.high_risk) for r in policy.judge_text(df, "said").collect()}
+    assert got == {1: ("misaligned", True), 2: ("unavailable", False)}
