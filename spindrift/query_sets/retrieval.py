@@ -21,6 +21,13 @@ def chunk_pack(spark, sf_dir):
     return d.select("chunk_id", "n", F.length("chunk").alias("n_chars"), F.md5("chunk").alias("md5"))
 
 
+CHUNKS = """WITH b AS (SELECT doc_id AS chunk_id, list_filter([trim(x, chr(32) || chr(9) || chr(10) || chr(13)) for x in string_split(text, chr(10))], lambda x: x <> '') AS blocks FROM documents),
+f AS (SELECT chunk_id, list_reduce([{'out': []::VARCHAR[], 'cur': x} for x in blocks], lambda a, x: CASE WHEN length(a.cur) + length(x.cur) + 1 <= 600 THEN {'out': a.out, 'cur': a.cur || ' ' || x.cur}
+  ELSE {'out': list_append(a.out, a.cur), 'cur': trim(right(a.cur, 80) || ' ' || x.cur)} END) AS s FROM b WHERE len(blocks) > 0),
+c AS (SELECT chunk_id, list_append(s.out, s.cur) AS c FROM f), u AS (SELECT chunk_id, unnest(c) AS chunk, generate_subscripts(c, 1) - 1 AS n FROM c)
+SELECT chunk_id, n::INTEGER AS n, length(chunk)::INTEGER AS n_chars, md5(chunk) AS md5 FROM u"""
+
+
 def _pages(spark, sf_dir):
     heading = F.when(F.col("chunk_id") % 7 == 0, F.concat(F.lit("Chapter "), (F.col("chunk_id") % 120 + 1).cast("string"), F.lit(": Part "), F.col("lang"))).otherwise(F.col("source"))
     return _corpus(spark, sf_dir).select("chunk_id", "source", heading.alias("line"), F.floor(F.col("chunk_id") / 40).alias("page"))
@@ -163,7 +170,7 @@ FROM fl WHERE ok OR n_ok = 0 QUALIFY rank <= 3"""
 
 
 REGISTER = [
-    ("chunk_pack", chunk_pack, None),
+    ("chunk_pack", chunk_pack, CHUNKS),
     ("heading_carry_forward", heading_carry_forward, HEADINGS),
     ("page_chapter_mode_fill", page_chapter_mode_fill, MODE_FILL),
     ("chapter_as_of", chapter_as_of, AS_OF),

@@ -55,6 +55,12 @@ def qa_extract(spark, sf_dir):
     return rows.select("conv_id", "turn", F.size(F.split(block, "\n")).alias("n_lines"), F.md5(block).alias("md5"), qa.strict_v1(block).alias("strict_v1"), qa.strict_v2(F.col("said")).alias("strict_v2"))
 
 
+QA = """WITH b AS (SELECT conv_id, turn, 'Q: What should be done now?' || chr(10) || 'A: 【临床推理】' || translate(left(text, 40), chr(10) || '*-', '   ') || chr(10)
+  || '【决策干预（Miller）】诊断依据：MAP 60；具体干预：给予 propofol ' || (conv_id % 50 + 1) || ' mL/h，5 min 复评；原文摘录："keep MAP" [M10 #1, Chapter 3, p. 12]'
+  || CASE WHEN turn < 2 THEN chr(10) || '【决策干预（VitalDB）】：propofol ' || (conv_id % 30 + 1) || ' mL/h' ELSE '' END AS block FROM conversations WHERE turn <= 2)
+SELECT conv_id, turn, len(string_split(block, chr(10)))::INTEGER AS n_lines, md5(block) AS md5, false AS strict_v1, turn < 2 AS strict_v2 FROM b"""
+
+
 def section_extract(spark, sf_dir):
     rows = _qa_rows(spark, sf_dir)
     guide = qa.guideline_section(F.col("said"))
@@ -96,7 +102,7 @@ REGISTER = [
     ("json_lines_parse", json_lines_parse, JSON_LINES),
     ("control_char_sanitize", control_char_sanitize, CONTROL),
     ("one_line_preview", one_line_preview, ONE_LINE),
-    ("qa_extract", qa_extract, None),
+    ("qa_extract", qa_extract, QA),
     ("section_extract", section_extract, SECTIONS),
     ("unit_values", unit_values, UNITS),
     ("numeric_closeness", numeric_closeness, CLOSENESS),
