@@ -16,7 +16,6 @@ extra columns are kept unless named ``lang_pred`` or ``score``.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -32,46 +31,66 @@ WORDS = 20_000
 GRAMS = 20_000
 MAX_GRAM = 4
 SURE_WORDS = 12
-REMEMBERED = 300_000
+REMEMBERED = 200_000
+#: Tokens, and rows, that are looked at together.
+SLICE, ROWS = 200_000, 512
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 class LanguageModel:
-    """languages, word -> row and n-gram -> row of log frequencies in each language."""
+    """languages, word -> row and n-gram -> row of a table of log frequencies in each language."""
 
     def __init__(self, words: list[tuple[str, str, int]], grams: list[tuple[str, str, int]]):
         self.languages = sorted({lang for lang, _, _ in words})
-        self.words, self.grams = self._table(words), self._table(grams)
+        self.words, first = self._table(words)
+        self.grams, second = self._table(grams, len(first))
+        self.table = np.concatenate([first, second])
 
-    def _table(self, counts: list[tuple[str, str, int]]) -> dict[str, np.ndarray]:
+    def _table(self, counts: list[tuple[str, str, int]], start: int = 0) -> tuple[dict[str, int], np.ndarray]:
         at = {lang: k for k, lang in enumerate(self.languages)}
-        seen: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(at)))
+        rows: dict[str, int] = {}
+        for _, key, _ in counts:
+            rows.setdefault(key, len(rows))
+        seen = np.zeros((len(rows), len(at)))
         for lang, key, n in counts:
-            seen[key][at[lang]] += n
-        total = sum(seen.values()) if seen else np.zeros(len(at))
+            seen[rows[key], at[lang]] += n
         floor = 0.5
-        return {k: np.log((v + floor) / (total + floor * (len(seen) + 1))).astype(np.float32) for k, v in seen.items()}
+        logs = np.log((seen + floor) / (seen.sum(axis=0) + floor * (len(rows) + 1))).astype(np.float32)
+        return {k: start + v for k, v in rows.items()}, logs
 
-    def score_word(self, word: str) -> np.ndarray:
-        """Log scores of one word of letters."""
+    def rows_of(self, word: str) -> list[int]:
+        """Rows of the table whose mean is a word's score: its own, or its longest known n-grams'."""
         known = self.words.get(word)
         if known is not None:
-            return known
-        marked = f"_{word}_"
+            return [known]
+        marked, grams = f"_{word}_", self.grams
         for n in range(min(MAX_GRAM, len(marked)), 0, -1):
-            found = [g for g in (self.grams.get(marked[i : i + n]) for i in range(len(marked) - n + 1)) if g is not None]
+            found = [grams[g] for g in [marked[i : i + n] for i in range(len(marked) - n + 1)] if g in grams]
             if found:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.languages), dtype=np.float32)
-
-    def score_token(self, token: str) -> tuple[np.ndarray, int]:
-        """Sum over the words in a run without white space, and their number."""
-        words = _LETTERS.findall(token.lower())
-        out = np.zeros(len(self.languages), dtype=np.float32)
-        for w in words:
-            out = out + self.score_word(w)
-        return out, len(words)
+                return found
+        return []
+
+    def score_tokens(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """For runs without white space the sum over their words' scores, and the number of their words."""
+        flat: list[int] = []
+        sizes: list[int] = []  # rows of each word
+        owner: list[int] = []
+        n_words = np.zeros(len(tokens), dtype=np.int32)
+        for k, token in enumerate(tokens):
+            for word in _LETTERS.findall(token.lower()):
+                n_words[k] += 1
+                rows = self.rows_of(word)
+                if rows:
+                    flat += rows
+                    sizes.append(len(rows))
+                    owner.append(k)
+        scores = np.zeros((len(tokens), len(self.languages)), dtype=np.float32)
+        if flat:
+            size = np.array(sizes)
+            means = np.add.reduceat(self.table[flat], np.cumsum(size) - size, axis=0) / size[:, None]
+            np.add.at(scores, owner, means)
+        return scores, n_words
 
 
 def fit_languages(docs: DataFrame, fit_rows: int = FIT_ROWS) -> LanguageModel:
@@ -104,39 +123,58 @@ class _Reader:
         self.scores = np.zeros((1024, len(self.model.languages)), dtype=np.float32)
         self.words = np.zeros(1024, dtype=np.int32)
 
-    def read(self, text: str) -> tuple[np.ndarray, int]:
-        """Sum of the scores of a text's words, and their number."""
-        total, n = np.zeros(len(self.model.languages)), 0
-        tokens = text.split()
-        for k in range(0, len(tokens), 200_000):
-            some = tokens[k : k + 200_000]
-            at = np.fromiter(map(self.known.get, some, repeat(-1)), dtype=np.int64, count=len(some))
-            if (at < 0).any():
-                if len(self.known) > REMEMBERED:
-                    self._forget()
-                    at[:] = -1
-                for j in np.flatnonzero(at < 0).tolist():
-                    at[j] = self._learn(some[j])
-            total += self.scores[at].sum(axis=0, dtype=np.float64)
-            n += int(self.words[at].sum())
-        return total, n
-
-    def _learn(self, token: str) -> int:
-        at = self.known.get(token)
-        if at is None:
-            at = self.known[token] = len(self.known)
-            if at >= len(self.words):
+    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Per text the sum of the scores of its words, and their number."""
+        totals, counts = np.zeros((len(texts), len(self.model.languages))), np.zeros(len(texts), dtype=np.int64)
+        tokens: list[str] = []
+        ends: list[tuple[int, int]] = []  # text and the end of its tokens in this round
+
+        def settle() -> None:
+            at = self._rows(tokens)
+            begin = 0
+            for k, end in ends:
+                totals[k] += self.scores[at[begin:end]].sum(axis=0, dtype=np.float64)
+                counts[k] += int(self.words[at[begin:end]].sum())
+                begin = end
+            tokens.clear()
+            ends.clear()
+
+        for k, text in enumerate(texts):
+            cut = text.split()
+            for b in range(0, len(cut), SLICE):
+                tokens += cut[b : b + SLICE]
+                ends.append((k, len(tokens)))
+                if len(tokens) >= SLICE:
+                    settle()
+        settle()
+        return totals, counts
+
+    def _rows(self, tokens: list[str]) -> np.ndarray:
+        at = np.fromiter(map(self.known.get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            if len(self.known) > REMEMBERED:
+                self._forget()
+                missing = np.arange(len(tokens))
+            known, first = self.known, len(self.known)
+            new = list(dict.fromkeys([tokens[k] for k in missing]))
+            known.update(zip(new, range(first, first + len(new))))
+            scores, words = self.model.score_tokens(new)
+            while first + len(new) > len(self.words):
                 self.scores, self.words = np.concatenate([self.scores, np.zeros_like(self.scores)]), np.concatenate([self.words, np.zeros_like(self.words)])
-            self.scores[at], self.words[at] = self.model.score_token(token)
+            self.scores[first : first + len(new)], self.words[first : first + len(new)] = scores, words
+            at[missing] = np.fromiter((known[tokens[k]] for k in missing), dtype=np.int64, count=len(missing))
         return at
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        total, n = self.read(text or "")
-        if not n or not self.model.languages:
-            return UNKNOWN, 0.0
-        sharp = total / n * min(n, SURE_WORDS)
-        best = int(np.argmax(sharp))
-        return self.model.languages[best], float(1.0 / np.exp(sharp - sharp[best]).sum())
+    def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
+        totals, counts = self.read(texts)
+        sharp = totals / np.maximum(counts, 1)[:, None] * np.minimum(counts, SURE_WORDS)[:, None]
+        known = (counts > 0) & (len(self.model.languages) > 0)
+        if not known.any():
+            return [UNKNOWN] * len(texts), [0.0] * len(texts)
+        best = sharp.argmax(axis=1)
+        score = 1.0 / np.exp(sharp - sharp.max(axis=1, keepdims=True)).sum(axis=1)
+        return [self.model.languages[b] if k else UNKNOWN for b, k in zip(best, known)], np.where(known, score, 0.0).tolist()
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -148,9 +186,10 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(shared.value)
-        for batch in batches:
-            found = [reader.predict(t.as_py()) for t in batch.column("text")]
-            arrays = [batch.column(n) for n in names] + [pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64())]
+        slices = (batch.slice(k, ROWS) for batch in batches for k in range(0, batch.num_rows, ROWS))
+        for batch in slices:
+            found, scores = reader.predict([t or "" for t in batch.column("text").to_pylist()])
+            arrays = [batch.column(n) for n in names] + [pa.array(found, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, [*names, "lang_pred", "score"])
 
     return docs.select(*[f"`{n}`" for n in names]).mapInArrow(run, schema)

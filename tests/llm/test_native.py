@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -163,10 +164,11 @@ def test_language_id(spark):
 
 def test_unseen_words_fall_back_to_shorter_ngrams():
     m = language_id.LanguageModel([("en", "the", 9), ("de", "der", 9)], [("en", "_th", 5), ("de", "_de", 5), ("en", "h", 3), ("de", "r", 3)])
-    assert (m.score_word("the") == m.words["the"]).all()
-    assert (m.score_word("this") == m.grams["_th"]).all()
-    assert (m.score_word("xxr") == m.grams["r"]).all()
-    assert not m.score_word("zzz").any()
+    assert m.rows_of("the") == [m.words["the"]] and m.rows_of("this") == [m.grams["_th"]] and m.rows_of("xxr") == [m.grams["r"]] and m.rows_of("zzz") == []
+    scores, words = m.score_tokens(["the", "The-this!", "zzz", "12", "hxh"])
+    t = m.table
+    assert words.tolist() == [1, 2, 1, 0, 1] and not scores[2].any() and not scores[3].any()
+    assert np.allclose(scores[1], t[m.words["the"]] + t[m.grams["_th"]]) and np.allclose(scores[4], t[m.grams["h"]])
 
 
 @pytest.mark.parametrize("name", ["op4_chat_formatting", "op5_mix_sources", "op8_quality_rules", "op10_language_id"])
