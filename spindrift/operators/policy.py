@@ -131,9 +131,9 @@ def severe_hypotension() -> Column:
 
 
 def strategies() -> Column:
-    """Ordered strategy tags of a state; monitoring if there is no other."""
+    """Ordered strategy tags of a state; monitoring if there is no other. Needs ``__severe`` beside the state."""
     c = F.col
-    severe, hr = severe_hypotension(), c("hr_now")
+    severe, hr = c("__severe"), c("hr_now")
     very_low = (c("map_now") < MAP_SEVERE) | (F.coalesce(c("map_lt_55_held"), F.lit(0.0)) >= CRITICAL_SEC)
     oxygen = c("spo2_now").isNotNull() & ((c("spo2_now") < SPO2_SEVERE) | (F.coalesce(c("spo2_lt_90_held"), F.lit(0.0)) >= CRITICAL_SEC))
     deeper = (c("bis_now") > BIS_LIGHT) & (c("map_now").isNull() | (c("map_now") >= MAP_LOW)) & (c("spo2_now").isNull() | (c("spo2_now") >= SPO2_LOW))
@@ -156,8 +156,8 @@ def strategies() -> Column:
     return F.when(F.size(found) == 0, F.array(F.lit("context_monitoring"))).otherwise(found)
 
 
-def facts(tags: Column) -> Column:
-    """Names of the facts that hold."""
+def facts(tags: Column) -> dict[str, Column]:
+    """Facts by name; unknown counts as false. Needs ``__severe`` beside the state."""
     c = F.col
     cls, drug, m, hr = c("action_class"), c("action_drug"), c("map_now"), c("hr_now")
     named = ("oxygenation_first", "perfusion_first", "reduce_depth", "consider_depth_or_analgesia_increase", "context_monitoring")
@@ -177,34 +177,39 @@ def facts(tags: Column) -> Column:
         ("map_low", m < MAP_LOW), ("map_below_75", m < 75.0), ("map_lt_55", m < 55.0), ("map_not_lt_55", m.isNull() | (m >= 55.0)),
         ("map_ge_65", m >= 65.0), ("map_ge_75", m >= 75.0), ("map_drop_ge_relative", c("map_drop_pct") >= MAP_DROP_PCT), ("bis_high", c("bis_now") > BIS_LIGHT),
         ("hr_lt_50", hr < 50.0), ("hr_lt_60", hr < 60.0), ("hr_lt_45", hr < 45.0), ("hr_gt_100", hr > 100.0), ("hr_gt_110", hr > 110.0),
-        ("hr_le_100", hr <= 100.0), ("hr_not_low", hr.isNull() | (hr >= 60.0)), ("delta_negative", c("delta") < 0), ("severe_hypotension", severe_hypotension()),
+        ("hr_le_100", hr <= 100.0), ("hr_not_low", hr.isNull() | (hr >= 60.0)), ("delta_negative", c("delta") < 0), ("severe_hypotension", c("__severe")),
     ]
-    return _tags(pairs)
+    return {name: closed(cond) for name, cond in pairs}
 
 
-def _matches(held: Column, rules, keep=lambda r: True) -> Column:
-    """Ids of matching rules in their order."""
+def _matches(held: Column, names: set[str], rules, keep=lambda r: True) -> Column:
+    """Ids of matching rules in their order; a fact that nobody knows is false."""
+    fact = lambda n: held[n] if n in names else F.lit(False)
+
     def hit(rule) -> Column:
-        _, need, bar, _ = rule
-        all_of = F.size(F.array_except(F.array(*[F.lit(x) for x in need]), held)) == 0
-        return all_of if not bar else all_of & ~F.arrays_overlap(held, F.array(*[F.lit(x) for x in bar]))
+        out = F.lit(True)
+        for n in rule[1]:
+            out = out & fact(n)
+        for n in rule[2]:
+            out = out & ~fact(n)
+        return out
 
-    chosen = [r for r in rules if keep(r)]
-    return F.array_compact(F.array(*[F.when(hit(r), F.lit(r[0])) for r in chosen]))
+    return F.array_compact(F.array(*[F.when(hit(r), F.lit(r[0])) for r in rules if keep(r)]))
 
 
 def judge(states: DataFrame, conflicts=CONFLICT_RULES, alignments=ALIGNMENT_RULES) -> DataFrame:
     """``states`` with strategies, verdict, reason and high_risk. Rules are few and constant, so they are expressions."""
-    df = states.withColumn("strategies", strategies())
-    df = df.withColumn("__facts", facts(F.col("strategies")))
-    held = F.col("__facts")
-    df = df.withColumn("__against", _matches(held, conflicts)).withColumn("__risky", F.size(_matches(held, conflicts, lambda r: r[3])) > 0)
-    df = df.withColumn("__aligned", _matches(held, alignments, lambda r: r[3] == "aligned")).withColumn("__partial", _matches(held, alignments, lambda r: r[3] != "aligned"))
+    df = states.withColumn("__severe", severe_hypotension()).withColumn("strategies", strategies())
+    known = facts(F.col("strategies"))
+    df = df.withColumn("__facts", F.struct(*[c.alias(n) for n, c in known.items()]))
+    match = lambda rules, keep=lambda r: True: _matches(F.col("__facts"), set(known), rules, keep)
+    df = df.withColumn("__against", match(conflicts)).withColumn("__risky", F.size(match(conflicts, lambda r: r[3])) > 0)
+    df = df.withColumn("__aligned", match(alignments, lambda r: r[3] == "aligned")).withColumn("__partial", match(alignments, lambda r: r[3] != "aligned"))
     any_ = lambda n: F.size(n) > 0
     verdict = F.when(any_("__against"), "misaligned").when(any_("__partial"), "partially_aligned").when(any_("__aligned"), "aligned").otherwise("uncertain")
     reason = F.when(any_("__against"), F.get("__against", F.lit(0))).when(any_("__partial"), F.get("__partial", F.lit(0))).when(any_("__aligned"), F.try_element_at("__aligned", F.lit(-1))).otherwise("insufficient_discriminative_signal")
     df = df.withColumn("verdict", verdict).withColumn("reason", reason).withColumn("high_risk", F.col("__risky"))
-    return df.drop("__facts", "__against", "__risky", "__aligned", "__partial")
+    return df.drop("__severe", "__facts", "__against", "__risky", "__aligned", "__partial")
 
 
 def report(judged: DataFrame) -> DataFrame:
