@@ -149,7 +149,7 @@ def _any(words) -> str:
 _FOCUS_SQL = "f AS (SELECT chunk_id, lang, " + " + ".join(f"CASE WHEN {_any(w)} THEN {0.1 if x is None else x} ELSE 0.0 END" for w, x in r.FOCUS_GROUPS.values()) + f"""
   + least(0.25, 0.05 * (contains(t, 'blood')::INT + contains(t, 'pressure')::INT)) - CASE WHEN {_any(r.GENERIC_TERMS)} THEN 0.6 ELSE 0.0 END AS focus
   FROM (SELECT doc_id AS chunk_id, lang, lower(text || CASE doc_id % 3 WHEN 0 THEN ' MAP and blood pressure' WHEN 1 THEN ' bis index' ELSE '' END) AS t FROM documents))"""
-FOCUS = f"WITH {_FOCUS_SQL} SELECT chunk_id, round(focus, 6) AS focus FROM f"
+FOCUS = f"WITH {_FOCUS_SQL} SELECT chunk_id, round(focus::DOUBLE, 6) AS focus FROM f"
 
 _VECTORS_SQL = f"""hv AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'q', item_id, text FROM benchmark),
 ht AS (SELECT side, id, [('0x' || left(md5(x), 4))::INTEGER % 64 for x in regexp_extract_all(lower(text), '{_TOKEN_SQL}')] AS s FROM hv),
