@@ -81,7 +81,7 @@ def _arms(spark, sf_dir):
     c = table(spark, sf_dir, "conversations")
     words = F.element_at(F.array(*[F.lit(w) for w in ("perfusion first, MAP < 65", "opioid and BIS", "avoid deepening", "phenylephrine", "nothing")]), (F.col("conv_id") % 5 + 1).cast("int"))
     facts = F.element_at(F.array(*[F.lit(w) for w in ("hypotension and map", "remifentanil", "", "eeg and stimulation, bis", "perfusion")]), ((F.col("conv_id") + F.col("turn")) % 5 + 1).cast("int"))
-    return c.select("conv_id", "turn", "role", "text", F.concat_ws(" ", F.left("text", F.lit(20)), words).alias("said"), facts.alias("evidence"))
+    return c.select("conv_id", "turn", "role", "text", F.concat_ws(" ", "text", words).alias("said"), facts.alias("evidence"))
 
 
 def concept_support(spark, sf_dir):

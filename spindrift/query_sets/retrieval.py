@@ -130,7 +130,7 @@ def chapter_filter_fallback(spark, sf_dir):
 
 def hit_log_explode(spark, sf_dir):
     corpus, queries = _corpus(spark, sf_dir), _queries(spark, sf_dir)
-    log = r.hit_log(r.hit_rows(queries, r.bm25(corpus, queries, 3), corpus, 80))
+    log = r.hit_log(r.hit_rows(queries, r.bm25(corpus, queries, 3), corpus))
     rows = log.select("query_id", F.explode("results").alias("h"))
     return rows.select("query_id", "h.rank", "h.chunk_id", F.md5("h.passage").alias("passage_md5"))
 
