@@ -38,11 +38,11 @@ SELECT doc_id, CASE WHEN length(t) > 60 THEN left(t, 57) || '...' ELSE t END AS
 
 
 def _qa_rows(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations").filter("turn <= 2")
+    c = table(spark, sf_dir, "conversations")
     k = F.col("conv_id") % 4
     dose = (F.col("conv_id") % 50 + 1).cast("string")
     head = F.when(k == 0, F.lit("<think>draft\nQ: draft</think>\n")).when(k == 1, F.lit("```text\n")).otherwise(F.lit(""))
-    first = F.concat(F.lit("Q: What should be done now?\nA: 【临床推理】"), F.translate(F.left("text", F.lit(40)), "\n*-", "   "))
+    first = F.concat(F.lit("Q: What should be done now?\nA: 【临床推理】"), F.translate("text", "\n*-", "   "))
     third = F.concat(F.lit("\n【决策干预（Miller）】诊断依据：MAP 60；具体干预：给予 propofol "), dose, F.lit(" mL/h，5 min 复评；原文摘录：\"keep MAP\" [M10 #1, Chapter 3, p. 12]"))
     fourth = F.concat(F.lit("\n【决策干预（VitalDB）】：propofol "), (F.col("conv_id") % 30 + 1).cast("string"), F.lit(" mL/h（与记录一致）。"))
     tail = F.when(k == 1, F.lit("\n```")).when(k == 2, F.lit("\n\nnotes")).otherwise(F.lit(""))
@@ -71,7 +71,7 @@ SECTIONS = """SELECT conv_id, turn, 'keep MAP' AS quote, '[M10 #1, Chapter 3, p.
 
 
 def unit_values(spark, sf_dir):
-    rows = _qa_rows(spark, sf_dir).filter("turn < 2")
+    rows = _qa_rows(spark, sf_dir)
     guide, logged = qa.action_clause(qa.guideline_section(F.col("said"))), qa.logged_section(F.col("said"))
     return rows.select(
         "conv_id",

@@ -1,7 +1,9 @@
 """Registered queries over whole tables and whole texts: their SQL with the cut taken out of it, and brute force."""
 
 import glob
+import hashlib
 import os
+import re
 
 import duckdb
 import pytest
@@ -41,3 +43,53 @@ def test_support_finds_a_concept_behind_a_long_beginning(spark, tmp_path):
 
 def test_hit_log_keeps_1200_characters(spark):
     same_as_sql(spark, "hit_log_explode", ("left(text, 80)", "left(text, 1200)"))
+
+
+TURNS = [
+    (0, 0, "user", "First line.\n* a point - and more " + "word " * 40 + "end of user"),
+    (1, 1, "assistant", "Second " + "long " * 60 + "tail"),
+    (2, 2, "user", "short"),
+    (3, 7, "tool", "Late turn " + "x" * 300 + " last"),
+    (10, 3, "assistant", "An answer of 100 mL/h " + "y" * 60),
+    (45, 0, "user", "far " * 30),
+    (45, 2, "user", "far " * 30),
+]
+
+
+@pytest.fixture(scope="module")
+def few_turns(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("turns"))
+    spark.createDataFrame(TURNS, "conv_id long, turn int, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    return folder
+
+
+def test_qa_extract_takes_every_turn_whole(spark, few_turns):
+    want = {}
+    for conv, turn, _, text in TURNS:
+        lines = ["Q: What should be done now?", "A: 【临床推理】" + text.replace("\n", " ").replace("*", " ").replace("-", " ")]
+        lines.append(f'【决策干预（Miller）】诊断依据：MAP 60；具体干预：给予 propofol {conv % 50 + 1} mL/h，5 min 复评；原文摘录："keep MAP" [M10 #1, Chapter 3, p. 12]')
+        lines += [f"【决策干预（VitalDB）】：propofol {conv % 30 + 1} mL/h"] if turn < 2 else []
+        want[conv, turn] = (len(lines), hashlib.md5("\n".join(lines).encode()).hexdigest(), False, turn < 2)
+    got = {(r.conv_id, r.turn): (r.n_lines, r.md5, r.strict_v1, r.strict_v2) for r in entry.queries()["qa_extract"](spark, few_turns).collect()}
+    assert got == want
+
+
+def test_section_extract_takes_every_turn(spark, few_turns):
+    got = {(r.conv_id, r.turn): (r.quote, r.place, r.action, r.concrete) for r in entry.queries()["section_extract"](spark, few_turns).collect()}
+    assert got == {(c, t): ("keep MAP", "[M10 #1, Chapter 3, p. 12]", f"给予 propofol {c % 50 + 1} mL/h，5 min 复评", True) for c, t, _, _ in TURNS}
+
+
+def test_unit_values_takes_every_turn(spark, few_turns):
+    """A turn without a logged section is read as a whole answer, whose first value may stand anywhere in it."""
+    want = {}
+    for conv, turn, _, text in TURNS:
+        dose, target = conv % 50 + 1.0, conv % 20 + 1.0
+        logged = [conv % 30 + 1.0] if turn < 2 else [float(x) for x in re.findall(r"(\d+) mL/h", text)] + [dose]
+        close = any(max(v, target) / min(v, target) <= 1.35 or abs(v - target) <= max(3.0, target * 0.2) for v in logged)
+        want[conv, turn] = (dose, logged[0], any(max(v, dose) / min(v, dose) <= 3.0 for v in logged), close)
+    got = {(r.conv_id, r.turn): (r.guided, r.logged, r.consistent, r.close) for r in entry.queries()["unit_values"](spark, few_turns).collect()}
+    assert got == want and {True, False} == {w[3] for w in want.values()}
+
+
+def test_qa_extract_on_the_table(spark):
+    same_as_sql(spark, "qa_extract", ("left(text, 40)", "text"), (" WHERE turn <= 2", ""))
