@@ -34,7 +34,7 @@ BUCKETS = f"WITH {_BUCKET_SQL} SELECT id, bucket, reason FROM bk"
 
 
 def ab_mix(spark, sf_dir):
-    return curate.ab_mix(_bucketed(spark, sf_dir), ["id"], 0.8, most=2000).select("id", "bucket")
+    return curate.ab_mix(_bucketed(spark, sf_dir), ["id"], 0.8, most=0).select("id", "bucket")
 
 
 MIX = f"""WITH {_BUCKET_SQL}, n AS (SELECT count(*) FILTER (bucket = 'A') AS na, count(*) FILTER (bucket = 'B') AS nb FROM bk),

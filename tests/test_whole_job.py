@@ -7,8 +7,10 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from spindrift.operators import curate
 from test_queries import SF, plain
 
 
@@ -93,3 +95,23 @@ def test_unit_values_takes_every_turn(spark, few_turns):
 
 def test_qa_extract_on_the_table(spark):
     same_as_sql(spark, "qa_extract", ("left(text, 40)", "text"), (" WHERE turn <= 2", ""))
+
+
+def test_ab_mix_takes_as_many_rows_as_the_ratio_allows(spark, monkeypatch):
+    t, last = "\nt AS (SELECT", "\nk AS (SELECT"
+    sql = entry.oracle_sql()["ab_mix"]
+    counts = "\nt AS (SELECT least(na, round_even(n * 0.8, 0)) AS ta, least(nb, n - round_even(n * 0.8, 0)) AS tb FROM (SELECT *, least(floor(na / 0.8), floor(nb / (1.0 - 0.8))) AS n FROM n)),"
+    cuts = (sql[sql.index(t) : sql.index(last)], counts), ("least(nb, 2000 - ta)", "tb")
+    found = same_as_sql(spark, "ab_mix", *cuts)
+    assert {b for _, b in found} == {"A", "B"}
+    monkeypatch.setattr(curate, "MODEST", 5)
+    assert same_as_sql(spark, "ab_mix", *cuts) == found
+
+
+def test_smallest_by_ranges(spark, monkeypatch):
+    rows = spark.range(500).select("id", F.md5((F.col("id") % 300).cast("string")).alias("k")).persist()
+    keys = sorted(r.k for r in rows.collect())
+    monkeypatch.setattr(curate, "MODEST", 0)
+    monkeypatch.setattr(curate, "RANGE_DIGITS", 1)
+    for n in (1, 7, 250, 499, 500, 600):
+        assert sorted(r.k for r in curate._smallest(rows, n, "k").collect()) == keys[:n]
