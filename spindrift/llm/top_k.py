@@ -122,13 +122,13 @@ def search(tree: BallTree, query_ids: np.ndarray, queries: np.ndarray, best: lis
             width = min(2 * width, 64)
             rows = np.concatenate([np.arange(*tree.spans[n]) for n in some])
             scores = _products(vectors[rows], queries[q], exact)
-            near = scores >= kth
+            near = (scores >= kth) & (tree.ids[rows] != query_ids[q])
             rows, scores = rows[near], scores[near]
             if len(rows) > 4 * k:  # only the k best and their ties can enter
-                cut = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
+                cut = np.partition(scores, len(scores) - k)[len(scores) - k]
                 rows, scores = rows[scores >= cut], scores[scores >= cut]
             ids = tree.ids[rows]
-            mine = sorted(mine + [(-s, i) for s, i in zip(scores.tolist(), ids.tolist()) if i != query_ids[q]])[:k]
+            mine = sorted(mine + [(-s, i) for s, i in zip(scores.tolist(), ids.tolist())])[:k]
             if len(mine) == k:
                 kth = max(kth, float(-mine[-1][0]))
         best[q] = mine
