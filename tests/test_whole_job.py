@@ -6,11 +6,12 @@ import os
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from spindrift.operators import curate
+from spindrift.operators import curate, retrieval
 from test_queries import SF, plain
 
 
@@ -115,3 +116,18 @@ def test_smallest_by_ranges(spark, monkeypatch):
     monkeypatch.setattr(curate, "RANGE_DIGITS", 1)
     for n in (1, 7, 250, 499, 500, 600):
         assert sorted(r.k for r in curate._smallest(rows, n, "k").collect()) == keys[:n]
+
+
+@pytest.mark.parametrize("shared", [1000, 3])
+def test_dense_answers_any_number_of_queries(spark, monkeypatch, shared):
+    monkeypatch.setattr(retrieval, "MAX_BROADCAST_QUERIES", shared)
+    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(retrieval, "CORPUS_RUN", 25)
+    rng = np.random.default_rng(3)
+    vectors = rng.integers(-3, 4, (120, 5)).astype(float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "chunk_id long, vector array<double>").repartition(3)
+    queries = df.filter("chunk_id % 6 = 0").select(F.col("chunk_id").alias("query_id"), "vector")
+    want = sorted((q, c, float(vectors[q] @ vectors[c]), n + 1) for q in range(0, 120, 6) for n, c in enumerate(sorted(range(120), key=lambda c: (-(vectors[q] @ vectors[c]), c))[:7]))
+    got = sorted((r.query_id, r.chunk_id, r.score, r["rank"]) for r in retrieval.dense(df, queries, 7).collect())
+    assert got == want
+    assert retrieval.dense(df.filter("false"), queries, 7).collect() == [] and retrieval.dense(df, queries.filter("false"), 7).collect() == []
