@@ -1,8 +1,8 @@
 """Quality rules in DataFrame expressions: counts per text and a hashed n-gram log-likelihood ratio.
 
 Every text gives word unigrams, word bigrams and word-final character trigrams, each hashed into one of ``BUCKETS``.
-Two multinomials over the buckets are counted: of trusted texts (labelled rows with quality 1, at most ``TRUSTED_ROWS``
-of them in the order of a hash) and of the raw corpus (every row). A text's score is the sum of log(trusted / raw) over
+Two multinomials over the buckets are counted: of trusted texts (every labelled row with quality 1) and of the raw
+corpus (every row). A text's score is the sum of log(trusted / raw) over
 its n-grams, divided by their number; a text below ``THRESHOLD`` is not kept.
 
 Defined results: a null or empty text has no words, all counts 0, score 0 and fails the base rules; repeated rows are
@@ -16,10 +16,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import words_of
+from .common import joined_small, words_of
 
 BUCKETS = 1 << 14
-TRUSTED_ROWS = 50_000
 THRESHOLD = -0.05
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -48,11 +47,11 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     return grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("trusted"), 1)).alias("n_trusted"))
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROWS) -> list[float]:
+def log_ratios(docs: DataFrame, labels: DataFrame) -> list[float]:
     """log(trusted / raw) of every bucket, ``BUCKETS`` numbers; the raw distribution smooths the trusted one."""
-    good = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_rows)
+    good = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
     flags = good.select("doc_id", F.lit(True).alias("trusted"))
-    texts = docs.select("doc_id", "text").join(F.broadcast(flags), "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    texts = joined_small(docs.select("doc_id", "text"), flags, "doc_id").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
     n, n_trusted = [SMOOTHING] * BUCKETS, [0.0] * BUCKETS
     for row in gram_counts(texts).collect():  # a row per bucket at most
         n[row.bucket] += row.n

@@ -1,9 +1,11 @@
 """Corpus operators where a cut would lose part of the job."""
 
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from spindrift.llm import top_k
+from spindrift.llm import quality_rules, top_k
 
 
 def test_top_k_keeps_neighbours_of_a_hot_query(spark):
@@ -19,3 +21,16 @@ def test_top_k_keeps_neighbours_of_a_hot_query(spark):
     df = spark.createDataFrame(rows, "id long, vector array<double>")
     got = top_k.top_k(df, F.col("id") == 20).collect()  # each copy asks, so the best neighbour comes 150 times
     assert sorted((r["rank"], -r.score, r.vec_id) for r in got) == [(n + 1, *order[0]) for n in range(top_k.K)]
+
+
+def test_all_trusted_rows_count(spark):
+    """All 60,000 labelled rows are trusted, so the trusted counts are the raw ones."""
+    df = spark.range(60_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 1000).alias("text"))
+    labels = df.select("doc_id", F.lit(1).alias("quality"))
+    ratios = quality_rules.log_ratios(df, labels)
+    n = quality_rules.gram_counts(df.select("text", F.lit(True).alias("trusted"))).collect()
+    assert sum(r.n_trusted for r in n) == 180_000
+    total, weight = 180_000 + quality_rules.BUCKETS, float(quality_rules.BUCKETS)
+    for r in n:
+        x = r.n + 1.0
+        assert math.isclose(ratios[r.bucket], math.log((r.n + weight * x / total) / (180_000 + weight) / (x / total)), abs_tol=1e-12)
