@@ -31,6 +31,8 @@ WORDS = 20_000
 GRAMS = 20_000
 MAX_GRAM = 4
 SURE_WORDS = 12
+#: Starts of n-grams in a piece of a word.
+PIECE = 64
 REMEMBERED = 200_000
 #: Tokens, and rows, that are looked at together.
 SLICE, ROWS = 200_000, 512
@@ -102,9 +104,16 @@ def fit_languages(docs: DataFrame, fit_rows: int = FIT_ROWS) -> LanguageModel:
     counts = words.groupBy("lang", "key").agg(F.count(F.lit(1)).alias("n")).persist()
     try:
         marked = F.concat(F.lit("_"), "key", F.lit("_"))
-        size = F.length(marked)
-        cut = [F.transform(F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1))), lambda i, n=n: F.substr(marked, i, F.lit(n))) for n in range(1, MAX_GRAM + 1)]
-        grams = counts.filter(F.length("key") <= 64).select("lang", "n", F.explode(F.flatten(F.array(*cut))).alias("key")).groupBy("lang", "key").agg(F.sum("n").alias("n"))
+        # a long word is cut in pieces of PIECE starts each, so that finding a place in it stays cheap
+        at = F.explode(F.sequence(F.lit(0), F.length(marked) - 1, F.lit(PIECE)))
+        pieces = counts.select("lang", "n", marked.alias("marked"), at.alias("at"))
+        pieces = pieces.select("lang", "n", "at", F.substr("marked", F.col("at") + 1, F.lit(PIECE + MAX_GRAM - 1)).alias("piece"))
+        size = F.length("piece")
+        last = lambda n: F.least(F.greatest(size - (n - 1), F.when(F.col("at") == 0, 1).otherwise(0)), F.lit(PIECE))
+        starts = lambda n: F.when(last(n) > 0, F.sequence(F.lit(1), F.greatest(last(n), F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        grams_of = lambda n: F.transform(starts(n), lambda i: F.substr("piece", i, F.lit(n)))
+        cut = [grams_of(n) for n in range(1, MAX_GRAM + 1)]  # a second parameter of the inner lambda would be the index
+        grams = pieces.select("lang", "n", F.explode(F.flatten(F.array(*cut))).alias("key")).groupBy("lang", "key").agg(F.sum("n").alias("n"))
         best = lambda df, k: [tuple(r) for r in df.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "key"))).filter(F.col("r") <= k).select("lang", "key", "n").collect()]
         return LanguageModel(best(counts, WORDS), best(grams, GRAMS))
     finally:

@@ -1,11 +1,13 @@
 """Corpus operators where a cut would lose part of the job."""
 
+import collections
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from spindrift.llm import quality_rules, top_k
+from spindrift.llm import language_id, quality_rules, top_k
 
 
 def test_top_k_keeps_neighbours_of_a_hot_query(spark):
@@ -34,3 +36,24 @@ def test_all_trusted_rows_count(spark):
     for r in n:
         x = r.n + 1.0
         assert math.isclose(ratios[r.bucket], math.log((r.n + weight * x / total) / (180_000 + weight) / (x / total)), abs_tol=1e-12)
+
+
+def test_n_grams_of_words_of_any_length(spark):
+    words = ["a", "ab", "z" * 61 + "qrs", "x" * 62 + "pqrstuvw", "".join(chr(97 + i * i % 23) for i in range(1000))]
+    df = spark.createDataFrame([(k, w, "aa") for k, w in enumerate(words)], "doc_id long, text string, lang string")
+    want = collections.Counter()
+    for w in words:
+        m = f"_{w}_"
+        for n in range(1, language_id.MAX_GRAM + 1):
+            want.update(m[i : i + n] for i in range(max(len(m) - n + 1, 1)))
+    seen = []
+
+    class Kept(language_id.LanguageModel):
+        def __init__(self, words_, grams):
+            seen.append({g: n for _, g, n in grams})
+            super().__init__(words_, grams)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(language_id, "LanguageModel", Kept)
+        language_id.fit_languages(df)
+    assert seen == [dict(want)]
