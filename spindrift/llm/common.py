@@ -25,7 +25,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder in the storage that driver and executors share.
 
-    The place is ``spark.checkpoint.dir``; where that is unset (tests, a single machine) one is made and set.
+    The place is ``spark.checkpoint.dir``; where that is unset and the master is local (tests, a single machine) one is
+    made and set. A cluster without it is refused: its machines would each write to a disk of their own.
     The folder goes when the session's file systems are closed.
     """
     context = spark.sparkContext
@@ -34,6 +35,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         held = context._jsc.sc().getCheckpointDir()
         if held.isDefined():
             base = held.get()
+        elif not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         else:
             base = "file://" + tempfile.mkdtemp(prefix="spindrift-")
             context.setCheckpointDir(base)
@@ -62,6 +65,34 @@ def open_store(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
 
 
+def _place(names: list[str], wanted: str) -> int:
+    """Where a column is: its exact name counts first, then one that differs in case alone."""
+    for same in (lambda n: n == wanted, lambda n: n.lower() == wanted.lower()):
+        found = [k for k, n in enumerate(names) if same(n)]
+        if found:
+            return found[0]
+    raise ValueError(f"no column {wanted} among {names}")
+
+
+def chosen(df: DataFrame, *names: str) -> DataFrame:
+    """Just the named columns, told by place, so that columns whose names clash with them do no harm."""
+    at = [_place(df.columns, n) for n in names]
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))]).select(*[F.col(f"c{k}").alias(n) for k, n in zip(at, names)])
+
+
+def apart(df: DataFrame, needed: tuple[str, ...], made: tuple[str, ...]) -> tuple[DataFrame, list[str], list[str]]:
+    """``df`` with columns c0, c1, ... and the ``needed`` ones once more under ``in_`` names, for operators that add to rows.
+
+    Also the names (c0, ...) and the original names of the columns that stay: all but those named as one that is
+    ``made``, in any case. Afterwards ``toDF`` gives them their names back.
+    """
+    places = {n: _place(df.columns, n) for n in needed}
+    stay = [k for k, n in enumerate(df.columns) if n.lower() not in {m.lower() for m in made}]
+    plain = df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+    out = plain.select(*[f"c{k}" for k in stay], *[F.col(f"c{k}").alias(f"in_{n}") for n, k in places.items()])
+    return out, [f"c{k}" for k in stay], [df.columns[k] for k in stay]
+
+
 def word_count(text: Column) -> Column:
     """Number of words as a long; null counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

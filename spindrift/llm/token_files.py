@@ -11,14 +11,17 @@ A task writes under names of its own and reports them in a manifest row when the
 manifest alone, so what a lost or repeated task has left behind is never read.
 
 Defined results: a null text gives the end id alone; null doc_ids come first and are kept but have no key; equal doc_ids
-are ordered by a hash of the text and the key finds the first of them in its shard; an empty table gives an empty
-manifest; extra columns are ignored.
+are ordered by a hash of the text and the key finds the first of them in its shard; texts of any length are encoded
+whole; an empty table gives an empty manifest; extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -27,95 +30,142 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, open_store, shared_dir
+from .common import chosen, materialize, open_store, shared_dir
 
 MAGIC = b"SPDTOKN1"
 #: Bits of a level for each key that is still open.
 GAMMA = 1.6
-#: Distinct words that a worker remembers before it starts afresh.
+#: Distinct words that a worker remembers before it drops the rarer half.
 REMEMBERED = 400_000
 MANIFEST = "shard int, path string, first_id long, last_id long, n_docs long, n_tokens long"
 
 
+#: Shape of a tokenizers file whose words can be looked up one by one, in lower case: fixed values of that format.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _by_words(spec: dict) -> bool:
+    """Whether a tokenizers file lowers letters, drops white space, cuts words by ``_WORDS`` and joins bytes by BPE."""
+    normal, pre, model = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    split, *rest = [*(pre.get("pretokenizers") or []), {}]
+    return (
+        normal.get("normalizers") == _NORMALIZERS
+        and (split.get("pattern"), split.get("behavior"), split.get("invert")) == ({"Regex": _WORDS}, "Removed", True)
+        and [(x.get("type"), x.get("add_prefix_space"), x.get("use_regex")) for x in rest[:-1]] == [("ByteLevel", False, False)]
+        and (model.get("type"), model.get("dropout"), model.get("end_of_word_suffix")) == ("BPE", None, "</w>")
+        and not any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] or len(t["content"].split()) != 1 for t in spec.get("added_tokens") or [])
+    )
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level tokenizers write for each byte: printable ones as they are, others from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: chr(b if b in shown else next(others)) for b in range(256)}
+
+
 class WordEncoder:
-    """Ids of texts by a tokenizers file whose pre-tokenizer never reaches over ASCII white space.
+    """Ids of texts by a tokenizers file.
 
-    Each distinct word goes through the library once, in lower case and without the marks at its end, which are looked
-    up on their own: the library lowers all letters, and a letter or digit before a mark always ends a token. New words
-    go there together, between special tokens whose id shows where one word's ids end.
+    Where the file's own specification says that words are independent (``_by_words``), each distinct word is cut into
+    the pieces of that specification and each distinct piece goes through the library's BPE once; what is outside of
+    Latin letters, digits and marks, or holds a special token, goes through the library as it is. For any other file
+    every text goes through the library whole.
+
+    Up to ``remembered`` words and pieces are kept; beyond that the more frequent half stays.
     """
 
-    #: Marks that may be cut off behind a letter or digit.
-    _MARKS = ".,!?;:"
+    #: Characters whose normal form, case and class are settled, but for white space.
+    _SETTLED = re.compile("[!-~\u00a1-\u012f\u0131-\u017f]+")
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        added = self.library.get_added_tokens_decoder()
-        self.mark_id, self.mark = next(((i, t.content) for i, t in sorted(added.items()) if t.special), (None, None))
-        self.size, self.remembered = self.library.get_vocab_size(), remembered
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.start = np.zeros(1 << 16, dtype=np.int64)
-        self.length = np.zeros(1 << 16, dtype=np.int64)
-        self.flat = np.zeros(1 << 18, dtype=np.uint32)
-        self.used = 0
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other, and the number of ids of each text."""
-        words: list[bytes] = []
-        counts = np.zeros(len(texts), dtype=np.int64)
-        for k, text in enumerate(texts):
-            raw = text.encode()
-            cut = (raw if b"<|" in raw else raw.lower()).split()  # special tokens are told by case
-            counts[k] = len(cut)
-            words += cut
-        at = np.fromiter(map(self.known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        missing = np.flatnonzero(at < 0)
-        if len(missing):
-            if len(self.known) > self.remembered:
-                self._forget()
-                missing = np.arange(len(words))
-            self._learn(list(dict.fromkeys([words[k] for k in missing])))
-            known = self.known
-            at[missing] = np.fromiter((known[words[k]] for k in missing), dtype=np.int64, count=len(missing))
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.library, self.remembered = Tokenizer.from_file(path), remembered
+        self.size = self.library.get_vocab_size()
+        self.by_words = _by_words(spec)
+        if self.by_words:
+            self.special = [t["content"] for t in spec.get("added_tokens") or []]
+            self.holds_special = re.compile("|".join(map(re.escape, self.special)) or "(?!)").search
+            self.model = Tokenizer.from_file(path)
+            self.model.normalizer = self.model.pre_tokenizer = None
+            self.ends = np.zeros(1 + max(self.library.get_vocab().values()), dtype=bool)
+            self.ends[[i for w, i in spec["model"]["vocab"].items() if w.endswith("</w>")]] = True
+            settled = [chr(c) for c in range(0x21, 0x180)]
+            of = lambda kind: "".join(re.escape(c) for c in settled if unicodedata.category(c)[0] == kind)
+            self.pieces = re.compile(_WORDS.replace(r"\p{L}", of("L")).replace(r"\p{N}", of("N"))).findall
+            self.letters = _byte_letters()
+            self.known: dict[str, int] = {}
+            self.start, self.length, self.hits = (np.zeros(1 << 16, dtype=np.int64) for _ in range(3))
+            self.flat = np.zeros(1 << 18, dtype=np.uint32)
+            self.used = 0
+            self._append([""], np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64))
+
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and the number of ids of each text; null counts as empty."""
+        texts = pc.fill_null(texts, "")
+        if not self.by_words:
+            return self._library(texts.to_pylist())
+        lowered = pc.ascii_lower(texts)
+        for token in self.special:  # special tokens are told by case
+            held = pc.match_substring(texts, token, ignore_case=True)
+            lowered = pc.if_else(held, texts, lowered) if pc.any(held).as_py() else lowered
+        split = pc.ascii_split_whitespace(lowered)
+        words = split.flatten().dictionary_encode()
+        rows = self._rows(words.dictionary.to_pylist())
+        at = words.indices.to_numpy(zero_copy_only=False)
+        self.hits[rows] += np.bincount(at, minlength=len(rows))
+        at = rows[at]
         length = self.length[at]
         flat = self.flat[spread(self.start[at], length)]
         total = np.concatenate([[0], np.cumsum(length)])
+        counts = pc.list_value_length(split).to_numpy(zero_copy_only=False)
         return flat, np.diff(total[np.concatenate([[0], np.cumsum(counts)])])
 
-    def _library(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of words from the library one after the other, and the number of ids of each word."""
-        length = np.zeros(len(words), dtype=np.int64)
-        parts: list[np.ndarray] = []
-        ids_of = lambda encoded: [np.array(e.ids, dtype=np.uint32) for e in encoded]
-        runs = [words[b : b + 2000] for b in range(0, len(words), 2000)]
-        joined = ids_of(self.library.encode_batch_fast([f" {self.mark} ".join(r) for r in runs], add_special_tokens=False)) if self.mark is not None else [None] * len(runs)
-        for k, (run, flat) in enumerate(zip(runs, joined)):
-            ends = np.flatnonzero(flat == self.mark_id) if flat is not None else ()
-            if len(ends) == len(run) - 1 and flat is not None:
-                length[2000 * k : 2000 * k + len(run)] = np.diff(np.concatenate([[-1], ends, [len(flat)]])) - 1
-                parts.append(np.delete(flat, ends))
-            else:  # a word holds the special token itself
-                each = ids_of(self.library.encode_batch_fast(run, add_special_tokens=False))
-                length[2000 * k : 2000 * k + len(run)] = [len(x) for x in each]
-                parts += each
-        return (np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint32)), length
-
-    def _append(self, words: list[bytes], flat: np.ndarray, length: np.ndarray) -> None:
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts from the library, and the number of each."""
+        each = [np.array(e.ids, dtype=np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return (np.concatenate(each) if each else np.zeros(0, dtype=np.uint32)), np.array([len(x) for x in each], dtype=np.int64)
+
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """Row of each of some distinct words in the tables."""
+        at = np.fromiter(map(self.known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        missing = np.flatnonzero(at < 0)
+        if len(missing) and len(self.known) > self.remembered:
+            self._keep_frequent()
+            at = np.fromiter(map(self.known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+            missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = [words[k] for k in missing.tolist()]
+            self._learn(new)
+            at[missing] = np.fromiter(map(self.known.__getitem__, new), dtype=np.int64, count=len(new))
+        return at
+
+    def _keep_frequent(self) -> None:
+        names = list(self.known)  # in the order of their rows
+        rows = np.sort(np.argsort(-self.hits[: len(names)], kind="stable")[: self.remembered // 2])
+        rows = np.union1d(rows, [self.known[""]])
+        length, hits = self.length[rows], self.hits[rows] // 2
+        flat = self.flat[spread(self.start[rows], length)]
+        self.known, self.used = {}, 0
+        self._append([names[k] for k in rows.tolist()], flat, length)
+        self.hits[: len(rows)] = hits
+        self.hits[len(rows) :] = 0
+
+    def _append(self, words: list[str], flat: np.ndarray, length: np.ndarray) -> None:
         first = len(self.known)
         self.known.update(zip(words, range(first, first + len(words))))
         while first + len(words) > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
+            self.start, self.length, self.hits = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length, self.hits))
         while self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.start[first : first + len(words)] = self.used + np.cumsum(length) - length
@@ -123,32 +173,36 @@ class WordEncoder:
         self.flat[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
 
-    def _cut(self, word: str) -> int:
-        """Length of a word without the marks at its end, its full length if they must stay."""
-        stem = word.rstrip(self._MARKS)
-        return len(stem) if stem and (stem[-1] < "\x80" and stem[-1].isalnum() or stem.lower()[-1:].isalpha()) else len(word)
-
-    def _learn(self, new: list[bytes]) -> None:
-        known = self.known
-        plain, stems, tails, cut_words = [], [], [], []
+    def _learn(self, new: list[str]) -> None:
+        known, settled, find, special = self.known, self._SETTLED.fullmatch, self.pieces, self.holds_special
+        whole, cut, parts = [], [], []
         for word in new:
-            if word[-1] not in b".,!?;:":
-                plain.append(word)
-                continue
-            text = word.decode()
-            n = self._cut(text)
-            if n == len(text):
-                plain.append(word)
+            if settled(word) and not special(word):
+                cut.append(word)
+                parts.append(find(word.lower()))
             else:
-                cut_words.append(word)
-                stems.append(text[:n].encode())
-                tails.append(text[n:].encode())
-        ask = [w for w in dict.fromkeys([*plain, *stems, *tails]) if w not in known]
-        self._append(ask, *self._library([w.decode() for w in ask]))
-        if cut_words:
-            both = np.array([(known[s], known[t]) for s, t in zip(stems, tails)], dtype=np.int64).ravel()
-            length = self.length[both]
-            self._append(cut_words, self.flat[spread(self.start[both], length)], length.reshape(-1, 2).sum(axis=1))
+                whole.append(word)
+        # a piece is a word whose only piece is itself
+        ask = [p for p in dict.fromkeys([p for some in parts for p in some]) if p not in known]
+        self._append(ask, *self._model(ask))
+        composed = [(w, p) for w, p in zip(cut, parts) if w not in known]
+        if composed:
+            size = np.array([len(p) for _, p in composed], dtype=np.int64)
+            rows = np.array([known[x] for _, p in composed for x in p], dtype=np.int64)
+            length = self.length[rows]
+            self._append([w for w, _ in composed], self.flat[spread(self.start[rows], length)], np.add.reduceat(length, np.cumsum(size) - size))
+        if whole:
+            self._append(whole, *self._library(whole))
+
+    def _model(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces from the library's BPE; an id with a word end closes each piece."""
+        runs = [[p if p.isascii() else p.encode().decode("latin-1").translate(self.letters) for p in pieces[k : k + 2000]] for k in range(0, len(pieces), 2000)]
+        found = [np.array(e.ids, dtype=np.uint32) for e in self.model.encode_batch_fast(runs, is_pretokenized=True, add_special_tokens=False)]
+        flat = np.concatenate(found) if found else np.zeros(0, dtype=np.uint32)
+        ends = np.flatnonzero(self.ends[flat])
+        if len(ends) != len(pieces) or len(ends) and ends[-1] != len(flat) - 1:
+            raise ValueError("the library's pieces do not end with word ends")
+        return flat, np.diff(np.concatenate([[-1], ends]))
 
 
 @lru_cache(maxsize=2)
@@ -266,7 +320,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, out: str | None =
     spark = docs.sparkSession
     folder = out or shared_dir(spark, "token-shards")
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    rows = docs.select("doc_id", "text")
+    rows = chosen(docs, "doc_id", "text")
     rows = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,16 +362,16 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, out: str | None =
     return materialize(rows.mapInArrow(run, MANIFEST).withColumn("folder", F.lit(folder)), "token-manifest")
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    texts = [t or "" for t in batch.column("text").to_pylist()]
-    begin = size = 0
-    for k, t in enumerate(texts):
-        size += len(t)
-        if size >= 2_000_000:
-            yield batch.slice(begin, k + 1 - begin), texts[begin : k + 1]
-            begin, size = k + 1, 0
-    if begin < len(texts):
-        yield batch.slice(begin), texts[begin:]
+def _slices(batch: pa.RecordBatch, size: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, pa.StringArray]]:
+    """Slices of a batch with about ``size`` bytes of text, one row at least, and their texts."""
+    texts = batch.column("text").cast(pa.string())
+    total = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < len(texts):
+        before = total[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(total, before + size, side="right")))
+        yield batch.slice(begin, end - begin), texts.slice(begin, end - begin)
+        begin = end
 
 
 def read_index(folder: str, path: str) -> tuple[ShardIndex, object]:
@@ -330,8 +384,25 @@ def read_index(folder: str, path: str) -> tuple[ShardIndex, object]:
 
 def read_document(index: ShardIndex, payload, position: int) -> np.ndarray:
     """Ids of one document by its position in the shard."""
-    a, b = int(index.offsets[position]), int(index.offsets[position + 1])
-    return np.frombuffer(payload.read_at((b - a) * index.width, a * index.width), dtype=f"<u{index.width}")
+    return next(read_run(index, payload, np.array([position])))
+
+
+def read_run(index: ShardIndex, payload, positions: np.ndarray, size: int = 1 << 22) -> Iterator[np.ndarray]:
+    """Ids of documents by their ascending positions; neighbours are read together, up to ``size`` ids at a time."""
+    first, last = index.offsets[positions], index.offsets[positions + 1]
+    breaks = np.flatnonzero(last[:-1] != first[1:]) + 1
+    for some in np.split(np.arange(len(positions)), breaks):
+        at = 0
+        while at < len(some):
+            a = int(first[some[at]])
+            end = max(at + 1, int(np.searchsorted(last[some], a + size, side="right")))
+            b = int(last[some[end - 1]])
+            ids = np.frombuffer(payload.read_at((b - a) * index.width, a * index.width), dtype=f"<u{index.width}")
+            if len(ids) != b - a:
+                raise ValueError("a payload that ends too early")
+            for k in some[at:end].tolist():
+                yield ids[int(first[k]) - a : int(last[k]) - a]
+            at = end
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:
@@ -352,7 +423,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                     raise ValueError(f"{row['path']}: keys that its index does not find")
                 at = np.concatenate([np.arange(index.nulls), spread(first, copies)]).astype(np.int64)
                 size = np.diff(index.offsets)[at]
-                crc = np.fromiter((zlib.crc32(read_document(index, payload, k).astype("<u4").tobytes()) for k in at.tolist()), dtype=np.int64, count=len(at))
+                crc = np.fromiter((zlib.crc32(ids.astype("<u4").tobytes()) for ids in read_run(index, payload, at)), dtype=np.int64, count=len(at))
                 ids = pa.array(np.concatenate([np.zeros(index.nulls, np.int64), np.repeat(keys, copies)]), mask=np.arange(len(at)) < index.nulls)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(index.offsets[at] + row["before"]), pa.array(size), pa.array(crc)], schema=schema)
 

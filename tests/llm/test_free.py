@@ -241,6 +241,61 @@ def test_token_files_match_the_library(spark):
     assert token_files.read_shards(token_files.write_shards(df.filter("false"), path, end_id=2)).collect() == []
 
 
+@pytest.mark.parametrize("change", ["cased", "spaced"])
+def test_token_files_of_other_tokenizers(spark, tmp_path, change):
+    """A file that keeps case, or whose words hang on white space, is encoded text by text."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    if change == "cased":
+        spec["normalizer"]["normalizers"].pop()
+    path = str(tmp_path / "tokenizer.json")
+    if change == "spaced":
+        path = public_tokenizers.path("byte_bpe_50k.json")
+    else:
+        with open(path, "w", encoding="utf-8") as f:
+            json.dump(spec, f)
+    rows = [(1, "The House, the HOUSE."), (2, None), (3, "  two  spaces\n"), (4, "<|endoftext|> É")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    library = Tokenizer.from_file(path)
+    assert library.encode("The").ids != library.encode("the").ids
+    got = token_files.read_shards(token_files.write_shards(df, path, end_id=2)).orderBy("doc_id").collect()
+    for r, (i, text) in zip(got, rows, strict=True):
+        ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [2], dtype="<u4")
+        assert (r.doc_id, r.n_tokens, r.ids_crc32) == (i, len(ids), zlib.crc32(ids.tobytes()))
+
+
+def test_words_one_by_one_are_the_library_s():
+    """Every settled character alone and inside words, special tokens in any case, and a memory that overflows."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(3)
+    library, encoder = Tokenizer.from_file(path), token_files.WordEncoder(path, remembered=300)
+    chars = [chr(c) for c in range(1, 0x500)] + ["\u2c65", "\u3000", "\u65e5", "\u0301"]
+    pools = [chars, chars[31:0x17F], ["'s", "'T", "x", "9", " ", "''", "'", "<|startoftext|>", "<|STARTofTEXT|>", "A", "\u00c9"]]
+    texts = [f"a{c}b {c}" for c in chars] + ["".join(rng.choices(rng.choice(pools), k=rng.randint(0, 50))) for _ in range(600)]
+    assert encoder.by_words
+    for k in range(0, len(texts), 100):
+        flat, counts = encoder.encode(pa.array([*texts[k : k + 100], None]))
+        assert counts[-1] == 0
+        for text, n, end in zip(texts[k : k + 100], counts, np.cumsum(counts)):
+            assert flat[end - n : end].tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert len(encoder.known) < 3000
+
+
+def test_runs_of_documents():
+    index = token_files.ShardIndex(2, np.arange(6), 0, np.array([0, 3, 3, 8, 9, 20, 21]))
+    payload = io.BytesIO(np.arange(21, dtype="<u2").tobytes())
+    payload.read_at = lambda n, at: payload.getvalue()[at : at + n]
+    for size in (1, 5, 100):
+        got = [x.tolist() for x in token_files.read_run(index, payload, np.array([0, 1, 2, 4, 5]), size)]
+        assert got == [[0, 1, 2], [], [3, 4, 5, 6, 7], list(range(9, 20)), [20]]
+
+
 # top-k
 
 
