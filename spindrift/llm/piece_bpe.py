@@ -2,18 +2,19 @@
 
 A text is cut into segments that no merge can cross (a segment starts where white space starts); a worker encodes each
 distinct segment once and remembers a bounded number of them. The segments that are new are laid out as one flat
-array of symbols. Each round finds the best pair of every segment by a segmented minimum over (rank, position), merges
-the leftmost best pair of all segments at once, compacts the array, and drops segments without a pair. Only one merge
-for each segment and round keeps the library's order exactly: a merge may make a better pair than the one just used.
-Segments of over ``LONG_SEGMENT`` symbols would take as many rounds as merges, so a heap does those.
+array of symbols and cut once more wherever no piece holds the two characters side by side, so that a long run without
+white space falls into short ones. Each round finds the best rank of every segment by a segmented minimum, merges all
+pairs of that rank from the left, compacts the array, and drops segments without a pair. A merge may make a pair that is
+better than the one just used; the library takes that one before the equal pairs to the right, so in such a segment
+those wait for a later round. Texts and segments of any length go this one way.
 
 Defined results: null and empty texts give no ids and decode to the empty text; repeated rows and texts of any length
-are encoded whole; extra columns are kept by ``encode_documents`` unless named ``ids`` or ``decoded``.
+are encoded whole; pairs of equal rank merge from the left; an empty table gives an empty result; extra columns, whatever
+their names, are kept by ``encode_documents`` unless named ``ids`` or ``decoded`` in any case.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-LONG_SEGMENT = 96
+from .common import apart
+
 #: Distinct segments that a worker remembers before it starts afresh.
 REMEMBERED = 300_000
 #: Segments, and ids, that are looked at together.
@@ -33,6 +35,41 @@ SPACE = "▁"
 _NONE = np.iinfo(np.int64).max
 
 
+class _Table:
+    """An open hash table of longs in arrays."""
+
+    def __init__(self, of: dict[int, int]):
+        self.bits = max(4, int(np.ceil(np.log2(4 * len(of) + 1))))
+        self.key = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.value = np.full(1 << self.bits, -1, dtype=np.int64)
+        keys = np.fromiter(of, dtype=np.int64, count=len(of))
+        values = np.fromiter(of.values(), dtype=np.int64, count=len(of))
+        at = self._slot(keys)
+        while len(keys):
+            free = self.key[at] == -1
+            _, first = np.unique(np.where(free, at, -1 - np.arange(len(at))), return_index=True)
+            put = first[free[first]]
+            self.key[at[put]], self.value[at[put]] = keys[put], values[put]
+            left = np.ones(len(keys), dtype=bool)
+            left[put] = False
+            keys, values, at = keys[left], values[left], (at[left] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Value of each key, -1 if none."""
+        out = np.full(len(keys), -1, dtype=np.int64)
+        open_, at = np.arange(len(keys)), self._slot(keys)
+        while len(open_):
+            found = self.key[at]
+            hit = found == keys[open_]
+            out[open_[hit]] = self.value[at[hit]]
+            more = ~hit & (found != -1)
+            open_, at = open_[more], (at[more] + 1) & ((1 << self.bits) - 1)
+        return out
+
+
 class PieceModel:
     """The vocabulary of a BPE model file with byte fallback, as arrays."""
 
@@ -70,7 +107,10 @@ class PieceModel:
                 if left is not None and right is not None:
                     pairs[left * self.base + right] = i
         self.pairs = pairs
-        self._table(pairs)
+        self.char_of = {i: c for c, i in self.symbols.items() if len(c) == 1}
+        self.pair_table = _Table(pairs)
+        inside = {(a, b) for p in normal for a, b in zip(p, p[1:])}
+        self.inside_table = _Table({self.symbols[a] * self.base + self.symbols[b]: 1 for a, b in inside})
         # characters: code point -> symbol, those without one above all symbols
         self.char_symbol = np.arange(0x110000, dtype=np.int64) + self.size + len(self.symbols)
         for s, i in self.symbols.items():
@@ -88,38 +128,16 @@ class PieceModel:
             return bytes([int(p.piece[3:5], 16)])
         return p.piece.replace(SPACE, " ").encode() if p.type == kinds.NORMAL else b""
 
-    def _table(self, pairs: dict[int, int]) -> None:
-        """An open hash table of the pairs in arrays."""
-        self.bits = max(4, int(np.ceil(np.log2(4 * len(pairs) + 1))))
-        self.table_key = np.full(1 << self.bits, -1, dtype=np.int64)
-        self.table_id = np.full(1 << self.bits, -1, dtype=np.int64)
-        keys = np.fromiter(pairs, dtype=np.int64, count=len(pairs))
-        ids = np.fromiter(pairs.values(), dtype=np.int64, count=len(pairs))
-        at = self._slot(keys)
-        while len(keys):
-            free = self.table_key[at] == -1
-            _, first = np.unique(np.where(free, at, -1 - np.arange(len(at))), return_index=True)
-            put = first[free[first]]
-            self.table_key[at[put]], self.table_id[at[put]] = keys[put], ids[put]
-            left = np.ones(len(keys), dtype=bool)
-            left[put] = False
-            keys, ids, at = keys[left], ids[left], (at[left] + 1) & ((1 << self.bits) - 1)
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
     def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Id of the piece that each pair makes, -1 if none."""
-        keys = left * self.base + right
-        out = np.full(len(keys), -1, dtype=np.int64)
-        open_, at = np.arange(len(keys)), self._slot(keys)
-        while len(open_):
-            found = self.table_key[at]
-            hit = found == keys[open_]
-            out[open_[hit]] = self.table_id[at[hit]]
-            more = ~hit & (found != -1)
-            open_, at = open_[more], (at[more] + 1) & ((1 << self.bits) - 1)
-        return out
+        return self.pair_table.find(left * self.base + right)
+
+    def ranks(self, made: np.ndarray) -> np.ndarray:
+        return np.where(made >= 0, self.rank[made], _NONE)
+
+    def adjoining(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether some piece holds the two characters side by side; where none does, no merge ever reaches across."""
+        return self.inside_table.find(left * self.base + right) >= 0
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ids, as the library decodes them."""
@@ -159,33 +177,34 @@ def merge_rounds(model: PieceModel, symbols: np.ndarray, starts: np.ndarray) ->
     made = np.full(n, -1, dtype=np.int64)
     inner = np.flatnonzero(segment[:-1] == segment[1:])
     made[inner] = model.merged(symbols[inner], symbols[inner + 1])
+    rank = model.ranks(made)
     while len(symbols):
         starts = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
-        rank = np.where(made >= 0, (model.rank[made] << 32) + np.arange(len(symbols)), _NONE)
+        size = np.diff(np.append(starts, len(symbols)))
         best = np.minimum.reduceat(rank, starts)
         open_ = best != _NONE
         if not open_.all():
-            stays = np.repeat(open_, np.diff(np.append(starts, len(symbols))))
+            stays = np.repeat(open_, size)
             done_symbols.append(symbols[~stays])
             done_segments.append(segment[~stays])
-            shift = np.cumsum(~stays)
-            at = best[open_] & 0xFFFFFFFF
-            at = at - shift[at]
-            symbols, segment, made = symbols[stays], segment[stays], made[stays]
-        else:
-            at = best & 0xFFFFFFFF
-        if not len(at):
+            symbols, segment, made, rank = symbols[stays], segment[stays], made[stays], rank[stays]
+            best, size = best[open_], size[open_]
+        if not len(symbols):
             break
+        at = np.flatnonzero(rank == np.repeat(best, size))
+        if len(at) > len(best):
+            at = _together(model, symbols, segment, made, rank, at)
         symbols[at] = made[at]
         keep = np.ones(len(symbols), dtype=bool)
         keep[at + 1] = False
-        at = at - np.arange(len(at))  # one symbol has gone from each segment before
-        symbols, segment, made = symbols[keep], segment[keep], made[keep]
-        for k in (at, at[at > 0] - 1):  # the pairs that have changed: with the next symbol, and with the last
-            inside = (k + 1 < len(symbols)) & (segment[np.minimum(k + 1, len(symbols) - 1)] == segment[k])
-            made[k] = -1
-            k = k[inside]
-            made[k] = model.merged(symbols[k], symbols[k + 1])
+        at = at - np.arange(len(at))  # one symbol has gone for each merge before
+        symbols, segment, made, rank = symbols[keep], segment[keep], made[keep], rank[keep]
+        k = np.concatenate([at, at[at > 0] - 1])  # the pairs that have changed: with the next symbol, and with the last
+        inside = (k + 1 < len(symbols)) & (segment[np.minimum(k + 1, len(symbols) - 1)] == segment[k])
+        made[k], rank[k] = -1, _NONE
+        k = k[inside]
+        made[k] = model.merged(symbols[k], symbols[k + 1])
+        rank[k] = model.ranks(made[k])
     if not done_symbols:
         return symbols, segment
     symbols, segment = np.concatenate(done_symbols), np.concatenate(done_segments)
@@ -193,34 +212,29 @@ def merge_rounds(model: PieceModel, symbols: np.ndarray, starts: np.ndarray) ->
     return symbols[order], segment[order]
 
 
-def merge_long(model: PieceModel, symbols: list[int]) -> list[int]:
-    """One long segment's symbols after all merges, by a heap over (rank, position)."""
-    n = len(symbols)
-    before, after, alive = list(range(-1, n - 1)), list(range(1, n + 1)), [True] * n
-    rank, pairs, base = model.rank, model.pairs, model.base
-    heap: list[tuple[int, int, int, int]] = []
-
-    def offer(i: int, j: int) -> None:
-        made = pairs.get(symbols[i] * base + symbols[j])
-        if made is not None:
-            heapq.heappush(heap, (int(rank[made]), i, symbols[i], symbols[j]))
-
-    for i in range(n - 1):
-        offer(i, i + 1)
-    while heap:
-        _, i, left, right = heapq.heappop(heap)
-        j = after[i]
-        if not alive[i] or j >= n or symbols[i] != left or symbols[j] != right:
-            continue
-        symbols[i] = pairs[left * base + right]
-        alive[j] = False
-        after[i] = after[j]
-        if after[j] < n:
-            before[after[j]] = i
-            offer(i, after[j])
-        if before[i] >= 0:
-            offer(before[i], i)
-    return [s for s, a in zip(symbols, alive) if a]
+def _together(model: PieceModel, symbols: np.ndarray, segment: np.ndarray, made: np.ndarray, rank: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which of the best pairs (at ``at``, all of their segment's best rank) merge in one round, in the library's order.
+
+    Of pairs that overlap the leftmost merges, then every second one. A merge that makes a pair as good as itself or
+    better is the last of its segment in this round, since that pair comes before what lies to the right.
+    """
+    follows = np.concatenate([[False], at[1:] == at[:-1] + 1])
+    begin = np.flatnonzero(~follows)
+    index = np.arange(len(at)) - np.repeat(begin, np.diff(np.append(begin, len(at))))
+    at = at[index % 2 == 0]
+    new, own, worst = made[at], segment[at], rank[at]
+    left, right = np.maximum(at - 1, 0), np.minimum(at + 2, len(symbols) - 1)
+    before = symbols[left]
+    joined = np.flatnonzero(np.concatenate([[False], at[1:] == at[:-1] + 2]))  # the symbol before is a merge's result
+    before[joined] = new[joined - 1]
+    first = model.ranks(np.where((at > 0) & (segment[left] == own), model.merged(before, new), -1))
+    second = model.ranks(np.where((at + 2 < len(symbols)) & (segment[right] == own), model.merged(new, symbols[right]), -1))
+    last = (first <= worst) | (second <= worst)
+    if last.any():
+        begin = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        cut = np.minimum.reduceat(np.where(last, np.arange(len(at)), len(at)), begin)
+        at = at[np.arange(len(at)) <= np.repeat(cut, np.diff(np.append(begin, len(at))))]
+    return at
 
 
 class Encoder:
@@ -291,27 +305,20 @@ class Encoder:
         begin = np.cumsum(size) - size
         model = self.model
         symbols = model.char_symbol[chars]
-        long = np.flatnonzero(size > LONG_SEGMENT)
-        short = np.flatnonzero((size <= LONG_SEGMENT) & (size > 0))
-        got, of = [], []
-        if len(short):
-            length = size[short]
-            s, g = merge_rounds(model, symbols[_spread(begin[short], length)], np.cumsum(length) - length)
-            got.append(s)
-            of.append(short[g])
-        for k in long:
-            s = merge_long(model, symbols[begin[k] : begin[k] + size[k]].tolist())
-            got.append(np.array(s, dtype=np.int64))
-            of.append(np.full(len(s), k))
-        s, g = (np.concatenate(got), np.concatenate(of)) if got else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        order = np.argsort(g, kind="stable")
-        s, g = s[order], g[order]
-        plain = s < model.size
-        if not plain.all():  # characters without a piece become their bytes
-            spell = [[v] if p else self._spell(v) for v, p in zip(s.tolist(), plain.tolist())]
-            wide = np.fromiter(map(len, spell), dtype=np.int64, count=len(spell))
-            s = np.fromiter((x for ids in spell for x in ids), dtype=np.int64, count=int(wide.sum()))
-            g = np.repeat(g, wide)
+        spans = np.zeros(len(symbols), dtype=bool)
+        spans[begin[size > 0]] = True
+        spans[1:] |= ~model.adjoining(symbols[:-1], symbols[1:])
+        spans = np.flatnonzero(spans)
+        s, g = merge_rounds(model, symbols, spans)
+        g = np.repeat(np.arange(len(new)), size)[spans][g]
+        unknown = np.flatnonzero(s >= model.size)
+        if len(unknown):  # characters without a piece become their bytes
+            spelt = [self._spell(v) for v in s[unknown].tolist()]
+            wide = np.ones(len(s), dtype=np.int64)
+            wide[unknown] = list(map(len, spelt))
+            first_of = np.cumsum(wide) - wide
+            s, g = np.repeat(s, wide), np.repeat(g, wide)
+            s[_spread(first_of[unknown], wide[unknown])] = np.concatenate(spelt)
         length = np.bincount(g, minlength=len(new))
         while first + len(new) > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
@@ -325,10 +332,7 @@ class Encoder:
 
     def _spell(self, symbol: int) -> list[int]:
         model = self.model
-        if symbol < model.first_unknown:
-            char = next(c for c, i in model.symbols.items() if i == symbol)
-        else:
-            char = chr(symbol - model.first_unknown)
+        char = model.char_of[symbol] if symbol < model.first_unknown else chr(symbol - model.first_unknown)
         return [model.bytes_ids[b] for b in char.encode()]
 
 
@@ -355,18 +359,17 @@ def encoded_slices(batches: Iterator[pa.RecordBatch], path: str, column: str = "
 
 def encode_documents(docs: DataFrame, path: str, column: str = "text", decode: bool = False) -> DataFrame:
     """``docs`` with ``ids`` (array of int) and, on request, ``decoded``: the text that the ids give back."""
-    kept = [f for f in docs.schema.fields if f.name not in ("ids", "decoded")]
-    schema = T.StructType([*kept, T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)] + [T.StructField("decoded", T.StringType(), False)] * decode)
-    names = [f.name for f in kept]
+    rows, places, names = apart(docs, (column,), ("ids", "decoded"))
+    schema = T.StructType([*rows.select(*places).schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)] + [T.StructField("decoded", T.StringType(), False)] * decode)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
-        for part, flat, counts in encoded_slices(batches, path, column):
+        for part, flat, counts in encoded_slices(batches, path, f"in_{column}"):
             offsets = np.concatenate([[0], np.cumsum(counts)])
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
-            arrays = [part.column(n) for n in names] + [ids]
+            arrays = [part.column(n) for n in places] + [ids]
             if decode:
                 arrays.append(pa.array([model.decode(flat[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], pa.string()))
-            yield pa.RecordBatch.from_arrays(arrays, [*names, "ids"] + ["decoded"] * decode)
+            yield pa.RecordBatch.from_arrays(arrays, [*places, "ids"] + ["decoded"] * decode)
 
-    return docs.select(*[f"`{n}`" for n in names]).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).toDF(*names, "ids", *["decoded"] * decode)
