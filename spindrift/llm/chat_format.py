@@ -5,8 +5,9 @@ texts and roles are escaped so that they cannot end or start a turn, and the esc
 
 Defined results: a null text or role counts as empty; rows of one conversation with equal turns are ordered by role
 and text; a null turn sorts first; a null conv_id is a conversation of its own; roles outside the machine make the
-order invalid (``valid`` false, ``error_turn`` its position from 0) but are formatted all the same; an empty table gives
-an empty result; extra columns are ignored.
+order invalid (``valid`` false, ``error_turn`` its position from 0) but are formatted all the same; texts of any length
+stay whole, and a conversation is one row, so its turns must fit in a task; an empty table gives an empty result; extra
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import chosen
+
 
 @dataclass(frozen=True)
 class Template:
@@ -77,7 +80,7 @@ def role_machine(roles: Column, template: Template = CHATML) -> Column:
 
 def format_chats(turns: DataFrame, template: Template = CHATML) -> DataFrame:
     """conv_id, segments (array of text and loss flag), valid, error_turn from rows of conv_id, turn, role, text."""
-    rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = chosen(turns, "conv_id", "turn", "role", "text").select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     chats = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     # nulls sort first in a struct's order, so a null turn leads
 

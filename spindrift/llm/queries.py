@@ -56,6 +56,8 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss_text").cast("long").alias("loss_chars"),
         F.sha2(F.col("loss_text"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+        "error_turn",
     )
 
 
@@ -131,17 +133,26 @@ WITH v AS (
 )
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 20""",
+    # the machine's state follows from the last role, so each role is judged by the one before it
     "op4_chat_formatting": f"""
 WITH rows_ AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', {_PROBE} UNION ALL SELECT -1, 1, 'assistant', {_PROBE}
+), placed AS (
+  SELECT *, row_number() OVER w - 1 AS place, lag(role) OVER w AS before, lead(1) OVER w IS NULL AS ends,
+    replace(replace(text, '\\', '\\b'), '<|', '<\\|') AS esc
+  FROM rows_ WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
 ), marked AS (
-  SELECT *, replace(replace(text, '\\', '\\b'), '<|', '<\\|') AS esc FROM rows_
+  SELECT *, CASE WHEN place = 0 THEN role IN ('system', 'user') WHEN before IN ('user', 'tool') THEN role = 'assistant'
+    WHEN before = 'assistant' THEN role IN ('user', 'tool') WHEN before = 'system' THEN role = 'user' ELSE false END AS follows
+  FROM placed
 )
 SELECT conv_id, count(*)::BIGINT AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  sum(length('<|im_start|>') + length(role) + 1 + length(esc) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<|im_start|>') + length(role) + 1 + length(esc) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars,
+  bool_and(follows) AND bool_or(ends AND role = 'assistant') AS valid,
+  (min(place) FILTER (NOT follows))::INTEGER AS error_turn
 FROM marked GROUP BY conv_id""",
 }
