@@ -5,28 +5,33 @@ character n-grams of lengths 1 to ``MAX_GRAM`` (word ends marked). A known word
 language. An unseen word is scored by its n-grams of the greatest length at which the model knows any. A text's score in a language is the mean over its words; the
 softmax of those means, sharpened by the number of words up to ``SURE_WORDS``, gives the prediction and its score.
 
-The model is fitted on at most ``FIT_ROWS`` labelled rows in the order of a hash of doc_id, whole texts; its size is
-bounded by WORDS, GRAMS and the number of languages. Every text is predicted whole.
+The model is fitted on about ``FIT_ROWS`` labelled rows at most (or ``LEAST_ROWS`` of each language, where that is more),
+chosen by a hash, whole texts; its size is bounded by WORDS, GRAMS and LANGUAGES. Every text is predicted whole, whatever
+its length.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; equal scores go to the smaller language;
 repeated rows are predicted alike; an empty table gives an empty result; without labelled rows everything is ``und``;
-extra columns are kept unless named ``lang_pred`` or ``score``.
+extra columns, whatever their names, are kept unless named ``lang_pred`` or ``score`` in any case.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-FIT_ROWS = 6_000
+from .common import apart, chosen, materialize
+
+#: Labelled rows that a model is fitted on, in equal shares of the languages, and the least share.
+FIT_ROWS, LEAST_ROWS = 6_000, 50
+#: Languages that a model can hold, the most frequent ones.
+LANGUAGES = 200
 WORDS = 20_000
 GRAMS = 20_000
 MAX_GRAM = 4
@@ -37,7 +42,7 @@ REMEMBERED = 200_000
 #: Tokens, and rows, that are looked at together.
 SLICE, ROWS = 200_000, 512
 UNKNOWN = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 class LanguageModel:
@@ -95,29 +100,66 @@ class LanguageModel:
         return scores, n_words
 
 
+def _sample(labelled: DataFrame, fit_rows: int) -> DataFrame:
+    """(lang, text): of each of the ``LANGUAGES`` most frequent languages about an equal share of ``fit_rows``.
+
+    Rows are chosen by a hash of id and text below their language's threshold, so no row need be ranked or moved to be
+    chosen; rows of a language that repeat a text teach once, so a hot id or text cannot fill the sample.
+    """
+    spark = labelled.sparkSession
+    row = F.xxhash64("doc_id", "text")
+    sizes = labelled.groupBy("lang").agg(F.approx_count_distinct(row).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    share = max(LEAST_ROWS, fit_rows // max(1, len(sizes)))
+    scale = 1 << 62
+    limits = [(r.lang, scale - 1 if r.n <= share else int(scale * share / r.n)) for r in sizes]
+    limits = F.broadcast(spark.createDataFrame(limits, "lang string, below long"))  # LANGUAGES rows at most
+    return labelled.join(limits, "lang").filter(F.shiftrightunsigned(row, 2) <= F.col("below")).select("lang", "text").filter("text is not null").distinct()
+
+
+def _most_frequent(counts: DataFrame, k: int) -> list[tuple[str, str, int]]:
+    """About the k most frequent keys of each language, from (lang, key, n).
+
+    How many keys have each count is a small table, from which each language's cut follows; of the keys at the cut
+    those with the smaller hashes come in. No language's keys are ever ranked in one place.
+    """
+    spark = counts.sparkSession
+    classes: dict[str, list[tuple[int, int]]] = {}
+    for r in counts.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("keys")).collect():
+        classes.setdefault(r.lang, []).append((r.n, r["keys"]))
+    cuts = []
+    for lang, sizes in classes.items():
+        room, cut, part = k, 0, 1.0
+        for n, keys in sorted(sizes, reverse=True):
+            if keys > room:
+                cut, part = n, room / keys
+                break
+            room -= keys
+        cuts.append((lang, cut, int(part * (1 << 30))))
+    if not cuts:
+        return []
+    known = counts.join(F.broadcast(spark.createDataFrame(cuts, "lang string, cut long, part long")), "lang")
+    lot = F.xxhash64("key").bitwiseAND(F.lit((1 << 30) - 1))
+    kept = known.filter((F.col("n") > F.col("cut")) | ((F.col("n") == F.col("cut")) & (lot < F.col("part"))))
+    return sorted(tuple(r) for r in kept.select("lang", "key", "n").collect())
+
+
 def fit_languages(docs: DataFrame, fit_rows: int = FIT_ROWS) -> LanguageModel:
     """A model from rows of doc_id, text and lang; rows without text or lang teach nothing."""
-    labelled = docs.filter("text is not null and lang is not null")
-    chosen = labelled.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    rows = labelled.join(F.broadcast(chosen), "doc_id", "left_semi")
+    rows = _sample(chosen(docs, "doc_id", "text", "lang").filter("lang is not null"), fit_rows)
     words = rows.select("lang", F.explode(F.split(F.lower(F.regexp_replace("text", r"[^\p{L}]+", " ")), " ")).alias("key")).filter("key <> ''")
-    counts = words.groupBy("lang", "key").agg(F.count(F.lit(1)).alias("n")).persist()
-    try:
-        marked = F.concat(F.lit("_"), "key", F.lit("_"))
-        # a long word is cut in pieces of PIECE starts each, so that finding a place in it stays cheap
-        at = F.explode(F.sequence(F.lit(0), F.length(marked) - 1, F.lit(PIECE)))
-        pieces = counts.select("lang", "n", marked.alias("marked"), at.alias("at"))
-        pieces = pieces.select("lang", "n", "at", F.substr("marked", F.col("at") + 1, F.lit(PIECE + MAX_GRAM - 1)).alias("piece"))
-        size = F.length("piece")
-        last = lambda n: F.least(F.greatest(size - (n - 1), F.when(F.col("at") == 0, 1).otherwise(0)), F.lit(PIECE))
-        starts = lambda n: F.when(last(n) > 0, F.sequence(F.lit(1), F.greatest(last(n), F.lit(1)))).otherwise(F.array().cast("array<int>"))
-        grams_of = lambda n: F.transform(starts(n), lambda i: F.substr("piece", i, F.lit(n)))
-        cut = [grams_of(n) for n in range(1, MAX_GRAM + 1)]  # a second parameter of the inner lambda would be the index
-        grams = pieces.select("lang", "n", F.explode(F.flatten(F.array(*cut))).alias("key")).groupBy("lang", "key").agg(F.sum("n").alias("n"))
-        best = lambda df, k: [tuple(r) for r in df.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "key"))).filter(F.col("r") <= k).select("lang", "key", "n").collect()]
-        return LanguageModel(best(counts, WORDS), best(grams, GRAMS))
-    finally:
-        counts.unpersist()
+    counts = materialize(words.groupBy("lang", "key").agg(F.count(F.lit(1)).alias("n")), "language-words")
+    marked = F.concat(F.lit("_"), "key", F.lit("_"))
+    # a long word is cut in pieces of PIECE starts each, so that finding a place in it stays cheap
+    at = F.explode(F.sequence(F.lit(0), F.length(marked) - 1, F.lit(PIECE)))
+    pieces = counts.select("lang", "n", marked.alias("marked"), at.alias("at"))
+    pieces = pieces.select("lang", "n", "at", F.substr("marked", F.col("at") + 1, F.lit(PIECE + MAX_GRAM - 1)).alias("piece"))
+    size = F.length("piece")
+    last = lambda n: F.least(F.greatest(size - (n - 1), F.when(F.col("at") == 0, 1).otherwise(0)), F.lit(PIECE))
+    starts = lambda n: F.when(last(n) > 0, F.sequence(F.lit(1), F.greatest(last(n), F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    grams_of = lambda n: F.transform(starts(n), lambda i: F.substr("piece", i, F.lit(n)))
+    cut = [grams_of(n) for n in range(1, MAX_GRAM + 1)]  # a second parameter of the inner lambda would be the index
+    grams = pieces.select("lang", "n", F.explode(F.flatten(F.array(*cut))).alias("key")).groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    return LanguageModel(_most_frequent(counts, WORDS), _most_frequent(materialize(grams, "language-grams"), GRAMS))
 
 
 class _Reader:
@@ -189,19 +231,18 @@ class _Reader:
 def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``; the model's bounded tables are broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
-    names = [f.name for f in kept]
-    schema = T.StructType([*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    rows, places, names = apart(docs, ("text",), ("lang_pred", "score"))
+    schema = T.StructType([*rows.select(*places).schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(shared.value)
         slices = (batch.slice(k, ROWS) for batch in batches for k in range(0, batch.num_rows, ROWS))
         for batch in slices:
-            found, scores = reader.predict([t or "" for t in batch.column("text").to_pylist()])
-            arrays = [batch.column(n) for n in names] + [pa.array(found, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, [*names, "lang_pred", "score"])
+            found, scores = reader.predict([t or "" for t in batch.column("in_text").to_pylist()])
+            arrays = [batch.column(n) for n in places] + [pa.array(found, pa.string()), pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(arrays, [*places, "lang_pred", "score"])
 
-    return docs.select(*[f"`{n}`" for n in names]).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).toDF(*names, "lang_pred", "score")
 
 
 def accepted(df: DataFrame, least: float = 0.5) -> DataFrame:
