@@ -6,7 +6,8 @@ inside that one range finds the row. What a source cannot cover in one pass is r
 
 Defined results: a null text has size 0 and takes nothing; the null source is a source like any other and sorts last;
 an empty table gives an empty result; rows with equal keys (repeated rows) share the words at the cut in proportion to
-their size, rounded down; extra columns are ignored by ``mix_plan`` and kept by ``mix_rows``.
+their size, rounded down; texts of any length count whole; extra columns, whatever their names, are ignored by
+``mix_plan`` and kept by ``mix_rows``.
 """
 
 from __future__ import annotations
@@ -16,14 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import joined_small, materialize, word_count
+from .common import apart, chosen, joined_small, materialize, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 #: Ranges of the random key per source: 2 ** RANGE_BITS.
 RANGE_BITS = 14
 
 
-def _key(docs: DataFrame, seed: int) -> Column:
+def _key(seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.col("doc_id"), F.coalesce(F.col("source"), F.lit("\0null")), F.col("text"))
 
 
@@ -86,7 +87,7 @@ def _unsigned(key: Column) -> Column:
 
 
 def _slim(docs: DataFrame, seed: int) -> DataFrame:
-    return docs.select("doc_id", "source", _key(docs, seed).alias("key"), word_count(F.col("text")).alias("size"))
+    return chosen(docs, "doc_id", "source", "text").select("doc_id", "source", _key(seed).alias("key"), word_count(F.col("text")).alias("size"))
 
 
 def _with_cuts(rows: DataFrame, cuts: DataFrame) -> DataFrame:
@@ -108,12 +109,12 @@ def mix_rows(docs: DataFrame, seed: int = 17, weights: tuple[float, ...] = WEIGH
     Texts stay whole: the row at the cut is taken once more if half of its words or more fit.
     """
     slim = materialize(_slim(docs, seed), "mix-slim")
-    names = docs.columns
-    held = F.struct(*[F.col(c) for c in names]).alias("__row")
-    rows = docs.select(held, F.col("source").alias("source"), _key(docs, seed).alias("key"))
+    plain, places, names = apart(docs, ("doc_id", "source", "text"), ())
+    needed = plain.select(*[F.col(f"in_{c}").alias(c) for c in ("doc_id", "source", "text")], F.struct(*places).alias("row"))
+    rows = needed.select("row", "source", _key(seed).alias("key"))
     rows = _with_cuts(rows, mix_cuts(slim, weights, max_epochs))
     key = _unsigned(F.col("key"))
     more = F.when((key < F.col("cut_key")) | ((key == F.col("cut_key")) & (F.col("cut_words") * 2 >= F.col("cut_size"))), 1).otherwise(0)
     copies = (F.col("epochs") + more).cast("int")
-    rows = rows.withColumn("__copies", copies).filter("__copies > 0").select("__row", F.explode(F.array_repeat(F.lit(0), F.col("__copies"))))
-    return rows.select([F.col("__row")[c].alias(c) for c in names])
+    rows = rows.withColumn("__copies", copies).filter("__copies > 0").select("row", F.explode(F.array_repeat(F.lit(0), F.col("__copies"))))
+    return rows.select("row.*").toDF(*names)

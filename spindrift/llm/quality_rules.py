@@ -6,7 +6,9 @@ corpus (every row). A text's score is the sum of log(trusted / raw) over
 its n-grams, divided by their number; a text below ``THRESHOLD`` is not kept.
 
 Defined results: a null or empty text has no words, all counts 0, score 0 and fails the base rules; repeated rows are
-judged alike, each on its own; an empty table gives an empty result; extra columns are ignored; labels that are null or point nowhere have no effect.
+judged alike, each on its own; texts of any length are read whole; a score equal to the threshold is kept; an empty table
+gives an empty result; extra columns, whatever their names, are ignored; labels that are null or point nowhere have no
+effect.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined_small, words_of
+from .common import chosen, joined_small, words_of
 
 BUCKETS = 1 << 14
 THRESHOLD = -0.05
@@ -49,9 +51,9 @@ def gram_counts(texts: DataFrame) -> DataFrame:
 
 def log_ratios(docs: DataFrame, labels: DataFrame) -> list[float]:
     """log(trusted / raw) of every bucket, ``BUCKETS`` numbers; the raw distribution smooths the trusted one."""
-    good = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    good = chosen(labels, "doc_id", "quality").filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
     flags = good.select("doc_id", F.lit(True).alias("trusted"))
-    texts = joined_small(docs.select("doc_id", "text"), flags, "doc_id").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    texts = joined_small(chosen(docs, "doc_id", "text"), flags, "doc_id").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
     n, n_trusted = [SMOOTHING] * BUCKETS, [0.0] * BUCKETS
     for row in gram_counts(texts).collect():  # a row per bucket at most
         n[row.bucket] += row.n
@@ -88,7 +90,7 @@ def quality_rules(docs: DataFrame, ratios: list[float], threshold: float = THRES
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    df = docs.select("doc_id", "text", words_of(F.col("text")).alias("__w"), lines.alias("__lines"))
+    df = chosen(docs, "doc_id", "text").select("doc_id", "text", words_of(F.col("text")).alias("__w"), lines.alias("__lines"))
     w = F.col("__w")
     last = F.size(w) - WINDOW + 1
     starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))

@@ -9,8 +9,8 @@ text is scored whole. Classes weigh alike in the fit, so that a score of 0.5 mea
 
 Defined results: a null text counts as empty, and an empty text has all statistics zero and a score like any other;
 labels that are null teach nothing, the lowest counts where a doc_id has several; without labels of both classes the
-score is 0.5; repeated rows score alike; an empty table gives an empty result; extra columns are kept by ``score_quality``
-unless named ``score``.
+score is 0.5; repeated rows score alike; an empty table gives an empty result; extra columns, whatever their names, are
+kept by ``score_quality`` unless named ``score`` in any case.
 """
 
 from __future__ import annotations
@@ -24,11 +24,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import apart, chosen
+
 FIT_ROWS = 20_000
 TREES = 40
 DEPTH = 3
 BINS = 48
-MAX_RULES = 400
 PENALTY = 0.002
 SEED = 11
 
@@ -174,7 +175,7 @@ def _rules(x: np.ndarray, y: np.ndarray, w: np.ndarray, trees: int, depth: int,
         rows = np.sort(rng.choice(len(y), max(1, len(y) // 2), replace=False))
         for path, _, value in _grow(x, binned, cuts, w * (p - y), w * p * (1 - p), rows, depth, (), found):
             f += 0.3 * value * (Rule(path).holds(x) if path else 1.0)
-    return [Rule(t) for t in dict.fromkeys(tuple(sorted(set(p))) for p in found)][:MAX_RULES]
+    return [Rule(t) for t in dict.fromkeys(tuple(sorted(set(p))) for p in found)]
 
 
 def _lasso(z: np.ndarray, y: np.ndarray, w: np.ndarray, penalty: float, steps: int = 400) -> tuple[np.ndarray, float]:
@@ -213,9 +214,10 @@ def fit_ensemble(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int =
 
 def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> RuleEnsemble:
     """Fit on documents (doc_id, text) that have a label (doc_id, quality)."""
-    known = labels.filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("__label"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    known = chosen(labels, "doc_id", "quality").filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("__label"))
+    taken = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+    # rows that repeat id and text teach once, so a hot id cannot fill the driver
+    rows = chosen(docs, "doc_id", "text").join(F.broadcast(taken), "doc_id").distinct()
     held = rows.select(F.col("__label"), statistics_column(F.col("text")).alias("s")).select("__label", "s.*").toPandas()
     held = held.sort_values(list(held.columns), kind="stable")  # the fit must not hang on the order of partitions
     return fit_ensemble(held[list(STATS)].to_numpy(float), held["__label"].to_numpy())
@@ -223,6 +225,6 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
 
 def score_quality(docs: DataFrame, ensemble: RuleEnsemble) -> DataFrame:
     """``docs`` with ``score``."""
-    kept = [c for c in docs.columns if c != "score"]
-    stats = docs.select(*[F.col(f"`{c}`") for c in kept], statistics_column(F.col("text")).alias("__stats"))
-    return stats.select(*[F.col(f"`{c}`") for c in kept], ensemble.column(F.col("__stats")).alias("score"))
+    rows, places, names = apart(docs, ("text",), ("score",))
+    stats = rows.select(*places, statistics_column(F.col("in_text")).alias("stats"))
+    return stats.select(*places, ensemble.column(F.col("stats")).alias("made")).toDF(*names, "score")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import joined_small, materialize
+from .common import apart, chosen, joined_small, materialize
 from .components import components
 
 SHINGLE = 4
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
             fps = np.array([fingerprint(t.as_py(), size) for t in batch.column("text")], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return chosen(docs, "doc_id", "text").mapInArrow(run, "doc_id long, fp long")
 
 
 def blocks_for(n: int, max_bits: int = MAX_BITS, shard: int = 32) -> int:
@@ -225,7 +225,7 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, size: int = SHING
 def keep_one(docs: DataFrame, max_bits: int = MAX_BITS, size: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` whose doc_id names their component; of rows that share a doc_id one stays."""
     kept = near_duplicates(docs, max_bits, size).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    names = docs.columns
-    stay = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in names])))
-    return stay.withColumn("__first", first).filter("__first = 1").select(*[F.col(f"`{c}`") for c in names])
+    rows, places, names = apart(docs, ("doc_id",), ())
+    stay = rows.join(kept, rows["in_doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
+    first = F.row_number().over(Window.partitionBy("in_doc_id").orderBy(F.xxhash64(*places), *places))
+    return stay.withColumn("first", first).filter("first = 1").select(*places).toDF(*names)

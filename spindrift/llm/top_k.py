@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize
+from .common import chosen, materialize
 
 K = 20
 SHARD = 8_192
@@ -141,7 +141,7 @@ def _dealt(rows: DataFrame, name: str, n: int, size: int) -> DataFrame:
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = K, shard: int = SHARD, block: int = BLOCK, run: int = RUN) -> DataFrame:
     """query_id, rank, vec_id, score from rows of (id, vector); ``is_query`` picks the queries by the column ``id``."""
-    rows = materialize(vectors.filter(F.col("id").isNotNull()).select("id", "vector"), "top-k-vectors")
+    rows = materialize(chosen(vectors, "id", "vector").filter(F.col("id").isNotNull()), "top-k-vectors")
     n, n_queries = rows.count(), rows.filter(is_query).count()
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined_small, materialize, open_store, shared_dir
+from .common import chosen, joined_small, materialize, open_store, shared_dir
 
 SKIPPABLE = 0x184D2A5D
 ZSTD_MAGIC = 0xFD2FB528
@@ -220,7 +220,7 @@ def parse_record(frame: bytes) -> dict:
 
 def assign_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """page_id, url, html and ``first``: the page_id of the response, null for a payload of its own."""
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
+    rows = chosen(pages, "page_id", "url", "html").select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("sha1", F.sha1("html"))
     shared = rows.filter(F.octet_length("html") >= least_bytes).groupBy("sha1").agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
     shared = materialize(shared.filter("n > 1 and first is not null").select("sha1", "first"), "shared-payloads")
