@@ -89,6 +89,18 @@ def one_line(text: Column, most: int) -> Column:
     return F.when(F.length(line) > most, F.concat(F.left(line, F.lit(most - 3)), F.lit("..."))).otherwise(line)
 
 
+def fixed(value: Column, digits: int, sign: bool = False) -> Column:
+    """A number with a fixed number of digits behind the point, halves to the even digit; NULL stays."""
+    rounded = F.bround(value.cast("double"), digits)
+    return F.when(value.isNotNull(), F.format_string(f"%{'+' if sign else ''}.{digits}f", rounded))
+
+
+def with_unit(value: Column, unit: str, digits: int = 1) -> Column:
+    """A number and its unit; NA for NULL."""
+    number = fixed(value, digits)
+    return F.coalesce(F.concat(number, F.lit(f" {unit}")) if unit else number, F.lit("NA"))
+
+
 def closed(condition: Column) -> Column:
     """Unknown counts as false."""
     return F.coalesce(condition, F.lit(False))

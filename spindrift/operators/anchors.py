@@ -83,7 +83,8 @@ def thin(events: DataFrame, gap_sec: float, label: str | None = None) -> DataFra
     """Events of each case in time order that lie ``gap_sec`` or more after the last one kept.
 
     With ``label``, only an event with the same label as the last one kept can be too close. What is kept depends on
-    all that was kept before, so rows stream through in order with one time per case held; nothing is gathered.
+    all that was kept before, so rows stream through in order with one time per case held; nothing is gathered, and each
+    step goes from one kept event to the next.
     """
     spark = events.sparkSession
     names = events.columns
@@ -91,14 +92,38 @@ def thin(events: DataFrame, gap_sec: float, label: str | None = None) -> DataFra
     rows = events.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "caseid").sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        case = last = tag = None
+        case = last = tag = None  # of the last event kept
         for batch in batches:
-            cases, times = batch.column("caseid").to_pylist(), batch.column("time_sec").to_pylist()
-            labels = batch.column(label).to_pylist() if label else [None] * len(cases)
-            keep = np.zeros(len(cases), dtype=bool)
-            for k, (c, t, name) in enumerate(zip(cases, times, labels)):
-                if c != case or last is None or t - last >= gap_sec or (label and name != tag):
-                    keep[k], case, last, tag = True, c, t, name
+            if not batch.num_rows:
+                continue
+            cases = batch.column("caseid").dictionary_encode()
+            code = cases.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            times = batch.column("time_sec").to_numpy(zero_copy_only=False)
+            names = batch.column(label).dictionary_encode() if label else None
+            mark = names.indices.fill_null(-1).to_numpy(zero_copy_only=False) if label else np.zeros(len(code), dtype=np.int32)
+            of = lambda values, k: values.dictionary[k].as_py() if k >= 0 else None
+            starts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+            same_until = np.append(np.flatnonzero((code[1:] != code[:-1]) | (mark[1:] != mark[:-1])) + 1, len(code))  # ends of runs of one label
+            keep = np.zeros(len(code), dtype=bool)
+            for begin, end in zip(starts.tolist(), np.append(starts[1:], len(code)).tolist()):
+                this = of(cases, code[begin])
+
+                def after(at: int, time: float, name) -> int:
+                    """The first event from ``at`` on that is far enough, or of another label, from one kept."""
+                    far = at + int(np.searchsorted(times[at:end], time + gap_sec))
+                    while far > at and times[far - 1] - time >= gap_sec:  # sums and differences round apart
+                        far -= 1
+                    while far < end and times[far] - time < gap_sec:
+                        far += 1
+                    if label is None or at >= end:
+                        return far
+                    other = at if of(names, mark[at]) != name else int(same_until[np.searchsorted(same_until, at, side="right")])
+                    return min(far, other)
+
+                at = begin if last is None or this != case else after(begin, last, tag)
+                while at < end:
+                    keep[at], case, last, tag = True, this, float(times[at]), of(names, mark[at]) if label else None
+                    at = after(at + 1, last, tag)
             yield batch.filter(pa.array(keep))
 
     return rows.mapInArrow(run, events.schema)

@@ -116,6 +116,7 @@ def diverse(rows: DataFrame, n: int, case: str, key: str, order: str) -> DataFra
     turn = Window.partitionBy(key).orderBy(case, order)
     head = first.filter("__c = 1").withColumn("__turn", F.lit(0).cast("int")).withColumn("__k", F.lit(""))
     rest = first.filter("__c > 1").withColumn("__turn", F.row_number().over(turn)).withColumn("__k", F.col(key))
+    rest = rest.filter(F.col("__turn") <= n)  # no turn beyond n can be chosen, so Spark keeps n rows a key before the shuffle
     best = head.unionByName(rest).orderBy("__turn", "__k", case, order).limit(n)
     place = F.row_number().over(Window.orderBy("__turn", "__k", case, order))  # of n rows at most
     return best.withColumn("place", place).drop("__c", "__turn", "__k")
@@ -131,3 +132,14 @@ def with_quota(chosen: DataFrame, candidates: DataFrame, wanted: Column, least:
     n = new.count()
     gone = chosen.filter(~wanted).orderBy(F.desc(order)).limit(n)
     return chosen.join(gone.select(order), order, "left_anti").unionByName(new.select(*chosen.columns))
+
+
+def record_summary(records: DataFrame, main_drug: str = "PPF20_VOL") -> DataFrame:
+    """(name, value, n) of records with caseid, key, risk_level, kind, before and after: how many records, cases,
+    records of other drugs than the main one, records like a pump's first setting, and records by key and risk level."""
+    known = F.col("key").isNotNull() & ~F.col("key").isin(main_drug, "UNKNOWN", "ARR_EVENT", "UNLABELED_EVENT")
+    setup = closed((F.col("kind") == "rate_adjustment") & (F.abs("before") <= 1.0) & (F.col("after") >= 300.0))
+    totals = records.agg(F.count(F.lit(1)).alias("records"), F.countDistinct(F.coalesce("caseid", F.lit(-1))).alias("unique_cases"), F.count(F.when(known, 1)).alias("other_drugs"), F.count(F.when(setup, 1)).alias("setup_like"))
+    one = totals.select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit("").alias("value"), F.col(n).alias("n")) for n in totals.columns])).alias("t")).select("t.*")
+    by = lambda name, column, none: records.groupBy(F.coalesce(column, F.lit(none)).alias("value")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "value", "n")
+    return one.unionByName(by("key", "key", "UNKNOWN")).unionByName(by("risk_level", "risk_level", "unknown"))

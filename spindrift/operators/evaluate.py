@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import contains_any
+from ..functions.values import closed, contains_any, let, squeeze
+from .policy import verdict_score
+from .qa import json_object
 
 # Concept -> (words of a claim, words of evidence).
 CONCEPTS = {
@@ -35,20 +37,53 @@ def evidence_text(hits: Column) -> Column:
     return F.array_join(F.filter(F.transform(hits, lambda h: F.trim(F.coalesce(h["text"], F.lit("")))), lambda t: t != ""), "\n")
 
 
+# The concept that a threshold stated in other words claims too, and how it may be stated.
+THRESHOLD_CONCEPT = "map65_threshold"
+THRESHOLD_PATTERNS = (r"map\s*[<≤]\s*65", r"map[^0-9]{0,8}65")
+THRESHOLD_WORDS = ("低血压", "65")
+
+
+def normal(text: Column) -> Column:
+    """Lower case, one blank for each run of white space."""
+    return F.lower(squeeze(F.coalesce(text, F.lit(""))))
+
+
+def _says(low: Column, name: str, words) -> Column:
+    out = contains_any(low, list(words))
+    if name == THRESHOLD_CONCEPT:
+        for p in THRESHOLD_PATTERNS:
+            out = out | low.rlike(p)
+        out = out | (F.contains(low, F.lit(THRESHOLD_WORDS[0])) & F.contains(low, F.lit(THRESHOLD_WORDS[1])))
+    return out
+
+
 def claimed(output: Column, concepts=CONCEPTS) -> Column:
-    low = F.lower(F.coalesce(output, F.lit("")))
-    return F.array_compact(F.array(*[F.when(contains_any(low, list(c)), F.lit(n)) for n, (c, _) in concepts.items()]))
+    return let(normal(output), lambda low: F.array_compact(F.array(*[F.when(_says(low, n, c), F.lit(n)) for n, (c, _) in concepts.items()])))
 
 
 def supported(output: Column, evidence: Column, concepts=CONCEPTS) -> Column:
     """Claimed concepts that the evidence mentions."""
-    low, ev = F.lower(F.coalesce(output, F.lit(""))), F.lower(F.coalesce(evidence, F.lit("")))
-    return F.array_compact(F.array(*[F.when(contains_any(low, list(c)) & contains_any(ev, list(e)), F.lit(n)) for n, (c, e) in concepts.items()]))
+    both = F.struct(normal(output).alias("said"), normal(evidence).alias("shown"))
+    return let(both, lambda s: F.array_compact(F.array(*[F.when(_says(s["said"], n, c) & contains_any(s["shown"], list(e)), F.lit(n)) for n, (c, e) in concepts.items()])))
 
 
 def anchor_hits(output: Column, evidence: Column, anchors=ANCHORS) -> Column:
-    low, ev = F.lower(F.coalesce(output, F.lit(""))), F.lower(F.coalesce(evidence, F.lit("")))
-    return sum((F.when(contains_any(low, list(w)) & contains_any(ev, list(w)), 1).otherwise(0) for w in anchors.values()), F.lit(0))
+    both = F.struct(normal(output).alias("said"), normal(evidence).alias("shown"))
+    return let(both, lambda s: sum((F.when(contains_any(s["said"], list(w)) & contains_any(s["shown"], list(w)), 1).otherwise(0) for w in anchors.values()), F.lit(0)))
+
+
+def judged_support(claimed_: Column, supported_: Column, judge: Column) -> Column:
+    """Supported concepts together with those that a judge's JSON answer names among the claimed ones."""
+    said = F.transform(F.coalesce(F.try_variant_get(json_object(judge), "$.supported_concepts", "array<string>"), F.array().cast("array<string>")), lambda x: F.trim(x))
+    return F.array_union(supported_, F.array_intersect(claimed_, said))
+
+
+def judge_prompt(claimed_: Column, output: Column, evidence: Column, most_chars: int = 6000) -> Column:
+    """What a judge of evidence is asked."""
+    return F.concat(
+        F.lit("Which of these claimed concepts does the evidence support in meaning? Leave out what is unsupported or uncertain and name no others.\nConcepts: "), F.to_json(claimed_),
+        F.lit('\nAnswer with JSON only: {"supported_concepts": [...], "reason": "..."}\n\n[Claim]\n'), F.coalesce(output, F.lit("")), F.lit("\n\n[Evidence]\n"), F.left(F.coalesce(evidence, F.lit("")), F.lit(most_chars)),
+    )
 
 
 def support_verdict(n_claimed: Column, n_supported: Column, hits: Column, has_evidence: Column) -> Column:
@@ -81,6 +116,44 @@ def pairs(a: DataFrame, b: DataFrame, key: str, text: str, score: str) -> DataFr
     return left.join(right, key).withColumn("winner", winner(F.col("score_a"), F.col("score_b"))).withColumn("equal", F.trim("text_a") == F.trim("text_b"))
 
 
+ARMS = ("a", "b")
+
+
+def compared(rows: DataFrame) -> DataFrame:
+    """Both arms of each record set against each other.
+
+    ``rows`` has structs ``a`` and ``b`` with valid, strict_valid, guideline_valid, guideline_output, final_output,
+    alignment (a verdict) and support (a score). Adds both_valid, same_output, same_final, proxy_a, proxy_b and the
+    winners by proxy (twice strict and once guideline), alignment and support; a missing verdict or score is the least.
+    """
+    flag = lambda arm, n: closed(F.col(f"{arm}.{n}"))
+    text = lambda arm, n: F.trim(F.coalesce(F.col(f"{arm}.{n}"), F.lit("")))
+    proxy = lambda arm: flag(arm, "strict_valid").cast("int") * 2 + flag(arm, "guideline_valid").cast("int")
+    verdict = lambda arm: verdict_score(F.coalesce(F.col(f"{arm}.alignment"), F.lit("unavailable")))
+    score = lambda arm: F.coalesce(F.col(f"{arm}.support"), F.lit(-1))
+    same = lambda n: (text("a", n) != "") & (text("a", n) == text("b", n))
+    df = rows.withColumn("both_valid", flag("a", "valid") & flag("b", "valid")).withColumn("same_output", same("guideline_output")).withColumn("same_final", same("final_output"))
+    df = df.withColumn("proxy_a", proxy("a")).withColumn("proxy_b", proxy("b"))
+    for name, of in (("proxy", proxy), ("alignment", verdict), ("support", score)):
+        df = df.withColumn(f"winner_by_{name}", winner(of("a"), of("b")))
+    return df
+
+
+def arms_summary(compared_: DataFrame) -> DataFrame:
+    """One row: counts of valid, strict and guideline answers by arm, of equal outputs, and of wins and ties."""
+    n = lambda c: F.count(F.when(closed(c), 1))
+    counts = [n(F.col(f"{arm}.{k}")).alias(f"{k}_{arm}") for arm in ARMS for k in ("valid", "strict_valid", "guideline_valid")]
+    counts += [n(F.col(k)).alias(k) for k in ("both_valid", "same_output", "same_final")]
+    counts += [n(F.col(f"winner_by_{by}") == who).alias(f"{who}_by_{by}") for by in ("proxy", "alignment", "support") for who in (*ARMS, "tie")]
+    return compared_.agg(F.count(F.lit(1)).alias("total"), *counts)
+
+
+def histogram(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """(name, value, n): how often each value of several columns occurs; blank and missing values do not count."""
+    pairs = F.array(*[F.struct(F.lit(name).alias("name"), F.trim(value).alias("value")) for name, value in values.items()])
+    return rows.select(F.explode(pairs).alias("p")).select("p.*").filter("value <> ''").groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def summary(rows: DataFrame, verdict: str, score: str, ratio: str) -> DataFrame:
     """One row: totals by verdict, mean score, and mean of the ratios above zero."""
     counts = [F.count(F.when(F.col(verdict) == v, 1)).alias(f"n_{v}") for v in SCORES]

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import closed, contains_any
+from ..functions.values import closed, contains_any, fixed, let
+from .qa import json_object
 
 # Thresholds.
 MAP_LOW, MAP_SEVERE, MAP_DROP_PCT = 65.0, 55.0, 20.0
@@ -77,17 +78,48 @@ CLASS_WORDS = (
 )
 DECREASE_WORDS = ("减少", "减量", "下调", "降低", "停用", "decrease", "down-titrate", "stop", "wean")
 INCREASE_WORDS = ("增加", "加量", "追加", "上调", "推注", "滴注", "泵注", "increase", "up-titrate", "bolus")
-# Class and drug by the stem of a medication key.
-KEY_CLASSES = {
-    "PHE": "vasopressor", "EPI": "inopressor", "PPF20": "hypnotic_iv", "REMI": "opioid_analgesic", "NOR": "vasopressor", "EPH": "vasopressor",
-    "DOPA": "inopressor", "ESMO": "anti_sympathetic", "NICA": "anti_sympathetic", "NPS": "anti_sympathetic", "NTG": "vasodilator", "MIL": "inodilator",
-    "ATRO": "chronotropic", "URA": "anti_sympathetic", "RFTN20": "opioid_analgesic", "RFTN50": "opioid_analgesic", "ROC": "neuromuscular",
-    "SEVO": "hypnotic_volatile", "DES": "hypnotic_volatile", "ISO": "hypnotic_volatile", "MAC": "hypnotic_volatile", "ARR": "arrhythmia", "UNLABELED": "unknown",
-}
-KEY_DRUGS = {
-    "PHE": "phenylephrine", "EPI": "epinephrine", "PPF20": "propofol", "REMI": "remifentanil", "NOR": "norepinephrine", "EPH": "ephedrine",
-    "NTG": "nitroglycerin", "MIL": "milrinone", "ATRO": "atropine", "RFTN20": "remifentanil", "RFTN50": "remifentanil",
-}
+# Medication keys with class, drug, name and the words by which a text names them.
+KEYS = {
+    "PHE_RATE": ("vasopressor", "phenylephrine", "去氧肾上腺素泵速", ("去氧肾上腺素", "苯肾上腺素", "phenylephrine")),
+    "NOR_RATE": ("vasopressor", "norepinephrine", "去甲肾上腺素泵速", ("去甲肾上腺素", "norepinephrine")),
+    "EPH_VOL": ("vasopressor", "ephedrine", "麻黄碱累计量", ("麻黄碱", "ephedrine")),
+    "EPH_RATE": ("vasopressor", "ephedrine", "麻黄碱泵速", ("麻黄碱", "ephedrine")),
+    "EPI_RATE": ("inopressor", "epinephrine", "肾上腺素泵速", ("肾上腺素", "epinephrine")),
+    "DOPA_RATE": ("inopressor", None, "多巴胺泵速", ("多巴胺", "dopamine")),
+    "ESMO_RATE": ("anti_sympathetic", None, "艾司洛尔泵速", ("艾司洛尔", "esmolol")),
+    "NICA_RATE": ("anti_sympathetic", None, "尼卡地平泵速", ("尼卡地平", "nicardipine")),
+    "NPS_RATE": ("anti_sympathetic", None, "硝普钠泵速", ("硝普钠", "nitroprusside")),
+    "NTG_VOL": ("vasodilator", "nitroglycerin", "硝酸甘油累计量", ("硝酸甘油", "nitroglycerin", "glyceryl trinitrate")),
+    "NTG_RATE": ("vasodilator", "nitroglycerin", "硝酸甘油泵速", ("硝酸甘油", "nitroglycerin", "glyceryl trinitrate")),
+    "MIL_VOL": ("inodilator", "milrinone", "米力农累计量", ("米力农", "milrinone")),
+    "MIL_RATE": ("inodilator", "milrinone", "米力农泵速", ("米力农", "milrinone")),
+    "ATRO_VOL": ("chronotropic", "atropine", "阿托品累计量", ("阿托品", "atropine")),
+    "ATRO_RATE": ("chronotropic", "atropine", "阿托品泵速", ("阿托品", "atropine")),
+    "URA_RATE": ("anti_sympathetic", None, "乌拉地尔泵速", ("乌拉地尔", "urapidil")),
+    "PPF20_VOL": ("hypnotic_iv", "propofol", "丙泊酚累计量", ("丙泊酚", "propofol")),
+    "REMI_VOL": ("opioid_analgesic", "remifentanil", "瑞芬太尼累计量", ("瑞芬太尼", "remifentanil")),
+    "REMI_RATE": ("opioid_analgesic", "remifentanil", "瑞芬太尼泵速", ("瑞芬太尼", "remifentanil")),
+    "RFTN20_VOL": ("opioid_analgesic", "remifentanil", "瑞芬太尼20浓度累计量", ("瑞芬太尼", "remifentanil")),
+    "RFTN50_VOL": ("opioid_analgesic", "remifentanil", "瑞芬太尼50浓度累计量", ("瑞芬太尼", "remifentanil")),
+    "RFTN20_RATE": ("opioid_analgesic", "remifentanil", "瑞芬太尼20浓度速率", ("瑞芬太尼", "remifentanil")),
+    "RFTN50_RATE": ("opioid_analgesic", "remifentanil", "瑞芬太尼50浓度速率", ("瑞芬太尼", "remifentanil")),
+    "ROC_VOL": ("neuromuscular", None, "罗库溴铵累计量", ("罗库溴铵", "rocuronium")),
+    "ROC_RATE": ("neuromuscular", None, "罗库溴铵泵速", ("罗库溴铵", "rocuronium")),
+    "SEVO_ET_RATE": ("hypnotic_volatile", None, "七氟烷呼气末浓度", ("七氟烷", "sevoflurane")),
+    "SEVO_FI_RATE": ("hypnotic_volatile", None, "七氟烷吸入浓度", ("七氟烷", "sevoflurane")),
+    "DES_ET_RATE": ("hypnotic_volatile", None, "地氟烷呼气末浓度", ("地氟烷", "desflurane")),
+    "DES_FI_RATE": ("hypnotic_volatile", None, "地氟烷吸入浓度", ("地氟烷", "desflurane")),
+    "ISO_ET_RATE": ("hypnotic_volatile", None, "异氟烷呼气末浓度", ("异氟烷", "isoflurane")),
+    "ISO_FI_RATE": ("hypnotic_volatile", None, "异氟烷吸入浓度", ("异氟烷", "isoflurane")),
+    "MAC_RATE": ("hypnotic_volatile", None, "吸入麻醉MAC", ("吸入麻醉", "volatile", "mac")),
+    "ARR_EVENT": ("arrhythmia", None, None, ("心律", "arrhythmia")),
+    "UNLABELED_EVENT": ("unknown", None, None, ()),
+}
+KEY_CLASSES = {k: v[0] for k, v in KEYS.items()}
+KEY_DRUGS = {k: v[1] for k, v in KEYS.items() if v[1]}
+KEY_NAMES = {k: v[2] for k, v in KEYS.items() if v[2]}
+# Keys of inhaled agents, whose unit is vol%.
+INHALED = ("SEVO_ET_RATE", "SEVO_FI_RATE", "DES_ET_RATE", "DES_FI_RATE", "ISO_ET_RATE", "ISO_FI_RATE")
 WORSENS_PERFUSION = ("hypnotic_iv", "hypnotic_volatile", "anti_sympathetic", "vasodilator", "inodilator")
 
 
@@ -101,8 +133,20 @@ def _by_words(text: Column, table) -> Column:
 
 
 def _by_key(key: Column, table: dict[str, str]) -> Column:
-    stems = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    return F.try_element_at(stems, F.element_at(F.split(F.coalesce(key, F.lit("")), "_"), 1))
+    known = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    return F.try_element_at(known, F.coalesce(key, F.lit("")))
+
+
+def display_name(key: Column) -> Column:
+    """A medication key's name, the key itself if it has none."""
+    return F.coalesce(_by_key(key, KEY_NAMES), key)
+
+
+def key_words(key: Column) -> Column:
+    """Words of which a text on the medication should have one; none for unknown keys."""
+    none = F.array().cast("array<string>")
+    known = F.create_map(*[x for k, v in KEYS.items() for x in (F.lit(k), F.array(*[F.lit(w) for w in v[3]]).cast("array<string>"))])
+    return F.coalesce(F.try_element_at(known, F.coalesce(key, F.lit(""))), none)
 
 
 def action_class(key: Column, text: Column) -> Column:
@@ -119,10 +163,6 @@ def escalates(delta: Column, text: Column) -> Column:
     return F.when(delta > 0, True).when(delta < 0, False).otherwise(~contains_any(low, list(DECREASE_WORDS)) & contains_any(low, list(INCREASE_WORDS)))
 
 
-def _tags(pairs: list[tuple[str, Column]]) -> Column:
-    return F.array_compact(F.array(*[F.when(closed(c), name) for name, c in pairs]))
-
-
 def severe_hypotension() -> Column:
     c = F.col
     held = lambda n: F.coalesce(c(n), F.lit(0.0))
@@ -130,86 +170,95 @@ def severe_hypotension() -> Column:
     return closed(by_map) | closed(c("map_drop_pct") >= MAP_DROP_PCT)
 
 
-def strategies() -> Column:
-    """Ordered strategy tags of a state; monitoring if there is no other. Needs ``__severe`` beside the state."""
+def _strategy_conditions() -> dict[str, Column]:
+    """Ordered strategy tags of a state. Needs ``__severe`` beside the state."""
     c = F.col
     severe, hr = c("__severe"), c("hr_now")
     very_low = (c("map_now") < MAP_SEVERE) | (F.coalesce(c("map_lt_55_held"), F.lit(0.0)) >= CRITICAL_SEC)
     oxygen = c("spo2_now").isNotNull() & ((c("spo2_now") < SPO2_SEVERE) | (F.coalesce(c("spo2_lt_90_held"), F.lit(0.0)) >= CRITICAL_SEC))
     deeper = (c("bis_now") > BIS_LIGHT) & (c("map_now").isNull() | (c("map_now") >= MAP_LOW)) & (c("spo2_now").isNull() | (c("spo2_now") >= SPO2_LOW))
-    found = _tags(
-        [
-            ("oxygenation_first", oxygen),
-            ("perfusion_first", severe),
-            ("treat_brady_or_reduce_depth", severe & (hr < HR_LOW)),
-            ("consider_volume_or_stimulus", severe & (hr > HR_HIGH)),
-            ("prefer_phenylephrine_when_hr_not_low", severe & (hr >= 60.0)),
-            ("prefer_ephedrine_when_hypotension_with_low_hr", severe & (hr < 60.0)),
-            ("consider_atropine_for_hemodynamic_bradycardia", severe & (hr < 45.0)),
-            ("consider_norepinephrine_for_refractory_hypotension", severe & very_low),
-            ("rule_out_hypovolemia_before_high_dose_norepinephrine", severe & (hr > 110.0)),
-            ("avoid_vasodilator_when_map_low", c("map_now") < MAP_LOW),
-            ("consider_depth_or_analgesia_increase", deeper),
-            ("reduce_depth", (c("bis_now") < BIS_DEEP) & severe),
-        ]
-    )
-    return F.when(F.size(found) == 0, F.array(F.lit("context_monitoring"))).otherwise(found)
-
-
-def facts(tags: Column) -> dict[str, Column]:
-    """Facts by name; unknown counts as false. Needs ``__severe`` beside the state."""
+    return {
+        "oxygenation_first": oxygen,
+        "perfusion_first": severe,
+        "treat_brady_or_reduce_depth": severe & (hr < HR_LOW),
+        "consider_volume_or_stimulus": severe & (hr > HR_HIGH),
+        "prefer_phenylephrine_when_hr_not_low": severe & (hr >= 60.0),
+        "prefer_ephedrine_when_hypotension_with_low_hr": severe & (hr < 60.0),
+        "consider_atropine_for_hemodynamic_bradycardia": severe & (hr < 45.0),
+        "consider_norepinephrine_for_refractory_hypotension": severe & very_low,
+        "rule_out_hypovolemia_before_high_dose_norepinephrine": severe & (hr > 110.0),
+        "avoid_vasodilator_when_map_low": c("map_now") < MAP_LOW,
+        "consider_depth_or_analgesia_increase": deeper,
+        "reduce_depth": (c("bis_now") < BIS_DEEP) & severe,
+    }
+
+
+def _fact_conditions() -> dict[str, Column]:
+    """Facts by name beside the strategies. Needs ``__severe`` beside the state."""
     c = F.col
     cls, drug, m, hr = c("action_class"), c("action_drug"), c("map_now"), c("hr_now")
-    named = ("oxygenation_first", "perfusion_first", "reduce_depth", "consider_depth_or_analgesia_increase", "context_monitoring")
-    pairs = [(f"strategy_{n}", F.array_contains(tags, n)) for n in named]
-    pairs += [
-        ("action_escalation", c("escalation")),
-        ("class_worsen_perfusion", cls.isin(*WORSENS_PERFUSION)),
-        ("class_hypnotic_or_vasodilator_inodilator", cls.isin("hypnotic_iv", "hypnotic_volatile", "vasodilator", "inodilator")),
-        ("class_hypnotic", cls.isin("hypnotic_iv", "hypnotic_volatile")),
-        ("class_vasopressor_or_inopressor", cls.isin("vasopressor", "inopressor")),
-        ("class_opioid_or_hypnotic", cls.isin("opioid_analgesic", "hypnotic_iv", "hypnotic_volatile")),
-        ("class_monitoring_compatible", cls.isin("unknown", "neuromuscular", "arrhythmia")),
-    ]
-    pairs += [(f"drug_{d}", drug == d) for d in dict.fromkeys(KEY_DRUGS.values())]
-    pairs += [
-        ("drug_vasodilator_or_inodilator", drug.isin("nitroglycerin", "milrinone")),
-        ("map_low", m < MAP_LOW), ("map_below_75", m < 75.0), ("map_lt_55", m < 55.0), ("map_not_lt_55", m.isNull() | (m >= 55.0)),
-        ("map_ge_65", m >= 65.0), ("map_ge_75", m >= 75.0), ("map_drop_ge_relative", c("map_drop_pct") >= MAP_DROP_PCT), ("bis_high", c("bis_now") > BIS_LIGHT),
-        ("hr_lt_50", hr < 50.0), ("hr_lt_60", hr < 60.0), ("hr_lt_45", hr < 45.0), ("hr_gt_100", hr > 100.0), ("hr_gt_110", hr > 110.0),
-        ("hr_le_100", hr <= 100.0), ("hr_not_low", hr.isNull() | (hr >= 60.0)), ("delta_negative", c("delta") < 0), ("severe_hypotension", c("__severe")),
-    ]
-    return {name: closed(cond) for name, cond in pairs}
-
-
-def _matches(held: Column, names: set[str], rules, keep=lambda r: True) -> Column:
-    """Ids of matching rules in their order; a fact that nobody knows is false."""
-    fact = lambda n: held[n] if n in names else F.lit(False)
+    out = {
+        "action_escalation": c("escalation"),
+        "class_worsen_perfusion": cls.isin(*WORSENS_PERFUSION),
+        "class_hypnotic_or_vasodilator_inodilator": cls.isin("hypnotic_iv", "hypnotic_volatile", "vasodilator", "inodilator"),
+        "class_hypnotic": cls.isin("hypnotic_iv", "hypnotic_volatile"),
+        "class_vasopressor_or_inopressor": cls.isin("vasopressor", "inopressor"),
+        "class_opioid_or_hypnotic": cls.isin("opioid_analgesic", "hypnotic_iv", "hypnotic_volatile"),
+        "class_monitoring_compatible": cls.isin("unknown", "neuromuscular", "arrhythmia"),
+    }
+    out |= {f"drug_{d}": drug == d for d in dict.fromkeys(KEY_DRUGS.values())}
+    return out | {
+        "drug_vasodilator_or_inodilator": drug.isin("nitroglycerin", "milrinone"),
+        "map_low": m < MAP_LOW, "map_below_75": m < 75.0, "map_lt_55": m < 55.0, "map_not_lt_55": m.isNull() | (m >= 55.0),
+        "map_ge_65": m >= 65.0, "map_ge_75": m >= 75.0, "map_drop_ge_relative": c("map_drop_pct") >= MAP_DROP_PCT, "bis_high": c("bis_now") > BIS_LIGHT,
+        "hr_lt_50": hr < 50.0, "hr_lt_60": hr < 60.0, "hr_lt_45": hr < 45.0, "hr_gt_100": hr > 100.0, "hr_gt_110": hr > 110.0,
+        "hr_le_100": hr <= 100.0, "hr_not_low": hr.isNull() | (hr >= 60.0), "delta_negative": c("delta") < 0, "severe_hypotension": c("__severe"),
+    }
 
-    def hit(rule) -> Column:
-        out = F.lit(True)
-        for n in rule[1]:
-            out = out & fact(n)
-        for n in rule[2]:
-            out = out & ~fact(n)
-        return out
 
-    return F.array_compact(F.array(*[F.when(hit(r), F.lit(r[0])) for r in rules if keep(r)]))
+def judge(states: DataFrame, conflicts=CONFLICT_RULES, alignments=ALIGNMENT_RULES) -> DataFrame:
+    """``states`` with strategies, verdict, reason and high_risk.
+
+    What is true of a state becomes the bits of one number, worked out once; a rule is a constant mask over it. Unknown
+    counts as false, and so does a fact that nobody knows.
+    """
+    tags, facts = list(_strategy_conditions()), list(_fact_conditions())
+    place = {n: k for k, n in enumerate([f"strategy_{t}" for t in tags] + facts + ["strategy_context_monitoring"])}
+    bit = lambda cond, n: F.when(closed(cond), F.lit(1 << place[n])).otherwise(F.lit(0)).cast("long")
+    conditions = {f"strategy_{n}": c for n, c in _strategy_conditions().items()} | _fact_conditions()
+    df = states.withColumn("__severe", severe_hypotension())
+    held = None
+    for name, cond in conditions.items():
+        held = bit(cond, name) if held is None else held.bitwiseOR(bit(cond, name))
+    df = df.withColumn("__known", held)
+    any_tag = F.col("__known").bitwiseAND(F.lit((1 << len(tags)) - 1)) != 0
+    df = df.withColumn("__known", F.col("__known").bitwiseOR(bit(~any_tag, "strategy_context_monitoring")))
+    known = F.col("__known")
 
+    def hit(rule) -> Column:
+        if any(n not in place for n in rule[1]):
+            return F.lit(False)
+        need, bar = (sum(1 << place[n] for n in set(names) if n in place) for names in rule[1:3])
+        return known.bitwiseAND(F.lit(need | bar).cast("long")) == F.lit(need)
+
+    def first(rules) -> Column:
+        out = F.lit(None).cast("string")
+        for rule in reversed(rules):
+            out = F.when(hit(rule), rule[0]).otherwise(out)
+        return out
 
-def judge(states: DataFrame, conflicts=CONFLICT_RULES, alignments=ALIGNMENT_RULES) -> DataFrame:
-    """``states`` with strategies, verdict, reason and high_risk. Rules are few and constant, so they are expressions."""
-    df = states.withColumn("__severe", severe_hypotension()).withColumn("strategies", strategies())
-    known = facts(F.col("strategies"))
-    df = df.withColumn("__facts", F.struct(*[c.alias(n) for n, c in known.items()]))
-    match = lambda rules, keep=lambda r: True: _matches(F.col("__facts"), set(known), rules, keep)
-    df = df.withColumn("__against", match(conflicts)).withColumn("__risky", F.size(match(conflicts, lambda r: r[3])) > 0)
-    df = df.withColumn("__aligned", match(alignments, lambda r: r[3] == "aligned")).withColumn("__partial", match(alignments, lambda r: r[3] != "aligned"))
-    any_ = lambda n: F.size(n) > 0
-    verdict = F.when(any_("__against"), "misaligned").when(any_("__partial"), "partially_aligned").when(any_("__aligned"), "aligned").otherwise("uncertain")
-    reason = F.when(any_("__against"), F.get("__against", F.lit(0))).when(any_("__partial"), F.get("__partial", F.lit(0))).when(any_("__aligned"), F.try_element_at("__aligned", F.lit(-1))).otherwise("insufficient_discriminative_signal")
-    df = df.withColumn("verdict", verdict).withColumn("reason", reason).withColumn("high_risk", F.col("__risky"))
-    return df.drop("__severe", "__facts", "__against", "__risky", "__aligned", "__partial")
+    df = df.withColumn("__against", first(conflicts)).withColumn("__partial", first([r for r in alignments if r[3] != "aligned"]))
+    df = df.withColumn("__aligned", first([r for r in reversed(alignments) if r[3] == "aligned"]))
+    risky = F.lit(False)
+    for rule in conflicts:
+        risky = risky | hit(rule) if rule[3] else risky
+    is_ = lambda n: F.col(n).isNotNull()
+    verdict = F.when(is_("__against"), "misaligned").when(is_("__partial"), "partially_aligned").when(is_("__aligned"), "aligned").otherwise("uncertain")
+    has = lambda n: known.bitwiseAND(F.lit(1 << place[n]).cast("long")) != 0
+    named = F.array_compact(F.array(*[F.when(has(f"strategy_{t}"), t) for t in [*tags, "context_monitoring"]]))
+    df = df.withColumn("strategies", named).withColumn("verdict", verdict)
+    df = df.withColumn("reason", F.coalesce("__against", "__partial", "__aligned", F.lit("insufficient_discriminative_signal"))).withColumn("high_risk", risky)
+    return df.drop("__severe", "__known", "__against", "__partial", "__aligned")
 
 
 def report(judged: DataFrame) -> DataFrame:
@@ -221,27 +270,6 @@ def report(judged: DataFrame) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(w)).filter("rank <= 10").drop("first_ord")
 
 
-def risk_flags() -> Column:
-    """Flags of an assessment from current medians and the seconds that conditions have held.
-
-    Needs map_now, hr_now, spo2_now, bis_now, map_drop_pct and map_lt_55_held, map_lt_65_held, hr_gt_100_held,
-    hr_lt_50_held, spo2_lt_90_held, spo2_lt_94_held, bis_gt_60_held, bis_lt_40_held.
-    """
-    c = F.col
-    held = lambda n, s: F.coalesce(c(n), F.lit(0.0)) >= s
-    map_flag = F.when(held("map_lt_55_held", CRITICAL_SEC), "map_severe_hypotension").when(held("map_lt_65_held", HEMODYNAMIC_SEC), "map_hypotension").when(c("map_now") < MAP_LOW, "map_early_warning")
-    hr_flag = F.when(held("hr_gt_100_held", HEMODYNAMIC_SEC), "tachycardia").when(held("hr_lt_50_held", HEMODYNAMIC_SEC), "bradycardia")
-    spo2_flag = F.when(held("spo2_lt_90_held", CRITICAL_SEC), "spo2_severe_low").when(held("spo2_lt_94_held", HEMODYNAMIC_SEC), "spo2_low")
-    brief = (c("bis_now") > BIS_LIGHT) | (c("bis_now") < BIS_DEEP)
-    bis_flag = F.when(held("bis_gt_60_held", SLOW_SEC), "bis_light").when(held("bis_lt_40_held", SLOW_SEC), "bis_deep").when(brief, "bis_brief_deviation").when(c("bis_now").isNull(), "bis_missing")
-    drop_flag = F.when(c("map_drop_pct") >= MAP_DROP_PCT, "map_relative_drop")
-    return F.array_compact(F.array(map_flag, hr_flag, spo2_flag, bis_flag, drop_flag))
-
-
-def risk_level(flags: Column) -> Column:
-    return F.when(F.exists(flags, lambda f: f.contains("severe")), "high").when(F.size(flags) > 0, "moderate").otherwise("low")
-
-
 def intervention_type(key: Column, source: Column, rate: Column, delta: Column, bolus_rate: float = 50.0, bolus_delta: float = 1.0) -> Column:
     bolus = (key == "PPF20_VOL") & (rate >= bolus_rate) & (delta >= bolus_delta)
     return (
@@ -266,8 +294,52 @@ def check_label(text: Column, keywords: Column, before: Column, after: Column, d
     )
 
 
-# Keys of inhaled agents, whose unit is vol%.
-INHALED = ("SEVO_ET_RATE", "SEVO_FI_RATE", "DES_ET_RATE", "DES_FI_RATE", "ISO_ET_RATE", "ISO_FI_RATE")
+# Reasons that say nothing, and reasons of a check that had to do without a model's answer.
+PLACEHOLDERS = ("", "...", "…", "unknown")
+NO_REQUEST, NO_CHOICE, NO_JSON, NO_OPINION = "fallback_rule_after_validation_request_failed", "fallback_rule_after_validation_empty_choices", "fallback_rule_after_validation_non_json_output", "fallback_rule_after_model_uncertain"
+SAYS_INVALID, SAYS_VALID = "validation_non_json_output_detected_invalid", "validation_non_json_output_detected_valid"
+
+
+def checked_by_model(rule: Column, answer: Column, error: Column) -> Column:
+    """A label's check by a model, as ``check_label``'s struct; the rule's where the model gives no opinion.
+
+    ``answer`` is NULL if the model gave none, ``error`` is not if the call failed.
+    """
+    raw = F.trim(answer)
+    low = F.lower(raw)
+    out = lambda v, c, r: F.struct(v.alias("verdict"), c.cast("double").alias("confidence"), r.alias("reason"))
+    text = lambda v, n: F.coalesce(F.trim(F.try_variant_get(v, f"$.{n}", "string")), F.lit(""))
+
+    def by_rule(why: Column, least: Column) -> Column:
+        return out(rule["verdict"], F.greatest(least, rule["confidence"]), F.concat(why, F.lit("; "), rule["reason"]))
+
+    def of_object(v: Column) -> Column:
+        said = F.lower(F.coalesce(F.trim(F.try_variant_get(v, "$.verdict", "string")), F.lit("uncertain")))
+        verdict = F.when(said.isin("valid", "invalid", "uncertain"), said).otherwise("uncertain")
+        sure = F.coalesce(F.try_variant_get(v, "$.confidence", "string").try_cast("double"), F.lit(0.0))
+        empty = (verdict == "uncertain") | text(v, "reason").isin(*PLACEHOLDERS)
+        return F.when(empty, by_rule(F.lit(NO_OPINION), sure)).otherwise(out(verdict, sure, text(v, "reason")))
+
+    said = lambda *words: contains_any(low, list(words))
+    loose = (
+        F.when(said("invalid", "无效", "不准确"), out(F.lit("invalid"), F.lit(0.35), F.lit(SAYS_INVALID)))
+        .when(said("valid", "有效", "准确"), out(F.lit("valid"), F.lit(0.35), F.lit(SAYS_VALID)))
+        .otherwise(by_rule(F.lit(NO_JSON), F.lit(0.6)))
+    )
+    parsed = let(json_object(raw), lambda v: F.when(v.isNotNull(), of_object(v)).otherwise(loose))
+    return (
+        F.when(error.isNotNull(), by_rule(F.concat(F.lit(NO_REQUEST + ": "), error), F.lit(0.6)))
+        .when(answer.isNull(), by_rule(F.lit(NO_CHOICE), F.lit(0.6)))
+        .otherwise(parsed)
+    )
+
+
+def skipped(verdict: Column, drop_invalid: bool = True, drop_uncertain: bool = False) -> Column:
+    """Whether a record drops out after its label was checked; no verdict counts as uncertain."""
+    low = F.lower(F.trim(F.coalesce(verdict, F.lit("uncertain"))))
+    return (F.lit(drop_invalid) & (low == "invalid")) | (F.lit(drop_uncertain) & (low == "uncertain"))
+
+
 VERDICT_SCORES = {"aligned": 3, "partially_aligned": 2, "uncertain": 1, "misaligned": 0, "potentially_inaccurate": 0, "unavailable": -1}
 
 
@@ -293,22 +365,34 @@ def expected_value(unit: Column, smoothed_rate: Column, rate: Column, smoothed_d
     return F.when(unit == "mL/h", F.coalesce(positive(smoothed_rate), positive(rate))).when(unit == "mL", F.abs(F.coalesce(smoothed_delta, delta))).when(unit.isin("vol%", "MAC"), after)
 
 
-def describe(kind: Column, name: Column, key: Column, label: Column, before: Column, after: Column, delta: Column, smoothed_rate: Column, smoothed_delta: Column, bolus_rate: float = 50.0) -> Column:
-    """A sentence on what was done. Numbers are rounded half up."""
-    number = lambda v, d: F.format_string(f"%.{d}f", v)
-    signed = lambda v: F.format_string("%+.3f", v)
-    unit = F.when(key.endswith("_VOL"), " mL").when(key.isin(*INHALED), " vol%").otherwise("")
-    change = F.concat(F.lit("变化 "), signed(delta), unit)
-    what = F.when(key.endswith("_VOL"), "累计量").when(key.isin(*INHALED), "浓度").when(key == "MAC_RATE", "").otherwise("速率")
-    both = F.concat(name, F.lit("："), F.when(key.endswith("_VOL"), "累计量 ").otherwise(""), number(before, 3), F.lit(" -> "), number(after, 3), unit, F.lit("（"), change, F.lit("）"))
-    short = F.concat(name, F.lit("："), what, change)
-    propofol = F.when(smoothed_rate > bolus_rate, F.concat(F.lit("单次追加推注丙泊酚约 "), number(smoothed_delta, 1), F.lit(" mL"))).otherwise(F.concat(F.lit("丙泊酚静脉维持泵注平滑速率约 "), number(smoothed_rate, 2), F.lit(" mL/h")))
+def describe(e: Column, kind: Column, bolus_rate: float = 50.0) -> Column:
+    """A sentence on what was done, from a struct of key, label, before, after, delta, dt_sec, rate_per_h,
+    smoothed_rate, smoothed_dt_sec and smoothed_delta. Numbers are rounded half to even.
+
+    The texts are fixed values."""
+    say = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    name, volume = display_name(e["key"]), closed(e["key"].endswith("_VOL"))
+    change, from_to = fixed(e["delta"], 3, sign=True), say(fixed(e["before"], 3), " -> ", fixed(e["after"], 3))
+    one_sided, timed = e["before"].isNull() | e["after"].isNull(), e["rate_per_h"].isNotNull() & e["dt_sec"].isNotNull()
+    smooth = F.when(e["smoothed_rate"].isNotNull() & e["smoothed_dt_sec"].isNotNull(), say("；", fixed(e["smoothed_dt_sec"], 1), "s平滑窗口估算速率 ", fixed(e["smoothed_rate"], 2), " mL/h")).otherwise("")
+    seconds, rate = fixed(e["dt_sec"], 1), fixed(e["rate_per_h"], 2)
+    of_volume = (
+        F.when(one_sided & timed, say(name, "：累计量变化 ", change, " mL（", seconds, "s内，瞬时估算速率 ", rate, " mL/h", smooth, "）"))
+        .when(one_sided, say(name, "：累计量变化 ", change, " mL"))
+        .when(timed, say(name, "：累计量 ", from_to, " mL（变化 ", change, " mL，", seconds, "s内瞬时估算速率 ", rate, " mL/h", smooth, "）"))
+        .otherwise(say(name, "：累计量 ", from_to, " mL（变化 ", change, " mL", smooth, "）"))
+    )
+    propofol = F.when(e["smoothed_rate"] > bolus_rate, say("单次追加推注丙泊酚约 ", fixed(e["smoothed_delta"], 1), " mL")).otherwise(say("丙泊酚静脉维持泵注平滑速率约 ", fixed(e["smoothed_rate"], 2), " mL/h"))
+    inhaled = F.when(one_sided, say(name, "：浓度变化 ", change, " vol%")).otherwise(say(name, "：", from_to, " vol%（变化 ", change, " vol%）"))
+    word = F.when(e["key"] == "MAC_RATE", "变化 ").otherwise("速率变化 ")
     return (
-        F.when(kind == "arrhythmia_event", F.concat(F.lit("心律事件标注："), F.coalesce(label, F.lit("arrhythmia_event"))))
+        F.when(kind == "arrhythmia_event", say("心律事件标注：", F.trim(F.coalesce(e["label"], F.lit("arrhythmia_event")))))
         .when(kind == "unlabeled_context_snapshot", "无标记时间采样锚点（用于上下文推理训练）")
-        .when(closed(key == "PPF20_VOL") & smoothed_rate.isNotNull() & smoothed_delta.isNotNull(), propofol)
-        .when(before.isNull() | after.isNull(), short)
-        .otherwise(both)
+        .when(closed(e["key"] == "PPF20_VOL") & e["smoothed_rate"].isNotNull() & e["smoothed_delta"].isNotNull(), propofol)
+        .when(volume, of_volume)
+        .when(closed(e["key"].isin(*INHALED)), inhaled)
+        .when(one_sided, say(name, "：", word, change))
+        .otherwise(say(name, "：", from_to, "（变化 ", change, "）"))
     )
 
 

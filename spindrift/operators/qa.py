@@ -56,21 +56,29 @@ def without_meta(text: Column, label: str = "VitalDB") -> Column:
     return let(text, lambda t: _without_meta(t, label))
 
 
+# Remarks on the logged action that must not stay in an answer, and what stands for an empty one.
+REMARKS = (
+    r"(?i)[（(][^）)]*(?:logged_action|actual_intervention|golden|记录|对照)[^）)]*[）)]",
+    r"(?i)按\s*(?:logged_action|actual_intervention)\s*同类",
+    r"(?i)严格\s*对照[^，,。；;]*",
+    r"(?i)(?:与|和)?(?:原始)?记录(?:动作|方向|剂量|数值|单位)?一致",
+    r"(?i)\b(?:logged_action|actual_intervention|golden)\b",
+    r"(?:并|且)\s*$",
+)
+NO_REMARK = "维持当前给药策略。"
+
+
 def _without_meta(text: Column, label: str) -> Column:
-    head = F.regexp_extract(text, rf"(?s)^(.*{label}.*?[:：])(.*)$", 1)
-    body = strip(F.regexp_extract(text, rf"(?s)^(.*{label}.*?[:：])(.*)$", 2))
-    for pattern in (
-        r"(?i)[（(][^）)]*(?:logged_action|actual_intervention|golden|记录|对照)[^）)]*[）)]",
-        r"(?i)按\s*(?:logged_action|actual_intervention)\s*同类",
-        r"(?i)严格\s*对照[^，,。；;]*",
-        r"(?i)(?:与|和)?(?:原始)?记录(?:动作|方向|剂量|数值|单位)?一致",
-        r"(?i)\b(?:logged_action|actual_intervention|golden)\b",
-        r"(?:并|且)\s*$",
-    ):
+    """The body begins behind the first full-width colon after the last label, or the first plain one if there is none."""
+    wide, plain = rf"(?s)^(.*{label}[^：]*：)(.*)$", rf"(?s)^(.*{label}[^:]*:)(.*)$"
+    tail = F.regexp_extract(text, rf"(?s)^.*{label}(.*)$", 1)
+    pick = lambda k: F.when(F.contains(tail, F.lit("：")), F.regexp_extract(text, wide, k)).otherwise(F.regexp_extract(text, plain, k))
+    body = strip(pick(2))
+    for pattern in REMARKS:
         body = F.regexp_replace(body, pattern, "")
     body = F.regexp_replace(F.regexp_replace(body, r"\s{2,}", " "), r"^[ ，,；;。]+|[ ，,；;。]+$", "")
-    kept = let(body, lambda b: F.when(b == "", "维持当前给药策略。").otherwise(b))
-    return F.when(~text.rlike(rf"(?s){label}.*?[:：]"), text).otherwise(F.concat(head, kept))
+    kept = let(body, lambda b: F.when(b == "", NO_REMARK).otherwise(b))
+    return F.when(~tail.rlike("[:：]"), text).otherwise(F.concat(pick(1), kept))
 
 
 def final_qa(text: Column, labels: Labels = LABELS) -> Column:
@@ -239,6 +247,97 @@ def _concrete(section: Column, clause: Column, unit: str | None) -> Column:
     return closed(ok if unit is None else ok & (names_unit(clause, unit) | unconvertible(clause) | unconvertible(section)))
 
 
+#: The parts of a question that hint at its answer, and what a question must ask for: fixed values.
+SUBJECTIVE = "提示|显示|考虑|怀疑|警惕|符合|循环稳定|循环不稳|血流动力学稳定|麻醉深度不足|麻醉过深|麻醉过浅"
+ASKS = r"(?=.*[?？])(?=.*(?:干预|措施|处理))"
+QUANTITY = r"(?i)\d+(?:\.\d+)?\s*(?:mL/h|mL|mmHg|bpm|%|vol%|MAC)"
+AGAIN = r"(?i)\d+(?:\.\d+)?\s*(?:s|sec|秒|min|分钟)"
+
+
+def by_unit(unit: Column, of, otherwise) -> Column:
+    """``of(u)`` for the unit that a column names, ``otherwise`` for none."""
+    out = F
+    for u in UNIT_VALUES:
+        out = out.when(unit == u, of(u))
+    return out.otherwise(otherwise)
+
+
+def action_aligned(logged: Column, keywords: Column) -> Column:
+    """Whether a section on the logged action has one of the words; true if there are none to have."""
+    low = F.lower(logged)
+    return (F.size(keywords) == 0) | closed(F.exists(keywords, lambda k: F.contains(low, F.lower(k))))
+
+
+def concrete_logged(logged: Column, unit: Column) -> Column:
+    """Whether a section on the logged action says what to do, how much, and when to look again."""
+    ok = contains_any(F.lower(logged), list(ACTION_WORDS)) & (logged.rlike(AGAIN) | F.contains(logged, F.lit("复评"))) & logged.rlike(QUANTITY)
+    return closed(ok & by_unit(unit, lambda u: names_unit(logged, u) | unconvertible(logged), True))
+
+
+def _parts(text: Column, labels: Labels) -> Column:
+    """Struct of an answer's block, its guideline and logged section, and the action in the former."""
+    def of_block(out: Column) -> Column:
+        guideline = F.when(F.contains(out, F.lit(labels.guideline)), _section(out, labels.guideline)).otherwise(_logged(out, labels))
+        return F.struct(out.alias("block"), guideline.alias("guideline"), _logged(out, labels).alias("logged"))
+
+    return let(let(final_qa(text, labels), of_block), lambda s: F.struct(s["block"].alias("block"), s["guideline"].alias("guideline"), s["logged"].alias("logged"), _action(s["guideline"]).alias("action")))
+
+
+def checked(text: Column, keywords: Column, unit: Column, target: Column, labels: Labels = LABELS) -> Column:
+    """Struct of all checks of an answer against what was done: strict, aligned, concrete_guideline, concrete_logged,
+    consistent, close, and trainable, which is all of them. An answer without text passes none."""
+    def of(s: Column) -> Column:
+        strict = strict_v2(s["block"], labels, subjective=SUBJECTIVE, asks=ASKS)
+        guided = lambda u: _concrete(s["guideline"], s["action"], u)
+        near = lambda u: _close(values_with_unit(s["logged"], u), target, u)
+        checks = {
+            "strict": strict, "aligned": action_aligned(s["logged"], keywords),
+            "concrete_guideline": closed(s["guideline"] != "") & by_unit(unit, guided, guided(None)),
+            "concrete_logged": closed(s["logged"] != "") & concrete_logged(s["logged"], unit),
+            "consistent": by_unit(unit, lambda u: _consistent(s["action"], s["logged"], u), True), "close": by_unit(unit, near, True),
+        }
+        some = closed(F.trim(s["block"]) != "")
+        return F.struct(*[(some & closed(c)).alias(n) for n, c in checks.items()])
+
+    passed = lambda s: F.struct(*[s[n].alias(n) for n in CHECKS], (s["strict"] & s["aligned"] & s["concrete_guideline"] & s["concrete_logged"] & s["consistent"] & s["close"]).alias("trainable"))
+    return let(let(_parts(F.when(strip(text) != "", text), labels), of), passed)
+
+
+CHECKS = ("strict", "aligned", "concrete_guideline", "concrete_logged", "consistent", "close")
+
+
+def fields(text: Column, unit: Column, target: Column, labels: Labels = LABELS) -> Column:
+    """The structured fields of an answer: quoted evidence and its place, the expected unit and whether both decisions
+    keep to it, and whether the logged one is close to what was done. Blank and false for an answer without text."""
+    def of(s: Column) -> Column:
+        evidence_ = _evidence(s["guideline"])
+        consistent_ = by_unit(unit, lambda u: _consistent(s["action"], s["logged"], u), True)
+        close = by_unit(unit, lambda u: _close(values_with_unit(s["logged"], u), target, u), True)
+        return _fields(evidence_["evidence_quote"], evidence_["chapter_paragraph"], F.coalesce(unit, F.lit("")), closed(consistent_), closed(close))
+
+    blank = _fields(F.lit(""), F.lit(""), F.lit(""), F.lit(False), F.lit(False))
+    return F.when(F.coalesce(strip(text), F.lit("")) == "", blank).otherwise(let(_parts(text, labels), of))
+
+
+def _fields(quote: Column, place: Column, unit: Column, consistent_: Column, close: Column) -> Column:
+    return F.struct(
+        F.struct(quote.alias("evidence_quote"), place.alias("chapter_paragraph")).alias("evidence"),
+        F.struct(unit.alias("expected_action_unit"), consistent_.alias("consistent")).alias("unit_consistency"),
+        F.struct(close.alias("close_to_logged_action")).alias("alignment"),
+    )
+
+
+def validity(text: Column, keywords: Column, mode: str = "guideline_only", labels: Labels = LABELS) -> Column:
+    """Struct of valid, strict_valid, guideline_valid and guideline_output; ``mode`` strict makes the strict check decide."""
+    def of(s: Column) -> Column:
+        some = F.coalesce(strip(text), F.lit("")) != ""
+        strict = some & strict_v2(s["block"], labels, subjective=SUBJECTIVE, asks=ASKS) & action_aligned(s["logged"], keywords)
+        output = F.when(some, strip(s["guideline"])).otherwise("")
+        return F.struct(closed(strict if mode == "strict" else output != "").alias("valid"), closed(strict).alias("strict_valid"), closed(output != "").alias("guideline_valid"), output.alias("guideline_output"))
+
+    return let(_parts(F.coalesce(text, F.lit("")), labels), of)
+
+
 def canonical_lines(text: Column, aliases: dict[str, str]) -> Column:
     """Lines joined again with the labels at their beginnings replaced by the aliases' names."""
     def one(line: Column) -> Column:
@@ -250,6 +349,78 @@ def canonical_lines(text: Column, aliases: dict[str, str]) -> Column:
     return F.array_join(F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\R"), one), lambda x: x != ""), "\n")
 
 
+# Other names of the labels, and words by which a line is taken for the guideline's decision.
+GUIDELINE_NAMES = ("【决策干预（miller）】", "【决策干预(miller)】", "【决策干预 m i l l e r】", "【miller决策】", "【miller建议】", "【miller】", "[miller]", "miller decision")
+LOGGED_NAMES = ("【决策干预（vitaldb）】", "【决策干预(vitaldb)】", "【决策干预 vitaldb】", "【vitaldb决策】", "【vitaldb】", "[vitaldb]", "vitaldb decision")
+REASON_NAMES = ("【临床推理】", "[临床推理]", "[clinical reasoning]", "clinical reasoning")
+INFER_WORDS = ("根据miller", "miller", "建议干预", "优先处理", "应考虑", "增加镇痛", "加深麻醉", "继续观察", "维持灌注", "升压")
+REPAIR_WORDS = ("miller", "建议", "优先", "应考虑", "升压", "镇痛", "麻醉", "灌注")
+OTHER_DECISION = "vitaldb"
+
+
+def canonical_line(line: Column, labels: Labels = LABELS) -> Column:
+    """A line whose label, under any of its names, has become the label itself."""
+    squeezed = let(line, lambda x: strip(F.regexp_replace(F.replace(x, F.lit("："), F.lit(":")), r"\s+", " ")))
+
+    def of(x: Column) -> Column:
+        low = F.lower(x)
+        said = strip(F.regexp_replace(x, r"(?i)^(?:q|a)\s*:\s*", ""))
+        payload = strip(F.regexp_replace(x, r"^[\[【].*?[\]】]\s*:?\s*", ""))
+        named = lambda names: contains_any(low, list(names))
+        return (
+            F.when(low.rlike(r"^(?:q|question)\s*:"), F.concat(F.lit("Q: "), said))
+            .when(low.rlike(r"^a\s*:") & ~F.contains(x, F.lit("临床推理")) & ~F.contains(low, F.lit("clinical reasoning")), F.concat(F.lit("A: "), said))
+            .when(named(GUIDELINE_NAMES), F.concat(F.lit(f"{labels.guideline}："), payload))
+            .when(named(LOGGED_NAMES), F.concat(F.lit(f"{labels.logged}："), payload))
+            .when(named(REASON_NAMES), F.concat(F.lit(f"A: {labels.reason[0]}："), payload))
+            .otherwise(x)
+        )
+
+    return let(squeezed, of)
+
+
+def normalised(text: Column, labels: Labels = LABELS) -> Column:
+    """An answer's lines with their labels made canonical; a missing question or answer line gets a default."""
+    lines = F.filter(F.transform(F.split(final_qa(text, labels), "\n"), lambda x: canonical_line(x, labels)), lambda x: x != "")
+
+    def completed(x: Column) -> Column:
+        asked = F.when(F.get(x, F.lit(0)).rlike(r"(?i)^Q\s*:"), x).otherwise(F.concat(F.array(F.lit(DEFAULT_QUESTION)), x))
+        reason = F.lit(f"A: {labels.reason[0]}：{DEFAULT_REASON}")
+        whole = let(asked, lambda y: F.when(F.exists(y, lambda z: z.startswith("A:")), y).otherwise(F.concat(F.slice(y, 1, 1), F.array(reason), F.slice(y, 2, 1_000_000))))
+        return F.when(F.size(x) == 0, x).otherwise(whole)
+
+    return F.array_join(let(lines, completed), "\n")
+
+
+def relaxed(text: Column, repair: bool = False, labels: Labels = LABELS) -> Column:
+    """Struct of question, reason, guideline, logged, missing_label and inferred from a loosely labelled answer.
+
+    Without a section on the guideline's decision the first line that sounds like one is taken; with ``repair`` the
+    reasoning, and then any line that mentions treatment, may stand in for it.
+    """
+    section = lambda t, label: strip(F.regexp_extract(t, rf"(?is)\Q{label}\E\s*[:：]?\s*(.*?)(?=\n(?:Q:|A:|【)|\z)", 1))
+
+    def lined(t: Column) -> Column:
+        return F.struct(t.alias("text"), _lines(t).alias("lines"), section(t, labels.reason[0]).alias("reason"), section(t, labels.guideline).alias("guideline"), section(t, labels.logged).alias("logged"))
+
+    def of(s: Column) -> Column:
+        low = F.lower
+        sounds = F.filter(s["lines"], lambda x: ~F.contains(low(x), F.lit(OTHER_DECISION)) & ~F.contains(x, F.lit("临床推理")) & contains_any(low(x), list(INFER_WORDS)))
+        guess = F.coalesce(strip(F.regexp_replace(F.get(sounds, F.lit(0)), r"(?i)^(?:A:|Q:)\s*", "")), F.lit(""))
+        if repair:
+            candidates = F.concat(F.filter(F.array(s["reason"]), lambda x: x != ""), s["lines"])
+            fits = F.filter(candidates, lambda x: ~F.contains(low(x), F.lit(OTHER_DECISION)) & contains_any(low(x), list(REPAIR_WORDS)))
+            mended = F.coalesce(strip(F.regexp_replace(F.get(fits, F.lit(0)), r"(?i)^(?:A:|Q:|【[^】]+】[:：]?)\s*", "")), F.lit(""))
+            guess = F.when(guess != "", guess).otherwise(mended)
+        asked = F.coalesce(F.get(F.filter(s["lines"], lambda x: x.rlike(r"(?i)^Q\s*:")), F.lit(0)), F.lit(""))
+        return F.struct(
+            asked.alias("question"), s["reason"].alias("reason"), F.when(s["guideline"] != "", s["guideline"]).otherwise(guess).alias("guideline"), s["logged"].alias("logged"),
+            (~F.contains(s["text"], F.lit(labels.guideline))).alias("missing_label"), ((s["guideline"] == "") & (guess != "")).alias("inferred"),
+        )
+
+    return let(let(normalised(text, labels), lined), of)
+
+
 def json_object(text: Column) -> Column:
     """A JSON object as a variant: the whole text, else from its first brace to its last."""
     whole = F.try_parse_json(unfenced(text))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.values import let, with_unit
+
 #: Plausible ranges, both ends included.
 RANGES: dict[str, tuple[float, float]] = {"MBP": (20.0, 220.0), "HR": (20.0, 220.0), "SPO2": (50.0, 100.0), "BIS": (1.0, 100.0)}
 KPA_TO_MMHG = 7.50062
@@ -145,3 +147,84 @@ def interpolated(signals: DataFrame, keys: list[str]) -> DataFrame:
     span = F.col("__b.time_sec") - F.col("__a.time_sec")
     line = F.col("__a.value") + (F.col("__b.value") - F.col("__a.value")) * (F.col("time_sec") - F.col("__a.time_sec")) / F.when(span > 0, span)
     return rows.withColumn("filled", F.coalesce("value", line, "__a.value", "__b.value")).drop("__a", "__b")
+
+
+# Statistics of the points of one window, as an array of (time_sec, value) in order: bounded by the window's length.
+
+
+def array_median(values: Column) -> Column:
+    """Median of an array without NULLs; NULL for an empty one."""
+    middle = lambda s: (F.get(s, F.floor((F.size(s) - 1) / 2).cast("int")) + F.get(s, F.floor(F.size(s) / 2).cast("int"))) / 2.0
+    return F.when(F.size(values) > 0, let(F.array_sort(values), middle))
+
+
+def array_mean(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / F.nullif(F.size(values), F.lit(0))
+
+
+def summary_of(points: Column, least: int = 10) -> Column:
+    """``summaries`` of one array of points as a struct; NULL with too few points."""
+    def of(v: Column) -> Column:
+        n = F.size(v)
+        k = F.greatest(F.lit(5), F.least(F.lit(20), F.floor(n / 10).cast("int")))
+        middle = (n - 1) / 2.0
+        slope = F.aggregate(F.transform(v, lambda x, i: (i - middle) * x), F.lit(0.0), lambda a, x: a + x) / (n.cast("double") * (n * n - 1) / 12.0)
+        return F.struct(
+            array_mean(F.slice(v, 1, k)).alias("start"), array_mean(F.slice(v, F.greatest(n - k, F.lit(0)) + 1, k)).alias("end"), array_mean(v).alias("mean"),
+            F.array_min(v).alias("min"), F.array_max(v).alias("max"), slope.alias("slope"), trend(slope).alias("trend"),
+        )
+
+    return F.when(F.size(points) >= least, let(F.transform(points, lambda p: p["value"]), of))
+
+
+def recent_median_of(points: Column, most: int = 60) -> Column:
+    """``recent_median`` of one array of points."""
+    values = F.transform(points, lambda p: p["value"])
+    return array_median(F.slice(values, F.greatest(F.size(points) - most, F.lit(0)) + 1, most))
+
+
+def step_of(points: Column) -> Column:
+    """The median of the positive steps between points, 1 without any."""
+    steps = F.transform(points, lambda p, i: p["time_sec"] - F.get(points, i - 1)["time_sec"])
+    return F.coalesce(array_median(F.filter(steps, lambda d: d > 0)), F.lit(1.0))
+
+
+def held_of(points: Column, step: Column, holds) -> Column:
+    """``tail_runs`` of one array of points: seconds for which ``holds(value)`` has been true up to the last point."""
+    bad = F.array_max(F.transform(F.filter(points, lambda p: ~holds(p["value"])), lambda p: p["time_sec"]))
+    inside = let(bad, lambda b: F.array_min(F.transform(F.filter(points, lambda p: b.isNull() | (p["time_sec"] > b)), lambda p: p["time_sec"])))
+    last = F.get(points, F.size(points) - 1)["time_sec"]
+    return F.coalesce(let(inside, lambda f: F.when(f.isNotNull(), F.greatest(step, last - f + step))), F.lit(0.0))
+
+
+# Units of the vitals, and what stands for a trend without data.
+UNITS = {"MBP": "mmHg", "HR": "bpm", "SPO2": "%", "BIS": ""}
+NO_TREND = "insufficient valid data"
+
+
+def trend_text(summary: Column, unit: str) -> Column:
+    """A sentence on a window: from where to where, its mean and its range."""
+    v = lambda n: with_unit(summary[n], unit)
+    said = F.concat(F.lit("from "), v("start"), F.lit(" "), summary["trend"], F.lit(" to "), v("end"), F.lit("; mean "), v("mean"), F.lit(", range ["), v("min"), F.lit(", "), v("max"), F.lit("]"))
+    return F.when(summary.isNull(), NO_TREND).otherwise(said)
+
+
+#: Least changes of a rate that count as medication, for agents of which little is given: fixed values.
+SMALL_CHANGES = ((("SEVO_ET_RATE", "SEVO_FI_RATE", "DES_ET_RATE", "DES_FI_RATE", "ISO_ET_RATE", "ISO_FI_RATE"), 0.15), (("MAC_RATE",), 0.05))
+
+
+def rate_threshold(track: Column, base: float) -> Column:
+    """The least change of a rate that counts for a track."""
+    out = F
+    for tracks, most in SMALL_CHANGES:
+        out = out.when(track.isin(*tracks), min(base, most))
+    return out.otherwise(base)
+
+
+def medicated_cases(signals: DataFrame, rate_delta: float = 0.5, volume_delta: float = 0.03) -> DataFrame:
+    """Cases with any nonzero rate, half a rate threshold's change, or half a volume threshold's increase."""
+    w = Window.partitionBy("caseid", "track").orderBy("time_sec", "ord")
+    known = signals.filter(F.col("value").isNotNull()).withColumn("__d", F.col("value") - F.lag("value").over(w))
+    of_rate = (F.col("value") != 0) | (F.abs("__d") >= rate_threshold(F.col("track"), rate_delta) * 0.5)
+    hit = F.when(F.col("track").endswith("_RATE"), of_rate).when(F.col("track").endswith("_VOL"), F.col("__d") >= 0.5 * volume_delta)
+    return known.groupBy("caseid").agg(F.bool_or(F.coalesce(hit, F.lit(False))).alias("__any")).filter("__any").select("caseid")

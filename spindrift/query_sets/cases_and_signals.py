@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import case_id, first_fields, first_valid, seconds_of, valid_fields
 from ..operators import anchors, cases, series
+from ..plans.snapshots import SnapshotConfig, nested, snapshots, visible_context
 from .base import DAY, HOUR, SIGNALS_SQL, START, signals, table
 
 RANGES = {"click": (1.0, 400.0), "purchase": (1.0, 400.0), "view": (5.0, 300.0)}
@@ -306,7 +307,103 @@ def time_parse(spark, sf_dir):
 TIME_PARSE = """SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN (l_quantity::INT % 24) * 3600.0 + l_quantity::INT * 60.0 + 7.5
   WHEN 1 THEN l_quantity::INT * 60.0 + 30.0 WHEN 2 THEN l_quantity::INT::DOUBLE END::DOUBLE AS seconds FROM lineitem"""
 
+TRACKS = {"purchase": "PHE_RATE", "signup": "NOR_RATE", "click": "MBP", "view": "HR", "error": "SPO2"}
+SNAPSHOT = SnapshotConfig(window_sec=20 * DAY, least_points=8, baseline_sec=(28 * DAY, 14 * DAY), anchor=anchors.AnchorConfig(rate_delta=40.0, gap_sec=DAY, per_case=4, setup_early_sec=0.0))
+
+
+def _snapshots(spark, sf_dir):
+    names = F.create_map(*[F.lit(x) for pair in TRACKS.items() for x in pair])
+    s = signals(spark, sf_dir).withColumn("track", F.try_element_at(names, "track"))
+    is_rate = F.col("track").endswith("_RATE")
+    return snapshots(s.filter(is_rate), s.filter(~is_rate), SNAPSHOT)
+
+
+def snapshot_build(spark, sf_dir):
+    """Events of two medications with the windows of three vitals, assessed and judged."""
+    n = lambda c: F.round(F.col(c) + 1e-9, 4).alias(c)
+    heart = F.col("vital_stats")["HR"]
+    return _snapshots(spark, sf_dir).select(
+        "caseid", "anchor_no", "key", "event_time", *[n(c) for c in ("map_now", "hr_now", "spo2_now", "map_baseline", "map_drop_pct", "hr_change_pct", "map_lt_65_held", "hr_lt_50_held", "spo2_lt_94_held")],
+        F.size("vital_stats").alias("n_stats"), F.round(heart["slope"] + 1e-9, 4).alias("hr_slope"), F.round(heart["end"] + 1e-9, 4).alias("hr_end"), "risk_level", "unstable", F.size("risk_flags").alias("n_flags"), "intervention_type",
+    )
+
+
+_W, _B0, _B1 = 20 * DAY, 28 * DAY, 14 * DAY
+_TRACK_SQL = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TRACKS.items())
+
+
+def _held_sql(name: str, track: str, test: str) -> str:
+    return f"""{name} AS (SELECT caseid, anchor_no, CASE WHEN max(f) IS NULL THEN 0.0 ELSE greatest(max(step), max(last) - max(f) + max(step)) END AS {name} FROM (
+  SELECT caseid, anchor_no, min(time_sec) FILTER (bad IS NULL OR time_sec > bad) AS f, max(time_sec) AS last, coalesce(median(d) FILTER (d > 0), 1.0) AS step FROM (
+    SELECT *, max(CASE WHEN NOT value {test} THEN time_sec END) OVER (PARTITION BY caseid, anchor_no) AS bad, time_sec - lag(time_sec) OVER (PARTITION BY caseid, anchor_no ORDER BY time_sec, value) AS d FROM v WHERE track = '{track}')
+  GROUP BY 1, 2) GROUP BY 1, 2)"""
+
+
+_SNAPSHOT_SQL = f"""{SIGNALS_SQL}, sg AS (SELECT caseid, time_sec, CASE track {_TRACK_SQL} END AS track, value, ord FROM signals),
+l AS (SELECT *, lag(value) OVER (PARTITION BY caseid, track ORDER BY time_sec, ord) AS before FROM sg WHERE suffix(track, '_RATE')),
+e AS (SELECT caseid, time_sec, track, row_number() OVER (PARTITION BY caseid ORDER BY time_sec, ord) AS n FROM l WHERE abs(value - before) >= 40 AND NOT (before = 0 AND value - before >= 100) AND NOT (abs(before) <= 1 AND abs(value - before) >= 100 AND value >= 300)),
+r AS (SELECT caseid, n, time_sec AS last_t, true AS kept FROM e WHERE n = 1
+  UNION ALL SELECT e.caseid, e.n, CASE WHEN e.time_sec - r.last_t >= 86400.0 THEN e.time_sec ELSE r.last_t END, e.time_sec - r.last_t >= 86400.0 FROM r JOIN e ON e.caseid = r.caseid AND e.n = r.n + 1),
+k AS (SELECT caseid, track AS key, time_sec AS t, row_number() OVER (PARTITION BY caseid ORDER BY n)::INTEGER AS anchor_no FROM e JOIN r USING (caseid, n) WHERE kept QUALIFY anchor_no <= 4),
+j AS (SELECT k.caseid, anchor_no, t, s.time_sec, s.track, CASE WHEN s.track IN ('MBP', 'HR') AND s.value BETWEEN 20 AND 220 THEN s.value WHEN s.track = 'SPO2' AND s.value BETWEEN 50 AND 100 THEN s.value END AS value
+  FROM k JOIN sg s ON s.caseid = k.caseid AND NOT suffix(s.track, '_RATE') AND s.time_sec BETWEEN greatest(0, t - {_B0}) AND t),
+c AS (SELECT caseid, anchor_no FROM j WHERE time_sec >= greatest(0, t - {_W}) GROUP BY 1, 2 HAVING count(DISTINCT time_sec) >= 8),
+b AS (SELECT caseid, anchor_no, median(value) FILTER (track = 'MBP') AS map_baseline, median(value) FILTER (track = 'HR') AS hr_base FROM j WHERE time_sec BETWEEN greatest(0, t - {_B0}) AND greatest(0, t - {_B1}) GROUP BY 1, 2),
+v AS (SELECT * FROM j WHERE value IS NOT NULL AND time_sec >= greatest(0, t - {_W})),
+i AS (SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY caseid, anchor_no, track) AS n FROM v WINDOW w AS (PARTITION BY caseid, anchor_no, track ORDER BY time_sec, value)),
+st AS (SELECT caseid, anchor_no, track, max(n) AS n, median(value) FILTER (i > n - 60) AS now, regr_slope(value, i::DOUBLE) AS slope, avg(value) FILTER (i > n - greatest(5, least(20, n // 10))) AS fin FROM i GROUP BY 1, 2, 3),
+sm AS (SELECT caseid, anchor_no, count(*) FILTER (n >= 10)::INTEGER AS n_stats, max(now) FILTER (track = 'MBP') AS map_now, max(now) FILTER (track = 'HR') AS hr_now, max(now) FILTER (track = 'SPO2') AS spo2_now,
+  max(slope) FILTER (track = 'HR' AND n >= 10) AS hr_slope, max(fin) FILTER (track = 'HR' AND n >= 10) AS hr_end FROM st GROUP BY 1, 2),
+{_held_sql('m55', 'MBP', '< 55')}, {_held_sql('m65', 'MBP', '< 65')}, {_held_sql('h100', 'HR', '> 100')}, {_held_sql('h50', 'HR', '< 50')}, {_held_sql('o90', 'SPO2', '< 90')}, {_held_sql('o94', 'SPO2', '< 94')},
+x AS (SELECT k.*, coalesce(n_stats, 0) AS n_stats, map_now, hr_now, spo2_now, hr_slope, hr_end, map_baseline, CASE WHEN map_baseline > 0 THEN (map_baseline - map_now) / map_baseline * 100 END AS fall, CASE WHEN hr_base > 0 THEN (hr_now - hr_base) / hr_base * 100 END AS hr_change,
+  coalesce(m55, 0.0) AS m55, coalesce(m65, 0.0) AS m65, coalesce(h100, 0.0) AS h100, coalesce(h50, 0.0) AS h50, coalesce(o90, 0.0) AS o90, coalesce(o94, 0.0) AS o94 FROM k JOIN c USING (caseid, anchor_no) LEFT JOIN sm USING (caseid, anchor_no) LEFT JOIN b USING (caseid, anchor_no)
+  LEFT JOIN m55 USING (caseid, anchor_no) LEFT JOIN m65 USING (caseid, anchor_no) LEFT JOIN h100 USING (caseid, anchor_no) LEFT JOIN h50 USING (caseid, anchor_no) LEFT JOIN o90 USING (caseid, anchor_no) LEFT JOIN o94 USING (caseid, anchor_no)),
+y AS (SELECT *, map_now IS NOT NULL AND (m55 >= 30 OR m65 >= 60) AS absolute, coalesce(fall >= 20, false) AS relative, spo2_now IS NOT NULL AND o90 >= 30 AS grave_o, map_now IS NOT NULL AND m55 >= 30 AS grave_m FROM x)"""
+SNAPSHOT_BUILD = f"""WITH RECURSIVE {_SNAPSHOT_SQL}
+SELECT caseid, anchor_no, key, t AS event_time, round(map_now + 1e-9, 4) AS map_now, round(hr_now + 1e-9, 4) AS hr_now, round(spo2_now + 1e-9, 4) AS spo2_now, round(map_baseline + 1e-9, 4) AS map_baseline, round(fall + 1e-9, 4) AS map_drop_pct, round(hr_change + 1e-9, 4) AS hr_change_pct,
+  round(m65 + 1e-9, 4) AS map_lt_65_held, round(h50 + 1e-9, 4) AS hr_lt_50_held, round(o94 + 1e-9, 4) AS spo2_lt_94_held, n_stats, round(hr_slope + 1e-9, 4) AS hr_slope, round(hr_end + 1e-9, 4) AS hr_end, CASE WHEN grave_m OR grave_o THEN 'high' ELSE 'moderate' END AS risk_level,
+  coalesce(map_now < 65, false) OR coalesce(fall >= 15, false) OR coalesce(hr_now < 50 OR hr_now > 100, false) OR coalesce(spo2_now < 94, false) AS unstable,
+  (absolute OR coalesce(map_now < 65, false))::INTEGER + (hr_now IS NOT NULL AND (h100 >= 60 OR h50 >= 60))::INTEGER + (spo2_now IS NOT NULL AND (o90 >= 30 OR o94 >= 60))::INTEGER + 1 + relative::INTEGER * 2 + absolute::INTEGER AS n_flags, 'rate_adjustment' AS intervention_type FROM y"""
+
+
+def snapshot_records(spark, sf_dir):
+    """Nested records, as their JSON says them: background, context, stage, and what was done."""
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("caseid"), F.col("c_nationkey").cast("string").alias("age"), F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("department"), F.when(F.col("c_custkey") % 2 == 0, " nan ").alias("dx"), F.col("c_acctbal").cast("string").alias("preop_balance"), F.col("c_name").alias("opname"))
+    records = nested(_snapshots(spark, sf_dir), customers, SNAPSHOT)
+    s = F.parse_json(F.to_json("snapshot"))
+    get = lambda path, kind="string": F.try_variant_get(s, f"$.{path}", kind)
+    visible = F.parse_json(F.to_json(visible_context(F.col("snapshot"), 28800)))
+    return records.select(
+        "caseid", "surgery_group", "anchor_no", get("patient_background.age").alias("age"), get("patient_background.department").alias("department"), get("patient_background.sex").alias("sex"), F.array_join(get("preop_context", "array<string>"), "|").alias("context"),
+        get("intraop_stage").alias("stage"), get("anchor_detail.medication_key").alias("key"), get("clinical_table_structured.diagnosis_and_surgery.dx").alias("dx"), get("clinical_table_structured.preop_metrics.preop_balance").alias("balance"),
+        get("clinical_assessment.risk_level").alias("risk_level"), get("clinical_assessment.map_policy.absolute_triggered", "boolean").alias("absolute"), F.try_variant_get(visible, "$.surgery_type", "string").alias("shown"), F.try_variant_get(visible, "$.actual_intervention", "string").isNull().alias("hides_action"),
+        F.try_variant_get(visible, "$.intraop_signal_state.signals.BIS.trend_text", "string").alias("bis"),
+    )
+
+
+SNAPSHOT_RECORDS = f"""WITH RECURSIVE {_SNAPSHOT_SQL}
+SELECT caseid, 'Other' AS surgery_group, anchor_no, c_nationkey::VARCHAR AS age, CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment ELSE 'Unknown' END AS department, 'Unknown' AS sex, CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment || '|' || c_name ELSE c_name END AS context,
+  'Intraoperative (relative timestamp: ' || floor(t)::BIGINT || ' sec)' AS stage, key, '' AS dx, c_acctbal::VARCHAR AS balance, CASE WHEN grave_m OR grave_o THEN 'high' ELSE 'moderate' END AS risk_level, absolute, c_name AS shown, true AS hides_action, 'insufficient valid data' AS bis FROM y JOIN customer ON c_custkey = caseid"""
+
+
+def medicated_semijoin(spark, sf_dir):
+    """Cases with medication: volumes have to rise, small rates of volatile agents count."""
+    names = {"purchase": "PHE_VOL", "signup": "SEVO_ET_RATE", "click": "MAC_RATE", "view": "HR", "error": "NOR_RATE"}
+    table_ = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    s = signals(spark, sf_dir).withColumn("track", F.try_element_at(table_, "track"))
+    s = s.withColumn("value", F.when(F.col("track") == "NOR_RATE", 0.0).when(F.col("track") == "SEVO_ET_RATE", F.when(F.col("ord") % 2 == 0, 0.0)).when(F.col("track") == "MAC_RATE", F.lit(None).cast("double")).otherwise(F.col("value")))
+    hit = series.medicated_cases(s.filter(F.col("caseid") % 2 == 0), volume_delta=900.0).unionByName(series.medicated_cases(s.filter((F.col("caseid") % 2 == 1) & (F.col("ord") % 5 == 0) & (F.col("track") != "PHE_VOL")).withColumn("value", F.when(F.col("ord") % 25 == 0, 0.1).otherwise(F.lit(0.0)))))
+    return s.join(hit, "caseid", "left_semi").groupBy("caseid").agg(F.count(F.lit(1)).alias("n"))
+
+
+MEDICATED = f"""WITH {SIGNALS_SQL}, d AS (SELECT caseid, value - lag(value) OVER (PARTITION BY caseid ORDER BY time_sec, ord) AS d FROM signals WHERE track = 'purchase' AND caseid % 2 = 0),
+hit AS (SELECT caseid FROM d WHERE d >= 450 UNION SELECT caseid FROM signals WHERE caseid % 2 = 1 AND ord % 25 = 0 AND track IN ('signup', 'click', 'error'))
+SELECT caseid, count(*)::BIGINT AS n FROM signals WHERE caseid IN (SELECT caseid FROM hit) GROUP BY 1"""
+
 REGISTER = [
+    ("snapshot_build", snapshot_build, SNAPSHOT_BUILD),
+    ("snapshot_records", snapshot_records, SNAPSHOT_RECORDS),
+    ("medicated_semijoin", medicated_semijoin, MEDICATED),
     ("anchors_rate_change", anchors_rate_change, ANCHORS_RATE),
     ("case_filter_group", case_filter_group, CASE_FILTER_GROUP),
     ("multisource_union_dedup", multisource_union_dedup, MULTISOURCE),

@@ -135,7 +135,7 @@ def hit_log_explode(spark, sf_dir):
     return rows.select("query_id", "h.rank", "h.chunk_id", F.md5("h.passage").alias("passage_md5"))
 
 
-HIT_LOG = f"WITH {_bm25_sql(3)} SELECT query_id, rank, chunk_id, md5(left(text, 80)) AS passage_md5 FROM bm JOIN documents ON doc_id = chunk_id WHERE score > 0"
+HIT_LOG = f"WITH {_bm25_sql(3)} SELECT query_id, rank, chunk_id, md5(left(text, 1200)) AS passage_md5 FROM bm JOIN documents ON doc_id = chunk_id WHERE score > 0"
 
 
 def focus_scores(spark, sf_dir):

@@ -348,10 +348,13 @@ def test_expected_units_and_descriptions(spark):
     assert [unit("ARR_EVENT"), unit("PHE_RATE", source="periodic"), unit("SEVO_ET_RATE"), unit("MAC_RATE"), unit("PPF20_VOL", "bolus_like_event", 9), unit("EPH_VOL", "continuous_infusion", 0), unit("EPH_VOL", "continuous_infusion"), unit("NOR_RATE"), unit("X")] == [None, None, "vol%", "MAC", "mL", "mL/h", "mL", "mL/h", None]
     value = lambda u, *v: one(spark, policy.expected_value(s(u), *map(n, v)))
     assert [value("mL/h", 0, 7, 1, 1, 1), value("mL", 1, 1, None, -2, 1), value("MAC", 1, 1, 1, 1, 0.8), value(None, 1, 1, 1, 1, 1)] == [7.0, 2.0, 0.8, None]
-    say = lambda kind, key, *v: one(spark, policy.describe(s(kind), s("药"), s(key), s("AF"), *map(n, v)))
-    assert say("rate_adjustment", "NOR_RATE", 1, 2.5, 1.5, None, None) == "药：1.000 -> 2.500（变化 +1.500）"
-    assert say("rate_adjustment", "SEVO_ET_RATE", None, 2, 1, None, None) == "药：浓度变化 +1.000 vol%"
-    assert say("bolus_like_event", "PPF20_VOL", 1, 2, 1, 60, 2) == "单次追加推注丙泊酚约 2.0 mL" and say("arrhythmia_event", "ARR_EVENT", 1, 2, 1, None, None) == "心律事件标注：AF"
+    names = ("before", "after", "delta", "smoothed_rate", "smoothed_delta")
+    event = lambda key, v: F.struct(s(key).alias("key"), s("AF").alias("label"), *[n(x).alias(c) for c, x in zip(names, v)], *[n(None).alias(c) for c in ("dt_sec", "rate_per_h", "smoothed_dt_sec")])
+    say = lambda kind, key, *v: one(spark, policy.describe(event(key, v), s(kind)))
+    assert say("rate_adjustment", "NOR_RATE", 1, 2.5, 1.5, None, None) == "去甲肾上腺素泵速：1.000 -> 2.500（变化 +1.500）"
+    assert say("rate_adjustment", "X_RATE", 1, 2.5, 1.5, None, None) == "X_RATE：1.000 -> 2.500（变化 +1.500）"
+    assert say("rate_adjustment", "SEVO_ET_RATE", None, 2, 1, None, None) == "七氟烷呼气末浓度：浓度变化 +1.000 vol%"
+    assert say("bolus_like_event", "PPF20_VOL", 1, 2, 1, 60, 2.25) == "单次追加推注丙泊酚约 2.2 mL" and say("arrhythmia_event", "ARR_EVENT", 1, 2, 1, None, None) == "心律事件标注：AF"
     assert [one(spark, policy.verdict_score(s(v))) for v in (" Aligned", "unavailable", "x")] == [3, -1, 0]
 
 
