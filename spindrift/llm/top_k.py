@@ -1,39 +1,41 @@
-"""Exact top-k search by inner product: a ball tree per shard, branch and bound, one k-th score shared by shards.
+"""Exact top-k search by inner product: a ball tree per shard, branch and bound, k-th scores shared by all shards.
 
-Candidates are dealt into shards of about ``SHARD`` vectors by a hash; each shard becomes a ball tree. Queries go in
-blocks. A task takes one block and a run of shards, one shard after the other: for a query the nodes of a tree are
-ordered by the upper bound <q, centre> + |q| * radius and visited while the bound reaches the query's k-th score so
-far, which the next shard starts from. Every task starts from the k-th score that the block's home shard gives. The
-best k of the runs are merged last.
+Candidates become ball trees of about ``SHARD`` vectors where they lie, written to the shared folder with a small table of
+their roots. Queries go in blocks; a block passes through all trees one after the other. For a query the nodes of a tree
+are ordered by the upper bound <q, centre> + |q| * radius and visited while the bound reaches the query's k-th score so
+far, and a tree whose root's bound reaches no query's score is not even read. So each tree shares the k-th scores of all
+before it, and neither trees nor queries are shuffled against each other: what moves grows with the number of rows. A
+lost task costs one block. Only a query's k best are merged last, for ids that ask with several vectors.
 
 Scores are exact: components are floored to whole numbers, and products run in doubles only where their sum stays below
 2**53, else in Python's integers. Scores beyond 64 bits are held at its ends.
 
 Defined results: vectors that are null, hold a null or non-finite component, or lack an id take no part; shorter vectors
 count as filled up with zeros; equal scores go to the smaller id; rows that share the query's id are never its
-candidates, other repeated rows count each; fewer candidates than k are all returned; empty tables give empty results;
-extra columns are ignored.
+candidates, other repeated rows count each, and repeated queries each ask; fewer candidates than k are all returned;
+empty tables give empty results; extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 import pickle
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import chosen, materialize
+from .common import chosen, materialize, open_store, shared_dir
 
 K = 20
 SHARD = 8_192
 LEAF = 128
-BLOCK = 512
-#: Shards that one task goes through for a block.
-RUN = 16
+SHARD_BYTES = 32 << 20
+#: Queries of a block, and the fewest for which a task of their own pays; trees that a task keeps in memory.
+BLOCK, LEAST_BLOCK, KEPT = 1_024, 32, 8
 _ENDS = (-(1 << 63), (1 << 63) - 1)
 
 
@@ -134,57 +136,127 @@ def search(tree: BallTree, query_ids: np.ndarray, queries: np.ndarray, best: lis
         best[q] = mine
 
 
-def _dealt(rows: DataFrame, name: str, n: int, size: int) -> DataFrame:
-    parts = max(1, -(-n // size))
-    return rows.withColumn(name, F.pmod(F.xxhash64(F.lit(name), "id"), F.lit(parts)).cast("int"))
+def _stored(tree: BallTree, store, path: str) -> dict:
+    """Write a tree; what a block must know to pass it by."""
+    with store.open_output_stream(path) as f:
+        f.write(pickle.dumps(tree))
+    centre = tree.vectors.mean(axis=0)
+    radius = float(np.sqrt(((tree.vectors - centre) ** 2).sum(axis=1).max()))
+    return {"path": path, "centre": centre.tolist(), "radius": radius, "norm": tree.norm}
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = K, shard: int = SHARD, block: int = BLOCK, run: int = RUN) -> DataFrame:
+_ROOTS = pa.schema([("path", pa.string()), ("centre", pa.list_(pa.float64())), ("radius", pa.float64()), ("norm", pa.float64())])
+
+
+def grow_trees(rows: DataFrame, shard: int = SHARD) -> str:
+    """Trees of all rows (id, vector) in the shared folder; the place of the table of their roots.
+
+    Rows become trees where they lie, ``shard`` rows or ``SHARD_BYTES`` at a time, so nothing is shuffled and no id,
+    however often it comes, makes a tree larger.
+    """
+    folder = shared_dir(rows.sparkSession, "top-k-trees")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = open_store(folder)
+        ids, vectors, size = [], [], 0
+        roots = []
+
+        def flush() -> None:
+            nonlocal ids, vectors, size
+            roots.append(_stored(BallTree(np.array(ids, dtype=np.int64), _matrix(vectors)), store, f"{base}/{uuid.uuid4().hex}.tree"))
+            ids, vectors, size = [], [], 0
+
+        for batch in batches:
+            for i, v in zip(batch.column("id").to_pylist(), _vectors(batch.column("vector"))):
+                ids.append(i)
+                vectors.append(v)
+                size += v.nbytes
+                if len(ids) >= shard or size >= SHARD_BYTES:
+                    flush()
+        if ids:
+            flush()
+        yield pa.RecordBatch.from_pylist(roots, schema=_ROOTS)
+
+    out = folder + "/roots"
+    rows.mapInArrow(run, "path string, centre array<double>, radius double, norm double").write.parquet(out)
+    return out
+
+
+def _vectors(column: pa.ListArray) -> list[np.ndarray]:
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
+    return np.split(flat, ends[:-1]) if len(column) else []
+
+
+def _roots(place: str) -> Iterator[dict]:
+    from pyarrow import dataset
+
+    store, base = open_store(place)
+    for batch in dataset.dataset(base, filesystem=store, format="parquet", schema=_ROOTS).to_batches(batch_size=1024):
+        yield from batch.to_pylist()
+
+
+class _Trees:
+    """Trees by path, the last few of them kept."""
+
+    def __init__(self, place: str):
+        self.store, _ = open_store(place)
+        self.held: dict[str, BallTree] = {}
+
+    def __getitem__(self, path: str) -> BallTree:
+        tree = self.held.pop(path, None)
+        if tree is None:
+            with self.store.open_input_stream(path) as f:
+                tree = pickle.loads(f.read())
+            while len(self.held) >= KEPT:
+                del self.held[next(iter(self.held))]
+        self.held[path] = tree
+        return tree
+
+
+def answer(place: str, trees: _Trees, ids: np.ndarray, matrix: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
+    """The k best (-score, id) of each query of a block, which passes through all trees with its k-th scores in hand."""
+    best: list[list[tuple[int, int]]] = [[] for _ in ids]
+    kth = np.full(len(ids), -np.inf)
+    norms = np.sqrt((matrix**2).sum(axis=1))
+    for root in _roots(place):
+        centre = np.array(root["centre"])
+        dim = min(len(centre), matrix.shape[1])
+        bound = matrix[:, :dim] @ centre[:dim] + norms * root["radius"] + 1e-6 * (1.0 + norms * root["norm"])
+        at = np.flatnonzero(bound >= kth)
+        if not len(at):
+            continue
+        some = [best[q] for q in at.tolist()]
+        search(trees[root["path"]], ids[at], matrix[at], some, kth[at], k)
+        for q, mine in zip(at.tolist(), some):
+            best[q] = mine
+            if len(mine) == k:
+                kth[q] = float(-mine[-1][0])
+    return best
+
+
+def top_k(vectors: DataFrame, is_query: Column, k: int = K, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score from rows of (id, vector); ``is_query`` picks the queries by the column ``id``."""
+    spark = vectors.sparkSession
     rows = materialize(chosen(vectors, "id", "vector").filter(F.col("id").isNotNull()), "top-k-vectors")
-    n, n_queries = rows.count(), rows.filter(is_query).count()
-
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree = BallTree(pdf["id"].to_numpy(), _matrix(list(pdf["vector"])))
-        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "blob": [pickle.dumps(tree)]})
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "blob": [pickle.dumps((pdf["id"].to_numpy(), _matrix(list(pdf["vector"]))))]})
-
-    trees = materialize(_dealt(rows, "shard", n, shard).groupBy("shard").applyInPandas(grow, "shard int, blob binary"), "top-k-trees")
-    blocks = materialize(_dealt(rows.filter(is_query), "block", n_queries, block).groupBy("block").applyInPandas(pack, "block int, blob binary"), "top-k-blocks")
-    n_shards, n_blocks = max(1, -(-n // shard)), max(1, -(-n_queries // block))
-    n_runs = -(-n_shards // run)
-    # a stated query set in blocks against all shards: each (block, run of shards) is one group
-    seats = F.sequence(F.lit(0), F.lit(n_blocks - 1))
-    runs = F.sequence(F.lit(0), F.lit(n_runs - 1))
-    home = F.explode(F.array(F.pmod("block", F.lit(n_shards))).cast("array<int>"))
-    b = trees.select(F.explode(seats).alias("block"), (F.col("shard") % n_runs).alias("run"), "shard", "blob")
-    first = blocks.select("block", home.alias("shard"), F.col("blob").alias("queries")).join(trees, "shard").select("block", "queries", "blob")
-
-    def seed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for block_, queries, blob in pdf.itertuples(index=False):
-                ids, matrix = pickle.loads(queries)
-                best: list[list[tuple[int, int]]] = [[] for _ in ids]
-                search(pickle.loads(blob), ids, matrix, best, np.full(len(ids), -np.inf), k)
-                kth = [float(-x[-1][0]) if len(x) == k else -np.inf for x in best]
-                yield pd.DataFrame({"block": [block_], "blob": [pickle.dumps((ids, matrix, np.array(kth)))]})
-
-    seeded = materialize(first.mapInPandas(seed, "block int, blob binary"), "top-k-seeds")
-    a = seeded.select("block", F.explode(runs).alias("run"), F.lit(-1).alias("shard"), "blob")
-
-    def visit(pdf: pd.DataFrame) -> pd.DataFrame:
-        held = pdf[pdf["shard"] < 0]
-        if not len(held):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        ids, matrix, kth = pickle.loads(held["blob"].iloc[0])
-        best: list[list[tuple[int, int]]] = [[] for _ in ids]
-        for blob in pdf[pdf["shard"] >= 0].sort_values("shard")["blob"]:
-            search(pickle.loads(blob), ids, matrix, best, kth, k)
-        out = [(q, i, -s) for q, mine in zip(ids.tolist(), best) for s, i in mine]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
-
-    found = a.unionByName(b).groupBy("block", "run").applyInPandas(visit, "query_id long, vec_id long, score long")
+    place = grow_trees(rows, shard)
+    asked = rows.filter(is_query)
+    n = asked.count()
+    tasks = max(1, -(-n // block), min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // LEAST_BLOCK)))
+    # rows that repeat id and vector ask once, for as many answers as they are
+    queries = asked.repartition(tasks, "id", "vector").groupBy("id", "vector").agg(F.count(F.lit(1)).alias("n"))
+    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = _Trees(place)
+        for batch in batches:
+            for b in range(0, batch.num_rows, block):
+                part = batch.slice(b, block)
+                ids, times = part.column("id").to_numpy(zero_copy_only=False), part.column("n").to_pylist()
+                found = answer(place, trees, ids, _matrix(_vectors(part.column("vector"))), k)
+                out = [(q, i, -s) for q, mine, m in zip(ids.tolist(), found, times) for s, i in [x for x in mine for _ in range(min(m, k))][:k]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else ([], [], []))], schema=schema)
+
+    found = queries.mapInArrow(run, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

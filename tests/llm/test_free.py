@@ -308,13 +308,13 @@ def brute_top(rows, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("shard,block,run", [(64, 8, 2), (5000, 512, 16)])
-def test_top_k_matches_brute_force(spark, shard, block, run):
+@pytest.mark.parametrize("shard,block", [(64, 8), (5000, 512)])
+def test_top_k_matches_brute_force(spark, shard, block):
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in np.floor(64 * rng.normal(size=6) / 3)]) for i in range(600)]
     rows += [(700 + i, rows[0][1]) for i in range(60)] + [(900, [0.0] * 6), (901, [1e15, -1e15, 3.0, 0.0, 0.0, 1.0]), (940, [2.0, 1.0])]
     df = spark.createDataFrame(rows, "id long, vector array<double>").withColumn("block", F.lit(1))
-    got = top_k.top_k(df, F.col("id") % 20 == 0, shard=shard, block=block, run=run).collect()
+    got = top_k.top_k(df, F.col("id") % 20 == 0, shard=shard, block=block).collect()
     clamp = lambda s: min(max(s, -(1 << 63)), (1 << 63) - 1)
     assert sorted(map(tuple, got)) == [(q, n, i, clamp(s)) for q, n, i, s in brute_top(rows, 20)]
 
