@@ -5,9 +5,9 @@ Modules register (name, function, SQL) in ``CATALOGUES``; SQL is None where it c
 
 from __future__ import annotations
 
-from .query_sets import cases_and_signals, curation, policy, retrieval, texts
+from .query_sets import cases_and_signals, curation, policy, retrieval, searching, texts
 
-CATALOGUES = (cases_and_signals, policy, retrieval, texts, curation)
+CATALOGUES = (cases_and_signals, policy, retrieval, searching, texts, curation)
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 for _set in CATALOGUES:
