@@ -122,6 +122,17 @@ def diverse(rows: DataFrame, n: int, case: str, key: str, order: str) -> DataFra
     return best.withColumn("place", place).drop("__c", "__turn", "__k")
 
 
+def choose(rows: DataFrame, n: int, mode: str, case: str, key: str, order: str, seed: int = 42) -> DataFrame:
+    """n rows in one of three ways: ``diverse``, the first ones (``sequential``), or by hash order (``random``)."""
+    if mode == "diverse":
+        return diverse(rows, n, case, key, order).drop("place")
+    if mode == "sequential":
+        return rows.orderBy(order).limit(n)
+    if mode != "random":
+        raise ValueError(f"no such way to choose: {mode}")
+    return _smallest(rows.withColumn("__key", hash_order(seed, order)), n, "__key").drop("__key")
+
+
 def with_quota(chosen: DataFrame, candidates: DataFrame, wanted: Column, least: int, order: str) -> DataFrame:
     """``chosen`` with its last unwanted rows replaced by the first candidates until ``least`` rows are wanted."""
     have = chosen.filter(wanted).count()

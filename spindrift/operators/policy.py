@@ -270,6 +270,30 @@ def report(judged: DataFrame) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(w)).filter("rank <= 10").drop("first_ord")
 
 
+def report_totals(judged: DataFrame) -> DataFrame:
+    """One row: how many were judged, how many have each verdict, the share of misaligned ones, and high risks."""
+    n = lambda *v: F.count(F.when(F.col("verdict").isin(*v), 1))
+    bad = n("misaligned", "potentially_inaccurate")
+    share = F.when(F.count(F.lit(1)) > 0, bad / F.count(F.lit(1))).otherwise(0.0)
+    return judged.agg(
+        F.count(F.lit(1)).alias("total_evaluated"), n("aligned").alias("aligned"), n("partially_aligned").alias("partially_aligned"), bad.alias("misaligned"), n("uncertain").alias("uncertain"),
+        share.alias("misaligned_ratio"), F.count(F.when(F.col("high_risk"), 1)).alias("high_risk_conflicts"),
+    )
+
+
+def report_counts(judged: DataFrame, most: int = 10) -> DataFrame:
+    """(name, value, n, rank): the most frequent reasons, medication keys and keys of misaligned actions, first seen first."""
+    from pyspark.sql.window import Window
+
+    text = lambda c, none: F.coalesce(F.when(F.trim(c) != "", F.trim(c)), F.lit(none))
+    key, bad = text("key", "UNKNOWN"), F.col("verdict").isin("misaligned", "potentially_inaccurate")
+    named = F.array(F.struct(F.lit("reason").alias("name"), text("reason", "unknown").alias("value")), F.struct(F.lit("key").alias("name"), key.alias("value")), F.struct(F.lit("misaligned_key").alias("name"), F.when(bad, key).alias("value")))
+    rows = judged.select("ord", F.explode(named).alias("p")).select("ord", "p.*").filter(F.col("value").isNotNull())
+    counts = rows.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("first_ord"))
+    w = Window.partitionBy("name").orderBy(F.desc("n"), "first_ord")
+    return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most).drop("first_ord")
+
+
 def intervention_type(key: Column, source: Column, rate: Column, delta: Column, bolus_rate: float = 50.0, bolus_delta: float = 1.0) -> Column:
     bolus = (key == "PPF20_VOL") & (rate >= bolus_rate) & (delta >= bolus_delta)
     return (

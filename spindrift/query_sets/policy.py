@@ -41,6 +41,14 @@ def alignment_report(spark, sf_dir):
     return policy.report(policy.judge(_states(spark, sf_dir)))
 
 
+def alignment_totals(spark, sf_dir):
+    return policy.report_totals(policy.judge(_states(spark, sf_dir))).withColumn("misaligned_ratio", F.round("misaligned_ratio", 9))
+
+
+def alignment_counts(spark, sf_dir):
+    return policy.report_counts(policy.judge(_states(spark, sf_dir)))
+
+
 def _when(tag: str, cond: str) -> str:
     return f"CASE WHEN {cond} THEN '{tag}' END"
 
@@ -92,6 +100,7 @@ t AS (SELECT *, list_filter([{_when('oxygenation_first', 'o < 90 OR (o IS NOT NU
 u AS (SELECT *, CASE WHEN len(found) = 0 THEN ['context_monitoring'] ELSE found END AS tags FROM t),
 v AS (SELECT *, {_rules(policy.CONFLICT_RULES)} AS against, len({_rules([r for r in policy.CONFLICT_RULES if r[3]])}) > 0 AS high_risk,
   {_rules([r for r in policy.ALIGNMENT_RULES if r[3] == 'aligned'])} AS good, {_rules([r for r in policy.ALIGNMENT_RULES if r[3] != 'aligned'])} AS part FROM u),
+jk AS (SELECT *, CASE WHEN len(against) > 0 THEN 'misaligned' END AS verdict FROM v),
 j AS (SELECT ord, array_to_string(tags, ',') AS strategies, high_risk,
   CASE WHEN len(against) > 0 THEN 'misaligned' WHEN len(part) > 0 THEN 'partially_aligned' WHEN len(good) > 0 THEN 'aligned' ELSE 'uncertain' END AS verdict,
   CASE WHEN len(against) > 0 THEN against[1] WHEN len(part) > 0 THEN part[1] WHEN len(good) > 0 THEN good[-1] ELSE 'insufficient_discriminative_signal' END AS reason FROM v)"""
@@ -100,6 +109,14 @@ REPORT = f"""WITH {_JUDGED_SQL}, g AS (SELECT verdict, reason, count(*)::BIGINT
 SELECT verdict, reason, n, n_high_risk, row_number() OVER (PARTITION BY verdict ORDER BY n DESC, f)::INTEGER AS rank FROM g QUALIFY rank <= 10"""
 
 
+TOTALS = f"""WITH {_JUDGED_SQL} SELECT count(*)::BIGINT AS total_evaluated, count(*) FILTER (verdict = 'aligned')::BIGINT AS aligned, count(*) FILTER (verdict = 'partially_aligned')::BIGINT AS partially_aligned,
+  count(*) FILTER (verdict = 'misaligned')::BIGINT AS misaligned, count(*) FILTER (verdict = 'uncertain')::BIGINT AS uncertain, round(count(*) FILTER (verdict = 'misaligned') / count(*), 9) AS misaligned_ratio, count(*) FILTER (high_risk)::BIGINT AS high_risk_conflicts FROM j"""
+COUNTS = f"""WITH {_JUDGED_SQL},
+n AS (SELECT 'reason' AS name, reason AS value, ord FROM j UNION ALL SELECT 'key', s.key, s.ord FROM s UNION ALL SELECT 'misaligned_key', key, ord FROM jk WHERE verdict = 'misaligned'),
+g AS (SELECT name, value, count(*)::BIGINT AS n, min(ord) AS f FROM n GROUP BY 1, 2)
+SELECT name, value, n, row_number() OVER (PARTITION BY name ORDER BY n DESC, f)::INTEGER AS rank FROM g QUALIFY rank <= 10"""
+
+
 def label_validation(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     text = F.when(F.col("l_linenumber") == 1, F.lit(" ")).when(F.col("l_linenumber") == 2, F.lit("Propofol up")).otherwise(F.lit("phenylephrine RATE up"))
@@ -278,6 +295,8 @@ TYPES = f"""WITH {_JUDGED_SQL} SELECT ord, CASE WHEN ord % 13 = 0 THEN 'arrhythm
 REGISTER = [
     ("rule_engine_verdict", rule_engine_verdict, VERDICT),
     ("alignment_report", alignment_report, REPORT),
+    ("alignment_totals", alignment_totals, TOTALS),
+    ("alignment_counts", alignment_counts, COUNTS),
     ("label_validation", label_validation, LABELS),
     ("risk_flags_level", risk_flags_level, FLAGS),
     ("clinical_assessment", clinical_assessment, ASSESSMENT),

@@ -41,6 +41,15 @@ def read_signals(spark: SparkSession, path: str, tracks: list[str] | None = None
     return df.withColumn("value", safe_number(F.col("value")))
 
 
+def read_medication(spark: SparkSession, path: str, tracks: list[str], step: float = 3.0) -> DataFrame:
+    """Signals of medication alone, one value per track and ``step`` seconds: the last known one of each step."""
+    slot = F.floor(F.col("time_sec") / step) * step
+    rows = read_signals(spark, path, tracks).withColumn("__slot", slot)
+    at = F.struct("time_sec", "ord") if "ord" in rows.columns else F.col("time_sec")
+    value = F.max_by("value", F.when(F.col("value").isNotNull(), at))
+    return rows.groupBy("caseid", "track", F.col("__slot").alias("time_sec")).agg(value.alias("value")).withColumn("ord", F.lit(0).cast("long"))
+
+
 def read_annotations(spark: SparkSession, path: str, pattern: str = r"Annotation_file_(\d+)\.csv", time: str | None = None, label: str | None = None) -> DataFrame:
     """caseid (from the file's name), ord, time_sec, label of rhythm annotations; unreadable files are skipped."""
     df = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).csv(path, header=True, inferSchema=False)
@@ -73,13 +82,15 @@ def snapshots_of(records: DataFrame) -> DataFrame:
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """chunk_id, text and locators of passages in JSON lines, under any of their names; blank passages drop out.
+    """chunk_id, line_no, text and locators of passages in JSON lines, under any of their names; blank passages drop out.
 
-    chunk_id counts kept passages in the order of the file: positions come from Spark's line order within partitions
-    and a prefix over partitions.
+    line_no counts all lines of the input from 1, chunk_id the kept passages from 0, both in the order of the file:
+    positions come from Spark's line order within partitions and a prefix over partitions.
     """
     text = lambda names: F.coalesce(*[valid_text(F.try_variant_get("record", f"$.{n}", "string")) for n in names])
-    rows = read_records(spark, path).select(text(TEXT_KEYS).alias("text"), *[text(n).alias(k) for k, n in CORPUS_KEYS.items()]).filter(F.col("text").isNotNull())
+    lines = numbered(spark.read.text(path), "line_no").select((F.col("line_no") + 1).alias("line_no"), F.try_parse_json("value").alias("record"))
+    rows = lines.filter(F.col("record").isNotNull() & F.schema_of_variant("record").startswith("OBJECT"))
+    rows = rows.select("line_no", text(TEXT_KEYS).alias("text"), *[text(n).alias(k) for k, n in CORPUS_KEYS.items()]).filter(F.col("text").isNotNull())
     return numbered(rows, "chunk_id")
 
 
@@ -147,3 +158,12 @@ def load_rules(text: str | None, default: dict) -> dict:
             return default
         found = yaml.safe_load(text)
     return found if isinstance(found, dict) else default
+
+
+def judge_rules(rules: dict) -> tuple[tuple, tuple]:
+    """Conflict and alignment rules as ``policy.judge`` takes them, from a dict with lists of dicts under
+    ``conflict_rules`` (id, all, not, high_risk) and ``alignment_rules`` (id, all, not, outcome)."""
+    def of(name: str, last: str, none) -> tuple:
+        return tuple((r["id"], tuple(r.get("all") or ()), tuple(r.get("not") or ()), r.get(last, none)) for r in rules.get(name) or () if isinstance(r, dict) and r.get("id") and r.get("all"))
+
+    return of("conflict_rules", "high_risk", False), of("alignment_rules", "outcome", "aligned")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,8 +11,9 @@ from ..functions.values import printable
 
 
 def write_groups(cases: DataFrame, path: str, group: str = "surgery_group") -> None:
-    """A folder per group with its cases as CSV."""
-    cases.write.mode("overwrite").partitionBy(group).option("header", True).csv(path)
+    """For each group its cases (``clinical_subset``) and their ids (``caseids``) as CSV, in folders by group."""
+    for name, df in (("clinical_subset", cases), ("caseids", cases.select("caseid", group))):
+        df.write.mode("overwrite").partitionBy(group).option("header", True).csv(f"{path}/{name}")
 
 
 def clean_strings(df: DataFrame) -> DataFrame:
@@ -31,10 +33,44 @@ def write_json_lines(df: DataFrame, path: str, append: bool = False) -> None:
     clean_strings(df).write.mode("append" if append else "overwrite").option("ignoreNullFields", False).json(path)
 
 
-def write_csv(df: DataFrame, path: str, separator: str = ";") -> None:
-    """Arrays joined to text, one header per file."""
+def write_json_array(df: DataFrame, path: str) -> None:
+    """All rows as one JSON array in one file under ``path``. An array has one writer: rows stream through one task."""
+    lines = clean_strings(df).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).coalesce(1)
+
+    def run(batches):
+        first = True
+        for batch in batches:
+            rows = [("[" if first and k == 0 else ",") + r for k, r in enumerate(batch.column("value").to_pylist())]
+            first = first and not rows
+            yield pa.RecordBatch.from_pydict({"value": rows})
+        yield pa.RecordBatch.from_pydict({"value": ["[]" if first else "]"]})
+
+    lines.mapInArrow(run, "value string").write.mode("overwrite").text(path)
+
+
+BOM = "\ufeff"
+
+
+def write_csv(df: DataFrame, path: str, separator: str = ";", mark: bool = False) -> None:
+    """Arrays joined to text, one header per file; ``mark`` puts a byte order mark before the header."""
     flat = [F.array_join(F.col(f"`{f.name}`").cast("array<string>"), separator).alias(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f"`{f.name}`") for f in df.schema.fields]
-    clean_strings(df.select(flat)).write.mode("overwrite").option("header", True).csv(path)
+    out = clean_strings(df.select(flat))
+    out = out.toDF(*[(BOM if mark and k == 0 else "") + n for k, n in enumerate(out.columns)])
+    out.write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_evaluation(rows: DataFrame, summary: DataFrame, path: str) -> None:
+    """An evaluation as JSON lines, as CSV with a byte order mark, and its one-row summary as JSON."""
+    write_json_lines(rows, f"{path}/rows")
+    write_csv(rows, f"{path}/table", mark=True)
+    write_json_lines(summary.limit(1), f"{path}/summary")
+
+
+def write_cleaned(rows: DataFrame, before: str, after: str, strict: str, path: str) -> DataFrame:
+    """JSON lines of the rows of which something is left, and the counts of the cleaning pass as one row."""
+    some = F.col(after).isNotNull() & (F.trim(after) != "")
+    write_json_lines(rows.filter(some), path)
+    return rows.agg(*cleaning_counts(before, after, strict))
 
 
 def write_buckets(records: DataFrame, path: str) -> DataFrame:
@@ -51,7 +87,7 @@ def cleaning_counts(before: str, after: str, strict: str) -> list:
     """Aggregates of a cleaning pass: total, changed, strict, dropped."""
     n = lambda c, a: F.count(F.when(c, 1)).alias(a)
     b, a = F.col(before), F.col(after)
-    return [F.count(F.lit(1)).alias("total"), n(~a.eqNullSafe(b), "changed"), n(F.col(strict), "strict"), n(a.isNull() | (a == ""), "dropped")]
+    return [F.count(F.lit(1)).alias("total"), n(~a.eqNullSafe(b), "changed"), n(F.col(strict), "strict"), n(a.isNull() | (F.trim(a) == ""), "dropped")]
 
 
 def markdown(summary: dict, rows: list[dict], title: str, most: int = 50) -> str:
