@@ -170,3 +170,25 @@ def test_hits_and_headings(spark):
     assert sorted(tuple(r) for r in intents.kept_hits(hits, "q", "s", 3).collect()) == [(1, 5), (2, 0), (2, 1)] and intents.kept_hits(hits, "q", "s", 3, True).count() == 1
     lines = spark.createDataFrame([("Chapter 3: Airway 12",), ("121 Too Far",), ("7 When it began",), ("4 - ab",), (None,), ("Chapter 200 Far",)], "l string")
     assert [None if r[0] is None else tuple(r[0]) for r in lines.select(retrieval.chapter_parts(F.col("l"))).collect()] == [(3, "Airway"), None, None, None, None, None]
+
+
+def test_command_line_from_cases_to_a_mix(spark, tmp_path, capsys):
+    from spindrift import cli
+
+    cli.main(["config", "--set", "per_case=2", "--set", "repair=no"])
+    assert json.loads(capsys.readouterr().out)["per_case"] == 2 and cli.load_config(None, ["repair=no"]).repair is False
+    with pytest.raises(ValueError, match="unknown settings: x"):
+        cli.load_config(None, ["x=1"])
+    (tmp_path / "cases.csv").write_text("caseid,ane_dur,department,opname\n1,90,Thoracic,Lobectomy\n2,5,Thoracic,Biopsy\n3,90,Urology,Stone\n")
+    signal = "caseid long, time_sec double, track string, value double, ord long"
+    rows = [(1, 0.0, "PHE_RATE", 1.0, 0), (1, 400.0, "PHE_RATE", 3.0, 1), (3, 0.0, "PHE_RATE", 0.0, 0)] + [(1, float(t), "MBP", 50.0, t) for t in range(401)]
+    spark.createDataFrame(rows, signal).write.parquet(str(tmp_path / "signals"))
+    (tmp_path / "corpus.jsonl").write_text('{"text": "treat hypotension with a vasopressor"}\n{"text": "something else"}\n')
+    settings = {"cases": tmp_path / "cases.csv", "signals": tmp_path / "signals", "corpus": tmp_path / "corpus.jsonl", "out": tmp_path / "out", "top_k": 1, "mix_ratio": 1.0}
+    cli.main(["all", *[x for n, v in settings.items() for x in ("--set", f"{n}={v}")]], spark)
+    assert [r.caseid for r in spark.read.option("header", True).csv(str(tmp_path / "out" / "groups" / "caseids")).collect()] == ["1"]
+    answers = spark.read.json(str(tmp_path / "out" / "answers")).collect()
+    assert len(answers) == 1 and answers[0].unit == "mL/h" and answers[0].words[0] == "去氧肾上腺素" and not answers[0].is_valid
+    assert json.loads(answers[0].record)["snapshot"]["surgery_type"] == "Lobectomy"
+    assert spark.read.json(str(tmp_path / "out" / "retrieval")).first().results[0].passage.startswith("treat")
+    assert spark.read.json(str(tmp_path / "out" / "mix")).first().training_bucket == "A" and spark.read.json(str(tmp_path / "out" / "review")).count() == 1
