@@ -74,15 +74,14 @@ FROM signals WHERE track IN ('click', 'view') GROUP BY 1, 2"""
 
 
 def best_track_per_case(spark, sf_dir):
-    priority = F.when(F.col("track") == "click", 1).when(F.col("track") == "view", 2).when(F.col("track") == "purchase", 3).otherwise(4)
-    some = signals(spark, sf_dir).filter(F.col("track") != "signup")
-    return series.best_track(some, 20.0, 220.0, priority)
+    priority = F.when(F.col("track") == "click", 1).when(F.col("track") == "view", 2).when(F.col("track") == "purchase", 3).when(F.col("track") == "error", 4).otherwise(5)
+    return series.best_track(signals(spark, sf_dir), 20.0, 220.0, priority)
 
 
 BEST_TRACK = f"""WITH {SIGNALS_SQL}, c AS (
-  SELECT caseid, track, count(*) FILTER (value BETWEEN 20 AND 220)::BIGINT AS n_valid FROM signals WHERE track <> 'signup' GROUP BY 1, 2)
+  SELECT caseid, track, count(*) FILTER (value BETWEEN 20 AND 220)::BIGINT AS n_valid FROM signals GROUP BY 1, 2)
 SELECT caseid, track, n_valid FROM c QUALIFY row_number() OVER (PARTITION BY caseid ORDER BY n_valid DESC,
-  CASE track WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3 ELSE 4 END) = 1"""
+  CASE track WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3 WHEN 'error' THEN 4 ELSE 5 END) = 1"""
 
 
 def range_mask(spark, sf_dir):
@@ -154,25 +153,27 @@ FROM s WHERE delta >= 60 AND smoothed_delta >= 80"""
 
 
 def anchors_gap_dedup(spark, sf_dir):
-    thinned = anchors.thin(signals(spark, sf_dir).filter(F.col("value") >= 20).select("caseid", "time_sec", "ord"), DAY)
+    thinned = anchors.thin(signals(spark, sf_dir).select("caseid", "time_sec", "ord"), DAY)
     return anchors.first_k(thinned, 5, ["time_sec", "ord"]).select("caseid", "time_sec", "anchor_no")
 
 
-ANCHORS_GAP = f"""WITH RECURSIVE {SIGNALS_SQL}, e AS (SELECT DISTINCT caseid, time_sec FROM signals WHERE value >= 20),
+ANCHORS_GAP = f"""WITH RECURSIVE {SIGNALS_SQL}, e AS (SELECT DISTINCT caseid, time_sec FROM signals),
 r AS (SELECT caseid, min(time_sec) AS time_sec, 1 AS anchor_no FROM e GROUP BY 1
   UNION ALL SELECT r.caseid, (SELECT min(e.time_sec) FROM e WHERE e.caseid = r.caseid AND e.time_sec - r.time_sec >= 86400.0), anchor_no + 1 FROM r WHERE r.time_sec IS NOT NULL AND anchor_no < 5)
 SELECT caseid, time_sec, anchor_no::INTEGER AS anchor_no FROM r WHERE time_sec IS NOT NULL"""
 
 
 def anchors_label_dedup(spark, sf_dir):
-    s = signals(spark, sf_dir).filter(F.col("value") >= 20).select("caseid", "time_sec", "ord", F.col("track").alias("label"))
+    label = F.when(F.col("track") == "view", " Normal  sinus rhythm ").when(F.col("track") == "signup", " ").otherwise(F.col("track"))
+    s = signals(spark, sf_dir).select("caseid", "time_sec", "ord", label.alias("label"))
     labelled = anchors.label_events(s, F.lit(1e12))
     return anchors.thin(labelled.select("caseid", "time_sec", "ord", "before_label", "after_label"), DAY, label="after_label").select("caseid", "time_sec", "before_label", "after_label")
 
 
-ANCHORS_LABEL = f"""WITH RECURSIVE {SIGNALS_SQL}, e AS (
-  SELECT caseid, time_sec, track AS after_label, lag(track) OVER w AS before_label, row_number() OVER v AS n FROM signals WHERE value >= 20
-  WINDOW w AS (PARTITION BY caseid ORDER BY ord), v AS (PARTITION BY caseid ORDER BY time_sec, ord)),
+# normal labels drop out, but stand before the labels that follow them
+ANCHORS_LABEL = f"""WITH RECURSIVE {SIGNALS_SQL}, nm AS (SELECT *, CASE track WHEN 'view' THEN 'Normal  sinus rhythm' WHEN 'signup' THEN 'unknown' ELSE track END AS after_label FROM signals),
+lb AS (SELECT *, lag(after_label) OVER (PARTITION BY caseid ORDER BY ord) AS before_label FROM nm),
+e AS (SELECT caseid, time_sec, after_label, before_label, row_number() OVER (PARTITION BY caseid ORDER BY time_sec, ord) AS n FROM lb WHERE track NOT IN ('view', 'signup')),
 r AS (SELECT caseid, n, time_sec AS last_t, after_label AS last_l, true AS kept FROM e WHERE n = 1
   UNION ALL SELECT e.caseid, e.n, CASE WHEN e.time_sec - r.last_t >= 86400.0 OR e.after_label <> r.last_l THEN e.time_sec ELSE r.last_t END,
     CASE WHEN e.time_sec - r.last_t >= 86400.0 OR e.after_label <> r.last_l THEN e.after_label ELSE r.last_l END,

@@ -51,14 +51,14 @@ SAMPLE = f"WITH {_BUCKET_SQL} SELECT id, bucket, reason FROM bk QUALIFY row_numb
 
 
 def _records(spark, sf_dir):
-    return signals(spark, sf_dir).filter("value >= 60").select("caseid", F.col("track").alias("key"), "ord")
+    return signals(spark, sf_dir).select("caseid", F.col("track").alias("key"), "ord")
 
 
 def diverse_select(spark, sf_dir):
     return curate.diverse(_records(spark, sf_dir), 400, "caseid", "key", "ord").select("caseid", "key", "ord", "place")
 
 
-_DIVERSE_SQL = f"""{SIGNALS_SQL}, rec AS (SELECT caseid, track AS key, ord FROM signals WHERE value >= 60),
+_DIVERSE_SQL = f"""{SIGNALS_SQL}, rec AS (SELECT caseid, track AS key, ord FROM signals),
 f AS (SELECT *, row_number() OVER (PARTITION BY caseid ORDER BY ord) AS c FROM rec),
 u AS (SELECT caseid, key, ord, 0 AS turn, '' AS k FROM f WHERE c = 1 UNION ALL
   SELECT caseid, key, ord, row_number() OVER (PARTITION BY key ORDER BY caseid, ord), key FROM f WHERE c > 1),
