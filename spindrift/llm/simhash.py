@@ -8,12 +8,14 @@ the shard. More fingerprints make more blocks, hence smaller shards; no choice l
 fingerprint has its row of Hamming distances to ``PIVOTS`` reference fingerprints; a pair whose distances to any pivot
 differ by more than ``MAX_BITS`` cannot be linked and is discarded, and what survives is verified bit by bit.
 
-Equal fingerprints are one before all that. A shard above ``TILE`` fingerprints is dealt into tiles and each two tiles
-meet in a task of their own. A shard reports a spanning forest of its links rather than all of them.
+Equal fingerprints are one before all that. A shard above ``TILE`` fingerprints is dealt into tiles that share a few
+fingerprints; what lies outside its largest component after that meets all tiles of the shard. A shard reports a spanning
+forest of its links rather than all of them.
 
 Defined results: a null text has no words and fingerprint zero, as an empty one; those are linked like any other;
-repeated rows share fingerprint and component; a null doc_id is never a component's id unless all are null; an empty
-table gives an empty result; extra columns are ignored by ``near_duplicates`` and kept by ``keep_one``.
+repeated rows share fingerprint and component, and so do ties at exactly ``MAX_BITS``; texts of any length are read whole;
+a null doc_id is never a component's id unless all are null; an empty table gives an empty result; extra columns, whatever
+their names, are ignored by ``near_duplicates`` and kept by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -34,6 +36,8 @@ SHINGLE = 4
 MAX_BITS = 4
 PIVOTS = 16
 TILE = 2_048
+#: Fingerprints of a crowded shard that stand in each of its tiles.
+HUBS = 32
 #: Shards of up to this size are compared all at once.
 SMALL = 256
 SEED = 42
@@ -117,7 +121,7 @@ class PivotTable:
         """Positions k at which fingerprints i[k] and j[k] are linked."""
         at = np.arange(len(j))
         for row in self.rows:
-            if len(at) < 64:
+            if not len(at):
                 break
             a = row[i] if np.ndim(i) == 0 else row[i[at]]
             at = at[np.abs(a - row[j[at]]) <= self.max_bits]
@@ -170,45 +174,116 @@ def shard_links(group: np.ndarray, fps: np.ndarray, max_bits: int = MAX_BITS) ->
     return np.concatenate(left), np.concatenate(right)
 
 
-def links(distinct: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> DataFrame:
-    """(a, b) with a < b: links among distinct fingerprints (fp) that connect whatever is linked."""
-    spark = distinct.sparkSession
+def _keyed(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, key): each fingerprint in its shard of every table."""
     masks = shard_masks(blocks_for(distinct.count(), max_bits), max_bits)
     keys = F.array(*[F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for k, m in enumerate(masks)])
-    keyed = distinct.select("fp", F.explode(keys).alias("key"))
-    crowded = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > tile), "crowded-shards")
-    tiles = joined_small(keyed, crowded, "key").withColumn("tiles", F.coalesce(F.ceil(F.col("n") / tile), F.lit(1)).cast("int"))
-    own = F.pmod(F.xxhash64(F.lit("tile"), F.col("fp")), F.col("tiles")).cast("int")
-    met = tiles.withColumn("own", own).select("fp", "key", "own", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-    group = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("g")
-    rows = met.select(group, "fp").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "g").sortWithinPartitions("g", "fp")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    return distinct.select("fp", F.explode(keys).alias("key"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        waiting = 0
-
-        def flush(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal held, waiting
-            if not held:
-                return
-            g, f = (np.concatenate(x) for x in zip(*held))
-            end = len(g) if last else int(np.searchsorted(g, g[-1]))  # the last shard may go on
-            held, waiting = ([(g[end:], f[end:])], len(g) - end) if end < len(g) else ([], 0)
+
+def _tile() -> Column:
+    return F.pmod(F.xxhash64(F.lit("tile"), F.col("fp")), F.col("tiles")).cast("int")
+
+
+def _every_tile() -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+
+
+def _in_groups(rows: DataFrame, group: Column, *kept: str) -> DataFrame:
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.select(group.alias("g"), *kept).repartition(n, "g").sortWithinPartitions("g", *kept)
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Iterator[list[np.ndarray]]:
+    """Columns of sorted batches, of some groups g at a time, each whole."""
+    held: list[list[np.ndarray]] = []
+    waiting = 0
+    for batch in batches:
+        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        waiting += batch.num_rows
+        if waiting >= rows:
+            columns = [np.concatenate(x) for x in zip(*held)]
+            end = int(np.searchsorted(columns[0], columns[0][-1]))  # the last group may go on
+            held, waiting = [[c[end:] for c in columns]], len(columns[0]) - end
             if end:
-                i, j = shard_links(g[:end], f[:end].view(np.uint64), max_bits)
-                a, b = np.minimum(f[i], f[j]), np.maximum(f[i], f[j])
-                pairs = np.unique(np.stack([a, b], axis=1)[a < b], axis=0) if len(a) else np.zeros((0, 2), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], schema=schema)
+                yield [c[:end] for c in columns]
+    if held and waiting:
+        yield [np.concatenate(x) for x in zip(*held)]
 
-        for batch in batches:
-            held.append((batch.column("g").to_numpy(), batch.column("fp").to_numpy()))
-            waiting += batch.num_rows
-            if waiting >= 200_000:
-                yield from flush(False)
-        yield from flush(True)
 
-    return rows.mapInArrow(run, "a long, b long")
+_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _pairs(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    a, b = np.minimum(x, y), np.maximum(x, y)
+    found = np.unique(np.stack([a, b], axis=1)[a < b], axis=0) if len(a) else np.zeros((0, 2), np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], schema=_PAIRS)
+
+
+def links(distinct: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> DataFrame:
+    """(a, b) with a < b: links among distinct fingerprints (fp) that connect whatever is linked.
+
+    A shard above ``tile`` is crowded, as near copies of one text make it. Its fingerprints are dealt into tiles, with
+    ``HUBS`` of them in every tile, which connects most of what is linked at a cost in proportion to the shard. Only
+    fingerprints outside the largest component so far then meet the other tiles.
+    """
+    keyed = _keyed(distinct, max_bits)
+    crowded = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > tile)
+    crowded = materialize(crowded.select("key", F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "crowded-shards")
+    marked = joined_small(keyed, crowded, "key")
+    own = F.when(F.col("tiles").isNull(), F.col("key")).otherwise(F.xxhash64("key", _tile()))
+    rows = marked.select("fp", "key", "tiles", own.alias("group"))
+    members = marked.filter(F.col("tiles").isNotNull())
+    some = not crowded.isEmpty()
+    if some:
+        members = materialize(members, "crowded-members")
+        nth = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64(F.lit("hub"), F.col("fp")), "fp"))
+        hubs = members.withColumn("nth", nth).filter(F.col("nth") <= HUBS).select("fp", "key", "tiles", _every_tile().alias("at"))
+        rows = rows.select("fp", "group").unionByName(hubs.select("fp", F.xxhash64("key", "at").alias("group"))).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g, f in _whole_groups(batches):
+            i, j = shard_links(g, f.view(np.uint64), max_bits)
+            yield _pairs(f[i], f[j])
+
+    found = _in_groups(rows, F.col("group"), "fp").mapInArrow(run, "a long, b long")
+    if not some:
+        return found
+    found = materialize(found, "links-in-tiles")
+    return found.unionByName(_stragglers(found, members, max_bits))
+
+
+def _stragglers(found: DataFrame, members: DataFrame, max_bits: int) -> DataFrame:
+    """Links that the tiles of crowded shards have not shown: of fingerprints outside a shard's largest component."""
+    roots = components(found)
+    named = members.join(roots, members["fp"] == roots["node"], "left").select("fp", "key", "tiles", F.coalesce("root", "fp").alias("root"))
+    named = materialize(named, "crowded-roots")
+    sizes = named.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("largest"), F.count(F.lit(1)).alias("components"))
+    largest = materialize(largest.filter(F.col("components") > 1).select("key", "largest"), "largest-components")
+    open_ = joined_small(named, largest, "key", "inner")
+    outside = open_.filter(F.col("root") != F.col("largest")).select("fp", "root", "key", _every_tile().alias("at"), F.lit(1).cast("long").alias("asks"))
+    inside = open_.select("fp", "root", "key", _tile().alias("at"), F.lit(0).cast("long").alias("asks"))
+    rows = outside.unionByName(inside)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g, asks, f, root in _whole_groups(batches):
+            table = PivotTable(f.view(np.uint64), max_bits)
+            start = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+            left, right = [], []
+            for a, b in zip(start.tolist(), np.append(start[1:], len(g)).tolist()):
+                middle = a + int(np.searchsorted(asks[a:b], 1))
+                members_ = np.arange(a, middle)
+                for q in range(middle, b):
+                    hit = members_[table.linked(q, members_)]
+                    hit = hit[root[hit] != root[q]]
+                    hit = hit[np.unique(root[hit], return_index=True)[1]]  # one link to each other component will do
+                    left.append(np.full(len(hit), q))
+                    right.append(hit)
+            if left:
+                yield _pairs(f[np.concatenate(left)], f[np.concatenate(right)])
+
+    return _in_groups(rows, F.xxhash64("key", "at"), "asks", "fp", "root").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, size: int = SHINGLE) -> DataFrame:
@@ -225,7 +300,7 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, size: int = SHING
 def keep_one(docs: DataFrame, max_bits: int = MAX_BITS, size: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` whose doc_id names their component; of rows that share a doc_id one stays."""
     kept = near_duplicates(docs, max_bits, size).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    rows, places, names = apart(docs, ("doc_id",), ())
-    stay = rows.join(kept, rows["in_doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
-    first = F.row_number().over(Window.partitionBy("in_doc_id").orderBy(F.xxhash64(*places), *places))
+    rows, places, names, at = apart(docs, ("doc_id",), ())
+    stay = rows.join(kept, rows[at["doc_id"]].eqNullSafe(kept["__kept"]), "left_semi")
+    first = F.row_number().over(Window.partitionBy(at["doc_id"]).orderBy(F.xxhash64(*places), *places))
     return stay.withColumn("first", first).filter("first = 1").select(*places).toDF(*names)

@@ -156,6 +156,24 @@ def test_links_connect_what_is_linked(spark, tile):
     assert set(got) <= set(want) and brute_components(got, fps) == brute_components(want, fps)
 
 
+def test_crowded_shards_stay_in_proportion(spark):
+    """Two dense balls and stragglers beside them in one shard: all is found, and few rows meet other tiles."""
+    rng = random.Random(4)
+    centre, fps = 0x0123456789ABCDEF, set()
+    for middle, n in ((centre, 900), (centre ^ 0x3F, 60)):  # six bits apart, linked only by way of others
+        for _ in range(n):
+            x = middle
+            for _ in range(rng.randint(0, 2)):
+                x ^= 1 << rng.randint(0, 40)
+            fps.add(x)
+    fps |= {centre ^ (0xFFFFF << k) for k in range(8)}
+    fps = sorted(simhash._signed(f) for f in fps)
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    got = [(r.a, r.b) for r in simhash.links(df, tile=50).collect()]
+    want = linked(fps)
+    assert set(got) <= set(want) and brute_components(got, fps) == brute_components(want, fps)
+
+
 def test_pivots_discard_only_what_cannot_be_linked():
     rng = np.random.default_rng(1)
     fps = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
