@@ -80,17 +80,17 @@ def chosen(df: DataFrame, *names: str) -> DataFrame:
     return df.toDF(*[f"c{k}" for k in range(len(df.columns))]).select(*[F.col(f"c{k}").alias(n) for k, n in zip(at, names)])
 
 
-def apart(df: DataFrame, needed: tuple[str, ...], made: tuple[str, ...]) -> tuple[DataFrame, list[str], list[str]]:
-    """``df`` with columns c0, c1, ... and the ``needed`` ones once more under ``in_`` names, for operators that add to rows.
+def apart(df: DataFrame, needed: tuple[str, ...], made: tuple[str, ...]) -> tuple[DataFrame, list[str], list[str], dict[str, str]]:
+    """``df`` with columns c0, c1, ..., for operators that add to rows whatever their columns are called.
 
-    Also the names (c0, ...) and the original names of the columns that stay: all but those named as one that is
-    ``made``, in any case. Afterwards ``toDF`` gives them their names back.
+    Also the names (c0, ...) and the original names of the columns that stay, which are all but those named as one that
+    is ``made``, in any case; and where each ``needed`` column is. Afterwards ``toDF`` gives the names back.
     """
-    places = {n: _place(df.columns, n) for n in needed}
+    places = {n: f"c{_place(df.columns, n)}" for n in needed}
     stay = [k for k, n in enumerate(df.columns) if n.lower() not in {m.lower() for m in made}]
+    kept = [f"c{k}" for k in stay]
     plain = df.toDF(*[f"c{k}" for k in range(len(df.columns))])
-    out = plain.select(*[f"c{k}" for k in stay], *[F.col(f"c{k}").alias(f"in_{n}") for n, k in places.items()])
-    return out, [f"c{k}" for k in stay], [df.columns[k] for k in stay]
+    return plain.select(*kept, *sorted(set(places.values()) - set(kept))), kept, [df.columns[k] for k in stay], places
 
 
 def word_count(text: Column) -> Column:

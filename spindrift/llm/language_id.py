@@ -38,9 +38,9 @@ MAX_GRAM = 4
 SURE_WORDS = 12
 #: Starts of n-grams in a piece of a word.
 PIECE = 64
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 #: Tokens, and rows, that are looked at together.
-SLICE, ROWS = 200_000, 512
+SLICE, ROWS = 50_000, 128
 UNKNOWN = "und"
 _LETTERS = regex.compile(r"\p{L}+")
 
@@ -231,14 +231,14 @@ class _Reader:
 def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``; the model's bounded tables are broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows, places, names = apart(docs, ("text",), ("lang_pred", "score"))
+    rows, places, names, at = apart(docs, ("text",), ("lang_pred", "score"))
     schema = T.StructType([*rows.select(*places).schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(shared.value)
         slices = (batch.slice(k, ROWS) for batch in batches for k in range(0, batch.num_rows, ROWS))
         for batch in slices:
-            found, scores = reader.predict([t or "" for t in batch.column("in_text").to_pylist()])
+            found, scores = reader.predict([t or "" for t in batch.column(at["text"]).to_pylist()])
             arrays = [batch.column(n) for n in places] + [pa.array(found, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, [*places, "lang_pred", "score"])
 

@@ -109,8 +109,8 @@ def mix_rows(docs: DataFrame, seed: int = 17, weights: tuple[float, ...] = WEIGH
     Texts stay whole: the row at the cut is taken once more if half of its words or more fit.
     """
     slim = materialize(_slim(docs, seed), "mix-slim")
-    plain, places, names = apart(docs, ("doc_id", "source", "text"), ())
-    needed = plain.select(*[F.col(f"in_{c}").alias(c) for c in ("doc_id", "source", "text")], F.struct(*places).alias("row"))
+    plain, places, names, at = apart(docs, ("doc_id", "source", "text"), ())
+    needed = plain.select(*[F.col(p).alias(c) for c, p in at.items()], F.struct(*places).alias("row"))
     rows = needed.select("row", "source", _key(seed).alias("key"))
     rows = _with_cuts(rows, mix_cuts(slim, weights, max_epochs))
     key = _unsigned(F.col("key"))

@@ -16,12 +16,14 @@ their names, are kept by ``encode_documents`` unless named ``ids`` or ``decoded`
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -31,6 +33,8 @@ from .common import apart
 REMEMBERED = 300_000
 #: Segments, and ids, that are looked at together.
 SLICE = 400_000
+#: Symbols that merge together.
+TOGETHER = 1 << 17
 SPACE = "▁"
 _NONE = np.iinfo(np.int64).max
 
@@ -38,12 +42,10 @@ _NONE = np.iinfo(np.int64).max
 class _Table:
     """An open hash table of longs in arrays."""
 
-    def __init__(self, of: dict[int, int]):
-        self.bits = max(4, int(np.ceil(np.log2(4 * len(of) + 1))))
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(np.ceil(np.log2(2 * len(keys) + 1))))
         self.key = np.full(1 << self.bits, -1, dtype=np.int64)
         self.value = np.full(1 << self.bits, -1, dtype=np.int64)
-        keys = np.fromiter(of, dtype=np.int64, count=len(of))
-        values = np.fromiter(of.values(), dtype=np.int64, count=len(of))
         at = self._slot(keys)
         while len(keys):
             free = self.key[at] == -1
@@ -100,17 +102,18 @@ class PieceModel:
         rank_of = {s: r for r, s in enumerate(sorted({float(scores[i]) for i in normal.values()}, reverse=True))}
         self.rank = np.array([rank_of.get(float(s), 0) for s in scores], dtype=np.int64)
         self.base = self.size + len(self.symbols) + 0x110000
-        pairs: dict[int, int] = {}
+        keys, made = array("q"), array("q")
         for p, i in normal.items():
             for k in range(1, len(p)):
                 left, right = self.symbols.get(p[:k]), self.symbols.get(p[k:])
                 if left is not None and right is not None:
-                    pairs[left * self.base + right] = i
-        self.pairs = pairs
+                    keys.append(left * self.base + right)
+                    made.append(i)
         self.char_of = {i: c for c, i in self.symbols.items() if len(c) == 1}
-        self.pair_table = _Table(pairs)
+        self.pair_table = _Table(np.frombuffer(keys, dtype=np.int64), np.frombuffer(made, dtype=np.int64))
         inside = {(a, b) for p in normal for a, b in zip(p, p[1:])}
-        self.inside_table = _Table({self.symbols[a] * self.base + self.symbols[b]: 1 for a, b in inside})
+        inside = np.array([self.symbols[a] * self.base + self.symbols[b] for a, b in inside], dtype=np.int64)
+        self.inside_table = _Table(inside, np.ones(len(inside), dtype=np.int64))
         # characters: code point -> symbol, those without one above all symbols
         self.char_symbol = np.arange(0x110000, dtype=np.int64) + self.size + len(self.symbols)
         for s, i in self.symbols.items():
@@ -305,12 +308,8 @@ class Encoder:
         begin = np.cumsum(size) - size
         model = self.model
         symbols = model.char_symbol[chars]
-        spans = np.zeros(len(symbols), dtype=bool)
-        spans[begin[size > 0]] = True
-        spans[1:] |= ~model.adjoining(symbols[:-1], symbols[1:])
-        spans = np.flatnonzero(spans)
-        s, g = merge_rounds(model, symbols, spans)
-        g = np.repeat(np.arange(len(new)), size)[spans][g]
+        parts = [self._merged(symbols[begin[a] : begin[b - 1] + size[b - 1]], size[a:b], a) for a, b in self._runs(begin, size)]
+        s, g = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         unknown = np.flatnonzero(s >= model.size)
         if len(unknown):  # characters without a piece become their bytes
             spelt = [self._spell(v) for v in s[unknown].tolist()]
@@ -330,23 +329,39 @@ class Encoder:
         self.flat[self.used : self.used + len(s)] = s
         self.used += len(s)
 
+    @staticmethod
+    def _runs(begin: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Runs of segments of about ``TOGETHER`` symbols, so that what the rounds hold stays small."""
+        a, ends = 0, begin + size
+        while a < len(size):
+            b = max(a + 1, int(np.searchsorted(ends, begin[a] + TOGETHER, side="right")))
+            yield a, b
+            a = b
+
+    def _merged(self, symbols: np.ndarray, size: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of a run of segments after all merges, and the number of each one's segment, from ``first`` on."""
+        spans = np.zeros(len(symbols), dtype=bool)
+        spans[(np.cumsum(size) - size)[size > 0]] = True
+        spans[1:] |= ~self.model.adjoining(symbols[:-1], symbols[1:])
+        spans = np.flatnonzero(spans)
+        s, g = merge_rounds(self.model, symbols, spans)
+        return s, first + np.repeat(np.arange(len(size)), size)[spans][g]
+
     def _spell(self, symbol: int) -> list[int]:
         model = self.model
         char = model.char_of[symbol] if symbol < model.first_unknown else chr(symbol - model.first_unknown)
         return [model.bytes_ids[b] for b in char.encode()]
 
 
-def text_slices(batch: pa.RecordBatch, column: str, chars: int = 2_000_000) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of a batch with about ``chars`` characters of text, and their texts with '' for null."""
-    texts = [t or "" for t in batch.column(column).to_pylist()]
-    begin = size = 0
-    for k, t in enumerate(texts):
-        size += len(t)
-        if size >= chars:
-            yield batch.slice(begin, k + 1 - begin), texts[begin : k + 1]
-            begin, size = k + 1, 0
-    if begin < len(texts):
-        yield batch.slice(begin), texts[begin:]
+def text_slices(batch: pa.RecordBatch, column: str, chars: int = 500_000) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of a batch with about ``chars`` bytes of text, one row at least, and their texts with '' for null."""
+    whole = batch.column(column)
+    size = np.cumsum(pc.fill_null(pc.binary_length(whole), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < len(whole):
+        end = max(begin + 1, int(np.searchsorted(size, (size[begin - 1] if begin else 0) + chars, side="right")))
+        yield batch.slice(begin, end - begin), [t or "" for t in whole.slice(begin, end - begin).to_pylist()]
+        begin = end
 
 
 def encoded_slices(batches: Iterator[pa.RecordBatch], path: str, column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -359,12 +374,12 @@ def encoded_slices(batches: Iterator[pa.RecordBatch], path: str, column: str = "
 
 def encode_documents(docs: DataFrame, path: str, column: str = "text", decode: bool = False) -> DataFrame:
     """``docs`` with ``ids`` (array of int) and, on request, ``decoded``: the text that the ids give back."""
-    rows, places, names = apart(docs, (column,), ("ids", "decoded"))
+    rows, places, names, at = apart(docs, (column,), ("ids", "decoded"))
     schema = T.StructType([*rows.select(*places).schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)] + [T.StructField("decoded", T.StringType(), False)] * decode)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
-        for part, flat, counts in encoded_slices(batches, path, f"in_{column}"):
+        for part, flat, counts in encoded_slices(batches, path, at[column]):
             offsets = np.concatenate([[0], np.cumsum(counts)])
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
             arrays = [part.column(n) for n in places] + [ids]

@@ -225,6 +225,6 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
 
 def score_quality(docs: DataFrame, ensemble: RuleEnsemble) -> DataFrame:
     """``docs`` with ``score``."""
-    rows, places, names = apart(docs, ("text",), ("score",))
-    stats = rows.select(*places, statistics_column(F.col("in_text")).alias("stats"))
+    rows, places, names, at = apart(docs, ("text",), ("score",))
+    stats = rows.select(*places, statistics_column(F.col(at["text"])).alias("stats"))
     return stats.select(*places, ensemble.column(F.col("stats")).alias("made")).toDF(*names, "score")
