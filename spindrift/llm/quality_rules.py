@@ -36,11 +36,16 @@ def gram_buckets(word: Column, following: Column) -> list[Column]:
     return [at(word), at(F.lit("end"), F.substring(word, -3, 3)), at(F.lit("two"), word, following)]
 
 
+def word_pairs(words: Column) -> Column:
+    """Each word with the word that follows it, so that a row made of it carries two words and not the whole text."""
+    return F.arrays_zip(words.alias("word"), F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))).alias("following"))
+
+
 def exploded(texts: DataFrame, *keep: str) -> DataFrame:
     """A row for each word with the word that follows it. Rows stay in place; what follows is compiled code."""
     words = texts.select(*keep, words_of(F.col("text")).alias("__w"))
-    rows = words.select(*keep, "__w", F.posexplode("__w").alias("__i", "word"))
-    return rows.select(*keep, "word", F.get("__w", F.col("__i") + 1).alias("following"))
+    pairs = words.select(*keep, F.explode(word_pairs(F.col("__w"))).alias("__p"))
+    return pairs.select(*keep, F.col("__p.word").alias("word"), F.col("__p.following").alias("following"))
 
 
 def gram_counts(texts: DataFrame) -> DataFrame:
@@ -107,10 +112,9 @@ def quality_rules(docs: DataFrame, ratios: list[float], threshold: float = THRES
     )
     table = F.split(F.lit(",".join(f"{r:.9g}" for r in ratios)), ",").cast("array<double>")  # folded to one literal
     each = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    rows = df.select("__at", *each, "__w", F.posexplode_outer("__w").alias("__i", "word"))
-    following = F.get("__w", F.col("__i") + 1)
-    ratio = sum((F.get(table, b) for b in gram_buckets(F.col("word"), following)), F.lit(0.0))
-    score = F.sum(F.when(F.col("word").isNotNull(), ratio).otherwise(0.0))
+    rows = df.select("__at", *each, F.explode_outer(word_pairs(F.col("__w"))).alias("__p"))
+    ratio = sum((F.get(table, b) for b in gram_buckets(F.col("__p.word"), F.col("__p.following"))), F.lit(0.0))
+    score = F.sum(F.when(F.col("__p").isNotNull(), ratio).otherwise(0.0))
     df = rows.groupBy("__at", *each).agg(score.alias("__sum"))
     df = df.select(*each, F.when(F.col("n_words") > 0, F.col("__sum") / (3 * F.col("n_words"))).otherwise(0.0).alias("score"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
