@@ -151,7 +151,9 @@ def fit_languages(docs: DataFrame, fit_rows: int = FIT_ROWS) -> LanguageModel:
     marked = F.concat(F.lit("_"), "key", F.lit("_"))
     # a long word is cut in pieces of PIECE starts each, so that finding a place in it stays cheap
     at = F.explode(F.sequence(F.lit(0), F.length(marked) - 1, F.lit(PIECE)))
-    pieces = counts.select("lang", "n", marked.alias("marked"), at.alias("at"))
+    # the written table is small, and what is cut from it is not: dealt out again, no one task cuts all of it
+    dealt = counts.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "lang", "key")
+    pieces = dealt.select("lang", "n", marked.alias("marked"), at.alias("at"))
     pieces = pieces.select("lang", "n", "at", F.substr("marked", F.col("at") + 1, F.lit(PIECE + MAX_GRAM - 1)).alias("piece"))
     size = F.length("piece")
     last = lambda n: F.least(F.greatest(size - (n - 1), F.when(F.col("at") == 0, 1).otherwise(0)), F.lit(PIECE))
