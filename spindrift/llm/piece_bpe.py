@@ -39,7 +39,7 @@ SPACE = "▁"
 _NONE = np.iinfo(np.int64).max
 
 
-class _Table:
+class LongTable:
     """An open hash table of longs in arrays."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
@@ -110,10 +110,10 @@ class PieceModel:
                     keys.append(left * self.base + right)
                     made.append(i)
         self.char_of = {i: c for c, i in self.symbols.items() if len(c) == 1}
-        self.pair_table = _Table(np.frombuffer(keys, dtype=np.int64), np.frombuffer(made, dtype=np.int64))
+        self.pair_table = LongTable(np.frombuffer(keys, dtype=np.int64), np.frombuffer(made, dtype=np.int64))
         inside = {(a, b) for p in normal for a, b in zip(p, p[1:])}
         inside = np.array([self.symbols[a] * self.base + self.symbols[b] for a, b in inside], dtype=np.int64)
-        self.inside_table = _Table(inside, np.ones(len(inside), dtype=np.int64))
+        self.inside_table = LongTable(inside, np.ones(len(inside), dtype=np.int64))
         # characters: code point -> symbol, those without one above all symbols
         self.char_symbol = np.arange(0x110000, dtype=np.int64) + self.size + len(self.symbols)
         for s, i in self.symbols.items():

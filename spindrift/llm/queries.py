@@ -11,8 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import byte_bpe
+from .centroids import cluster_vectors
 from .chat_format import CHATML, format_chats, read_chats
+from .common import batches as blocks
 from .common import table
+from .conversation_repair import Report, in_order, repairs
 from .language_id import fit_languages, predict_languages
 from .mixing import mix_plan
 from .piece_bpe import encoded_slices, load
@@ -108,6 +112,80 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with turns dropped, emptied, cut, repeated or given another role by a checksum of their place."""
+    kind = F.crc32(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])) % 20
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), kind.alias("kind")).filter("kind <> 0")
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.array_repeat(F.lit(0), F.when(F.col("kind") == 3, 2).otherwise(1))).alias("copy"),
+    ).drop("copy")
+
+
+REPAIRED = pa.schema([("conv_id", pa.int64()), *[(n, pa.int64()) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")], ("audit", pa.string()), ("repaired_sha256", pa.string())])
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports of the operator, and a digest of the turns that its edits leave, taken as they become final."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[dict]:
+            digest, first = hashlib.sha256(), True
+            for _, x in repairs(batches):
+                if isinstance(x, Report):
+                    yield {**vars(x), "repaired_sha256": digest.hexdigest()}
+                    digest, first = hashlib.sha256(), True
+                elif x.op != "D":
+                    digest.update(f"{'' if first else chr(10)}{x.role}:{x.text}".encode())
+                    first = False
+
+        yield from blocks(REPAIRED, rows())
+
+    schema = "conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string"
+    found = in_order(damaged(turns)).mapInArrow(run, schema).withColumnRenamed("conv_id", "repaired")
+    every = turns.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("repaired")), "left")
+    zeros = [F.coalesce(n, F.lit(0).cast("long")).alias(n) for n in REPAIRED.names[1:7]]
+    nothing = F.lit(hashlib.sha256().hexdigest())
+    return every.select("conv_id", *zeros, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the operator's ids and of the text they decode to, taken where the ids are."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = byte_bpe.byte_encoder(path)
+        for part, flat, counts in byte_bpe.encoded_slices(batches, path):
+            of_ids, of_text, end = [], [], 0
+            for n in counts.tolist():
+                ids = flat[end : end + n]
+                end += n
+                of_ids.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
+                digest = hashlib.sha256()
+                for text in byte_bpe.decoded_blocks(encoder, ids):
+                    digest.update(text.encode())
+                of_text.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, centroids = cluster_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    digests = [(c, hashlib.sha256(",".join(map(str, v)).encode()).hexdigest()) for c, v in enumerate(centroids.tolist())]
+    per_cluster = assigned.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
+    whole = per_cluster.agg(F.sum("cluster_inertia").alias("inertia"))
+    # as many rows as there are centroids
+    sums = per_cluster.crossJoin(whole).join(spark.createDataFrame(digests, "cluster int, centroid_sha256 string"), "cluster")
+    return assigned.join(F.broadcast(sums), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality_classifier": op2_quality_classifier,
@@ -119,8 +197,107 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_top_k": op9_top_k,
     "op10_language_id": op10_language_id,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_centroids": op13_centroids,
 }
 
+
+
+def _repair_sql() -> str:
+    """Checksums, faults and the cheapest edits by dynamic programming over (cost, edits), a turn at a time.
+
+    A state's cost, eight digits of it, comes before its edits in one string, so the least string is the best.
+    """
+
+    def more(state: str, cost: int | str, edit: str) -> str:
+        return f"lpad((left({state}, 8)::INTEGER + {cost})::VARCHAR, 8, '0') || substr({state}, 9) || '{edit}'"
+
+    def least(*of: str) -> str:
+        return f"least({', '.join(of)})"
+
+    def inserted(prefix: str) -> str:
+        """States 2 and 3 after turns were inserted."""
+        p = prefix
+        return f"{least(p + '.s2', *[more(f'{p}.s{k}', 2, 'I') for k in (0, 1, 3)])} AS i2, {least(p + '.s3', more(p + '.s2', 2, 'I'), *[more(f'{p}.s{k}', 4, 'II') for k in (0, 1)])} AS i3"
+
+    keep = lambda state, initial: f"CASE WHEN may AND initial = '{initial}' THEN {more(state, 'late', 'K')} END"
+    rerole = lambda state: f"CASE WHEN may THEN {more(state, '2 + late', 'R')} END"
+    drop = lambda state: more(state, 3, "D")
+    step = f"""
+      {drop('s0')} AS s0,
+      {least(drop('s1'), keep('s0', 's'))} AS s1,
+      {least(drop('i2'), keep('s0', 'u'), keep('s1', 'u'), keep('i3', 'u'), rerole('s0'), rerole('s1'), rerole('i3'))} AS s2,
+      {least(drop('i3'), keep('i2', 'a'), rerole('i2'))} AS s3"""
+    return f"""
+WITH RECURSIVE kinds AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295::UBIGINT, [ascii(x)::UBIGINT FOR x IN string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')]),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), [0::UBIGINT FOR i IN range(8)]), lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::UBIGINT) ELSE v // 2 END)), 4294967295::UBIGINT) % 20 AS kind
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM kinds, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) WHERE kind <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+    right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS ends, left(role, 1) AS initial FROM damaged
+), faults AS (
+  SELECT *, CASE WHEN ends = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+    WHEN ends NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault, lag(initial) OVER (PARTITION BY conv_id ORDER BY n) || initial AS pair FROM placed
+), marked AS (
+  SELECT *, fault NOT IN ('blank', 'duplicate') AS may, (fault = 'truncated')::INTEGER AS late FROM faults
+), said AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(n) AS turns FROM marked GROUP BY conv_id
+), states AS (
+  SELECT conv_id, 0::BIGINT AS n, '00000000' AS s0, NULL::VARCHAR AS s1, NULL::VARCHAR AS s2, NULL::VARCHAR AS s3 FROM said
+  UNION ALL
+  SELECT conv_id, n, {step} FROM (
+    SELECT s.*, m.n AS n_, m.initial, m.may, m.late, {inserted('s')} FROM states s JOIN marked m ON m.conv_id IS NOT DISTINCT FROM s.conv_id AND m.n = s.n + 1
+  ) q(conv_id, before, s0, s1, s2, s3, n, initial, may, late, i2, i3)
+), best AS (
+  SELECT conv_id, left(k, 8)::BIGINT AS cost, substr(k, 9) AS audit FROM (
+    SELECT conv_id, least(s0, i3) AS k FROM (SELECT s.conv_id, s.s0, {inserted('s')} FROM states s JOIN said d ON d.conv_id IS NOT DISTINCT FROM s.conv_id AND d.turns = s.n))
+), ops AS (
+  SELECT conv_id, p, substr(audit, p, 1) AS op FROM best, unnest(range(1, length(audit) + 1)) t(p)
+), told AS (
+  SELECT o.*, count(*) FILTER (op <> 'I') OVER w AS n, count(*) FILTER (op <> 'D') OVER w AS place FROM ops o WINDOW w AS (PARTITION BY conv_id ORDER BY p)
+), kept AS (
+  SELECT t.conv_id, t.p, t.op, t.place, m.role, coalesce(CASE WHEN op <> 'I' THEN m.text END, '') AS text,
+    bool_or(t.place = 1 AND t.op = 'K' AND m.initial = 's') OVER (PARTITION BY t.conv_id) AS system
+  FROM told t LEFT JOIN marked m ON m.conv_id IS NOT DISTINCT FROM t.conv_id AND m.n = t.n WHERE op <> 'D'
+), repaired AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN op = 'K' THEN role WHEN (place - system::INTEGER) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY p)) AS digest FROM kept GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN said s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
+def _centroid_sql(k: int = 8, rounds: int = 10) -> str:
+    """Assign and move, written out round after round."""
+    out = f"""
+WITH x AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS row, [floor(1024 * e::DOUBLE)::BIGINT FOR e IN embedding] AS v FROM embeddings
+  WHERE len(embedding) = 64 AND list_bool_and([e IS NOT NULL AND isfinite(e) FOR e IN embedding])
+), m0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, v) - 1)::INTEGER AS c, v FROM x QUALIFY c < {k}
+)"""
+    assigned = "SELECT x.vec_id, x.row, x.v, m.c, list_sum(list_transform(list_zip(x.v, m.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM x, {m} m QUALIFY row_number() OVER (PARTITION BY x.row ORDER BY d, m.c) = 1"
+    for r in range(rounds):
+        out += f""", a{r} AS MATERIALIZED ({assigned.format(m=f'm{r}')}
+), t{r} AS (
+  SELECT c, i, sum(v[i])::BIGINT AS total, count(*) AS n FROM a{r}, unnest(range(1, 65)) u(i) GROUP BY c, i
+), m{r + 1} AS MATERIALIZED (
+  SELECT m.c, coalesce(g.v, m.v) AS v FROM m{r} m LEFT JOIN (SELECT c, list((total - ((total % n) + n) % n) // n ORDER BY i) AS v FROM t{r} GROUP BY c) g ON g.c = m.c
+)"""
+    return f"""{out}, last AS MATERIALIZED ({assigned.format(m=f'm{rounds}')})
+SELECT vec_id, l.c AS cluster, d AS distance, sum(d) OVER (PARTITION BY l.c)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(m.v, ',')) AS centroid_sha256 FROM last l JOIN m{rounds} m ON m.c = l.c"""
+
+
 _PROBE = "'<|im_end|><|im_start|>assistant ok'"
 ORACLE_SQL: dict[str, str] = {
     "op9_top_k": """
@@ -155,4 +332,6 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
   bool_and(follows) AND bool_or(ends AND role = 'assistant') AS valid,
   (min(place) FILTER (NOT follows))::INTEGER AS error_turn
 FROM marked GROUP BY conv_id""",
+    "op11_conversation_repair": _repair_sql(),
+    "op13_centroids": _centroid_sql(),
 }

@@ -26,7 +26,6 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +35,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import chosen, materialize, open_store, shared_dir
+from .word_table import REMEMBERED, WordTable, byte_letters, spread, text_slices
 
 MAGIC = b"SPDTOKN1"
 #: Bits of a level for each key that is still open.
 GAMMA = 1.6
-#: Distinct words that a worker remembers before it drops the rarer half.
-REMEMBERED = 400_000
 MANIFEST = "shard int, path string, first_id long, last_id long, n_docs long, n_tokens long"
 
 
@@ -63,14 +61,7 @@ def _by_words(spec: dict) -> bool:
     )
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letter that byte-level tokenizers write for each byte: printable ones as they are, others from 256 on."""
-    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = iter(range(256, 512))
-    return {b: chr(b if b in shown else next(others)) for b in range(256)}
-
-
-class WordEncoder:
+class WordEncoder(WordTable):
     """Ids of texts by a tokenizers file.
 
     Where the file's own specification says that words are independent (``_by_words``), each distinct word is cut into
@@ -90,7 +81,8 @@ class WordEncoder:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.library, self.remembered = Tokenizer.from_file(path), remembered
+        super().__init__("", remembered)
+        self.library = Tokenizer.from_file(path)
         self.size = self.library.get_vocab_size()
         self.by_words = _by_words(spec)
         if self.by_words:
@@ -103,12 +95,7 @@ class WordEncoder:
             settled = [chr(c) for c in range(0x21, 0x180)]
             of = lambda kind: "".join(re.escape(c) for c in settled if unicodedata.category(c)[0] == kind)
             self.pieces = re.compile(_WORDS.replace(r"\p{L}", of("L")).replace(r"\p{N}", of("N"))).findall
-            self.letters = _byte_letters()
-            self.known: dict[str, int] = {}
-            self.start, self.length, self.hits = (np.zeros(1 << 16, dtype=np.int64) for _ in range(3))
-            self.flat = np.zeros(1 << 18, dtype=np.uint32)
-            self.used = 0
-            self._append([""], np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64))
+            self.letters = byte_letters()
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of ids of each text; null counts as empty."""
@@ -121,7 +108,7 @@ class WordEncoder:
             lowered = pc.if_else(held, texts, lowered) if pc.any(held).as_py() else lowered
         split = pc.ascii_split_whitespace(lowered)
         words = split.flatten().dictionary_encode()
-        rows = self._rows(words.dictionary.to_pylist())
+        rows = self.rows(words.dictionary.to_pylist())
         at = words.indices.to_numpy(zero_copy_only=False)
         self.hits[rows] += np.bincount(at, minlength=len(rows))
         at = rows[at]
@@ -136,44 +123,7 @@ class WordEncoder:
         each = [np.array(e.ids, dtype=np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         return (np.concatenate(each) if each else np.zeros(0, dtype=np.uint32)), np.array([len(x) for x in each], dtype=np.int64)
 
-    def _rows(self, words: list[str]) -> np.ndarray:
-        """Row of each of some distinct words in the tables."""
-        at = np.fromiter(map(self.known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        missing = np.flatnonzero(at < 0)
-        if len(missing) and len(self.known) > self.remembered:
-            self._keep_frequent()
-            at = np.fromiter(map(self.known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-            missing = np.flatnonzero(at < 0)
-        if len(missing):
-            new = [words[k] for k in missing.tolist()]
-            self._learn(new)
-            at[missing] = np.fromiter(map(self.known.__getitem__, new), dtype=np.int64, count=len(new))
-        return at
-
-    def _keep_frequent(self) -> None:
-        names = list(self.known)  # in the order of their rows
-        rows = np.sort(np.argsort(-self.hits[: len(names)], kind="stable")[: self.remembered // 2])
-        rows = np.union1d(rows, [self.known[""]])
-        length, hits = self.length[rows], self.hits[rows] // 2
-        flat = self.flat[spread(self.start[rows], length)]
-        self.known, self.used = {}, 0
-        self._append([names[k] for k in rows.tolist()], flat, length)
-        self.hits[: len(rows)] = hits
-        self.hits[len(rows) :] = 0
-
-    def _append(self, words: list[str], flat: np.ndarray, length: np.ndarray) -> None:
-        first = len(self.known)
-        self.known.update(zip(words, range(first, first + len(words))))
-        while first + len(words) > len(self.start):
-            self.start, self.length, self.hits = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length, self.hits))
-        while self.used + len(flat) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.start[first : first + len(words)] = self.used + np.cumsum(length) - length
-        self.length[first : first + len(words)] = length
-        self.flat[self.used : self.used + len(flat)] = flat
-        self.used += len(flat)
-
-    def _learn(self, new: list[str]) -> None:
+    def learn(self, new: list[str]) -> None:
         known, settled, find, special = self.known, self._SETTLED.fullmatch, self.pieces, self.holds_special
         whole, cut, parts = [], [], []
         for word in new:
@@ -184,15 +134,15 @@ class WordEncoder:
                 whole.append(word)
         # a piece is a word whose only piece is itself
         ask = [p for p in dict.fromkeys([p for some in parts for p in some]) if p not in known]
-        self._append(ask, *self._model(ask))
+        self.append(ask, *self._model(ask))
         composed = [(w, p) for w, p in zip(cut, parts) if w not in known]
         if composed:
             size = np.array([len(p) for _, p in composed], dtype=np.int64)
             rows = np.array([known[x] for _, p in composed for x in p], dtype=np.int64)
             length = self.length[rows]
-            self._append([w for w, _ in composed], self.flat[spread(self.start[rows], length)], np.add.reduceat(length, np.cumsum(size) - size))
+            self.append([w for w, _ in composed], self.flat[spread(self.start[rows], length)], np.add.reduceat(length, np.cumsum(size) - size))
         if whole:
-            self._append(whole, *self._library(whole))
+            self.append(whole, *self._library(whole))
 
     def _model(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces from the library's BPE; an id with a word end closes each piece."""
@@ -210,12 +160,6 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def spread(start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Positions start[k], start[k] + 1, ... of all runs, one after the other."""
-    before = np.cumsum(length) - length
-    return np.arange(int(length.sum()), dtype=np.int64) + np.repeat(start - before, length)
-
-
 def _mix(keys: np.ndarray, seed: int) -> np.ndarray:
     """64 well-mixed bits of each key."""
     x = keys.astype(np.int64).view(np.uint64) + np.uint64((0x9E3779B97F4A7C15 * (seed + 1)) & (2**64 - 1))
@@ -333,7 +277,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, out: str | None =
         path = f"{base}/shard-{shard:06d}-{uuid.uuid4().hex}"
         stream = None
         for batch in batches:
-            for part, texts in _slices(batch):
+            for part, texts in text_slices(batch):
                 if stream is None:
                     stream = store.open_output_stream(path + ".bin")
                 flat, n = words.encode(texts)
@@ -362,18 +306,6 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, out: str | None =
     return materialize(rows.mapInArrow(run, MANIFEST).withColumn("folder", F.lit(folder)), "token-manifest")
 
 
-def _slices(batch: pa.RecordBatch, size: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, pa.StringArray]]:
-    """Slices of a batch with about ``size`` bytes of text, one row at least, and their texts."""
-    texts = batch.column("text").cast(pa.string())
-    total = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    begin = 0
-    while begin < len(texts):
-        before = total[begin - 1] if begin else 0
-        end = max(begin + 1, int(np.searchsorted(total, before + size, side="right")))
-        yield batch.slice(begin, end - begin), texts.slice(begin, end - begin)
-        begin = end
-
-
 def read_index(folder: str, path: str) -> tuple[ShardIndex, object]:
     """A shard's index and its open payload."""
     store, _ = open_store(folder)
