@@ -34,7 +34,7 @@ def _pages(spark, sf_dir):
 
 
 def heading_carry_forward(spark, sf_dir):
-    rows = _pages(spark, sf_dir).withColumn("chapter", r.chapter_heading(F.col("line"))["number"])
+    rows = _pages(spark, sf_dir).withColumn("chapter", r.chapter_parts(F.col("line"))["number"])
     return r.carried(rows, ["source"], ["chunk_id"], "chapter").select("chunk_id", "chapter")
 
 

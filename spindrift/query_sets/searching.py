@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import assessment as a
+from ..operators import headings as h
 from ..operators import intents as i
 from ..operators import retrieval as r
 from .base import table
@@ -119,35 +120,87 @@ s AS (SELECT *, CASE WHEN contains(lower(title || ' ' || url), 'miller') THEN 2
   + CASE WHEN regexp_matches(lower(title || ' ' || url), 'edition|版') THEN 1 ELSE 0 END AS hit_score FROM t)"""
 WEB_HITS = f"WITH {_WEB_SQL} SELECT page_id, query_id, hit_score::INTEGER AS hit_score, hit_score >= 3 AS strict FROM (SELECT *, max(hit_score) OVER (PARTITION BY query_id) AS top FROM s) WHERE hit_score >= 3 OR top < 3"
 
-SNIPPETS = ("Chapter 12: Blood | p. 34", "see page: 7 of it", "nothing", "chapter 3 - Airway; more")
+
+def _hit_texts(spark, sf_dir):
+    """Pages as web hits: what they say around their own words, and what is stored with some of them."""
+    p, k = table(spark, sf_dir, "pages"), F.col("page_id")
+    body = F.regexp_replace("html", "<[^>]*>", " ")
+    form = lambda *parts: F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in parts])
+    forms = [form("Chapter ", k % 150, ": ", body), form("see Page: ", k % 99999, " of ", body), body, form("In chapter", k % 90, " - ", body, "| p. ", k % 500), form(body, " P.", k % 70, ", end"), form("subchapter 4 ", body)]
+    stored = {
+        "chapter": F.when(k % 3 == 0, " 5 Heart "), "section": F.when(k % 7 == 0, " Valves "), "page": F.when(k % 5 == 0, "99"),
+        "source": F.when(k % 11 == 0, "inferred_by_gpt").when(k % 11 == 1, "source_snippet").when(k % 11 == 2, "hearsay"), "confidence": F.when(k % 4 == 0, 0.9).when(k % 4 == 1, 0.3),
+    }
+    return p.select(k, "url", F.get(F.array(*forms), (k % 6).cast("int")).alias("snippet"), *[v.alias(n) for n, v in stored.items()])
 
 
 def web_locators(spark, sf_dir):
-    p = table(spark, sf_dir, "pages")
+    """What every page's text, or what is stored with it, says of chapter and page, with and without a model's word."""
+    hits = _hit_texts(spark, sf_dir)
+    of = {n: F.col(n) for n in hits.columns if n != "page_id"}
+    rank = F.col("page_id") % 10 + 1
+    both = hits.select("page_id", h.web_locator(of, rank).alias("f"), h.web_locator(of, rank, allow_inferred=True).alias("g"))
     k = F.col("page_id")
-    found = i.web_locator(F.lit("T"), _pick(SNIPPETS, k), F.lit("u"), F.when(k % 3 == 0, " 5 Heart "), F.when(k % 5 == 0, "99"), allow_inferred=True)
-    return p.select("page_id", found.alias("f")).select("page_id", "f.chapter", "f.page", "f.source", "f.confidence", i.web_query([F.when(k % 2 == 0, F.lit(" stored "))], [F.lit("a "), F.lit(" "), F.lit("b")], "10th").alias("query"))
-
-
-WEB_LOCATORS = """WITH x AS (SELECT page_id, page_id % 4 AS v, CASE WHEN page_id % 3 = 0 THEN '5 Heart' END AS c, CASE WHEN page_id % 5 = 0 THEN '99' END AS p FROM pages),
-y AS (SELECT *, CASE v WHEN 0 THEN '12 Blood' WHEN 3 THEN '3 Airway' END AS sc, CASE v WHEN 0 THEN '34' WHEN 1 THEN '7' END AS sp FROM x),
-z AS (SELECT *, CASE WHEN (c IS NULL AND sc IS NOT NULL) OR (p IS NULL AND sp IS NOT NULL) THEN 'source_snippet' WHEN c IS NOT NULL OR p IS NOT NULL THEN 'inferred_by_gpt' ELSE 'unknown' END AS source FROM y)
-SELECT page_id, CASE WHEN source <> 'unknown' THEN coalesce(c, sc) END AS chapter, CASE WHEN source = 'source_snippet' THEN coalesce(p, sp) END AS page, source, CASE source WHEN 'source_snippet' THEN 0.8 WHEN 'inferred_by_gpt' THEN 0.5 ELSE 0.0 END::DOUBLE AS confidence,
-  CASE WHEN page_id % 2 = 0 THEN 'stored; 10th' ELSE 'a; b; 10th' END AS query FROM z"""
-
-HEADINGS = ("Chapter 12: Blood pressure 441", "7 This fragment", "7 Airway care", "300 Too far", "12 ab", "References", "no heading here.", "Chapter 5 however it goes", "8 • Pain, control")
+    query = i.web_query([F.when(k % 2 == 0, F.lit(" stored "))], [F.lit("a "), F.lit(" "), F.lit("b")], "10th")
+    return both.select("page_id", "f.chapter", "f.section", "f.page", "f.source", "f.confidence", "f.locator", F.col("g.source").alias("source_inferred"), F.col("g.confidence").alias("confidence_inferred"), F.col("g.locator").alias("locator_inferred"), query.alias("query"))
+
+
+def _locator_sql() -> str:
+    """Both readings; where a page's own words name a page, the first piece after a p that begins a word tells it."""
+    said = """CASE WHEN inferred AND NOT {allow} THEN 'unknown' WHEN src = '' AND model THEN CASE WHEN {allow} THEN 'inferred_by_gpt' ELSE 'unknown' END WHEN src = '' THEN 'unknown' ELSE src END"""
+    sure = "CASE {0} WHEN 'source_snippet' THEN CASE WHEN conf <= 0 THEN 0.8 ELSE conf END WHEN 'inferred_by_gpt' THEN least(CASE WHEN conf = 0 THEN 0.5 ELSE conf END, 0.6) ELSE 0 END::DOUBLE"
+    shown = "'[WebM10#' || (page_id % 10 + 1) || ' | 术中相关章节: ' || CASE WHEN {0} = 'unknown' THEN '章节定位不足' ELSE coalesce(nullif(chapter_, ''), nullif(section_, ''), '章节定位不足') END || ' | p.' || CASE WHEN {0} = 'source_snippet' AND page_ <> '' THEN page_ ELSE '?' END || ']'"
+    return rf"""WITH b AS (SELECT page_id, url, page_id % 6 AS v, regexp_replace(html, '<[^>]*>', ' ', 'g') AS body FROM pages),
+t AS (SELECT *, CASE v WHEN 0 THEN 'Chapter ' || page_id % 150 || ': ' || body WHEN 1 THEN 'see Page: ' || page_id % 99999 || ' of ' || body WHEN 2 THEN body WHEN 3 THEN 'In chapter' || page_id % 90 || ' - ' || body || '| p. ' || page_id % 500 WHEN 4 THEN body || ' P.' || page_id % 70 || ', end' ELSE 'subchapter 4 ' || body END AS snippet,
+  CASE WHEN page_id % 3 = 0 THEN '5 Heart' ELSE '' END AS c, CASE WHEN page_id % 7 = 0 THEN 'Valves' ELSE '' END AS s, CASE WHEN page_id % 5 = 0 THEN '99' ELSE '' END AS p,
+  CASE page_id % 11 WHEN 0 THEN 'inferred_by_gpt' WHEN 1 THEN 'source_snippet' ELSE '' END AS stored, CASE page_id % 4 WHEN 0 THEN 0.9 WHEN 1 THEN 0.3 ELSE 0 END AS stored_conf FROM b),
+w AS (SELECT *, ltrim(string_split_regex(ltrim(body, chr(32) || chr(9) || chr(10) || chr(13)) || ' ' || url, '[|.;' || chr(10) || ']')[1]) AS opening,
+  list_filter([regexp_extract(x, '^(?:age|\.)?\s*[:.]?\s*([0-9]+)(?:[^\pL\pN_]|$)', 1) FOR x IN string_split_regex(' ' || snippet || ' ' || url, '[^\pL\pN_][Pp]')[2:]], lambda n: length(n) BETWEEN 1 AND 4) AS numbers FROM t),
+x AS (SELECT *, CASE WHEN v IN (0, 3) AND length(opening) >= 2 THEN CASE v WHEN 0 THEN page_id % 150 ELSE page_id % 90 END::VARCHAR END AS number, trim(left(opening, 120), ' ' || chr(9) || chr(10) || chr(13)) AS title, numbers[1] AS said FROM w),
+y AS (SELECT *, c = '' AND number IS NOT NULL AS by_chapter, p = '' AND said IS NOT NULL AS by_page, c || s || p <> '' AS model FROM x),
+z AS (SELECT *, CASE WHEN by_chapter THEN number || ' ' || title ELSE c END AS chapter_, CASE WHEN by_chapter AND s = '' THEN title ELSE s END AS section_, CASE WHEN by_page THEN said ELSE p END AS page_,
+  CASE WHEN by_chapter OR (by_page AND stored = '') THEN 'source_snippet' ELSE stored END AS src, CASE WHEN by_chapter OR by_page THEN greatest(stored_conf, 0.8) ELSE stored_conf END AS conf FROM y),
+i AS (SELECT *, src = 'inferred_by_gpt' AS inferred FROM z),
+r AS (SELECT *, {said.format(allow='false')} AS f, {said.format(allow='true')} AS g FROM i)
+SELECT page_id, CASE WHEN f = 'unknown' THEN '' ELSE chapter_ END AS chapter, CASE WHEN f = 'unknown' THEN '' ELSE section_ END AS section, CASE WHEN f = 'source_snippet' THEN page_ ELSE '' END AS page, f AS source, {sure.format('f')} AS confidence, {shown.format('f')} AS locator,
+  g AS source_inferred, {sure.format('g')} AS confidence_inferred, {shown.format('g')} AS locator_inferred, CASE WHEN page_id % 2 = 0 THEN 'stored; 10th' ELSE 'a; b; 10th' END AS query FROM r"""
 
 
 def heading_rules(spark, sf_dir):
-    """Headings of every kind: numbered, out of range, too short, body text, noise."""
-    d = table(spark, sf_dir, "documents").select("doc_id", _pick(HEADINGS, F.col("doc_id")).alias("line"))
-    h = r.chapter_parts(F.col("line"))
-    return d.select("doc_id", h["number"].alias("number"), h["title"].alias("title"), r.noise_heading(F.col("line")).alias("noise"), r.intraoperative(F.lit(""), F.col("line"), F.lit("")).alias("intraop"), r.display_locator(h["number"].cast("string"), h["title"], F.lit(" 12 "), F.col("line")).alias("locator"))
-
-
-HEADING_RULES = """WITH x AS (SELECT doc_id, doc_id % 9 AS v FROM documents)
-SELECT doc_id, CASE v WHEN 0 THEN 12 WHEN 2 THEN 7 WHEN 8 THEN 8 END::INTEGER AS number, CASE v WHEN 0 THEN 'Blood pressure' WHEN 2 THEN 'Airway care' WHEN 8 THEN 'Pain, control' END AS title, v = 5 AS noise, v IN (2, 8) AS intraop,
-  '[M10 | ' || CASE WHEN v IN (2, 8) THEN '术中相关章节: ' ELSE '相关章节: ' END || CASE v WHEN 0 THEN 'Blood pressure' WHEN 2 THEN 'Airway care' WHEN 8 THEN 'Pain, control' ELSE '章节定位不足' END || ' | p.12]' AS locator FROM x"""
+    """Every line of every document as a heading of one kind or another."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "body"))
+    k = F.col("doc_id") + F.col("line_no")
+    number = (F.col("doc_id") * 7 % 131).cast("string")
+    forms = [F.concat(F.lit(before), number, F.lit(between), F.col("body"), F.lit(after)) for before, between, after in (("Chapter ", ": ", " 441"), ("", " • ", ""), ("", " ", " "), ("", " - ", " 12 Next part"), ("Contents ", " ", ""))]
+    d = d.select("doc_id", "line_no", F.get(F.array(*forms, F.col("body")), (k % 6).cast("int")).alias("line"))
+    d = d.withColumn("h", h.chapter_parts(F.col("line")))
+    locator = r.display_locator(F.col("h.number").cast("string"), F.col("h.title"), F.lit(" 12 "), F.col("line"))
+    return d.select("doc_id", "line_no", "h.number", F.md5("h.title").alias("title"), F.md5(h.clean_heading(F.col("line"))).alias("clean"), r.noise_heading(F.col("line")).alias("noise"), F.md5(locator).alias("locator"))
+
+
+def _heading_sql() -> str:
+    space = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    digits = "'0123456789'"
+
+    def clean(x: str, named: str) -> str:
+        """A page number between words, then one at the end."""
+        words = f"string_split({x}, ' ')"
+        at = f"list_filter(range(2, len({words})), lambda k: length({words}[k]) BETWEEN 2 AND 4 AND rtrim({words}[k], {digits}) = '' AND regexp_matches(left({words}[k + 1], 1), '[A-Za-z]'))[1]"
+        return f"CASE WHEN {named} OR {at} IS NULL THEN {x} ELSE array_to_string({words}[:{at} - 1], ' ') END"
+
+    end = lambda x: f"rtrim(left({x}, length({x}) - least(4, length({x}) - length(rtrim({x}, {digits})))))"
+    intraop = "intraoperative|monitor|anesthesia|surgery|hemodynamic|oxygenation|airway|pain|nociception"
+    return rf"""WITH l AS (SELECT doc_id, n - 1 AS line_no, string_split(text, chr(10))[n] AS body FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) u(n)),
+f AS (SELECT *, (doc_id + line_no) % 6 AS v, doc_id * 7 % 131 AS number FROM l),
+t AS (SELECT *, CASE v WHEN 0 THEN 'Chapter ' || number || ': ' || body || ' 441' WHEN 1 THEN number || ' • ' || body WHEN 2 THEN number || ' ' || body || ' ' WHEN 3 THEN number || ' - ' || body || ' 12 Next part' WHEN 4 THEN 'Contents ' || number || ' ' || body ELSE body END AS line FROM f),
+q AS (SELECT *, trim(regexp_replace(line, '[\s\x00\x0B\x{{85}}\p{{Z}}]+', ' ', 'g')) AS x FROM t),
+c AS (SELECT *, {clean('x', 'v = 0')} AS y FROM q), c2 AS (SELECT *, {end('y')} AS z FROM c),
+p AS (SELECT *, CASE v WHEN 0 THEN regexp_extract(z, '^Chapter ([0-9]+): *(.*)$', 2) WHEN 1 THEN regexp_extract(z, '^[0-9]+ • *(.*)$', 1) WHEN 2 THEN regexp_extract(z, '^[0-9]+ +(.*)$', 1) WHEN 3 THEN regexp_extract(z, '^[0-9]+ - *(.*)$', 1) ELSE '' END AS raw FROM c2),
+p1 AS (SELECT *, CASE WHEN v = 0 THEN raw <> '' ELSE regexp_matches(left(raw, 1), CASE v WHEN 2 THEN '[A-Z]' ELSE '[A-Za-z]' END) AND length(raw) BETWEEN 4 AND 181 AND translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789 ,:&()/-''’', '') = '' END AS fits FROM p),
+p2 AS (SELECT *, {clean('raw', "raw = ''")} AS y2 FROM p1), p3 AS (SELECT *, {end('y2')} AS title_ FROM p2),
+g AS (SELECT *, fits AND number BETWEEN 1 AND 120 AND regexp_matches(title_, '[A-Za-z][A-Za-z][A-Za-z]') AND lower(string_split(title_, ' ')[1]) NOT IN ('this', 'these', 'they', 'there', 'when', 'however', 'conversely', 'more', 'although', 'because') AS good FROM p3)
+SELECT doc_id, line_no::INTEGER AS line_no, CASE WHEN good THEN number END::INTEGER AS number, CASE WHEN good THEN md5(title_) END AS title, md5(z) AS clean, z = '' OR regexp_matches(lower(z), 'references|contents|index|acknowledgments|copyright') AS noise,
+  md5('[M10 | ' || CASE WHEN regexp_matches(lower(CASE WHEN good THEN number || ' ' || title_ || ' ' ELSE '' END || line), '{intraop}|术中|麻醉|监测|并发症|循环|氧合') THEN '术中相关章节: ' ELSE '相关章节: ' END || CASE WHEN good THEN coalesce(nullif(title_, ''), number::VARCHAR) ELSE '章节定位不足' END || ' | p.12]') AS locator FROM g"""
 
 
 def passages_prepared(spark, sf_dir):
@@ -156,7 +209,7 @@ def passages_prepared(spark, sf_dir):
     k = F.col("doc_id")
     d = d.select(k.alias("chunk_id"), "text", F.when(k % 3 == 0, F.concat(F.lit("Ch"), k)).alias("outline_chapter"), F.when(k % 2 == 0, "Heading").alias("heading_chapter"), F.when(k % 5 == 0, " sec ").alias("section"))
     out = r.prepared(d, least_chars=300, book="Book")
-    return out.select("chunk_id", F.md5("text").alias("md5"), "chapter", "chapter_source", "chapter_confidence", "char_count", r.chapter_of_prefix(F.col("text")).alias("recovered"))
+    return out.select("chunk_id", F.md5("text").alias("md5"), "chapter", "chapter_source", "chapter_confidence", "char_count", h.chapter_of_prefix(F.col("text")).alias("recovered"))
 
 
 PREPARED = """WITH x AS (SELECT doc_id AS chunk_id, trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t, CASE WHEN doc_id % 3 = 0 THEN 'Ch' || doc_id WHEN doc_id % 2 = 0 THEN 'Heading' END AS chapter, doc_id % 3 = 0 AS o, doc_id % 2 = 0 AS h, doc_id % 5 = 0 AS s FROM documents),
@@ -184,8 +237,8 @@ REGISTER = [
     ("intent_tags_full", intent_tags_full, INTENTS_FULL),
     ("retrieval_query", retrieval_query, RETRIEVAL_QUERY),
     ("web_hits", web_hits, WEB_HITS),
-    ("web_locators", web_locators, WEB_LOCATORS),
-    ("heading_rules", heading_rules, HEADING_RULES),
+    ("web_locators", web_locators, _locator_sql()),
+    ("heading_rules", heading_rules, _heading_sql()),
     ("passages_prepared", passages_prepared, PREPARED),
     ("retrieval_reuse", retrieval_reuse, _reuse_sql()),
 ]

@@ -210,7 +210,7 @@ def test_chapter_limit_falls_back(spark):
 
 
 def test_headings_and_locators(spark):
-    h = lambda s: one(spark, retrieval.chapter_heading(F.lit(s)))
+    h = lambda s: one(spark, retrieval.chapter_parts(F.lit(s)))
     assert tuple(h("Chapter 12:  Airway ")) == (12, "Airway") and h("121 Airway") is None and h("3 ab") is None and h("plain") is None
     assert one(spark, retrieval.locator(F.lit("B"), F.lit(" "), F.lit("4"), F.lit(None).cast("string"))) == "[B, p. 4]"
 
