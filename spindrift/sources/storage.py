@@ -7,30 +7,42 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Set to true where a ``file:`` folder is mounted on every machine of a cluster.
+MOUNTED = "spindrift.shared.mounted"
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder in the storage that driver and executors share.
 
-    The place is ``spark.checkpoint.dir``; where that is unset and the master is local (tests, a single machine) one is
-    made and set. A cluster without it is refused: its machines would each write to a disk of their own.
-    The folder goes when the session's file systems are closed.
+def shared_base(spark: SparkSession) -> str:
+    """The shared folder, with the scheme that Spark's file systems give it.
+
+    The place is ``spark.checkpoint.dir``; a path without a scheme is one of the default file system, as it is for Spark.
+    Where that is unset and the master is local (tests, a single machine) a folder is made and set. A cluster without one is
+    refused, and so is a ``file:`` folder on a cluster, whose machines would each write to a disk of their own, unless
+    ``spindrift.shared.mounted`` says that it is mounted everywhere.
     """
     context = spark.sparkContext
+    local = context.master.startswith("local")
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         held = context._jsc.sc().getCheckpointDir()
         if held.isDefined():
             base = held.get()
-        elif not context.master.startswith("local"):
+        elif not local:
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         else:
             base = "file://" + tempfile.mkdtemp(prefix="spindrift-")
             context.setCheckpointDir(base)
-    if "://" not in base:
-        base = base if base.startswith("file:") else f"file://{base}"
-    out = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    jvm = context._jvm
-    path = jvm.org.apache.hadoop.fs.Path(out)
+    path = context._jvm.org.apache.hadoop.fs.Path(base)
+    out = path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    if out.startswith("file:") and not local and spark.conf.get(MOUNTED, "false") != "true":
+        raise ValueError(f"{out} is a local folder of each machine; name a shared one in spark.checkpoint.dir, or set {MOUNTED} where it is mounted everywhere")
+    return "file://" + out.removeprefix("file:") if out.startswith("file:/") and not out.startswith("file://") else out
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one; it goes when the session's file systems are closed."""
+    out = f"{shared_base(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(out)
     fs = path.getFileSystem(context._jsc.hadoopConfiguration())
     fs.mkdirs(path)
     fs.deleteOnExit(path)
@@ -42,3 +54,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     out = shared_dir(df.sparkSession, name) + "/table"
     df.write.parquet(out)
     return df.sparkSession.read.schema(df.schema).parquet(out)
+
+
+def open_store(uri: str):
+    """pyarrow file system and path of a URI, for executors that write or read plain files.
+
+    Spark's names of a store (s3a, s3n) stand for the same store here.
+    """
+    from pyarrow import fs
+
+    scheme, found, rest = uri.partition("://")
+    if not found:
+        return fs.FileSystem.from_uri("file://" + uri.removeprefix("file:"))
+    return fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
