@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.storage import materialize, open_store, shared_dir
+
+__all__ = ["apart", "batches", "chosen", "joined_small", "materialize", "open_store", "shared_dir", "table", "word_count", "words_of"]
+
 #: What counts as a word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: ASCII white space as a Java character class.
@@ -22,49 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder in the storage that driver and executors share.
-
-    The place is ``spark.checkpoint.dir``; where that is unset and the master is local (tests, a single machine) one is
-    made and set. A cluster without it is refused: its machines would each write to a disk of their own.
-    The folder goes when the session's file systems are closed.
-    """
-    context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        held = context._jsc.sc().getCheckpointDir()
-        if held.isDefined():
-            base = held.get()
-        elif not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        else:
-            base = "file://" + tempfile.mkdtemp(prefix="spindrift-")
-            context.setCheckpointDir(base)
-    if "://" not in base:
-        base = base if base.startswith("file:") else f"file://{base}"
-    out = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    jvm = context._jvm
-    path = jvm.org.apache.hadoop.fs.Path(out)
-    fs = path.getFileSystem(context._jsc.hadoopConfiguration())
-    fs.mkdirs(path)
-    fs.deleteOnExit(path)
-    return out
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again: its lineage is cut and any executor can be lost."""
-    out = shared_dir(df.sparkSession, name) + "/table"
-    df.write.parquet(out)
-    return df.sparkSession.read.schema(df.schema).parquet(out)
-
-
-def open_store(uri: str):
-    """pyarrow file system and path of a URI (file, hdfs, s3, gs), for executors that write or read plain files."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
-
-
 def _place(names: list[str], wanted: str) -> int:
     """Where a column is: its exact name counts first, then one that differs in case alone."""
     for same in (lambda n: n == wanted, lambda n: n.lower() == wanted.lower()):
