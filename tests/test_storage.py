@@ -43,7 +43,7 @@ def test_local_folders_are_refused_on_a_cluster(spark, tmp_path):
 
 
 def test_stores_by_sparks_names(tmp_path):
-    store, path = storage.open_store("s3a://bucket/a/b")
+    store, path = storage.open_store("s3a://bucket/a/b?region=us-east-1")
     assert (store.type_name, path) == ("s3", "bucket/a/b")
     for uri in (f"file://{tmp_path}/x", f"file:{tmp_path}/x", f"{tmp_path}/x"):
         store, path = storage.open_store(uri)
