@@ -6,7 +6,8 @@ language. An unseen word is scored by its n-grams of the greatest length at whic
 softmax of those means, sharpened by the number of words up to ``SURE_WORDS``, gives the prediction and its score.
 
 The model is fitted on about ``FIT_ROWS`` labelled rows at most (or ``LEAST_ROWS`` of each language, where that is more),
-chosen by a hash, whole texts; its size is bounded by WORDS, GRAMS and LANGUAGES. Every text is predicted whole, whatever
+chosen by a hash, whole texts. It holds a number for each key and each language that uses it, at most ENTRIES of words and
+as many of n-grams; a language that does not know a key has its floor. Every text is predicted whole, whatever
 its length.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; equal scores go to the smaller language;
@@ -27,44 +28,67 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import apart, chosen, materialize
+from .word_table import spread
 
 #: Labelled rows that a model is fitted on, in equal shares of the languages, and the least share.
 FIT_ROWS, LEAST_ROWS = 6_000, 50
-#: Languages that a model can hold, the most frequent ones.
-LANGUAGES = 200
-WORDS = 20_000
-GRAMS = 20_000
+#: Languages that a model can hold, the most frequent ones: more than there are.
+LANGUAGES = 10_000
+#: Words and n-grams of a language, and of all languages together, where each then has an equal part.
+WORDS, GRAMS, ENTRIES = 20_000, 20_000, 600_000
 MAX_GRAM = 4
 SURE_WORDS = 12
 #: Starts of n-grams in a piece of a word.
 PIECE = 64
-REMEMBERED = 150_000
+#: Tokens whose scores are remembered, and scores of all of them together.
+REMEMBERED, SCORES = 150_000, 8_000_000
 #: Tokens, and rows, that are looked at together.
 SLICE, ROWS = 50_000, 128
 UNKNOWN = "und"
 _LETTERS = regex.compile(r"\p{L}+")
 
 
+class SparseLogs:
+    """Log frequencies by key and language: a floor for each language, and what the keys that it knows add to it."""
+
+    def __init__(self, counts: list[tuple[str, str, int]], languages: list[str]):
+        at = {lang: k for k, lang in enumerate(languages)}
+        self.keys: dict[str, int] = {}
+        entries: dict[int, int] = {}
+        for lang, key, n in counts:
+            place = self.keys.setdefault(key, len(self.keys)) * len(at) + at[lang]
+            entries[place] = entries.get(place, 0) + n
+        place = np.array(sorted(entries), dtype=np.int64)
+        n = np.array([entries[k] for k in place.tolist()], dtype=np.float64)
+        row, lang = np.divmod(place, max(1, len(at)))
+        floor = 0.5
+        total = np.bincount(lang, weights=n, minlength=len(at))
+        self.floor = np.log(floor / (total + floor * (len(self.keys) + 1))).astype(np.float32)
+        self.lang, self.more = lang.astype(np.int32), np.log((n + floor) / floor).astype(np.float32)
+        self.start = np.searchsorted(row, np.arange(len(self.keys) + 1))
+
+
 class LanguageModel:
-    """languages, word -> row and n-gram -> row of a table of log frequencies in each language."""
+    """languages, word -> row and n-gram -> row of a sparse table of log frequencies in each language."""
 
     def __init__(self, words: list[tuple[str, str, int]], grams: list[tuple[str, str, int]]):
         self.languages = sorted({lang for lang, _, _ in words})
-        self.words, first = self._table(words)
-        self.grams, second = self._table(grams, len(first))
-        self.table = np.concatenate([first, second])
-
-    def _table(self, counts: list[tuple[str, str, int]], start: int = 0) -> tuple[dict[str, int], np.ndarray]:
-        at = {lang: k for k, lang in enumerate(self.languages)}
-        rows: dict[str, int] = {}
-        for _, key, _ in counts:
-            rows.setdefault(key, len(rows))
-        seen = np.zeros((len(rows), len(at)))
-        for lang, key, n in counts:
-            seen[rows[key], at[lang]] += n
-        floor = 0.5
-        logs = np.log((seen + floor) / (seen.sum(axis=0) + floor * (len(rows) + 1))).astype(np.float32)
-        return {k: start + v for k, v in rows.items()}, logs
+        first, second = SparseLogs(words, self.languages), SparseLogs(grams, self.languages)
+        self.words, self.grams = first.keys, {k: len(first.keys) + v for k, v in second.keys.items()}
+        self.floors = np.stack([first.floor, second.floor])
+        self.lang, self.more = np.concatenate([first.lang, second.lang]), np.concatenate([first.more, second.more])
+        self.start = np.concatenate([first.start, first.start[-1] + second.start[1:]])
+
+    def logs(self, rows: np.ndarray | list[int], weights: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
+        """Weighted sums of rows by owner, owners times languages."""
+        rows = np.asarray(rows, dtype=np.int64)
+        out = np.zeros((owners, len(self.languages)), dtype=np.float32)
+        for kind, of in enumerate((rows < len(self.words), rows >= len(self.words))):
+            out += np.bincount(owner[of], weights=weights[of], minlength=owners)[:, None].astype(np.float32) * self.floors[kind]
+        size = self.start[rows + 1] - self.start[rows]
+        entry = spread(self.start[rows], size)
+        np.add.at(out, (np.repeat(owner, size), self.lang[entry]), self.more[entry] * np.repeat(weights, size).astype(np.float32))
+        return out
 
     def rows_of(self, word: str) -> list[int]:
         """Rows of the table whose mean is a word's score: its own, or its longest known n-grams'."""
@@ -92,11 +116,8 @@ class LanguageModel:
                     flat += rows
                     sizes.append(len(rows))
                     owner.append(k)
-        scores = np.zeros((len(tokens), len(self.languages)), dtype=np.float32)
-        if flat:
-            size = np.array(sizes)
-            means = np.add.reduceat(self.table[flat], np.cumsum(size) - size, axis=0) / size[:, None]
-            np.add.at(scores, owner, means)
+        size = np.array(sizes, dtype=np.int64)
+        scores = self.logs(flat, np.repeat(1.0 / np.maximum(size, 1), size), np.repeat(np.array(owner, dtype=np.int64), size), len(tokens))
         return scores, n_words
 
 
@@ -161,14 +182,15 @@ def fit_languages(docs: DataFrame, fit_rows: int = FIT_ROWS) -> LanguageModel:
     grams_of = lambda n: F.transform(starts(n), lambda i: F.substr("piece", i, F.lit(n)))
     cut = [grams_of(n) for n in range(1, MAX_GRAM + 1)]  # a second parameter of the inner lambda would be the index
     grams = pieces.select("lang", "n", F.explode(F.flatten(F.array(*cut))).alias("key")).groupBy("lang", "key").agg(F.sum("n").alias("n"))
-    return LanguageModel(_most_frequent(counts, WORDS), _most_frequent(materialize(grams, "language-grams"), GRAMS))
+    part = ENTRIES // max(1, counts.agg(F.count_distinct("lang")).first()[0])
+    return LanguageModel(_most_frequent(counts, min(WORDS, part)), _most_frequent(materialize(grams, "language-grams"), min(GRAMS, part)))
 
 
 class _Reader:
-    """Scores of tokens; remembers up to ``REMEMBERED`` of them."""
+    """Scores of tokens; remembers up to ``REMEMBERED`` of them, or ``SCORES`` numbers."""
 
     def __init__(self, model: LanguageModel):
-        self.model = model
+        self.model, self.most = model, min(REMEMBERED, SCORES // max(1, len(model.languages)))
         self._forget()
 
     def _forget(self) -> None:
@@ -206,7 +228,7 @@ class _Reader:
         at = np.fromiter(map(self.known.get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
         missing = np.flatnonzero(at < 0)
         if len(missing):
-            if len(self.known) > REMEMBERED:
+            if len(self.known) > self.most:
                 self._forget()
                 missing = np.arange(len(tokens))
             known, first = self.known, len(self.known)

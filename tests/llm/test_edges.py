@@ -166,7 +166,7 @@ def test_fingerprints_and_components_match_brute_force(spark):
 def test_predictions_match_a_plain_version(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
     model = language_id.fit_languages(docs)
-    logs = lambda rows: np.mean([model.table[r] for r in rows], axis=0) if rows else np.zeros(len(model.languages))
+    logs = lambda rows: model.logs(rows, np.full(len(rows), 1 / len(rows)), np.zeros(len(rows), np.int64), 1)[0] if rows else np.zeros(len(model.languages))
     texts = [None, "", "½ ² Ⅷ 12 __", "½ ² a", "a2b c_d", "日本 x", "zzzqqq " * 50] + [r.text for r in docs.limit(40).collect()]
     probe = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for r in language_id.predict_languages(probe, model).collect():

@@ -166,7 +166,7 @@ def test_unseen_words_fall_back_to_shorter_ngrams():
     m = language_id.LanguageModel([("en", "the", 9), ("de", "der", 9)], [("en", "_th", 5), ("de", "_de", 5), ("en", "h", 3), ("de", "r", 3)])
     assert m.rows_of("the") == [m.words["the"]] and m.rows_of("this") == [m.grams["_th"]] and m.rows_of("xxr") == [m.grams["r"]] and m.rows_of("zzz") == []
     scores, words = m.score_tokens(["the", "The-this!", "zzz", "12", "hxh"])
-    t = m.table
+    t = {m.words["the"]: np.log(np.array([0.5, 9.5]) / (9 + 1.5)), m.grams["_th"]: np.array([np.log(0.5 / (8 + 2.5)), np.log(5.5 / (8 + 2.5))]), m.grams["h"]: np.array([np.log(0.5 / (8 + 2.5)), np.log(3.5 / (8 + 2.5))])}
     assert words.tolist() == [1, 2, 1, 0, 1] and not scores[2].any() and not scores[3].any()
     assert np.allclose(scores[1], t[m.words["the"]] + t[m.grams["_th"]]) and np.allclose(scores[4], t[m.grams["h"]])
 
