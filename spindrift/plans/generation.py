@@ -1,7 +1,7 @@
 """Generation behind a provider: prompts, answers, validation, one repair, acceptance.
 
 A provider is called with a list of prompts and gives as many answers; an exception for a batch becomes an error on its
-rows. All else is deterministic; partitions set how many calls run at a time.
+rows. Each distinct prompt is asked once (``ledger``); all else is deterministic.
 """
 
 from __future__ import annotations
@@ -9,15 +9,15 @@ from __future__ import annotations
 import json
 import urllib.parse
 import urllib.request
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import fixed
 from ..operators import qa
+from . import ledger
 
 Provider = Callable[[list[str]], list[str]]
 
@@ -65,39 +65,28 @@ def evidence_block(hits: Column, most_chars: int = 800) -> Column:
     return F.array_join(F.transform(hits, lambda h, i: F.concat(F.lit("["), (i + 1).cast("string"), F.lit("] "), F.coalesce(h["locator"], F.lit("")), F.lit(" "), F.left(h["text"], F.lit(most_chars)))), "\n")
 
 
-def complete(rows: DataFrame, column: str, provider: Provider, out: str = "answer", batch: int = 16) -> DataFrame:
-    """``rows`` with the provider's answer to the prompt in ``column`` and an error text if the call failed."""
-    schema = rows.drop(out, "error").select("*", F.lit("").alias(out), F.lit("").alias("error")).schema
-    names = [f.name for f in schema.fields[:-2]]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            prompts, answers, errors = b.column(column).to_pylist(), [], []
-            for k in range(0, len(prompts), batch):
-                some = [p or "" for p in prompts[k : k + batch]]
-                try:
-                    got, wrong = list(provider(some)), None
-                    if len(got) != len(some):
-                        raise ValueError("the provider gave another number of answers")
-                except Exception as e:  # a failed call is a result here
-                    got, wrong = [None] * len(some), f"{type(e).__name__}: {e}"
-                answers += got
-                errors += [wrong] * len(some)
-            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in names], pa.array(answers, pa.string()), pa.array(errors, pa.string())], [*names, out, "error"])
-
-    nullable = type(schema)([type(f)(f.name, f.dataType, True) for f in schema.fields])
-    return rows.drop(out, "error").mapInArrow(run, nullable)
-
-
-def generate(rows: DataFrame, provider: Provider, valid: Callable[[Column], Column] = qa.strict_v2, repair: Callable[[Column], Column] | None = None) -> DataFrame:
-    """Answers to ``prompt``; those that are not valid get one repair; what is still not valid is NULL with a reason."""
-    first = complete(rows, "prompt", provider)
-    first = first.withColumn("answer", qa.final_qa(F.col("answer"))).withColumn("is_valid", F.coalesce(valid(F.col("answer")), F.lit(False)))
+def complete(rows: DataFrame, column: str, provider: Provider, out: str = "answer", batch: int = 16, **calls) -> DataFrame:
+    """``rows`` with the provider's answer to the prompt in ``column`` and an error text if the call failed.
+
+    Each distinct prompt is asked once (``ledger.once``, which takes ledger, lanes and per_second from ``calls``) and its
+    answer is written before it is used.
+    """
+    name = calls.pop("name", getattr(provider, "model", type(provider).__name__))
+    answers = ledger.once(rows.select(F.col(column).alias("request")), provider, name, batch=batch, **calls)
+    return ledger.joined(rows, column, answers, name, out)
+
+
+def generate(rows: DataFrame, provider: Provider, valid: Callable[[Column], Column] = qa.strict_v2, repair: Callable[[Column], Column] | None = None, **calls) -> DataFrame:
+    """Answers to ``prompt``; those that are not valid get one repair; what is still not valid is NULL with a reason.
+
+    Answers come from the ledger's written table, so both sides of the repair see the same ones. ``calls`` is ``complete``'s.
+    """
+    judged = lambda df: df.withColumn("answer", qa.final_qa(F.col("answer"))).withColumn("is_valid", F.coalesce(valid(F.col("answer")), F.lit(False)))
+    first = judged(complete(rows, "prompt", provider, **calls))
     if repair is not None:
         good, bad = first.filter("is_valid"), first.filter("not is_valid")
-        again = complete(bad.withColumn("prompt", repair(F.col("answer"))).drop("answer", "error", "is_valid"), "prompt", provider)
-        again = again.withColumn("answer", qa.final_qa(F.col("answer"))).withColumn("is_valid", F.coalesce(valid(F.col("answer")), F.lit(False)))
-        first = good.unionByName(again)
+        again = complete(bad.withColumn("prompt", repair(F.col("answer"))).drop("answer", "error", "is_valid"), "prompt", provider, **calls)
+        first = good.unionByName(judged(again))
     reason = qa.failure(F.col("error").isNotNull(), F.trim("answer") != "", F.contains("answer", F.lit(qa.LABELS.guideline)), F.col("is_valid"), F.lit(True))
     return first.withColumn("invalid_reason", F.when(~F.col("is_valid"), reason)).withColumn("answer", F.when(F.col("is_valid"), F.col("answer")))
 
@@ -191,20 +180,17 @@ class WebSearch:
         return [{"title": text(h, "title"), "url": text(h, "url", "link"), "snippet": text(h, "snippet", "content"), "score": float(h.get("score") or 0.0), "provider": self.provider} for h in found]
 
 
-def search(queries: DataFrame, provider: Callable[[str], list[dict]]) -> DataFrame:
-    """Web results per (query_id, query): rank, title, url, snippet, score, and an error row if the call failed."""
-    fields = [("query_id", pa.int64()), ("rank", pa.int32()), ("title", pa.string()), ("url", pa.string()), ("snippet", pa.string()), ("score", pa.float64()), ("provider", pa.string()), ("error", pa.string())]
-    schema = pa.schema(fields)
+HIT = "title string, url string, snippet string, score double, provider string"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for r in b.to_pylist():
-                try:
-                    hits = provider(r["query"])
-                    rows += [{"query_id": r["query_id"], "rank": k, **{n: h.get(n) for n in ("title", "url", "snippet", "provider")}, "score": float(h.get("score") or 0.0)} for k, h in enumerate(hits, 1)]
-                except Exception as e:  # a failed call is a result here
-                    rows.append({"query_id": r["query_id"], "error": f"{type(e).__name__}: {e}"})
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return queries.select("query_id", "query").mapInArrow(run, "query_id long, rank int, title string, url string, snippet string, score double, provider string, error string")
+def search(queries: DataFrame, provider: Callable[[str], list[dict]], **calls) -> DataFrame:
+    """Web results per (query_id, query): rank, title, url, snippet, score, and an error row if the call failed.
+
+    Each distinct query is searched once; ``calls`` is ``ledger.once``'s.
+    """
+    name = calls.pop("name", getattr(provider, "provider", type(provider).__name__))
+    found = lambda some: [[{**{n: h.get(n) for n in ("title", "url", "snippet", "provider")}, "score": float(h.get("score") or 0.0)} for h in provider(q)] for q in some]
+    answers = ledger.once(queries.select(F.col("query").alias("request")), found, name, **{"batch": 1, **calls})
+    rows = ledger.joined(queries.select("query_id", "query"), "query", answers, name, "answer")
+    hits = rows.select("query_id", "error", F.posexplode_outer(F.from_json("answer", f"array<struct<{HIT.replace(' ', ':').replace(',:', ', ')}>>")).alias("at", "hit"))
+    return hits.filter("hit is not null or error is not null").select("query_id", (F.col("at") + 1).cast("int").alias("rank"), *[f"hit.{n}" for n in ("title", "url", "snippet", "score", "provider")], "error")
