@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators import qa
 from ..plans import generation
-from ..sources import readers, writers
+from ..sources import readers, signal_store, writers
 from ..sources.storage import shared_dir
-from .base import SIGNALS_SQL, signals, table
+from .base import DAY, SIGNALS_SQL, START, signals, table
 from .policy import _EVENTS_SQL, _events
 
 
@@ -29,6 +29,23 @@ def cases_round_trip(spark, sf_dir):
 CASES = """SELECT c_custkey AS caseid, c_mktsegment AS surgery_group, md5('a "b"' || chr(10) || c_name) AS md5 FROM customer WHERE c_custkey % 7 <> 0"""
 
 
+def signal_store_scan(spark, sf_dir):
+    """All signals through a store by case and track: half of the time of one track by its filters, and all that these leave."""
+    path = shared_dir(spark, "signals") + "/store"
+    signal_store.write_signal_store(signals(spark, sf_dir).repartition(8, "caseid"), path)
+    store = signal_store.read_signal_store(spark, path)
+    early, track = F.col("time_sec") < START + 15 * DAY, F.col("track") == "purchase"
+    parts = [(store.filter(early & track), "early"), (store.filter((F.col("time_sec") >= START + 15 * DAY) & track), "late"), (store.filter(F.col("track") < "purchase"), "below"), (store.filter(F.col("track") > "purchase"), "above")]
+    rows = [df.withColumn("part", F.lit(name)) for df, name in parts]
+    whole = rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
+    return whole.groupBy("part", "caseid", "track").agg(F.count(F.lit(1)).alias("n"), F.sum("ord").alias("ords"), F.min("time_sec").alias("first"), F.max("time_sec").alias("last"))
+
+
+STORE_SCAN = f"""WITH {SIGNALS_SQL}
+SELECT CASE WHEN track = 'purchase' THEN CASE WHEN time_sec < {START} + 15 * {DAY} THEN 'early' ELSE 'late' END WHEN track < 'purchase' THEN 'below' ELSE 'above' END AS part, caseid, track,
+  count(*) AS n, sum(ord)::BIGINT AS ords, min(time_sec) AS first, max(time_sec) AS last FROM signals GROUP BY ALL"""
+
+
 def records_round_trip(spark, sf_dir):
     """Records as JSON lines and as one JSON array, and the snapshots inside them."""
     b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("caseid"), F.struct(F.length("text").alias("n"), F.col("text").alias("t")).alias("snapshot"))
@@ -174,6 +191,7 @@ _GOOD = "'Q: x，措施是什么？' || chr(10) || 'A: 【临床推理】：y' |
 ANSWERS = f"""SELECT conv_id, turn, (conv_id + turn) % 4 < 2 AS is_valid, CASE WHEN (conv_id + turn) % 4 >= 2 THEN 'missing_label' END AS invalid_reason, CASE WHEN (conv_id + turn) % 4 < 2 THEN md5({_GOOD}) END AS md5 FROM conversations"""
 
 REGISTER = [
+    ("signal_store_scan", signal_store_scan, STORE_SCAN),
     ("cases_round_trip", cases_round_trip, CASES),
     ("records_round_trip", records_round_trip, RECORDS),
     ("corpus_round_trip", corpus_round_trip, CORPUS),

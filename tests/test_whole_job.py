@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from spindrift.operators import curate, retrieval
+from spindrift.operators import curate, retrieval, vector_index
 from test_queries import SF, plain
 
 
@@ -118,11 +118,11 @@ def test_smallest_by_ranges(spark, monkeypatch):
         assert sorted(r.k for r in curate._smallest(rows, n, "k").collect()) == keys[:n]
 
 
-@pytest.mark.parametrize("shared", [1000, 3])
-def test_dense_answers_any_number_of_queries(spark, monkeypatch, shared):
-    monkeypatch.setattr(retrieval, "MAX_BROADCAST_QUERIES", shared)
-    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 4)
-    monkeypatch.setattr(retrieval, "CORPUS_RUN", 25)
+@pytest.mark.parametrize("block", [1000, 3])
+def test_dense_answers_any_number_of_queries(spark, monkeypatch, block):
+    monkeypatch.setattr(vector_index, "BLOCK", block)
+    monkeypatch.setattr(vector_index, "LEAST_BLOCK", 4)
+    monkeypatch.setattr(vector_index, "PIECE", 25)
     rng = np.random.default_rng(3)
     vectors = rng.integers(-3, 4, (120, 5)).astype(float)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "chunk_id long, vector array<double>").repartition(3)
