@@ -30,12 +30,12 @@ CASES = """SELECT c_custkey AS caseid, c_mktsegment AS surgery_group, md5('a "b"
 
 
 def signal_store_scan(spark, sf_dir):
-    """All signals through a store by case and track: half of the time of one track by its filters, and all that these leave."""
+    """All signals through a store by case and track: one track in two halves of the time, and all that these leave."""
     path = shared_dir(spark, "signals") + "/store"
     signal_store.write_signal_store(signals(spark, sf_dir).repartition(8, "caseid"), path)
-    store = signal_store.read_signal_store(spark, path)
-    early, track = F.col("time_sec") < START + 15 * DAY, F.col("track") == "purchase"
-    parts = [(store.filter(early & track), "early"), (store.filter((F.col("time_sec") >= START + 15 * DAY) & track), "late"), (store.filter(F.col("track") < "purchase"), "below"), (store.filter(F.col("track") > "purchase"), "above")]
+    middle, track = START + 15 * DAY, "purchase"
+    tests = {"early": [("track", "==", track), ("time_sec", "<", middle)], "late": [("track", "==", track), ("time_sec", ">=", middle)], "below": [("track", "<", track)], "above": [("track", ">", track)]}
+    parts = [(signal_store.read_signal_store(spark, path, *t), name) for name, t in tests.items()]
     rows = [df.withColumn("part", F.lit(name)) for df, name in parts]
     whole = rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
     return whole.groupBy("part", "caseid", "track").agg(F.count(F.lit(1)).alias("n"), F.sum("ord").alias("ords"), F.min("time_sec").alias("first"), F.max("time_sec").alias("last"))

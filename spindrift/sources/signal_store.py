@@ -1,12 +1,18 @@
 """Signals as a store by case and track, and a Spark data source that reads of it what a query asks for.
 
 The store is Parquet, a folder for each case and in it one for each track, rows in order of time. The source plans its
-partitions from the folders alone: filters on caseid and track choose folders before anything is read, filters on time
-choose row groups by their statistics and then rows. Small tracks of neighbouring cases share a partition.
+partitions from the folders alone: tests on caseid and track choose folders before anything is read, tests on time choose
+row groups by their statistics and then rows. Small tracks of neighbouring cases share a partition.
+
+Tests are given when the store is opened; with ``pushdown``, and the session's ``spark.sql.python.filterPushdown.enabled``
+on, they also come from a query's filters. In that case Spark 4.1 keeps one set of pushed filters for each
+DataFrame that was loaded, so a query that filters the same one in two ways must load it twice; opening with tests has no
+such limit.
 """
 
 from __future__ import annotations
 
+import json
 import operator
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -22,9 +28,10 @@ SCHEMA = "caseid long, time_sec double, track string, value double, ord long"
 _ARROW = pa.schema([("caseid", pa.int64()), ("time_sec", pa.float64()), ("track", pa.string()), ("value", pa.float64()), ("ord", pa.int64())])
 #: Bytes of files that a partition takes together.
 PARTITION_BYTES = 32 << 20
-#: Whether Spark hands filters to Python sources.
-PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
-_COMPARE = {EqualTo: operator.eq, GreaterThan: operator.gt, GreaterThanOrEqual: operator.ge, LessThan: operator.lt, LessThanOrEqual: operator.le}
+_COMPARE = {"==": operator.eq, ">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le}
+_PUSHED = {EqualTo: "==", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
+#: A test: column, one of the comparisons or "in", value or list of values.
+Test = tuple[str, str, object]
 
 
 def write_signal_store(rows: DataFrame, path: str) -> None:
@@ -33,11 +40,16 @@ def write_signal_store(rows: DataFrame, path: str) -> None:
     kept.repartition("caseid", "track").sortWithinPartitions("caseid", "track", "time_sec", "ord").write.partitionBy("caseid", "track").parquet(path)
 
 
-def read_signal_store(spark: SparkSession, path: str) -> DataFrame:
-    """The store's signals; turns on the session's push-down of filters to Python sources."""
-    spark.conf.set(PUSHDOWN, "true")
+def read_signal_store(spark: SparkSession, path: str, *tests: Test, pushdown: bool = False) -> DataFrame:
+    """The store's signals that pass all tests on caseid, track and time_sec.
+
+    With ``pushdown`` a query's own filters on them are taken as well; the session's setting must allow it.
+    """
+    for column, how, _ in tests:
+        if column not in ("caseid", "track", "time_sec") or how not in (*_COMPARE, "in"):
+            raise ValueError(f"no test {how} on {column}")
     spark.dataSource.register(SignalStore)
-    return spark.read.format("signal_store").load(path)
+    return spark.read.format("signal_store").option("tests", json.dumps(tests)).option("pushdown", str(pushdown).lower()).load(path)
 
 
 @dataclass
@@ -56,35 +68,19 @@ class SignalStore(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return SignalReader(self.options["path"], int(self.options.get("partition_bytes", PARTITION_BYTES)))
+        kind = PushedSignalReader if self.options.get("pushdown") == "true" else SignalReader
+        return kind(self.options["path"], int(self.options.get("partition_bytes", PARTITION_BYTES)), json.loads(self.options.get("tests", "[]")))
 
 
 class SignalReader(DataSourceReader):
-    def __init__(self, path: str, partition_bytes: int):
-        self.path, self.partition_bytes = path, partition_bytes
-        self.of: dict[str, list] = {"caseid": [], "track": [], "time_sec": []}  # by column: tests on its values
-        self.timed = False
-        self.times: list[tuple[str, str, float]] = []  # the tests on time as the Parquet reader takes them
+    def __init__(self, path: str, partition_bytes: int, tests: Iterable[Test] = ()):
+        self.path, self.partition_bytes, self.tests = path, partition_bytes, [tuple(t) for t in tests]
 
-    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
-        """Takes comparisons of caseid, track and time_sec with a value; gives back all others."""
-        for f in filters:
-            column = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
-            if column not in self.of:
-                yield f
-            elif isinstance(f, IsNotNull):
-                self.timed |= column == "time_sec"  # a folder's name is a value always
-            elif isinstance(f, In) and column != "time_sec":
-                self.of[column].append((operator.contains, tuple(f.value)))
-            elif type(f) in _COMPARE:
-                self.of[column].append((_COMPARE[type(f)], f.value))
-                if column == "time_sec":
-                    self.times.append((column, {EqualTo: "==", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}[type(f)], f.value))
-            else:
-                yield f
+    def _times(self) -> list[Test]:
+        return [t for t in self.tests if t[0] == "time_sec"]
 
     def _fits(self, column: str, value) -> bool:
-        return all(value in against if test is operator.contains else test(value, against) for test, against in self.of[column])
+        return all(value in against if how == "in" else _COMPARE[how](value, against) for of, how, against in self.tests if of == column)
 
     def _folders(self, store, base: str, column: str) -> Iterator[tuple[str, str]]:
         """Value and path of the folders below that a partition column names, those that fit."""
@@ -118,9 +114,10 @@ class SignalReader(DataSourceReader):
         from pyarrow import dataset
 
         store, _ = open_store(self.path)
-        test = dataset.field("time_sec").is_valid() if self.timed else None
-        for column, how, value in self.times:
-            one = {"==": operator.eq, ">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le}[how](dataset.field(column), value)
+        test = None
+        for column, how, value in self._times():
+            at = dataset.field(column)
+            one = at.isin(value) if how == "in" else _COMPARE[how](at, value)
             test = one if test is None else test & one
         for case, track, path in partition.files:
             rows = dataset.dataset(path, filesystem=store, format="parquet")
@@ -128,3 +125,22 @@ class SignalReader(DataSourceReader):
                 if b.num_rows:
                     n = b.num_rows
                     yield pa.RecordBatch.from_arrays([pa.array([case] * n, pa.int64()), b.column("time_sec"), pa.array([track] * n, pa.string()), b.column("value"), b.column("ord")], schema=_ARROW)
+
+
+class PushedSignalReader(SignalReader):
+    """A reader that Spark hands a query's filters to."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        """Takes comparisons of caseid, track and time_sec with a value; gives back all others."""
+        left = []
+        for f in filters:
+            column = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
+            if column in ("caseid", "track", "time_sec") and isinstance(f, In):
+                self.tests.append((column, "in", list(f.value)))
+            elif column in ("caseid", "track", "time_sec") and type(f) in _PUSHED:
+                self.tests.append((column, _PUSHED[type(f)], f.value))
+            else:
+                left.append((column, f))
+        # a folder's name is a value always, and so is a time that passes a test
+        valued = ("caseid", "track", "time_sec") if self._times() else ("caseid", "track")
+        yield from (f for column, f in left if not (isinstance(f, IsNotNull) and column in valued))

@@ -1,5 +1,6 @@
 """The store of signals and what its source takes of a query's filters."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from spindrift.sources import signal_store
@@ -12,14 +13,22 @@ def test_filters_choose_what_is_read(spark, tmp_path):
     signal_store.write_signal_store(df, path)
     store = signal_store.read_signal_store(spark, path)
     assert sorted(map(str, store.collect())) == sorted(map(str, (r for r in df.collect() if r.caseid is not None and r.track is not None)))
-    some = store.filter((F.col("caseid") >= 2) & (F.col("track") == "Solar8000/ART MBP") & (F.col("time_sec") < 10) & (F.col("value") > 3))
-    assert sorted((r.caseid, r.time_sec) for r in some.collect()) == [(c, float(t)) for c in (2, 30) for t in range(4, 10)]
-    assert store.filter(F.col("caseid").isin(1, 30, 99) & (F.col("time_sec") == 3)).count() == 4
-    plan = some._jdf.queryExecution().executedPlan().toString()
-    scan = next(line for line in plan.splitlines() if "signal_store" in line)
-    left = [line for line in plan.splitlines() if " Filter " in line and "signal_store" not in line]
-    assert all(f in scan for f in ("GreaterThanOrEqual(caseid,2)", "EqualTo(track,Solar8000/ART MBP)", "LessThan(time_sec,10.0)"))
-    assert len(left) == 1 and "value" in left[0] and "caseid" not in left[0] and "time_sec" not in left[0]
+    some = signal_store.read_signal_store(spark, path, ("caseid", ">=", 2), ("track", "==", "Solar8000/ART MBP"), ("time_sec", "<", 10.0)).filter("value > 3")
+    want = [(c, float(t)) for c in (2, 30) for t in range(4, 10)]
+    assert sorted((r.caseid, r.time_sec) for r in some.collect()) == want
+    assert signal_store.read_signal_store(spark, path, ("caseid", "in", [1, 30, 99]), ("time_sec", "in", [3.0])).count() == 4
+    assert store.filter("time_sec < 5").unionByName(store.filter("time_sec >= 90")).count() == 6 * 15
+    with pytest.raises(ValueError, match="no test"):
+        signal_store.read_signal_store(spark, path, ("value", ">", 1))
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        pushed = signal_store.read_signal_store(spark, path, pushdown=True).filter((F.col("caseid") >= 2) & (F.col("track") == "Solar8000/ART MBP") & (F.col("time_sec") < 10) & (F.col("value") > 3))
+        assert sorted((r.caseid, r.time_sec) for r in pushed.collect()) == want
+        plan = pushed._sc._jvm.PythonSQLUtils.explainString(pushed._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+    assert all(f in plan for f in ("GreaterThanOrEqual(caseid,2)", "EqualTo(track,Solar8000/ART MBP)", "LessThan(time_sec,10.0)"))
+    assert "Condition : (isnotnull(value" in plan
 
 
 def test_partitions_follow_from_folders(spark, tmp_path):
@@ -28,7 +37,7 @@ def test_partitions_follow_from_folders(spark, tmp_path):
     signal_store.write_signal_store(df, path)
     reader = signal_store.SignalReader(path, 1)
     assert [(p.files[0][0], p.files[0][1]) for p in reader.partitions()] == [(c, f"t{c % 2}") for c in range(4)]
-    reader = signal_store.SignalReader(path, 1)
+    reader = signal_store.PushedSignalReader(path, 1)
     from pyspark.sql.datasource import EqualTo, GreaterThan, IsNull
 
     odd = IsNull(("value",))
