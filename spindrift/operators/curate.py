@@ -46,8 +46,8 @@ def bucket(kind: Column, key: Column, before: Column, after: Column, delta: Colu
     return out.when(reason.isNotNull(), to("A", reason)).otherwise(to("B", "maintenance_or_context"))
 
 
-#: Rows that one task may rank; hex digits of a key that name its range.
-MODEST, RANGE_DIGITS = 10_000, 4
+#: Hex digits of a key's head, by which keys are counted.
+RANGE_DIGITS = 4
 
 
 def _half_even(x: float) -> int:
@@ -74,39 +74,81 @@ def hash_order(seed: int, *ids: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(i).cast("string") for i in ids]))
 
 
-def _smallest(rows: DataFrame, n: int, key: str) -> DataFrame:
-    """The n rows with the smallest keys, which are MD5 in hex. Beyond a modest n whole ranges of keys are taken by
-    their counts, and only the range of the cut is sorted, so that no task holds the n rows."""
-    if n <= MODEST:
-        return rows.orderBy(key).limit(n)
+def key_counts(keyed: DataFrame, name: str, key: str) -> dict[str, list[tuple[str, int]]]:
+    """By bucket, how many keys have each head, in order: summed where rows lie, for all buckets at once.
+
+    Keys are MD5 in hex, so there are 16 ** RANGE_DIGITS heads of a bucket at most, whatever the number of rows.
+    """
+    out: dict[str, list[tuple[str, int]]] = {}
     head = F.left(key, F.lit(RANGE_DIGITS))
-    left = n
-    for r in sorted(rows.groupBy(head.alias("head")).count().collect()):  # a row per range
-        if r["count"] > left:
-            cut = rows.filter(head == r["head"]).orderBy(key).limit(left)
-            return rows.filter(head < r["head"]).unionByName(cut) if left else rows.filter(head < r["head"])
-        left -= r["count"]
-    return rows
+    for r in keyed.groupBy(F.col(name).alias("bucket"), head.alias("head")).count().collect():
+        out.setdefault(r["bucket"], []).append((r["head"], r["count"]))
+    return {b: sorted(heads) for b, heads in out.items()}
+
+
+def smallest_keys(keyed: DataFrame, name: str, key: str, counts: dict[str, list[tuple[str, int]]], take: dict[str, int]) -> DataFrame:
+    """Of each bucket the ``take`` rows with the smallest keys, from the counts of its keys' heads.
+
+    The counts say in which head a bucket's cut lies; one pass over the keys of these heads finds the last key that
+    comes in, and one pass over the rows compares each with its bucket's. Only rows that share that last key, where not
+    all of them come in, are ranked.
+    """
+    whole = [b for b, n in take.items() if n >= sum(c for _, c in counts.get(b, ()))]
+    cuts: dict[str, tuple[str, int]] = {}
+    for b, n in take.items():
+        left = n
+        for head, c in [] if b in whole or n <= 0 else counts[b]:
+            if left <= c:
+                cuts[b] = (head, left)
+                break
+            left -= c
+    of = F.col(name)
+    takes = of.isin(whole) if whole else F.lit(False)
+    if not cuts:
+        return keyed.filter(takes)
+    inside = F.lit(False)
+    for b, (head, _) in cuts.items():
+        inside = inside | ((of == b) & F.startswith(F.col(key), F.lit(head)))
+    w = Window.partitionBy("bucket").orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    keys = keyed.filter(inside).groupBy(of.alias("bucket"), F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.sum("n").over(w))
+    left = F.create_map(*[F.lit(x) for b, (_, n) in cuts.items() for x in (b, n)])[F.col("bucket")]
+    last = keys.filter((F.col("upto") >= left) & (F.col("upto") - F.col("n") < left)).select("bucket", "key", "n", (left - F.col("upto") + F.col("n")).alias("room")).collect()
+    tied = F.lit(False)
+    for r in last:
+        if r["room"] == r["n"]:
+            takes = takes | ((of == r["bucket"]) & (F.col(key) <= r["key"]))
+        else:
+            takes = takes | ((of == r["bucket"]) & (F.col(key) < r["key"]))
+            tied = tied | ((of == r["bucket"]) & (F.col(key) == r["key"]))
+    out = keyed.filter(takes)
+    room = {r["bucket"]: r["room"] for r in last if r["room"] < r["n"]}
+    if not room:
+        return out
+    ranked = keyed.filter(tied).withColumn("__n", F.row_number().over(Window.partitionBy(name).orderBy(key)))
+    most = F.create_map(*[F.lit(x) for b, n in room.items() for x in (b, n)])[of]
+    return out.unionByName(ranked.filter(F.col("__n") <= most).drop("__n"))
+
+
+def _smallest(rows: DataFrame, n: int | float, key: str) -> DataFrame:
+    """The n rows with the smallest keys, which are MD5 in hex; a fraction n below 1 is max(1, int(n * rows))."""
+    keyed = rows.withColumn("__all", F.lit("all"))
+    counts = key_counts(keyed, "__all", key)
+    total = sum(c for _, c in counts.get("all", ()))
+    n = n if isinstance(n, int) else max(1, int(total * n))
+    return smallest_keys(keyed, "__all", key, counts, {"all": n}).drop("__all")
 
 
 def ab_mix(rows: DataFrame, ids: list[str], ratio: float, most: int = 0, seed: int = 42, name: str = "bucket") -> DataFrame:
     """Rows of buckets A and B in the ratio, each bucket's by hash order."""
-    counts = {r[0]: r[1] for r in rows.filter(F.col(name).isin("A", "B")).groupBy(name).count().collect()}
-    take = dict(zip("AB", mix_counts(counts.get("A", 0), counts.get("B", 0), ratio, most)))
-    keyed = rows.withColumn("__key", hash_order(seed, *ids))
-    parts = [_smallest(keyed.filter(F.col(name) == b), n, "__key") for b, n in take.items() if n]
-    if not parts:
-        return rows.limit(0)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.drop("__key")
+    keyed = rows.filter(F.col(name).isin("A", "B")).withColumn("__key", hash_order(seed, *ids))
+    counts = key_counts(keyed, name, "__key")
+    take = mix_counts(*[sum(c for _, c in counts.get(b, ())) for b in "AB"], ratio, most)
+    return smallest_keys(keyed, name, "__key", counts, {b: n for b, n in zip("AB", take) if n}).drop("__key")
 
 
 def review_sample(rows: DataFrame, ids: list[str], rate: float, seed: int = 42) -> DataFrame:
     """max(1, int(n * rate)) rows by hash order."""
-    n = max(1, int(rows.count() * rate))
-    return _smallest(rows.withColumn("__key", hash_order(seed, *ids)), n, "__key").drop("__key")
+    return _smallest(rows.withColumn("__key", hash_order(seed, *ids)), float(rate), "__key").drop("__key")
 
 
 def diverse(rows: DataFrame, n: int, case: str, key: str, order: str) -> DataFrame:
