@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.values import case_id, first_present, safe_number, strip, valid_text
+from .storage import materialize
 
 # Names under which columns come.
 TIME_NAMES = ("time_sec", "time_second", "time_s", "time", "sec", "seconds", "timestamp_sec", "timestamp")
@@ -81,7 +82,7 @@ def snapshots_of(records: DataFrame) -> DataFrame:
     return records.withColumn("snapshot", F.coalesce(inner, "record"))
 
 
-def read_corpus(spark: SparkSession, path: str) -> DataFrame:
+def read_corpus(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """chunk_id, line_no, text and locators of passages in JSON lines, under any of their names; blank passages drop out.
 
     line_no counts all lines of the input from 1, chunk_id the kept passages from 0, both in the order of the file:
@@ -95,20 +96,62 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
 
 
 def numbered(rows: DataFrame, name: str) -> DataFrame:
-    """Consecutive numbers from 0 in the present order; only a count per partition goes through one task."""
-    at = rows.withColumn("__p", F.spark_partition_id()).withColumn("__m", F.monotonically_increasing_id())
+    """Consecutive numbers from 0 in the present order; only a count per partition goes through one task.
+
+    Rows are written with their places first: another run of their plan might cut its partitions elsewhere.
+    """
+    at = materialize(rows.withColumn("__p", F.spark_partition_id()).withColumn("__m", F.monotonically_increasing_id()), "numbered")
     counts = at.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
     before = F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     joined = at.join(F.broadcast(counts.select("__p", before.alias("__before"))), "__p")
     return joined.withColumn(name, F.col("__before") + F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))).drop("__p", "__m", "__before")
 
 
-def read_texts(spark: SparkSession, path: str) -> DataFrame:
+def read_passages(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(source, page, chapter, section, text) of corpus files of any kind, told by their names' ends in any case.
+
+    JSON lines (.jsonl) hold passages, PDF files pages, and text files (.txt, .md) one text each; blank texts drop out. A
+    file of another kind is an error, and so is a list without files.
+    """
+    readers = {(".jsonl", ".ndjson"): _jsonl_passages, (".pdf",): _pdf_passages, (".txt", ".md"): _text_passages}
+    found: list[DataFrame] = []
+    left = list(dict.fromkeys(paths))
+    for ends, read in readers.items():
+        some = [p for p in left if p.lower().endswith(ends)]
+        left = [p for p in left if p not in some]
+        if some:
+            found.append(read(spark, some))
+    if left or not found:
+        raise ValueError(f"no corpus files: {', '.join(left) or 'nothing to read'}")
+    out = found[0]
+    for df in found[1:]:
+        out = out.unionByName(df)
+    return out.filter(strip(F.col("text")) != "")
+
+
+def _passages(df: DataFrame) -> DataFrame:
+    known = {c for c in df.columns}
+    return df.select(*[(F.col(c) if c in known else F.lit(None)).cast("string").alias(c) for c in ("source", "page", "chapter", "section", "text")])
+
+
+def _jsonl_passages(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return _passages(read_corpus(spark, paths))
+
+
+def _pdf_passages(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return _passages(read_pdf_pages(spark, paths))
+
+
+def _text_passages(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return _passages(read_texts(spark, paths))
+
+
+def read_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(source, text) of plain text or Markdown files, one row a file."""
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("source"), strip(F.col("value")).alias("text")).filter("text <> ''")
 
 
-def read_pdf_pages(spark: SparkSession, path: str) -> DataFrame:
+def read_pdf_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(source, page, text) of PDF files; needs a PDF library on the executors."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
