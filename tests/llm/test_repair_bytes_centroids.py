@@ -164,7 +164,7 @@ def test_ids_equal_the_library(encoder, library):
     texts += ["".join(f"a{chr(c)}1{chr(c)}.{chr(c)} {chr(c)}\n" for c in range(k, k + 64)) for k in range(0, 0xD800, 64)]
     want = library.encode_batch([t or "" for t in texts], add_special_tokens=False)
     assert encoded(encoder, texts) == [e.ids for e in want]
-    assert encoded(encoder, ["ab"]) == [library.encode("ab").ids] and len(encoder.known) < 600
+    assert encoded(encoder, ["qzxwvk-9"]) == [library.encode("qzxwvk-9").ids] and len(encoder.known) < 600  # the rarer half has gone
 
 
 def test_the_transducer_streams(encoder, library):
@@ -178,7 +178,7 @@ def test_the_transducer_streams(encoder, library):
             out += machine.feed(data[at : at + n])
             at += n
             most = max(most, len(machine.held))
-            assert sum(merges.length[i] for i in out) >= at - merges.window
+            assert sum(merges.length[i] for i in out) >= min(at, len(data)) - merges.window
         out += machine.finish()
         assert out == library.encode(text, add_special_tokens=False).ids and most <= merges.window
 
