@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .hot import with_past
+
 #: Labels of a normal rhythm, lower case and blanks squeezed; no label is normal too.
 NORMAL_RHYTHMS = ("", "n", "normal", "normal sinus rhythm", "sinus rhythm", "nsr", "sinus")
 
@@ -51,12 +53,15 @@ def volume_anchors(signals: DataFrame, threshold: float) -> DataFrame:
 
 
 def smoothed_rates(signals: DataFrame, lookback_sec: float) -> DataFrame:
-    """Each sample with the last one at least ``lookback_sec`` earlier, else the first, and the rate between them."""
-    over = "over (partition by caseid, track order by time_sec range between unbounded preceding and {} preceding)"
+    """Each sample with the last one at least ``lookback_sec`` earlier, else the first, and the rate between them.
+
+    Ranges of a case are looked at by themselves, with what they need of the past (``hot.with_past``).
+    """
+    over = "over (partition by caseid, track, __place order by time_sec range between unbounded preceding and {} preceding)"
     point = "case when value is not null then struct(time_sec, value) end"
-    first = f"first({point}, true) over (partition by caseid, track order by time_sec range between unbounded preceding and current row)"
+    first = f"first({point}, true) over (partition by caseid, track, __place order by time_sec range between unbounded preceding and current row)"
     ref = F.expr(f"coalesce(last({point}, true) {over.format(repr(float(lookback_sec)) + 'D')}, {first})")
-    rows = signals.withColumn("__ref", ref)
+    rows = with_past(signals, ["caseid", "track"], lookback_sec).withColumn("__ref", ref).filter("__own").drop("__own", "__place")
     dt = F.col("time_sec") - F.col("__ref.time_sec")
     return rows.select(
         "*",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.values import let, with_unit
+from .hot import WIDTH, neighbours, quantiles
 
 #: Plausible ranges, both ends included.
 RANGES: dict[str, tuple[float, float]] = {"MBP": (20.0, 220.0), "HR": (20.0, 220.0), "SPO2": (50.0, 100.0), "BIS": (1.0, 100.0)}
@@ -45,7 +46,8 @@ def best_track(signals: DataFrame, low: float, high: float, priority: Column) ->
 def kpa_cases(signals: DataFrame, threshold: float = 20.0) -> DataFrame:
     """Per case whether its pressures look like kPa: four fifths below the threshold, or median and 90 % quantile low."""
     some = signals.filter((F.col("value") > 0) & (F.col("value") < 300))
-    stats = some.groupBy("caseid").agg(F.avg((F.col("value") < threshold).cast("double")).alias("low_share"), F.median("value").alias("mid"), F.percentile("value", F.lit(0.9)).alias("high"))
+    stats = quantiles(some, ["caseid"], "value", (0.5, 0.9), [F.avg((F.col("value") < threshold).cast("double")).alias("low_share")])
+    stats = stats.withColumn("mid", F.get("quantiles", 0)).withColumn("high", F.get("quantiles", 1))
     return stats.select("caseid", "low_share", "mid", "high", ((F.col("low_share") >= 0.8) | ((F.col("mid") < threshold) & (F.col("high") < 1.5 * threshold))).alias("is_kpa"))
 
 
@@ -138,12 +140,9 @@ def tail_runs(signals: DataFrame, keys: list[str], holds: Column) -> DataFrame:
     return out.select(*keys, "step_sec", F.when(F.col("__from").isNotNull(), length).otherwise(0.0).alias("held_sec"))
 
 
-def interpolated(signals: DataFrame, keys: list[str]) -> DataFrame:
-    """``filled``: linear between the values around a gap, the nearest value beyond the ends."""
-    back = Window.partitionBy(*keys).orderBy("time_sec").rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(*keys).orderBy("time_sec").rowsBetween(0, Window.unboundedFollowing)
-    point = F.when(F.col("value").isNotNull(), F.struct("time_sec", "value"))
-    rows = signals.withColumn("__a", F.last(point, ignorenulls=True).over(back)).withColumn("__b", F.first(point, ignorenulls=True).over(ahead))
+def interpolated(signals: DataFrame, keys: list[str], width: float = WIDTH) -> DataFrame:
+    """``filled``: linear between the values around a gap, the nearest value beyond the ends; by ranges of ``width`` seconds (``hot``)."""
+    rows = neighbours(signals, keys, width)
     span = F.col("__b.time_sec") - F.col("__a.time_sec")
     line = F.col("__a.value") + (F.col("__b.value") - F.col("__a.value")) * (F.col("time_sec") - F.col("__a.time_sec")) / F.when(span > 0, span)
     return rows.withColumn("filled", F.coalesce("value", line, "__a.value", "__b.value")).drop("__a", "__b")

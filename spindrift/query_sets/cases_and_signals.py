@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.values import case_id, first_fields, first_valid, seconds_of, valid_fields
-from ..operators import anchors, cases, series
+from ..operators import anchors, cases, hot, series
 from ..plans.snapshots import SnapshotConfig, nested, snapshots, visible_context
 from .base import DAY, HOUR, SIGNALS_SQL, START, signals, table
 
@@ -13,6 +13,8 @@ RANGES = {"click": (1.0, 400.0), "purchase": (1.0, 400.0), "view": (5.0, 300.0)}
 CHANGE = 100.0
 GAP = 6 * HOUR
 WINDOW = 10 * DAY
+#: Seconds of a range where a case has a few values a day.
+SPARSE = 2.0**20
 
 
 def case_filter_group(spark, sf_dir):
@@ -269,7 +271,7 @@ SELECT caseid, round(step_sec, 3) AS step_sec, round(CASE WHEN f IS NULL THEN 0.
 
 def interpolate_gaps(spark, sf_dir):
     s = signals(spark, sf_dir).withColumn("value", F.when(F.col("ord") % 3 != 0, F.col("value")))
-    return series.interpolated(s, ["caseid"]).select("caseid", "ord", F.round("filled", 4).alias("filled"))
+    return series.interpolated(s, ["caseid"], SPARSE).select("caseid", "ord", F.round("filled", 4).alias("filled"))
 
 
 INTERPOLATE = f"""WITH {SIGNALS_SQL}, s AS (SELECT caseid, ord, time_sec, CASE WHEN ord % 3 <> 0 THEN value END AS value FROM signals),
@@ -279,6 +281,50 @@ p AS (SELECT *, last_value(value IGNORE NULLS) OVER b AS av, last_value(CASE WHE
 SELECT caseid, ord, round(coalesce(value, av + (bv - av) * (time_sec - a_t) / CASE WHEN b_t - a_t > 0 THEN b_t - a_t END, av, bv), 4) AS filled FROM p"""
 
 
+def _one_long_case(spark, sf_dir):
+    """All views as one case, everything else by user."""
+    return signals(spark, sf_dir).withColumn("caseid", F.when(F.col("track") == "view", 0).otherwise(F.col("caseid")))
+
+
+LONG_SQL = SIGNALS_SQL + ", long AS (SELECT * REPLACE (CASE WHEN track = 'view' THEN 0 ELSE caseid END AS caseid) FROM signals)"
+
+
+def long_case_quantiles(spark, sf_dir):
+    """Quantiles by case where one case has a third of all rows; a task sorts 1,024 values at most."""
+    q = hot.quantiles(_one_long_case(spark, sf_dir), ["caseid"], "value", (0.05, 0.5, 0.9), [F.count("value").alias("n")], most=1024)
+    return q.select("caseid", "n", *[F.round(F.get("quantiles", k), 6).alias(c) for k, c in enumerate(("low", "mid", "high"))])
+
+
+LONG_QUANTILES = f"""WITH {LONG_SQL} SELECT caseid, count(value)::BIGINT AS n, round(quantile_cont(value, 0.05), 6) AS low, round(quantile_cont(value, 0.5), 6) AS mid, round(quantile_cont(value, 0.9), 6) AS high
+FROM long WHERE value IS NOT NULL GROUP BY 1"""
+
+
+def long_case_fill(spark, sf_dir):
+    """The values around each row, by case, where one case has a third of all rows; ranges of an hour."""
+    s = _one_long_case(spark, sf_dir).withColumn("value", F.when(F.col("ord") % 3 != 0, F.col("value")))
+    out = hot.neighbours(s, ["caseid"], HOUR)
+    return out.select("caseid", "ord", F.col("__a.time_sec").alias("from_sec"), F.col("__a.value").alias("from_value"), F.col("__b.time_sec").alias("to_sec"), F.col("__b.value").alias("to_value"))
+
+
+LONG_FILL = f"""WITH {LONG_SQL}, s AS (SELECT caseid, ord, time_sec, CASE WHEN ord % 3 <> 0 THEN value END AS value FROM long)
+SELECT caseid, ord, last_value(CASE WHEN value IS NOT NULL THEN time_sec END IGNORE NULLS) OVER b AS from_sec, last_value(value IGNORE NULLS) OVER b AS from_value,
+  first_value(CASE WHEN value IS NOT NULL THEN time_sec END IGNORE NULLS) OVER f AS to_sec, first_value(value IGNORE NULLS) OVER f AS to_value FROM s
+WINDOW b AS (PARTITION BY caseid ORDER BY time_sec, ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), f AS (PARTITION BY caseid ORDER BY time_sec, ord ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"""
+
+
+def long_case_thinning(spark, sf_dir):
+    """Events six hours or more after the last one kept of their case, where one case has a third of all rows."""
+    return hot.thin_long(_one_long_case(spark, sf_dir), GAP).select("caseid", "ord", "time_sec")
+
+
+LONG_THIN = f"""WITH RECURSIVE {LONG_SQL},
+next AS (SELECT caseid, time_sec, ord, min(time_sec) OVER (PARTITION BY caseid ORDER BY time_sec RANGE BETWEEN {GAP} FOLLOWING AND UNBOUNDED FOLLOWING) AS then_sec FROM long),
+step AS (SELECT caseid, time_sec, min(ord) AS ord, any_value(then_sec) AS then_sec FROM next GROUP BY 1, 2),
+kept AS (SELECT * FROM step WHERE (caseid, time_sec) IN (SELECT (caseid, min(time_sec)) FROM step GROUP BY caseid)
+  UNION ALL SELECT s.* FROM kept k JOIN step s ON s.caseid = k.caseid AND s.time_sec = k.then_sec)
+SELECT caseid, ord, time_sec FROM kept"""
+
+
 def coalesce_first_valid(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     blank = F.when(F.col("doc_id") % 3 == 0, " nan ").when(F.col("doc_id") % 3 == 1, "\n \t").otherwise(F.col("source"))
@@ -423,6 +469,9 @@ REGISTER = [
     ("baseline_compare", baseline_compare, BASELINE),
     ("tail_persistence", tail_persistence, TAIL),
     ("interpolate_gaps", interpolate_gaps, INTERPOLATE),
+    ("long_case_quantiles", long_case_quantiles, LONG_QUANTILES),
+    ("long_case_fill", long_case_fill, LONG_FILL),
+    ("long_case_thinning", long_case_thinning, LONG_THIN),
     ("coalesce_first_valid", coalesce_first_valid, COALESCE_VALID),
     ("row_fields_map", row_fields_map, ROW_FIELDS),
     ("time_parse", time_parse, TIME_PARSE),
