@@ -5,9 +5,9 @@ Modules register (name, function, SQL) in ``CATALOGUES``; SQL is None where it c
 
 from __future__ import annotations
 
-from .query_sets import cases_and_signals, curation, policy, retrieval, searching, storing, texts
+from .query_sets import cases_and_signals, curation, loading, policy, retrieval, searching, storing, texts
 
-CATALOGUES = (cases_and_signals, policy, retrieval, searching, texts, curation, storing)
+CATALOGUES = (cases_and_signals, policy, retrieval, searching, texts, curation, storing, loading)
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 for _set in CATALOGUES:
