@@ -1,4 +1,17 @@
-"""From raw documents to a tokenized mix: five stages, each one of the corpus operators over all rows it is given."""
+"""From raw documents to a tokenized mix: five stages, each one of the corpus operators over all rows it is given.
+
+What each stage does with odd rows:
+
+* a null, empty or blank text and a text without letters has no language, so the first stage drops it (as it does a language it is not sure of); a null ``lang`` or
+  ``source`` is no reason to drop a row (``lang`` only teaches, a null source is a source of its own in the mix);
+* a text of any length is one row, read whole by every stage;
+* rows that repeat a doc_id are rows of their own until the near-duplicates, where one row of each doc_id stays and copies
+  fall into one group, of which one row stays;
+* ties: a language of equal scores is the first by name, a score of just ``LEAST_QUALITY`` stays, the group's smallest
+  doc_id stays, and the mix takes a document at its cut if half of its words or more fit;
+* without documents, or with none left by a stage, the later stages give an empty table of the same columns;
+* further columns are left behind at the start: stages pass on the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
