@@ -314,7 +314,7 @@ WINDOW b AS (PARTITION BY caseid ORDER BY time_sec, ord ROWS BETWEEN UNBOUNDED P
 
 def long_case_thinning(spark, sf_dir):
     """Events six hours or more after the last one kept of their case, where one case has a third of all rows."""
-    return hot.thin_long(_one_long_case(spark, sf_dir), GAP).select("caseid", "ord", "time_sec")
+    return hot.thin_long(_one_long_case(spark, sf_dir), GAP, width=2.0**17).select("caseid", "ord", "time_sec")
 
 
 LONG_THIN = f"""WITH RECURSIVE {LONG_SQL},
