@@ -191,8 +191,8 @@ def thin_long(events: DataFrame, gap_sec: float, label: str | None = None, width
     """``anchors.thin`` for cases of any length: the same events are kept, and no task holds or goes through a whole case.
 
     Which event is kept next is a function that composes. Every range follows it, by doubling jumps, from each event that
-    could be the first one kept there to the last one kept: the events of the range's first ``gap_sec`` and one more. A case's
-    ranges are linked over those few rows, and then thinned by themselves, each knowing what was kept before it. A task holds
+    could be the first one kept there to the last one kept: the events of the range's first ``gap_sec`` and one more, of which
+    those with the same end are one row. A case's ranges are linked over those few rows, and then thinned by themselves, each knowing what was kept before it. A task holds
     one range's rows: ``width`` seconds (64 gaps unless given). Events without a time drop out; with no gap all others stay.
     """
     rows = events.filter(F.col("time_sec").isNotNull() & ~F.isnan(F.col("time_sec").cast("double")))
@@ -223,9 +223,13 @@ def thin_long(events: DataFrame, gap_sec: float, label: str | None = None, width
                 while not np.array_equal(further := jump[jump], jump):
                     jump = further
                 n = min(int(np.argmax(times - times[0] >= gap_sec)) + 1 if times[-1] - times[0] >= gap_sec else len(times), len(times))
-                enter.append(begin + np.arange(n))
-                leave.append(begin + jump[:n])
-                number.append(np.arange(n))
+                other = jump[1:n] != jump[: n - 1]
+                if marks is not None:
+                    other |= marks[1:n] != marks[: n - 1]
+                ends_run = np.flatnonzero(np.append(other, True))  # of a run with one end the last one stands for all: it may come first whenever one of them may
+                enter.append(begin + ends_run)
+                leave.append(begin + jump[ends_run])
+                number.append(ends_run)
             enter, leave = np.concatenate(enter), np.concatenate(leave)
             mark = table.column(label).cast(pa.string()) if label else pa.nulls(table.num_rows, pa.string())
             names = ["caseid", "place", "no", "time", "mark", "last", "last_mark"]
