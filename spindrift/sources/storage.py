@@ -2,13 +2,62 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Set to true where a ``file:`` folder is mounted on every machine of a cluster.
 MOUNTED = "spindrift.shared.mounted"
+#: By application and folder, the machines whose tasks were seen to share it.
+_SHARED_BY: dict[tuple[str, str], set[str]] = {}
+
+
+def _meet(folder: str, said: str) -> str:
+    """A task's part of ``_tasks_share``: the name of the file it left, '' if it doesn't see what the driver said."""
+    name = uuid.uuid4().hex
+    try:
+        with open(f"{folder}/driver") as f:
+            heard = f.read() == said
+        with open(f"{folder}/{name}", "x"):
+            pass
+    except OSError:
+        return ""
+    time.sleep(0.1)  # so that no executor takes all tasks
+    return name if heard else ""
+
+
+def _tasks_share(context, place: str) -> bool:
+    """Whether tasks read in a local folder what the driver writes there, and the driver what they write."""
+    folder, said = f"{place}/meet-{uuid.uuid4().hex}", uuid.uuid4().hex
+    os.makedirs(folder)
+    try:
+        with open(f"{folder}/driver", "x") as f:
+            f.write(said)
+        n = 4 * context.defaultParallelism
+        left = context.parallelize(range(n), n).map(lambda _: _meet(folder, said)).collect()
+        return {"driver", *left} == set(os.listdir(folder))
+    finally:
+        shutil.rmtree(folder, ignore_errors=True)
+
+
+def _mounted(context, place: str) -> bool:
+    """Whether a local folder is one and the same for the driver and all executors, by trying; False without executors.
+
+    A machine is asked when it is first met, so a call costs a job only after machines have joined.
+    """
+    machines = lambda: [e.host() for e in context._jsc.sc().statusTracker().getExecutorInfos()]  # noqa: E731  # one for the driver
+    seen = _SHARED_BY.setdefault((context.applicationId, place), set())
+    while True:
+        asked = machines()
+        if len(asked) > 1 and seen.issuperset(asked):
+            return True
+        if not _tasks_share(context, place) or len(machines()) < 2:
+            return False
+        seen.update(asked if len(asked) > 1 else ())
 
 
 def shared_base(spark: SparkSession) -> str:
@@ -16,8 +65,8 @@ def shared_base(spark: SparkSession) -> str:
 
     The place is ``spark.checkpoint.dir``; a path without a scheme is one of the default file system, as it is for Spark.
     Where that is unset and the master is local (tests, a single machine) a folder is made and set. A cluster without one is
-    refused, and so is a ``file:`` folder on a cluster, whose machines would each write to a disk of their own, unless
-    ``spindrift.shared.mounted`` says that it is mounted everywhere.
+    refused, and so is a ``file:`` folder on a cluster whose machines would each write to a disk of their own: it must be seen
+    by all executors (``_mounted`` tries), or ``spindrift.shared.mounted`` say that it is mounted everywhere.
     """
     context = spark.sparkContext
     local = context.master.startswith("local")
@@ -33,7 +82,7 @@ def shared_base(spark: SparkSession) -> str:
             context.setCheckpointDir(base)
     path = context._jvm.org.apache.hadoop.fs.Path(base)
     out = path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    if out.startswith("file:") and not local and spark.conf.get(MOUNTED, "false") != "true":
+    if out.startswith("file:") and not local and spark.conf.get(MOUNTED, "false") != "true" and not _mounted(context, path.toUri().getPath()):
         raise ValueError(f"{out} is a local folder of each machine; name a shared one in spark.checkpoint.dir, or set {MOUNTED} where it is mounted everywhere")
     return "file://" + out.removeprefix("file:") if out.startswith("file:/") and not out.startswith("file://") else out
 

@@ -1,5 +1,11 @@
 """The shared folder: where it is, and what is refused."""
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+import pyspark
 import pytest
 
 from spindrift.sources import storage
@@ -48,3 +54,42 @@ def test_stores_by_sparks_names(tmp_path):
     for uri in (f"file://{tmp_path}/x", f"file:{tmp_path}/x", f"{tmp_path}/x"):
         store, path = storage.open_store(uri)
         assert (store.type_name, path) == ("local", f"{tmp_path}/x")
+
+
+ON_EXECUTORS = """
+import sys
+from pyspark.sql import SparkSession
+from spindrift.sources import storage
+from test_storage import Session
+
+place = sys.argv[1]
+spark = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.ui.enabled", "false").config("spark.driver.host", "127.0.0.1").getOrCreate()
+cluster = Session(spark, "spark://host:7077", spark_checkpoint_dir=f"file://{place}")
+assert storage.shared_base(cluster) == storage.shared_base(cluster) == f"file://{place}"
+held = storage._SHARED_BY.pop((spark.sparkContext.applicationId, place))
+storage._tasks_share = lambda *_: False
+assert held and not storage._mounted(cluster.sparkContext, place)
+print("seen by executors")
+spark.stop()
+"""
+
+
+def test_a_local_folder_that_all_executors_see_is_shared(tmp_path):
+    """Before, every query with an intermediate table failed on a cluster whose checkpoint folder is mounted everywhere."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    home, place = tmp_path / "home", tmp_path / "shared"
+    for folder in (home / "work", place):  # executors write logs to work in Spark's home
+        folder.mkdir(parents=True)
+    for p in Path(pyspark.__file__).parent.iterdir():
+        if p.name != "work":
+            (home / p.name).symlink_to(p)
+    env = os.environ | {"PYTHONPATH": os.pathsep.join([os.path.dirname(here), here]), "SPARK_HOME": str(home), "SPARK_LOCAL_IP": "127.0.0.1", "SPARK_SCALA_VERSION": "2.13", "PYSPARK_PYTHON": sys.executable}
+    out = subprocess.run([sys.executable, "-c", ON_EXECUTORS, str(place)], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "seen by executors" in out.stdout, out.stderr[-2000:]
+    assert not list(place.glob("meet-*"))
+
+
+def test_a_task_that_meets_no_driver_says_so(tmp_path):
+    assert storage._meet(f"{tmp_path}/absent", "x") == ""
+    (tmp_path / "driver").write_text("x")
+    assert storage._meet(str(tmp_path), "y") == "" and storage._meet(str(tmp_path), "x")
