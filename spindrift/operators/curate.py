@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, VariantType
 from pyspark.sql.window import Window
 
 from ..functions.values import closed
@@ -91,7 +92,7 @@ def smallest_keys(keyed: DataFrame, name: str, key: str, counts: dict[str, list[
 
     The counts say in which head a bucket's cut lies; one pass over the keys of these heads finds the last key that
     comes in, and one pass over the rows compares each with its bucket's. Only rows that share that last key, where not
-    all of them come in, are ranked.
+    all of them come in, are ranked: by their other columns, so that it is the rows that tell who comes in, not where they lie.
     """
     whole = [b for b, n in take.items() if n >= sum(c for _, c in counts.get(b, ()))]
     cuts: dict[str, tuple[str, int]] = {}
@@ -124,7 +125,8 @@ def smallest_keys(keyed: DataFrame, name: str, key: str, counts: dict[str, list[
     room = {r["bucket"]: r["room"] for r in last if r["room"] < r["n"]}
     if not room:
         return out
-    ranked = keyed.filter(tied).withColumn("__n", F.row_number().over(Window.partitionBy(name).orderBy(key)))
+    order = [F.col(f"`{f.name}`") for f in keyed.schema if isinstance(f.dataType, AtomicType) and not isinstance(f.dataType, VariantType)]
+    ranked = keyed.filter(tied).withColumn("__n", F.row_number().over(Window.partitionBy(name).orderBy(key, *order)))
     most = F.create_map(*[F.lit(x) for b, n in room.items() for x in (b, n)])[of]
     return out.unionByName(ranked.filter(F.col("__n") <= most).drop("__n"))
 

@@ -129,6 +129,15 @@ def test_ways_to_choose(spark):
         pick("other")
 
 
+def test_a_sample_is_the_same_wherever_its_rows_lie(spark):
+    """Rows of one id tie at the cut: their other columns tell which come in, not the order of the partitions."""
+    rows = [(k, w) for k in range(4) for w in "dacb"]
+    take = lambda rows: sorted(map(tuple, curate.review_sample(spark.createDataFrame(rows, "id long, what string").coalesce(1), ["id"], 0.4).collect()))
+    found = take(rows)
+    assert found == take(rows[::-1]) == take(sorted(rows)) and len(found) == 6
+    assert [w for k, w in found if [i for i, _ in found].count(k) == 2] == ["a", "b"]
+
+
 def test_web_search_services(spark):
     calls = []
 
