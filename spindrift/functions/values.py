@@ -34,6 +34,12 @@ def safe_number(value: Column) -> Column:
     return F.when(~F.isnan(number), number)
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """Rounded half up; a negative value that rounds to zero keeps its sign, as by IEEE 754 and in SQL, which ``round`` alone drops."""
+    out = F.round(value, digits)
+    return F.when((out == 0) & (value < 0), F.lit(-0.0)).otherwise(out)
+
+
 def case_id(*values: Column) -> Column:
     """The first value that is a number, cut to a long."""
     return F.coalesce(*[F.floor(F.abs(safe_number(v))).cast("long") * F.signum(safe_number(v)).cast("long") for v in values])

@@ -57,3 +57,16 @@ def test_nothing_else_imports_the_corpus_operators():
         if f"{os.sep}llm{os.sep}" not in path:
             with open(path) as f:
                 assert "llm" not in [w for line in f if line.lstrip().startswith(("import", "from")) for w in line.replace(".", " ").split()], path
+
+
+def test_a_slope_that_rounds_to_zero_keeps_its_sign(spark, tmp_path):
+    """Twenty points that fall by next to nothing: the SQL says -0.0."""
+    points = [("error", 1000.0), ("purchase", 0.0), *[("view", 1.01 if k == 10 else 1.0) for k in range(3, 19)], ("view", 0.0), ("purchase", 1000.0)]
+    rows = [(k, 7, kind, value) for k, (kind, value) in enumerate(points)]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double")
+    events.selectExpr("*", "timestamp_micros(1704067200000000 + event_id * 1000000)::timestamp_ntz AS ts").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    want = con.execute(f"select slope, trend, n_valid from ({entry.oracle_sql()['window_stats_trend']})").fetchall()
+    found = [tuple(r) for r in entry.queries()["window_stats_trend"](spark, str(tmp_path)).select("slope", "trend", "n_valid").collect()]
+    assert str(found) == str(want) == "[(-0.0, 'stable', 20)]"
