@@ -98,7 +98,10 @@ def one_line(text: Column, most: int) -> Column:
 def fixed(value: Column, digits: int, sign: bool = False) -> Column:
     """A number with a fixed number of digits behind the point, halves to the even digit; NULL stays."""
     rounded = F.bround(value.cast("double"), digits)
-    return F.when(value.isNotNull(), F.format_string(f"%{'+' if sign else ''}.{digits}f", rounded))
+    printed = F.format_string(f"%{'+' if sign else ''}.{digits}f", rounded)
+    if not sign and digits <= 3:  # a decimal of few digits says the same in a fraction of the time
+        printed = F.when(F.abs(rounded) < 1e12, rounded.cast(f"decimal(18,{digits})").cast("string")).otherwise(printed)
+    return F.when(value.isNotNull(), printed)
 
 
 def with_unit(value: Column, unit: str, digits: int = 1) -> Column:

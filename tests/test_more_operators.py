@@ -129,6 +129,30 @@ def test_ways_to_choose(spark):
         pick("other")
 
 
+def test_english_by_one_rewrite_or_all(spark):
+    """Every text of the assessment, also in pairs and cut short, comes out as by all rewrites in order, most by one of them."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    texts = [v.replace("{}", "12") for n, v in vars(assessment).items() if n.endswith("_TEXT")]
+    texts += [a + b for a in texts for b in texts[::3]] + [t[k:] for t in texts for k in (1, 2, 3)] + [t[:-1] for t in texts] + ["M", "F", "", "BIS 40", "低血压（", None]
+    out = F.coalesce("t", F.lit(""))
+    for pattern, said in intents.HINTS:
+        out = F.regexp_replace(out, pattern, said)
+    want = F.when(out == "M", "male").when(out == "F", "female").otherwise(out)
+    df = spark.createDataFrame([(t,) for t in texts], StructType([StructField("t", StringType())]))
+    assert df.filter(~intents.english(F.col("t")).eqNullSafe(want)).count() == 0
+    plan = df.select(intents.english(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Contains(") >= len(intents.HINTS)
+
+
+def test_fixed_digits_of_odd_numbers(spark):
+    numbers = [0.0, -0.0, -0.04, -0.05, 0.5, 1.5, 2.5, -2.5, 0.25, 12.345, 999999.95, 1e11, 1e12, 1e15, 1.7e308, float("inf"), float("nan"), -1e-300, None]
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    for digits in (0, 1, 2, 3):
+        want = F.when(F.col("x").isNotNull(), F.format_string(f"%.{digits}f", F.bround("x", digits)))
+        assert df.filter(~fixed(F.col("x"), digits).eqNullSafe(want)).collect() == []
+
+
 def test_a_sample_is_the_same_wherever_its_rows_lie(spark):
     """Rows of one id tie at the cut: their other columns tell which come in, not the order of the partitions."""
     rows = [(k, w) for k in range(4) for w in "dacb"]
