@@ -5,6 +5,9 @@ Missing is NULL throughout: NaN becomes NULL where values come in, and condition
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +22,7 @@ def strip(text: Column) -> Column:
 
 def squeeze(text: Column) -> Column:
     """One blank for each run of white space or NUL, none at the ends."""
-    return strip(F.regexp_replace(text, r"(?U)[\s\x00]+", " "))
+    return F.trim(F.regexp_replace(text, r"(?U)[\s\x00]+", " "))  # no white space but blanks is left
 
 
 def valid_text(value: Column) -> Column:
@@ -85,8 +88,9 @@ def printable(text: Column) -> Column:
 
 def contains_any(text: Column, words: list[str] | Column) -> Column:
     """Whether a text contains one of the words; false for NULL."""
-    options = words if isinstance(words, Column) else F.array(*[F.lit(w) for w in words])
-    return F.coalesce(F.exists(options, lambda w: F.contains(text, w)), F.lit(False))
+    if isinstance(words, Column):
+        return closed(F.exists(words, lambda w: F.contains(text, w)))
+    return let(text, lambda x: closed(reduce(or_, [F.contains(x, F.lit(w)) for w in words], F.lit(False))))  # the text is worked out once
 
 
 def one_line(text: Column, most: int) -> Column:

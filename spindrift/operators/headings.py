@@ -59,21 +59,13 @@ def _past_separator(text: Column, separators: str) -> Column:
 
 
 def _without_page(line: Column) -> Column:
-    """Up to four digits at the end cut off."""
-    digits = F.length(line) - F.length(F.rtrim(line, F.lit(DIGITS)))
-    return strip(F.left(line, F.length(line) - F.least(digits, F.lit(4))))
+    """Up to four digits at the end of a squeezed line cut off."""
+    return F.rtrim(F.regexp_replace(line, r"[0-9]{1,4}\z", ""))
 
 
 def _before_next(line: Column) -> Column:
-    """Words up to a page number, of two to four digits, that another heading's letters follow."""
-
-    def cut(words: Column) -> Column:
-        number = lambda w: (F.rtrim(w, F.lit(DIGITS)) == "") & F.length(w).between(2, 4)
-        page = lambda k: number(F.get(words, k)) & _any_of(_first(F.get(words, k + 1)), UPPER + LOWER)
-        places = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda k: (k > 0) & closed(page(k)))
-        return F.when(F.size(places) > 0, F.array_join(F.slice(words, F.lit(1), F.get(places, F.lit(0))), " ")).otherwise(F.array_join(words, " "))
-
-    return let(F.split(line, " "), cut)
+    """Words of a squeezed line up to a page number, of two to four digits, that another heading's letters follow."""
+    return F.regexp_replace(line, r"(?s) [0-9]{2,4} [A-Za-z].*", "")
 
 
 def names_chapter(line: Column) -> Column:
@@ -104,6 +96,11 @@ def chapter_parts(line: Column) -> Column:
 
     "Chapter 3: Airway", "3 - airway" and "3 Airway" are headings.
     """
+    return parts_of_clean(clean_heading(line))
+
+
+def parts_of_clean(heading: Column) -> Column:
+    """``chapter_parts`` of a line that ``clean_heading`` has been through."""
 
     def of(x: Column) -> Column:
         named = lowered(F.left(x, F.lit(7))) == "chapter"
@@ -125,7 +122,7 @@ def chapter_parts(line: Column) -> Column:
         opening = lowered(F.element_at(F.split(s["title"], " "), 1))
         return F.when(closed(s["number"].between(1, MOST_CHAPTER)) & _has_word(s["title"]) & ~opening.isin(*BODY_WORDS), s)
 
-    return let(clean_heading(line), of)
+    return let(heading, of)
 
 
 def chapter_of_prefix(text: Column) -> Column:

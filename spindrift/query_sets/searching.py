@@ -173,9 +173,10 @@ def heading_rules(spark, sf_dir):
     number = (F.col("doc_id") * 7 % 131).cast("string")
     forms = [F.concat(F.lit(before), number, F.lit(between), F.col("body"), F.lit(after)) for before, between, after in (("Chapter ", ": ", " 441"), ("", " • ", ""), ("", " ", " "), ("", " - ", " 12 Next part"), ("Contents ", " ", ""))]
     d = d.select("doc_id", "line_no", F.get(F.array(*forms, F.col("body")), (k % 6).cast("int")).alias("line"))
-    d = d.withColumn("h", h.chapter_parts(F.col("line")))
+    d = d.withColumn("clean", h.clean_heading(F.col("line")))  # the costly step, once a line
+    d = d.withColumn("h", h.parts_of_clean(F.col("clean")))
     locator = r.display_locator(F.col("h.number").cast("string"), F.col("h.title"), F.lit(" 12 "), F.col("line"))
-    return d.select("doc_id", "line_no", "h.number", F.md5("h.title").alias("title"), F.md5(h.clean_heading(F.col("line"))).alias("clean"), r.noise_heading(F.col("line")).alias("noise"), F.md5(locator).alias("locator"))
+    return d.select("doc_id", "line_no", "h.number", F.md5("h.title").alias("title"), F.md5("clean").alias("clean"), r.noise_of_clean(F.col("clean")).alias("noise"), F.md5(locator).alias("locator"))
 
 
 def _heading_sql() -> str:
