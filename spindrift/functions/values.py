@@ -125,3 +125,11 @@ def let(value: Column, body) -> Column:
     For two values bind a struct: Catalyst takes equal expressions over the variables of nested lambdas for the same.
     """
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def those_of(*texts: Column) -> Column:
+    """The texts that are not NULL, each once, in their order.
+
+    A set difference is compiled with what it is made of; ``array_compact`` is a filter with a lambda, below which Catalyst interprets everything.
+    """
+    return F.array_except(F.array(*texts), F.array(F.lit(None).cast("string")))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.values import closed, contains_any, fixed
+from ..functions.values import closed, contains_any, fixed, those_of
 from .policy import BIS_DEEP, BIS_LIGHT, CRITICAL_SEC, HEMODYNAMIC_SEC, HR_HIGH, HR_LOW, INHALED, MAP_DROP_PCT, MAP_LOW, MAP_SEVERE, SLOW_SEC, SPO2_LOW, SPO2_SEVERE
 
 #: Columns of seconds: condition -> (vital, test of a value).
@@ -116,7 +116,7 @@ def risk_flags() -> Column:
     rhythm = F.when(_rhythm() & (label != ""), F.concat(F.lit(RHYTHM_TEXT.removesuffix("{}")), label))
     grave = F.when(_rhythm() & contains_any(F.lower(label), list(SEVERE_RHYTHMS)), SEVERE_RHYTHM_TEXT)
     triggered = (F.when(absolute_triggered(), ABSOLUTE_TEXT), F.when(relative_triggered(), RELATIVE_TEXT))
-    return F.array_compact(F.array(map_flag, hr_flag, spo2_flag, bis_flag, drop, *triggered, rhythm, grave))
+    return those_of(map_flag, hr_flag, spo2_flag, bis_flag, drop, *triggered, rhythm, grave)
 
 
 def notes() -> Column:
@@ -132,7 +132,7 @@ def notes() -> Column:
     )
     together = F.when(closed(light & low), LIGHT_LOW_TEXT).when(closed(light & fast), LIGHT_HIGH_TEXT)
     deep = F.when(closed((c("bis_now") < BIS_DEEP) & low), DEEP_LOW_TEXT)
-    return F.array_compact(F.array(*[F.when(closed(cond), text) for cond, text in found], together, deep))
+    return those_of(*[F.when(closed(cond), text) for cond, text in found], together, deep)
 
 
 def risk_level(flags: Column) -> Column:
