@@ -17,7 +17,7 @@ GROUPS, SURGERIES = ("Thoracic_Surgery", "", "Urology"), (" Lobectomy ", "", "He
 def english_flags(spark, sf_dir):
     """Every flag and note in English."""
     s = _assessed(spark, sf_dir).withColumn("flags", a.risk_flags()).withColumn("notes", a.notes())
-    said = lambda c: F.array_join(F.transform(c, lambda h: i.english(h)), "|")
+    said = lambda c: F.array_join(i.all_english(F.col(c)), "|")
     return s.select("ord", said("flags").alias("flags"), said("notes").alias("notes"))
 
 

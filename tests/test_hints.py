@@ -49,7 +49,7 @@ def test_flags_and_tags_are_compiled(spark):
     """Before, flags, notes and tags stood below lambdas, which are interpreted with all that they are applied to."""
     sf = "/root/testdata/sf0.001"
     assert "lambda" not in plan_of(searching._assessed(spark, sf).select(a.notes()))
-    for df in (searching.intent_tags_full(spark, sf),):
+    for df in (searching.english_flags(spark, sf), searching.intent_tags_full(spark, sf)):
         above, made = plan_of(df).splitlines()[:2]
         assert "severe hypotension" in above and "AS flags" in made and "array_except(array(CASE" in made
         assert not any(f"{f}(array(CASE" in line for f in ("filter", "transform", "slice") for line in (above, made))
