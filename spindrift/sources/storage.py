@@ -39,7 +39,7 @@ def _tasks_share(context, place: str) -> bool:
             f.write(said)
         n = 4 * context.defaultParallelism
         left = context.parallelize(range(n), n).map(lambda _: _meet(folder, said)).collect()
-        return {"driver", *left} == set(os.listdir(folder))
+        return set(os.listdir(folder)).issuperset(left)  # a task that ran twice left a file that none speaks of
     finally:
         shutil.rmtree(folder, ignore_errors=True)
 

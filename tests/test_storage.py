@@ -93,3 +93,31 @@ def test_a_task_that_meets_no_driver_says_so(tmp_path):
     assert storage._meet(f"{tmp_path}/absent", "x") == ""
     (tmp_path / "driver").write_text("x")
     assert storage._meet(str(tmp_path), "y") == "" and storage._meet(str(tmp_path), "x")
+
+
+def test_a_task_that_ran_twice_is_no_reason_to_refuse(tmp_path):
+    """Before, a task tried again made every query with an intermediate table fail, and its file looked like a stranger's."""
+
+    class Tasks:
+        defaultParallelism = 1
+
+        def __init__(self, *runs):
+            self.runs = runs
+
+        def parallelize(self, items, n):
+            self.n = n
+            return self
+
+        def map(self, f):
+            self.f = f
+            return self
+
+        def collect(self):
+            return [[self.f(k) for _ in range(self.runs[k % len(self.runs)])][-1] for k in range(self.n)]
+
+    assert storage._tasks_share(Tasks(1), str(tmp_path)) and storage._tasks_share(Tasks(1, 2), str(tmp_path))
+    blind = Tasks(1)
+    blind.map = lambda f: setattr(blind, "f", lambda _: "") or blind
+    elsewhere = Tasks(1)
+    elsewhere.map = lambda f: setattr(elsewhere, "f", lambda _: "written-elsewhere") or elsewhere
+    assert not storage._tasks_share(blind, str(tmp_path)) and not storage._tasks_share(elsewhere, str(tmp_path)) and not os.listdir(tmp_path)
