@@ -47,3 +47,33 @@ def test_partitions_follow_from_folders(spark, tmp_path):
     assert len(signal_store.SignalReader(path, 1 << 20).partitions()) == 1
     signal_store.write_signal_store(df.filter("false"), f"file://{tmp_path}/none")
     assert signal_store.read_signal_store(spark, f"file://{tmp_path}/none").collect() == []
+
+
+def test_files_do_not_grow_with_cases_and_tracks(spark, tmp_path):
+    """Before, 600 files and folders for these cases and tracks; and a track without a name came back under another."""
+    rows = spark.range(30_000).select(F.expr("id % 200 caseid"), F.expr("cast(id as double) time_sec"), F.expr("elt(1 + id % 3, '', 'HR', 'HR/2') track"), F.expr("if(id % 5 = 0, null, id / 2) value"), F.expr("id ord"))
+    path = f"file://{tmp_path}/signals"
+    signal_store.write_signal_store(rows, path)
+    assert sum(1 for _ in tmp_path.rglob("*.parquet")) <= 8
+    want = {r.ord: str(r) for r in rows.collect()}
+    for size in (1, 50_000, 1 << 25):
+        reader = signal_store.SignalReader(path, size)
+        pieces = reader.partitions()
+        read = [r for p in pieces for b in reader.read(p) for r in b.column("ord").to_pylist()]
+        assert sorted(read) == sorted(want) and len(pieces) == {1: 600, 50_000: 15, 1 << 25: 1}[size]
+    tests = [("track", "in", ["", "HR", None]), ("caseid", "in", [7, 8.5, 150, None]), ("time_sec", ">=", 900.0), ("time_sec", "<", 20_000.0)]
+    found = {r.ord: str(r) for r in signal_store.read_signal_store(spark, path, *tests).collect()}
+    assert found == {k: v for k, v in want.items() if k % 200 in (7, 150) and k % 3 < 2 and 900 <= k < 20_000}
+    assert signal_store.read_signal_store(spark, path, ("caseid", "in", [])).count() == 0
+
+
+def test_a_long_track_is_read_by_row_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(signal_store, "GROUP_ROWS", 1_000)
+    rows = spark.range(20_000).select(F.lit(1).cast("long").alias("caseid"), F.when(F.col("id") % 7 != 3, F.col("id").cast("double")).otherwise(F.when(F.col("id") % 2 == 0, float("nan"))).alias("time_sec"), F.lit("HR").alias("track"), F.lit(1.0).alias("value"), F.col("id").alias("ord"))
+    path = f"file://{tmp_path}/signals"
+    signal_store.write_signal_store(rows, path)
+    assert sorted(r.ord for r in signal_store.read_signal_store(spark, path).collect()) == list(range(20_000))
+    for test, fits in ((("time_sec", ">", 19_000.0), lambda t: t > 19_000), (("time_sec", "==", 500.0), lambda t: t == 500), (("time_sec", "in", [4.0, 19_999.0]), lambda t: t in (4, 19_999)), (("time_sec", "<=", -1.0), lambda t: False)):
+        reader = signal_store.SignalReader(path, 1, [test])
+        read = [r for p in reader.partitions() for b in reader.read(p) for r in b.column("ord").to_pylist()]
+        assert read == [t for t in range(20_000) if t % 7 != 3 and fits(t)]
